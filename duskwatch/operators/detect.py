@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from duskwatch.functions.net import haversine_km, speed_kmh
-from duskwatch.functions.scoring import group_hashes
+from duskwatch.functions.scoring import alert_id, group_hashes
 from duskwatch.functions.text import or_none, quoted_list
 from duskwatch.operators import geo
 from duskwatch.operators.alerts import ALERT_COLUMNS, alert_rows, with_group_ids
@@ -111,15 +111,22 @@ def intel_hits(events: DataFrame, intel: DataFrame, settings: Settings = Setting
     return semi_join(events, known_bad_ips(intel), settings)
 
 
-def detect_suspicious_ip(events: DataFrame, intel: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """One alert per known-bad address seen, over all its events."""
-    hits = intel_hits(events, intel, settings)
+def _summed(rows: DataFrame, keys: list[str], shown: str) -> DataFrame:
+    """Count, latest time, first non-NULL ``shown`` in time order and identity of each group.
+
+    Partial aggregates throughout: a hot group is reduced map-side.
+    """
     h1, h2 = group_hashes(F.col("id"))
-    # Partial aggregates throughout: a hot address is reduced map-side.
-    groups = hits.groupBy("src_ip").agg(
+    return rows.groupBy(*keys).agg(
         F.count("*").alias("n_events"), F.max("event_time").alias("last_seen"),
-        F.expr("min_by(username, struct(event_time, id)) FILTER (WHERE username IS NOT NULL)").alias("username"),
+        F.expr(f"min_by({shown}, struct(event_time, id)) FILTER (WHERE {shown} IS NOT NULL)").alias(shown),
         h1.alias("_h1"), h2.alias("_h2"))
+
+
+def detect_suspicious_ip(events: DataFrame, intel: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """One alert per known-bad address seen, over all its events."""
+    hits = intel_hits(events, intel, settings)
+    groups = _summed(hits, ["src_ip"], "username")
     groups = with_group_ids(groups, hits, ["src_ip"], settings.max_inline_ids)
     ip, n = F.col("src_ip"), F.col("n_events")
     return alert_rows(
@@ -140,11 +147,7 @@ def detect_privilege_escalation(events: DataFrame, settings: Settings = Settings
                                 include_group_changes: bool = False) -> DataFrame:
     """One alert per (account, host) that used elevated privileges."""
     used = privilege_events(events, include_group_changes)
-    h1, h2 = group_hashes(F.col("id"))
-    groups = used.groupBy("username", "host").agg(
-        F.count("*").alias("n_events"), F.max("event_time").alias("last_seen"),
-        F.expr("min_by(src_ip, struct(event_time, id)) FILTER (WHERE src_ip IS NOT NULL)").alias("src_ip"),
-        h1.alias("_h1"), h2.alias("_h2"))
+    groups = _summed(used, ["username", "host"], "src_ip")
     groups = with_group_ids(groups, used, ["username", "host"], settings.max_inline_ids)
     user, host, n = F.col("username"), F.col("host"), F.col("n_events")
     return alert_rows(
@@ -191,17 +194,27 @@ def run_all_rules(events: DataFrame, intel: DataFrame, settings: Settings = Sett
     return reduce(DataFrame.unionByName, parts)
 
 
-def group_evidence(events: DataFrame, intel: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Evidence of the two group rules, one row per event: (rule_name, src_ip, username, host, event_time, event_id).
+def group_evidence(events: DataFrame, intel: DataFrame, settings: Settings = Settings(),
+                   above: int = 0) -> DataFrame:
+    """Evidence of the two group rules for groups of more than ``above`` events, one row per event:
+    (alert_id, rule_name, event_time, event_id).
+
+    Nothing is gathered, whatever a group's size; AQE splits the event side of a hot group.
+    """
+    def rows(rule, found, keys, shown):
+        groups = _summed(found, keys, shown).filter(F.col("n_events") > above)
+        ids = groups.select(*keys, alert_id(F.lit(rule), F.col("n_events"), F.col("_h1"), F.col("_h2")).alias("alert_id"))
+        return found.join(ids, keys).select("alert_id", F.lit(rule).alias("rule_name"), "event_time", F.col("id").alias("event_id"))
+
+    return rows(SUSPICIOUS_IP, intel_hits(events, intel, settings), ["src_ip"], "username").unionByName(
+        rows(PRIVILEGE, privilege_events(events), ["username", "host"], "src_ip"))
+
+
+def alert_evidence(alerts: DataFrame, groups: DataFrame) -> DataFrame:
+    """Every alert's event ids, one per row (``alert_id``, ``rule_name``, ``event_id``).
 
-    A projection of the matching events: nothing is gathered, whatever a group's size.
-    An address rule's rows are keyed by ``src_ip``, a privilege rule's by (``username``, ``host``).
+    Inline ids are unfolded; alerts too large to carry them take theirs from ``groups``
+    (``group_evidence`` above the inline limit).
     """
-    null = F.lit(None).cast("string")
-    by_ip = intel_hits(events, intel, settings).select(
-        F.lit(SUSPICIOUS_IP).alias("rule_name"), "src_ip", null.alias("username"), null.alias("host"),
-        "event_time", F.col("id").alias("event_id"))
-    by_account = privilege_events(events).select(
-        F.lit(PRIVILEGE).alias("rule_name"), null.alias("src_ip"), "username", "host",
-        "event_time", F.col("id").alias("event_id"))
-    return by_ip.unionByName(by_account)
+    inline = alerts.select("alert_id", "rule_name", F.explode("event_ids").alias("event_id"))
+    return inline.unionByName(groups.select("alert_id", "rule_name", "event_id"))

@@ -93,7 +93,10 @@ def test_large_groups_keep_their_ids_in_the_evidence_table(spark):
     assert got["1.1.1.1"].event_ids is None and got["1.1.1.1"].n_events == 5
     assert got["2.2.2.2"].event_ids == [6, 7]
     assert {k: a.alert_id for k, a in got.items()} == {k: a.alert_id for k, a in full.items()}
-    assert sorted(r.event_id for r in detect.group_evidence(df, bad, small).filter("src_ip = '1.1.1.1'").collect()) == [1, 2, 3, 4, 5]
+    groups = detect.group_evidence(df, bad, small, above=small.max_inline_ids)
+    assert sorted((r.alert_id, r.event_id) for r in groups.collect()) == [(got["1.1.1.1"].alert_id, i) for i in range(1, 6)]
+    every = detect.alert_evidence(detect.detect_suspicious_ip(df, bad, small), groups)
+    assert sorted(r.event_id for r in every.collect()) == list(range(1, 8))
 
 
 def test_privilege(spark):

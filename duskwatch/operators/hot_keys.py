@@ -46,13 +46,15 @@ def hot_keys(df: DataFrame, key: str, max_rows: int) -> list:
 class KeySplit:
     """How the keys of ``df`` (``key``, ``event_time``, ``id``, ...) are spread over tasks.
 
-    Measured once when built; ``apply`` may then be used on ``df`` or on any other
-    rows that have the same columns and are to be placed among its slices.
+    Measured once when built; ``apply`` is then used on the same rows. ``hot`` gives
+    the hot keys where they are known already. With ``ties_together`` a slice is never
+    cut inside one timestamp.
     """
 
-    def __init__(self, df: DataFrame, key: str, max_rows: int):
-        self.key, self.max_rows = key, max_rows
-        self.hot = hot_keys(df, key, max_rows)
+    def __init__(self, df: DataFrame, key: str, max_rows: int, hot: list | None = None,
+                 ties_together: bool = False):
+        self.key, self.max_rows, self._ties_together = key, max_rows, ties_together
+        self.hot = hot_keys(df, key, max_rows) if hot is None else hot
         self._bursts = None
         if self.hot:
             self._rows = df.filter(F.col(key).isin(self.hot)).select(key, micros().alias("_at"), "id")
@@ -81,7 +83,7 @@ class KeySplit:
             return rows.withColumn("_t", second).withColumn("_sub", F.lit(0).cast("bigint"))
         joined = rows.join(F.broadcast(self._bursts), (rows[self.key] == F.col("_bkey")) & (second == F.col("_bsecond")), "left")
         burst = F.col("_width").isNotNull()
-        sub = F.floor((F.col("id").cast("double") - F.col("_lo")) / F.col("_width")).cast("bigint")
+        sub = F.lit(0).cast("bigint") if self._ties_together else F.floor((F.col("id").cast("double") - F.col("_lo")) / F.col("_width")).cast("bigint")
         return joined.select(*[rows[c] for c in rows.columns],
                              F.when(burst, F.col("_at")).otherwise(second).alias("_t"),
                              F.coalesce(sub, F.lit(0).cast("bigint")).alias("_sub"))

@@ -1,0 +1,133 @@
+"""Stateful rules over a stream, by running the batch rule on what is new plus a small carry.
+
+Each micro-batch takes the events that can no longer be preceded by anything
+(older than the newest event by the allowed lateness), puts the carried rows of
+earlier batches before them, and runs the *batch* detector. Because the carry
+holds every earlier row that can still matter, the union of all micro-batches'
+alerts is exactly what the batch rule gives on the whole history. Hot keys are
+split as in batch; no key's history is ever held in one task.
+
+Waiting rows, carry and clock are tables numbered by micro-batch, so a replayed
+batch starts from the same state and writes the same result again.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Callable
+from dataclasses import dataclass
+from datetime import datetime, timedelta
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from duskwatch.functions.net import EARTH_RADIUS_KM
+from duskwatch.operators import detect
+from duskwatch.session import materialize, new_scratch
+from duskwatch.settings import Settings
+from duskwatch.sources.tables import VersionedTable
+
+ROWS = T.StructType([T.StructField(n, t) for n, t in [
+    ("id", T.LongType()), ("event_time", T.TimestampType()), ("source_type", T.StringType()),
+    ("username", T.StringType()), ("src_ip", T.StringType()), ("event_type", T.StringType())]])
+CLOCK = T.StructType([T.StructField("newest", T.TimestampType()), T.StructField("horizon", T.TimestampType())])
+_COLUMNS = [f.name for f in ROWS]
+
+
+@dataclass(frozen=True)
+class Rule:
+    """``relevant`` rows, the batch ``detect``, how long a row can matter, and what to keep of the rest."""
+
+    relevant: Column
+    detect: Callable[[DataFrame], DataFrame]
+    reach: timedelta
+    keep: Callable[[DataFrame, DataFrame], DataFrame]
+
+
+def _after_last_alert(key: str):
+    """Rows behind their key's last alert. Fewer than k can lie within reach, or they would have alerted."""
+    def keep(rows: DataFrame, alerts: DataFrame) -> DataFrame:
+        last = alerts.groupBy(key).agg(F.max(F.struct("detected_at", F.element_at("event_ids", -1))).alias("_last"))
+        here = F.struct(F.col("event_time").alias("detected_at"), F.col("id"))
+        return (rows.join(last, key, "left")
+                .filter(F.col("_last").isNull() | (here > F.col("_last"))).select(*_COLUMNS))
+    return keep
+
+
+def brute_force(settings: Settings = Settings()) -> Rule:
+    return Rule((F.col("event_type") == "login_failure") & F.col("src_ip").isNotNull(),
+                lambda df: detect.detect_brute_force(df, settings),
+                timedelta(minutes=settings.brute_force_minutes), _after_last_alert("src_ip"))
+
+
+def multiple_failed_auth(settings: Settings = Settings()) -> Rule:
+    return Rule(F.col("event_type").isin("login_failure", "http_auth_failure") & F.col("username").isNotNull(),
+                lambda df: detect.detect_multiple_failed_auth(df, settings),
+                timedelta(minutes=settings.multi_fail_minutes), _after_last_alert("username"))
+
+
+def impossible_travel(settings: Settings = Settings()) -> Rule:
+    """A user's last login; no further back than the limit speed needs for half the globe."""
+    def keep(rows: DataFrame, _alerts: DataFrame) -> DataFrame:
+        last = rows.groupBy("username").agg(F.max(F.struct("event_time", "id", "source_type", "src_ip", "event_type")).alias("_last"))
+        return last.select("username", "_last.*").select(*_COLUMNS)
+
+    hours = math.pi * EARTH_RADIUS_KM / settings.max_travel_kmh
+    return Rule((F.col("event_type") == "login_success") & F.col("src_ip").isNotNull() & F.col("username").isNotNull(),
+                lambda df: detect.detect_impossible_travel(df, settings), timedelta(hours=hours + 1 / 60), keep)
+
+
+class Incremental:
+    """Runs one ``Rule`` micro-batch by micro-batch; use ``process`` in ``foreachBatch``."""
+
+    def __init__(self, spark: SparkSession, rule: Rule, sink: Callable[[DataFrame], object],
+                 state_dir: str | None = None, lateness: timedelta = timedelta(hours=24)):
+        state_dir = state_dir or new_scratch(spark, "incremental")
+        self.spark, self.rule, self.sink, self.lateness = spark, rule, sink, lateness
+        self.waiting = VersionedTable(spark, f"{state_dir}/waiting", ROWS)
+        self.carry = VersionedTable(spark, f"{state_dir}/carry", ROWS)
+        self.clock = VersionedTable(spark, f"{state_dir}/clock", CLOCK)
+
+    def _before(self, table: VersionedTable, batch: int) -> DataFrame:
+        earlier = [v for v in table.versions() if v < batch]
+        return table.read(earlier[-1]) if earlier else self.spark.createDataFrame([], table.schema)
+
+    def process(self, batch_df: DataFrame, batch_id: int) -> None:
+        self._advance(batch_df.filter(self.rule.relevant).select(*_COLUMNS), batch_id, final=False)
+
+    def finish(self) -> None:
+        """Treat all waiting rows as complete (end of a bounded stream)."""
+        known = self.clock.versions()
+        if known:
+            self._advance(self.spark.createDataFrame([], ROWS), known[-1] + 1, final=True)
+
+    def _advance(self, new: DataFrame, batch: int, final: bool) -> None:
+        clock = self._before(self.clock, batch).first()
+        newest, horizon = (clock.newest, clock.horizon) if clock else (None, None)
+        if horizon is not None:
+            new = new.filter(F.col("event_time") > F.lit(horizon))  # later than allowed: left to the batch run
+        rows = materialize(self._before(self.waiting, batch).unionByName(new), "incremental-rows")
+        seen = rows.agg(F.max("event_time")).first()[0]
+        newest = max((t for t in (newest, seen) if t is not None), default=None)
+        if newest is None:
+            return self._save(batch, rows, self._before(self.carry, batch), None, None)
+        reached = newest if final else newest - self.lateness
+        horizon = reached if horizon is None else max(horizon, reached)
+        ready = F.col("event_time") <= F.lit(horizon)
+        work = materialize(self._before(self.carry, batch).unionByName(rows.filter(ready)), "incremental-work")
+        alerts = materialize(self.rule.detect(work), "incremental-alerts")
+        self.sink(alerts)
+        kept = self.rule.keep(work.filter(F.col("event_time") > F.lit(horizon - self.rule.reach)), alerts)
+        self._save(batch, rows.filter(~ready), kept, newest, horizon)
+
+    def _save(self, batch: int, waiting: DataFrame, carry: DataFrame, newest: datetime | None, horizon: datetime | None) -> None:
+        self.waiting.replace(waiting, batch)
+        self.carry.replace(carry, batch)
+        # last, as it marks the batch complete
+        self.clock.replace(self.spark.createDataFrame([(newest, horizon)], CLOCK), batch)
+
+
+def run(stream: DataFrame, incremental: Incremental, checkpoint: str, trigger: dict | None = None):
+    return (stream.writeStream.foreachBatch(incremental.process).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())

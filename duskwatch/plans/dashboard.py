@@ -89,5 +89,5 @@ def flagged_logins(scores: DataFrame) -> DataFrame:
 
 def alert_table(alerts: DataFrame) -> DataFrame:
     """The alert list, newest first."""
-    return alerts.orderBy(F.desc("detected_at"), "alert_id").select(
+    return alerts.orderBy(F.desc("detected_at"), "rule_name", "alert_id").select(
         "detected_at", "rule_name", "severity", "title", "username", "src_ip", "risk_score", "status")

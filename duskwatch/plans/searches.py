@@ -13,6 +13,11 @@ from duskwatch.schemas import SEVERITIES
 from duskwatch.settings import Settings
 
 
+def newest_first() -> list:
+    """Total order of an alert list: newest first, ties by content."""
+    return [F.desc("detected_at"), "rule_name", "username", "src_ip", "alert_id"]
+
+
 def in_range(df: DataFrame, time: str, as_of: datetime, hours: int = 24) -> DataFrame:
     """Rows from the full hour ``hours`` before ``as_of`` up to ``as_of``."""
     now = F.lit(as_of).cast("timestamp")
@@ -37,7 +42,7 @@ def top_attackers(events: DataFrame, k: int = 10) -> DataFrame:
 
 
 def privilege_activity(alerts: DataFrame) -> DataFrame:
-    return (alerts.filter(F.col("rule_name") == PRIVILEGE).orderBy(F.desc("detected_at"), "alert_id")
+    return (alerts.filter(F.col("rule_name") == PRIVILEGE).orderBy(*newest_first())
             .select("detected_at", "username", "host", "description", "risk_score"))
 
 
@@ -94,5 +99,5 @@ def alert_summary(alerts: DataFrame) -> DataFrame:
 
 
 def recent_alerts(alerts: DataFrame, k: int = 50) -> DataFrame:
-    return (alerts.orderBy(F.desc("detected_at"), "alert_id").limit(k)
+    return (alerts.orderBy(*newest_first()).limit(k)
             .select("detected_at", "rule_name", "severity", "username", "src_ip", "title", "risk_score"))

@@ -11,7 +11,8 @@ SEVERITIES = {"BLOCK": "medium", "DROP": "medium", "ALLOW": "low"}
 
 def _captures(line):
     parts = F.split(line, ",", -1)
-    return F.when(F.size(parts) == 7, F.transform(parts, stripped))
+    spaced = line.rlike(r"(?U)[\s\x1c-\x1f]")  # most lines hold no blank at all
+    return F.when(F.size(parts) == 7, F.when(spaced, F.transform(parts, stripped)).otherwise(parts))
 
 
 def _fields(c, _details, _year):

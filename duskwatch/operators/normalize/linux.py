@@ -5,10 +5,10 @@ from pyspark.sql import functions as F
 from duskwatch.operators.normalize.base import Normalizer, groups, pack, unpack
 
 # Syslog prefix and the message shapes of sshd and sudo.
-PREFIX = r"^(\w{3})\s+(\d{1,2})\s+(\d{2}:\d{2}:\d{2})\s+(\S+)\s+(\S+?):\s+(.*)$"
-FAILED = r"^.*?Failed password for (?:invalid user )?(\S+) from (\S+) port (\d+).*$"
-ACCEPTED = r"^.*?Accepted (?:password|publickey) for (\S+) from (\S+) port (\d+).*$"
-SUDO = r"^.*?(\S+)\s*:\s*TTY=\S+\s*;\s*PWD=\S+\s*;\s*USER=(\S+)\s*;\s*COMMAND=(.*)$"
+PREFIX = r"(\w{3})\s+(\d{1,2})\s+(\d{2}:\d{2}:\d{2})\s+(\S+)\s+(\S+?):\s+(.*?)[\s\x1c-\x1f]*$"
+FAILED = r".*?Failed password for (?:invalid user )?(\S+) from (\S+) port (\d+).*$"
+ACCEPTED = r".*?Accepted (?:password|publickey) for (\S+) from (\S+) port (\d+).*$"
+SUDO = r".*?(\S+)\s*:\s*TTY=\S+\s*;\s*PWD=\S+\s*;\s*USER=(\S+)\s*;\s*COMMAND=(.*)$"
 
 
 def _details(c):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from duskwatch.operators.normalize.base import Normalizer, pack, unpack
 
 # Line shape (referer and sizes are matched, not kept) and path markers of probing.
-PATTERN = (r'^(\S+)\s+\S+\s+(\S+)\s+\[([^\]]+)\]\s+"(\S+)\s+(\S+)\s+[^"]+"\s+'
+PATTERN = (r'(\S+)\s+\S+\s+(\S+)\s+\[([^\]]+)\]\s+"(\S+)\s+(\S+)\s+[^"]+"\s+'
            r'(\d{3})\s+\S+\s+"[^"]*"\s+"([^"]*)".*$')
 SUSPICIOUS_PATHS = ["wp-login.php", "/admin", "phpmyadmin", "../", "etc/passwd", "select%20",
                     "union%20select", ".env", "wp-admin"]

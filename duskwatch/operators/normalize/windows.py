@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from duskwatch.operators.normalize.base import Normalizer, pack, parse_utc_z, unpack, when_in
 
 # Line shape and the meaning of each event id.
-PATTERN = (r"^(\S+)\s+EventID=(\d+)\s+Account=(\S+)\s+LogonType=(\d+)\s+SourceIP=(\S+)\s+"
+PATTERN = (r"(\S+)\s+EventID=(\d+)\s+Account=(\S+)\s+LogonType=(\d+)\s+SourceIP=(\S+)\s+"
            r"Workstation=(\S+)\s+Status=(\S+).*$")
 EVENT_TYPES = {
     "4624": "login_success",

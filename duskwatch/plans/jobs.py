@@ -44,14 +44,14 @@ def ingest(store: Store, lines: DataFrame, batch: int, year: int | None = None)
     """
     base = store.next_id(batch)
     numbered = lines.withColumn("raw_id", F.monotonically_increasing_id() + F.lit(base))
-    parsed = normalize(numbered, year).withColumn("processed", F.col("event_type").isNotNull())
+    parsed = normalize(numbered, year, by_source=True).withColumn("processed", F.col("event_type").isNotNull())
     raw = parsed.withColumn("ingested_at", F.current_timestamp())
-    store.write_batch("raw_logs", raw.select(*[F.col(f.name).cast(f.dataType) for f in RAW_LOGS]), batch)
+    store.write_batch("raw_logs", raw.select(*[F.col(f.name).cast(f.dataType) for f in RAW_LOGS]), batch, by="source_type")
 
     stored = store.raw_logs().filter(F.col("ingest_batch") == batch)
-    again = normalize(stored.drop("ingest_batch", "processed", "ingested_at"), year)
+    again = normalize(stored.drop("ingest_batch", "processed", "ingested_at"), year, by_source=True)
     events = event_rows(again).withColumn("event_date", F.to_date("event_time"))
-    store.write_batch("normalized_events", events, batch, by_day="event_date")
+    store.write_batch("normalized_events", events, batch, by="event_date", rebalance=True)
     store.write_batch("rejects", rejects_of(again).select("raw_id", "source_type", "raw_message", "path", "reason"), batch)
     return IngestResult(batch, stored.count(), store.events().filter(F.col("ingest_batch") == batch).count())
 

@@ -73,7 +73,9 @@ class Store:
     # ---- raw lines, events, rejects: append by batch
 
     def raw_logs(self) -> DataFrame:
-        return self._read("raw_logs", schemas.RAW_LOGS, "ingest_batch bigint")
+        columns = [f.name for f in schemas.RAW_LOGS]
+        return (self._read("raw_logs", [f for f in schemas.RAW_LOGS if f.name != "source_type"], "ingest_batch bigint, source_type string")
+                .select(*columns, "ingest_batch"))
 
     def events(self, since: datetime | None = None) -> DataFrame:
         """Normalised events; ``since`` prunes day folders and is pushed into the scan."""
@@ -93,15 +95,12 @@ class Store:
         top = self.raw_logs().filter(F.col("ingest_batch") < batch).agg(F.max("raw_id")).first()[0]
         return 0 if top is None else top + 1
 
-    def write_batch(self, table: str, df: DataFrame, batch: int, by_day: str | None = None) -> None:
-        writer_input = df
-        if by_day:
-            # Rebalancing keeps files few and even: AQE splits a crowded day, merges thin ones.
-            writer_input = df.hint("rebalance", by_day)
-        writer = writer_input.write.mode("overwrite")
-        if by_day:
-            writer = writer.partitionBy(by_day)
-        writer.parquet(f"{self.root}/{table}/ingest_batch={batch}")
+    def write_batch(self, table: str, df: DataFrame, batch: int, by: str | None = None, rebalance: bool = False) -> None:
+        if rebalance:
+            # Keeps files few and even: AQE splits a crowded partition, merges thin ones.
+            df = df.hint("rebalance", by)
+        writer = df.write.mode("overwrite")
+        (writer.partitionBy(by) if by else writer).parquet(f"{self.root}/{table}/ingest_batch={batch}")
 
     # ---- threat feed: upsert by address
 

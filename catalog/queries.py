@@ -270,7 +270,8 @@ def n10_event_json(spark, sf_dir):
 
 
 def n11_dispatch(spark, sf_dir):
-    return (normalize(_lines(spark, sf_dir), YEAR).groupBy("source_type", "event_type", "severity").agg(F.count("*").alias("n")))
+    lines = read_all_lines(prepare(spark), _log_files(spark, sf_dir))
+    return (normalize(lines, YEAR, by_source=True).groupBy("source_type", "event_type", "severity").agg(F.count("*").alias("n")))
 
 
 # ---------------------------------------------------------------- joins
@@ -285,8 +286,8 @@ def j2_geo_lookup(spark, sf_dir):
 
 
 def j2_geo_inline(spark, sf_dir):
-    return (_events(spark, sf_dir).select("id", "src_ip", geo.locate(F.col("src_ip")).alias("geo"))
-            .select("id", "src_ip", "geo.country", "geo.city", "geo.lat", "geo.lon"))
+    found = geo.locate(_events(spark, sf_dir).select("id", "src_ip"))
+    return found.select("id", "src_ip", "geo.country", "geo.city", "geo.lat", "geo.lon")
 
 
 def j3_login_pairs(spark, sf_dir):

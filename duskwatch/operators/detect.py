@@ -74,9 +74,9 @@ def login_pairs(events: DataFrame, settings: Settings = Settings(), ranges: Data
     split = KeySplit(logins, "username", settings.max_rows_per_task)
     logins = logins.select("username", "event_time", "id", "src_ip").withColumn("_at", micros())
     if ranges is None:
-        logins = logins.withColumn("geo", geo.locate(F.col("src_ip")))
+        logins = geo.locate(logins)
     else:
-        logins = geo.locate_all(logins, ranges)
+        logins = geo.locate_all(logins, ranges, max_broadcast_rows=settings.max_broadcast_rows)
     rows = split.apply(logins, context_rows=1)
     order = Window.partitionBy("username", "slice").orderBy("event_time", "id")
     rows = rows.withColumn("previous", F.lag(F.struct("id", "event_time", "src_ip", "geo", "_at")).over(order))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duskwatch.functions.net import cidr_bounds, ipv4_number
+from duskwatch.operators.intel import hint_if_small
 from duskwatch.schemas import GEO
+from duskwatch.session import materialize
 
 # Sample ranges (cidr, country, city, latitude, longitude), in order of precedence.
 SAMPLE_RANGES = [
@@ -29,19 +31,22 @@ def sample_ranges(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(i, *row) for i, row in enumerate(SAMPLE_RANGES)], GEO)
 
 
-def locate(ip: Column, ranges=SAMPLE_RANGES) -> Column:
-    """Point of an address as a CASE expression: no join, no shuffle. For short configured lists."""
+def locate(df: DataFrame, ranges=SAMPLE_RANGES, ip: str = "src_ip") -> DataFrame:
+    """Add ``geo`` from a short configured list: a CASE over the address number, no join, no shuffle.
+
+    The number is a column of its own so that it is parsed once a row, not once a range.
+    """
     if len(ranges) > INLINE_RANGES:
         raise ValueError("use locate_all for a geo feed")
-    number = ipv4_number(ip)
     found = None
     for cidr, country, city, lat, lon in ranges:
         lo, hi, _ = cidr_bounds(cidr)
         point = F.struct(F.lit(country).alias("country"), F.lit(city).alias("city"),
                          F.lit(lat).alias("lat"), F.lit(lon).alias("lon"))
-        inside = number.between(lo, hi)
+        inside = F.col("_ip_number").between(lo, hi)
         found = F.when(inside, point) if found is None else found.when(inside, point)
-    return F.lit(None).cast(POINT) if found is None else found
+    geo = F.lit(None).cast(POINT) if found is None else found
+    return df.withColumn("_ip_number", ipv4_number(F.col(ip))).withColumn("geo", geo).drop("_ip_number")
 
 
 def locate_distinct(ips: DataFrame, ranges: DataFrame, ip: str = "src_ip") -> DataFrame:
@@ -58,7 +63,7 @@ def locate_distinct(ips: DataFrame, ranges: DataFrame, ip: str = "src_ip") -> Da
         prefix.alias("_len"), F.call_function("shiftright", start, host_bits).alias("_net"), "priority",
         F.struct("country", "city", "lat", "lon").alias("geo")).filter("_net IS NOT NULL")
     lengths = F.array(*[F.lit(i) for i in range(33)])
-    probes = (ips.select(ip).distinct().withColumn("_n", ipv4_number(F.col(ip))).filter("_n IS NOT NULL")
+    probes = (ips.select(ip).distinct().withColumn("_n", ipv4_number(F.col(ip)))
               .withColumn("_len", F.explode(lengths))
               .withColumn("_net", F.call_function("shiftright", F.col("_n"), F.lit(32) - F.col("_len"))))
     used = blocks.select("_len").distinct()  # at most 33 rows
@@ -67,8 +72,8 @@ def locate_distinct(ips: DataFrame, ranges: DataFrame, ip: str = "src_ip") -> Da
             .groupBy(ip).agg(F.min_by("geo", "priority").alias("geo")))
 
 
-def locate_all(df: DataFrame, ranges: DataFrame, ip: str = "src_ip") -> DataFrame:
+def locate_all(df: DataFrame, ranges: DataFrame, ip: str = "src_ip", max_broadcast_rows: int = 200_000) -> DataFrame:
     """Add ``geo`` (NULL where unknown); the feed is searched once per distinct address."""
-    found = locate_distinct(df.filter(F.col(ip).isNotNull()), ranges, ip)
-    # AQE splits the side of a hot address; the found side has one row per address.
-    return df.join(found, ip, "left")
+    found = materialize(locate_distinct(df.filter(F.col(ip).isNotNull()), ranges, ip), "located")
+    # One row per address: broadcast when counted small, else AQE splits the side of a hot address.
+    return df.join(hint_if_small(found, max_broadcast_rows), ip, "left")

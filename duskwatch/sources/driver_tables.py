@@ -22,7 +22,10 @@ def events_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def map_events(raw: DataFrame) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("int")
+    # A one-element explode keeps k a column: inlined, the JSON would be parsed once per use.
+    raw = raw.select("event_id", "ts", "user_id", "event_type",
+                     F.explode(F.array(F.get_json_object("props", "$.k").cast("int"))).alias("k"))
+    k = F.col("k")
     kind = F.col("event_type")
     pick = lambda values, i: F.element_at(F.array(*[F.lit(v) for v in values]), i + 1)
     event_type = (

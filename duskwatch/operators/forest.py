@@ -97,42 +97,45 @@ def grow_forest(samples: DataFrame, n: int, settings: Settings) -> DataFrame:
     return samples.groupBy("tree").applyInPandas(_grow(settings.seed, size), _NODES)
 
 
-class _Forest:
-    """Node table as flat arrays, all trees walked at once."""
-
-    def __init__(self, nodes: pd.DataFrame, sample: int):
-        nodes = nodes.sort_values(["tree", "node"]).reset_index(drop=True)
-        start = nodes.groupby("tree")["node"].transform("size").groupby(nodes["tree"]).first().cumsum().shift(fill_value=0)
-        offset = nodes["tree"].map(start).to_numpy()
-        leaf = nodes["feature"].to_numpy() < 0
-        own = np.arange(len(nodes))
-        self.roots = start.to_numpy()
-        self.feature = np.where(leaf, 0, nodes["feature"].to_numpy())
-        self.threshold = nodes["threshold"].to_numpy()
-        self.left = np.where(leaf, own, nodes["left"].to_numpy() + offset)
-        self.right = np.where(leaf, own, nodes["right"].to_numpy() + offset)
-        self.path = nodes["depth"].to_numpy() + mean_path(nodes["size"].to_numpy())
-        self.depth = int(nodes["depth"].max())
-        self.scale = float(mean_path(sample))
-
-    def score(self, x: np.ndarray) -> np.ndarray:
-        at = np.broadcast_to(self.roots, (len(x), len(self.roots)))
-        rows = np.arange(len(x))[:, None]
-        for _ in range(self.depth):
-            at = np.where(x[rows, self.feature[at]] <= self.threshold[at], self.left[at], self.right[at])
-        return np.power(2.0, -self.path[at].mean(axis=1) / self.scale)
+def _flatten(nodes: pd.DataFrame, sample: int) -> dict:
+    """Node table as flat arrays, so that all trees are walked at once."""
+    nodes = nodes.sort_values(["tree", "node"]).reset_index(drop=True)
+    sizes = nodes.groupby("tree")["node"].size()
+    start = sizes.cumsum().shift(fill_value=0)
+    offset = nodes["tree"].map(start).to_numpy()
+    leaf = nodes["feature"].to_numpy() < 0
+    own = np.arange(len(nodes))
+    return {
+        "roots": start.to_numpy(),
+        "feature": np.where(leaf, 0, nodes["feature"].to_numpy()),
+        "threshold": nodes["threshold"].to_numpy(),
+        "left": np.where(leaf, own, nodes["left"].to_numpy() + offset),
+        "right": np.where(leaf, own, nodes["right"].to_numpy() + offset),
+        "path": nodes["depth"].to_numpy() + mean_path(nodes["size"].to_numpy()),
+        "depth": int(nodes["depth"].max()),
+        "scale": float(mean_path(sample)),
+    }
+
+
+def _walk(forest: dict, x: np.ndarray) -> np.ndarray:
+    at = np.broadcast_to(forest["roots"], (len(x), len(forest["roots"])))
+    rows = np.arange(len(x))[:, None]
+    for _ in range(forest["depth"]):
+        goes_left = x[rows, forest["feature"][at]] <= forest["threshold"][at]
+        at = np.where(goes_left, forest["left"][at], forest["right"][at])
+    return np.power(2.0, -forest["path"][at].mean(axis=1) / forest["scale"])
 
 
 def score_vectors(vectors: DataFrame, nodes: DataFrame, sample: int) -> DataFrame:
     """Add ``score`` (in (0, 1), larger = more isolated) to rows of feature columns."""
     spark = vectors.sparkSession
     # bounded by trees x (2 x sample - 1) nodes, whatever the table's size
-    forest = spark.sparkContext.broadcast(_Forest(nodes.toPandas(), sample))
+    forest = spark.sparkContext.broadcast(_flatten(nodes.toPandas(), sample))
 
     @F.pandas_udf("double")
     def score(*columns: pd.Series) -> pd.Series:
         x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-        return pd.Series(np.concatenate([forest.value.score(x[i:i + 2048]) for i in range(0, len(x), 2048)])
+        return pd.Series(np.concatenate([_walk(forest.value, x[i:i + 2048]) for i in range(0, len(x), 2048)])
                          if len(x) else np.empty(0))
 
     return vectors.withColumn("score", score(*FEATURE_COLUMNS))

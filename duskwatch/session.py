@@ -40,9 +40,30 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+_MADE: list[str] = []
+
+
 def new_scratch(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/duskwatch/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/duskwatch/{label}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables this process wrote; frames still reading them become invalid.
+
+    Call it at the end of a job, when its results are stored. Returns how many were deleted.
+    """
+    done = len(_MADE)
+    while _MADE:
+        delete_path(spark, _MADE.pop())
+    return done
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from duskwatch import schemas
 from duskwatch.operators.alerts import ALERT_COLUMNS, not_stored
 from duskwatch.operators.intel import upsert
-from duskwatch.session import materialize
+from duskwatch.session import delete_path, materialize
 
 
 class VersionedTable:
@@ -52,6 +52,11 @@ class VersionedTable:
         df.select(*columns).write.mode("overwrite").parquet(f"{self.path}/v={version:012d}")
         return version
 
+    def prune(self, keep: int = 10) -> None:
+        """Delete all but the newest ``keep`` versions."""
+        for version in self.versions()[:-keep]:
+            delete_path(self.spark, f"{self.path}/v={version:012d}")
+
 
 class Store:
     def __init__(self, spark: SparkSession, root: str):

@@ -126,6 +126,8 @@ class Incremental:
         self.carry.replace(carry, batch)
         # last, as it marks the batch complete
         self.clock.replace(self.spark.createDataFrame([(newest, horizon)], CLOCK), batch)
+        for table in (self.waiting, self.carry, self.clock):
+            table.prune()
 
 
 def run(stream: DataFrame, incremental: Incremental, checkpoint: str, trigger: dict | None = None):

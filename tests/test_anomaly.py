@@ -85,3 +85,37 @@ def test_large_table_sampling_gives_each_tree_its_own_rows(spark):
 def test_too_few_rows(spark):
     out = train_and_score(build_features(frame(spark, [login(1, BASE, "u", "1.1.1.1")]))).collect()
     assert [(r.anomaly_score, r.is_anomaly) for r in out] == [(0.0, False)]
+
+
+def test_scores_match_a_walk_by_hand(spark):
+    """Node table walked row by row, cut-off and scale from all rows, against the weighted vector way."""
+    import math
+    from duskwatch.operators.forest import grow_forest, training_rows
+    features = build_features(frame(spark, random_rows(4, 400)))
+    few = Settings(forest_trees=25, forest_sample=32, contamination=0.1)
+    rows = features.collect()
+    nodes = {}
+    for r in grow_forest(training_rows(features, len(rows), few), len(rows), few).collect():
+        nodes[r.tree, r.node] = r
+    assert len({t for t, _ in nodes}) == 25 and max(r.depth for r in nodes.values()) <= 5
+    mean = lambda n: 0.0 if n < 2 else 1.0 if n == 2 else 2 * (math.log(n - 1) + 0.5772156649015329) - 2 * (n - 1) / n
+    scores = {}
+    for r in rows:
+        total = 0.0
+        for t in range(25):
+            at = nodes[t, 0]
+            while at.feature >= 0:
+                at = nodes[t, at.left if r[FEATURE_COLUMNS[at.feature]] <= at.threshold else at.right]
+            total += at.depth + mean(at.size)
+        scores[r.id] = 2 ** (-total / 25 / mean(32))
+    low, high = min(scores.values()), max(scores.values())
+    ranked = sorted(-s for s in scores.values())
+    at = 0.1 * (len(ranked) - 1)
+    cut = ranked[int(at)] + (at - int(at)) * (ranked[int(at) + 1] - ranked[int(at)])
+    got = {r.id: r for r in train_and_score(features, few).collect()}
+    assert set(got) == set(scores)
+    for i, s in scores.items():
+        assert got[i].anomaly_score == pytest.approx((s - low) / (high - low + 1e-9), abs=1e-9)
+        if abs(-s - cut) > 1e-12:
+            assert got[i].is_anomaly == (-s < cut)
+    assert 0 < sum(r.is_anomaly for r in got.values()) <= 0.1 * len(rows) + 1

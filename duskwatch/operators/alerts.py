@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from duskwatch.functions.scoring import alert_id, ids_hashes, risk_score
 from duskwatch.schemas import ALERTS
+from duskwatch.session import materialize
+from duskwatch.settings import Settings
 
 ALERT_COLUMNS = [f.name for f in ALERTS]
 
@@ -44,18 +46,31 @@ def alert_rows(df: DataFrame, *, rule: str, severity: str, title: Column, descri
     return df.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in ALERTS], *extra)
 
 
-def with_group_ids(groups: DataFrame, evidence: DataFrame, keys: list[str], limit: int) -> DataFrame:
-    """Add ``event_ids`` in time order to groups of at most ``limit`` rows, NULL to larger ones.
+def with_group_ids(groups: DataFrame, evidence: DataFrame, keys: list[str], settings: Settings) -> DataFrame:
+    """Add ``event_ids`` in time order to groups of at most ``max_inline_ids`` rows, NULL to larger ones.
 
-    Rows of larger groups are dropped before the ids are gathered, so no task holds
-    more than ``limit`` ids of a group. Their ids remain in the evidence table.
+    ``groups`` has one row per group of ``evidence``. Rows of larger groups are dropped
+    map-side before the ids are gathered, so no task receives a hot group's rows. Their
+    ids remain in the evidence table.
     """
-    small = groups.filter(F.col("n_events") <= limit).select(*keys)
-    ids = (evidence.join(small, keys, "left_semi").groupBy(*keys)
+    groups = materialize(groups, "groups")
+    ids = (_without_large(evidence, groups, keys, settings).groupBy(*keys)
            .agg(F.array_sort(F.collect_list(F.struct("event_time", "id"))).alias("_ids")))
     return groups.join(ids, keys, "left").withColumn("event_ids", F.col("_ids.id")).drop("_ids")
 
 
+def _without_large(evidence: DataFrame, groups: DataFrame, keys: list[str], settings: Settings) -> DataFrame:
+    large = groups.filter(F.col("n_events") > settings.max_inline_ids)
+    n = large.count()
+    if n == 0:
+        return evidence
+    # The heaviest groups go by broadcast, a bounded number of them. Should there be more, each of
+    # the rest is smaller than every one of these, so an ordinary join on the key can take them.
+    heaviest = large.orderBy(F.desc("n_events"), *keys).limit(settings.max_broadcast_rows).select(*keys)
+    rest = evidence.join(F.broadcast(heaviest), keys, "left_anti")
+    return rest if n <= settings.max_broadcast_rows else rest.join(large.select(*keys), keys, "left_anti")
+
+
 def first_new(candidates: DataFrame) -> DataFrame:
     """One row per identity. Rows of one identity rest on the same evidence of the same rule."""
     return candidates.dropDuplicates(["alert_id"])

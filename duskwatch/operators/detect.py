@@ -127,7 +127,7 @@ def detect_suspicious_ip(events: DataFrame, intel: DataFrame, settings: Settings
     """One alert per known-bad address seen, over all its events."""
     hits = intel_hits(events, intel, settings)
     groups = _summed(hits, ["src_ip"], "username")
-    groups = with_group_ids(groups, hits, ["src_ip"], settings.max_inline_ids)
+    groups = with_group_ids(groups, hits, ["src_ip"], settings)
     ip, n = F.col("src_ip"), F.col("n_events")
     return alert_rows(
         groups, rule=SUSPICIOUS_IP, severity="high", src_ip=ip, username=F.col("username"),
@@ -148,7 +148,7 @@ def detect_privilege_escalation(events: DataFrame, settings: Settings = Settings
     """One alert per (account, host) that used elevated privileges."""
     used = privilege_events(events, include_group_changes)
     groups = _summed(used, ["username", "host"], "src_ip")
-    groups = with_group_ids(groups, used, ["username", "host"], settings.max_inline_ids)
+    groups = with_group_ids(groups, used, ["username", "host"], settings)
     user, host, n = F.col("username"), F.col("host"), F.col("n_events")
     return alert_rows(
         groups, rule=PRIVILEGE, severity="high", src_ip=F.col("src_ip"), username=user,

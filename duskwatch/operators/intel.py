@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duskwatch.functions.net import strip_mask
+from duskwatch.operators.hot_keys import hot_keys
 from duskwatch.settings import Settings
 
 
@@ -14,18 +15,31 @@ def known_bad_ips(intel: DataFrame) -> DataFrame:
     return intel.select(strip_mask(F.col("ip")).alias("src_ip")).filter("src_ip IS NOT NULL").distinct()
 
 
+def is_small(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def hint_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only after counting that it has at most ``max_rows`` rows.
 
     Beyond that the join is left to Catalyst and AQE (sort-merge, skewed sides split).
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def semi_join(events: DataFrame, ips: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Events whose ``src_ip`` is among ``ips``; NULL never matches."""
-    return (events.filter(F.col("src_ip").isNotNull())
-            .join(hint_if_small(ips, settings.max_broadcast_rows), "src_ip", "left_semi"))
+    events = events.filter(F.col("src_ip").isNotNull())
+    if is_small(ips, settings.max_broadcast_rows):
+        return events.join(F.broadcast(ips), "src_ip", "left_semi")
+    # A feed too large to broadcast. What follows is often grouped by address, which keeps AQE from
+    # splitting a hot one, so hot addresses are matched map-side against their own few feed rows.
+    hot = [] if events.isStreaming else hot_keys(events, "src_ip", settings.max_rows_per_task)
+    if not hot:
+        return events.join(ips, "src_ip", "left_semi")
+    is_hot = F.col("src_ip").isin(hot)
+    return (events.filter(is_hot).join(F.broadcast(ips.filter(is_hot)), "src_ip", "left_semi")
+            .unionByName(events.filter(~is_hot).join(ips, "src_ip", "left_semi")))
 
 
 def enrich(events: DataFrame, intel: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -9,13 +9,16 @@ other key stays whole as slice 0. Results stay exact because each slice knows
 * its halo: the rows right before it, repeated as context (``own = False``), so
   ``lag`` and row frames see across the cut.
 
-What is gathered per hot key is a row count per second, never rows. A second
-that is itself too big is counted finer, per timestamp and range of ids, so a
-burst that shares one timestamp is cut as well.
+What is gathered per hot key is a row count per time bucket (at most about
+``_MAX_TICKS`` of them), never rows. A bucket that is itself too big is cut
+finer: into shorter times, or, where it holds only a few timestamps, into those
+and ranges of ids, so a burst that shares one timestamp is cut as well.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,7 +26,8 @@ from pyspark.sql import functions as F
 # rows is certain to be reported.
 TRACKED = 10_000
 SECOND = 1_000_000
-_CHUNKS = 16  # id ranges per max_rows inside a burst
+_MAX_TICKS = 1_000_000  # time buckets per hot key
+_CHUNKS = 16  # pieces per max_rows inside a burst
 
 _MEMBER = "struct<slice:bigint,slice_base:bigint,slice_rows:bigint,own:boolean>"
 
@@ -61,32 +65,36 @@ class KeySplit:
             self._bursts = self._measure_bursts()
 
     def _measure_bursts(self):
-        """Seconds of a hot key with more than max_rows rows; at most rows/max_rows of them."""
-        found = (self._rows.groupBy(self.key, self._second().alias("_second"))
-                 .agg(F.count("*").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi"))
+        """Buckets of a hot key with more than max_rows rows; at most rows/max_rows of them."""
+        first, last = self._rows.agg(F.min("_at"), F.max("_at")).first()
+        self._grain = max(1, math.ceil((last - first) / _MAX_TICKS / SECOND)) * SECOND
+        pieces = F.ceil(F.col("n") / self.max_rows) * _CHUNKS
+        lo, hi = F.col("lo").cast("double"), F.col("hi").cast("double")
+        found = (self._rows.groupBy(self.key, self._bucket().alias("_bucket"))
+                 .agg(F.count("*").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi"),
+                      F.approx_count_distinct("_at").alias("times"))
                  .filter(F.col("n") > self.max_rows)
-                 .select(F.col(self.key).alias("_bkey"), F.col("_second").alias("_bsecond"),
-                         F.col("lo").cast("double").alias("_lo"),
-                         ((F.col("hi").cast("double") - F.col("lo").cast("double") + 1)
-                          / (F.ceil(F.col("n") / self.max_rows) * _CHUNKS)).alias("_width")))
+                 .select(F.col(self.key).alias("_bkey"), F.col("_bucket").alias("_bbucket"), lo.alias("_lo"),
+                         ((hi - lo + 1) / pieces).alias("_id_width"), (F.lit(float(self._grain)) / pieces).alias("_time_width"),
+                         (F.col("times") <= pieces).alias("_few_times")))
         rows = found.collect()
         return self._rows.sparkSession.createDataFrame(rows, found.schema) if rows else None
 
-    @staticmethod
-    def _second() -> Column:
-        return (F.floor(F.col("_at") / SECOND) * SECOND).cast("bigint")
+    def _bucket(self) -> Column:
+        return (F.floor(F.col("_at") / self._grain) * self._grain).cast("bigint")
 
     def _ticked(self, rows: DataFrame) -> DataFrame:
         """Add (_t, _sub): the grain a row is counted and cut on. Monotone in (time, id)."""
-        second = self._second()
+        bucket, zero = self._bucket(), F.lit(0).cast("bigint")
         if self._bursts is None:
-            return rows.withColumn("_t", second).withColumn("_sub", F.lit(0).cast("bigint"))
-        joined = rows.join(F.broadcast(self._bursts), (rows[self.key] == F.col("_bkey")) & (second == F.col("_bsecond")), "left")
-        burst = F.col("_width").isNotNull()
-        sub = F.lit(0).cast("bigint") if self._ties_together else F.floor((F.col("id").cast("double") - F.col("_lo")) / F.col("_width")).cast("bigint")
+            return rows.withColumn("_t", bucket).withColumn("_sub", zero)
+        joined = rows.join(F.broadcast(self._bursts), (rows[self.key] == F.col("_bkey")) & (bucket == F.col("_bbucket")), "left")
+        few = F.coalesce("_few_times", F.lit(False))
+        by_id = zero if self._ties_together else F.floor((F.col("id").cast("double") - F.col("_lo")) / F.col("_id_width"))
+        by_time = F.floor((F.col("_at") - bucket) / F.col("_time_width"))
         return joined.select(*[rows[c] for c in rows.columns],
-                             F.when(burst, F.col("_at")).otherwise(second).alias("_t"),
-                             F.coalesce(sub, F.lit(0).cast("bigint")).alias("_sub"))
+                             F.when(few, F.col("_at")).otherwise(bucket).alias("_t"),
+                             F.coalesce(F.when(few, by_id).otherwise(by_time).cast("bigint"), zero).alias("_sub"))
 
     def _ticks(self) -> DataFrame:
         key = self.key

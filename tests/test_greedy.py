@@ -79,3 +79,26 @@ def test_slices_are_bounded_even_when_all_rows_share_a_timestamp(spark):
     assert all(r.n == r.slice_rows <= 150 for r in hot) and len(hot) >= 7
     assert [r.slice_base for r in hot] == [r.lo for r in hot]
     assert all(a.hi < b.lo for a, b in zip(hot, hot[1:]))
+
+
+@pytest.mark.parametrize("ties", [False, True])
+@pytest.mark.parametrize("shape", ["spread", "few timestamps", "years"])
+def test_slices_of_any_shape_are_contiguous(spark, shape, ties, monkeypatch):
+    """Slices follow each other in (time, id), none much over the limit, ranks are global."""
+    from duskwatch.operators import hot_keys as hk
+    from pyspark.sql import functions as F
+    rng = random.Random(3)
+    at = {"spread": lambda: BASE + timedelta(microseconds=rng.randrange(3_000_000)),
+          "few timestamps": lambda: BASE + timedelta(seconds=rng.choice([0, 0, 0, 0, 1, 90])),
+          "years": lambda: BASE + timedelta(seconds=rng.randrange(9 * 365 * 86400))}[shape]
+    if shape == "years":
+        monkeypatch.setattr(hk, "_MAX_TICKS", 20)
+    rows = [(rng.randrange(-10**18, 10**18), "hot", at()) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "id long, src_ip string, event_time timestamp").withColumn("_at", hk.micros())
+    got = hk.KeySplit(df, "src_ip", 200, ties_together=ties).apply(df).groupBy("slice", "slice_base", "slice_rows").agg(
+        F.count("*").alias("n"), F.min(F.struct("event_time", "id")).alias("lo"),
+        F.max(F.struct("event_time", "id")).alias("hi")).orderBy("slice").collect()
+    assert sum(r.n for r in got) == 3000 and all(r.n == r.slice_rows for r in got)
+    assert all(tuple(a.hi) < tuple(b.lo) and a.slice_base + a.n == b.slice_base for a, b in zip(got, got[1:]))
+    if not (ties and shape == "few timestamps"):
+        assert max(r.n for r in got) <= 400 and len(got) >= 8

@@ -14,7 +14,7 @@ from duskwatch.functions.text import or_none, quoted_list
 from duskwatch.operators import geo
 from duskwatch.operators.alerts import ALERT_COLUMNS, alert_rows, with_group_ids
 from duskwatch.operators.greedy import threshold_windows
-from duskwatch.operators.hot_keys import KeySplit, micros
+from duskwatch.operators.hot_keys import KeySplit, hot_keys_of, micros
 from duskwatch.operators.intel import known_bad_ips, semi_join
 from duskwatch.settings import Settings
 
@@ -34,11 +34,19 @@ def off_hours(settings: Settings):
     return (hour < settings.business_start_hour) | (hour >= settings.business_end_hour)
 
 
-def detect_brute_force(events: DataFrame, settings: Settings = Settings()) -> DataFrame:
+# Rules that keep a key's events in order: (key, rows). Their hot keys are measured before they are planned.
+KEYED_RULES = {
+    BRUTE_FORCE: ("src_ip", "event_type = 'login_failure' AND src_ip IS NOT NULL"),
+    TRAVEL: ("username", "event_type = 'login_success' AND src_ip IS NOT NULL AND username IS NOT NULL"),
+    MULTI_FAIL: ("username", "event_type IN ('login_failure', 'http_auth_failure') AND username IS NOT NULL"),
+}
+
+
+def detect_brute_force(events: DataFrame, settings: Settings = Settings(), hot: list | None = None) -> DataFrame:
     """Repeated login failures from one address within a short span."""
     k, minutes = settings.brute_force_threshold, settings.brute_force_minutes
-    failures = events.filter((F.col("event_type") == "login_failure") & F.col("src_ip").isNotNull())
-    found = threshold_windows(failures, "src_ip", k, minutes * MINUTE_US, ("username",), settings.max_rows_per_task)
+    failures = events.filter(KEYED_RULES[BRUTE_FORCE][1])
+    found = threshold_windows(failures, "src_ip", k, minutes * MINUTE_US, ("username",), settings.max_rows_per_task, hot)
     ip, users = F.col("src_ip"), F.array_sort(F.array_distinct(F.array_compact(F.col("members.username"))))
     return alert_rows(
         found, rule=BRUTE_FORCE, severity="high", src_ip=ip, username=F.col("members")[k - 1]["username"],
@@ -48,12 +56,12 @@ def detect_brute_force(events: DataFrame, settings: Settings = Settings()) -> Da
         event_ids=F.col("members.id"), detected_at=F.col("event_time"))
 
 
-def detect_multiple_failed_auth(events: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def detect_multiple_failed_auth(events: DataFrame, settings: Settings = Settings(), hot: list | None = None) -> DataFrame:
     """Repeated authentication failures of one account over all sources."""
     k, minutes = settings.multi_fail_threshold, settings.multi_fail_minutes
-    failures = events.filter(F.col("event_type").isin("login_failure", "http_auth_failure") & F.col("username").isNotNull())
+    failures = events.filter(KEYED_RULES[MULTI_FAIL][1])
     found = threshold_windows(failures, "username", k, minutes * MINUTE_US, ("src_ip", "source_type"),
-                              settings.max_rows_per_task)
+                              settings.max_rows_per_task, hot)
     user, sources = F.col("username"), F.array_sort(F.array_distinct(F.col("members.source_type")))
     return alert_rows(
         found, rule=MULTI_FAIL, severity="high", src_ip=F.col("members")[k - 1]["src_ip"], username=user,
@@ -63,15 +71,15 @@ def detect_multiple_failed_auth(events: DataFrame, settings: Settings = Settings
         event_ids=F.col("members.id"), detected_at=F.col("event_time"))
 
 
-def login_pairs(events: DataFrame, settings: Settings = Settings(), ranges: DataFrame | None = None) -> DataFrame:
+def login_pairs(events: DataFrame, settings: Settings = Settings(), ranges: DataFrame | None = None,
+                hot: list | None = None) -> DataFrame:
     """Every login with its immediate predecessor of the same user, both located.
 
     Adds ``geo``, ``previous`` (struct), ``seconds``, ``distance_km``, ``speed_kmh``.
     ``ranges`` is an optional geo feed; the built-in ranges need no join.
     """
-    logins = events.filter((F.col("event_type") == "login_success") & F.col("src_ip").isNotNull()
-                           & F.col("username").isNotNull())
-    split = KeySplit(logins, "username", settings.max_rows_per_task)
+    logins = events.filter(KEYED_RULES[TRAVEL][1])
+    split = KeySplit(logins, "username", settings.max_rows_per_task, hot=hot)
     logins = logins.select("username", "event_time", "id", "src_ip").withColumn("_at", micros())
     if ranges is None:
         logins = geo.locate(logins)
@@ -89,10 +97,10 @@ def login_pairs(events: DataFrame, settings: Settings = Settings(), ranges: Data
 
 
 def detect_impossible_travel(events: DataFrame, settings: Settings = Settings(),
-                             ranges: DataFrame | None = None) -> DataFrame:
+                             ranges: DataFrame | None = None, hot: list | None = None) -> DataFrame:
     """Consecutive logins of a user in two cities that no flight connects in time."""
     prev, here, user = F.col("previous"), F.col("geo"), F.col("username")
-    found = login_pairs(events, settings, ranges).filter(
+    found = login_pairs(events, settings, ranges, hot).filter(
         (prev["geo"]["city"] != here["city"]) & (F.col("speed_kmh") > settings.max_travel_kmh))
     speed = F.col("speed_kmh")
     speed_text = F.when(speed == float("inf"), F.lit("inf")).otherwise(F.format_number(F.bround(speed, 0), 0))
@@ -172,26 +180,35 @@ def detect_unusual_login_hours(events: DataFrame, settings: Settings = Settings(
         event_ids=F.array("id"), detected_at=F.col("event_time"))
 
 
-# Detectors run by run_all_rules, in order: (events, intel, settings) -> alerts. Extend with register_rule.
-RULES: dict[str, Callable[[DataFrame, DataFrame, Settings], DataFrame]] = {
-    BRUTE_FORCE: lambda events, intel, s: detect_brute_force(events, s),
-    TRAVEL: lambda events, intel, s: detect_impossible_travel(events, s),
-    SUSPICIOUS_IP: detect_suspicious_ip,
-    PRIVILEGE: lambda events, intel, s: detect_privilege_escalation(events, s),
-    OFF_HOURS: lambda events, intel, s: detect_unusual_login_hours(events, s),
-    MULTI_FAIL: lambda events, intel, s: detect_multiple_failed_auth(events, s),
+# Detectors run by run_all_rules, in order: (events, intel, settings, hot keys by rule) -> alerts.
+RULES: dict[str, Callable[..., DataFrame]] = {
+    BRUTE_FORCE: lambda events, intel, s, hot: detect_brute_force(events, s, hot.get(BRUTE_FORCE)),
+    TRAVEL: lambda events, intel, s, hot: detect_impossible_travel(events, s, hot=hot.get(TRAVEL)),
+    SUSPICIOUS_IP: lambda events, intel, s, hot: detect_suspicious_ip(events, intel, s),
+    PRIVILEGE: lambda events, intel, s, hot: detect_privilege_escalation(events, s),
+    OFF_HOURS: lambda events, intel, s, hot: detect_unusual_login_hours(events, s),
+    MULTI_FAIL: lambda events, intel, s, hot: detect_multiple_failed_auth(events, s, hot.get(MULTI_FAIL)),
 }
 
 
 def register_rule(name: str, detector: Callable[[DataFrame, DataFrame, Settings], DataFrame]) -> None:
-    RULES[name] = detector
+    """Add (or replace) a detector ``(events, intel, settings) -> alerts``."""
+    RULES[name] = lambda events, intel, s, hot: detector(events, intel, s)
 
 
 def run_all_rules(events: DataFrame, intel: DataFrame, settings: Settings = Settings(),
                   rules: list[str] | None = None) -> DataFrame:
-    """Alerts of all rules as one frame. Each rule scans only its event types and columns."""
-    parts = [RULES[name](events, intel, settings).select(*ALERT_COLUMNS) for name in (rules or RULES)]
-    return reduce(DataFrame.unionByName, parts)
+    """Alerts of all rules as one frame. Each rule scans only its event types and columns.
+
+    The hot keys of all rules are measured in one pass before any rule is planned.
+    """
+    names = list(rules or RULES)
+    keyed = {name: KEYED_RULES[name] for name in names if name in KEYED_RULES}
+    hot = {}
+    if keyed:
+        relevant = events.filter(" OR ".join(f"({condition})" for _, condition in keyed.values()))
+        hot = hot_keys_of(relevant, keyed, settings.max_rows_per_task)
+    return reduce(DataFrame.unionByName, [RULES[name](events, intel, settings, hot).select(*ALERT_COLUMNS) for name in names])
 
 
 def group_evidence(events: DataFrame, intel: DataFrame, settings: Settings = Settings(),

@@ -105,17 +105,18 @@ def _chain(k: int):
 
 
 def threshold_windows(events: DataFrame, key: str, threshold: int, span_us: int,
-                      carry: tuple[str, ...] = (), max_rows: int = 5_000_000) -> DataFrame:
+                      carry: tuple[str, ...] = (), max_rows: int = 5_000_000, hot: list | None = None) -> DataFrame:
     """One row per alert: ``key``, ``event_time`` and ``id`` of its last event, ``members``.
 
     ``members`` holds the k events in order, each with ``id``, ``event_time`` and the
-    ``carry`` columns. Ties in time are ordered by ``id``.
+    ``carry`` columns. Ties in time are ordered by ``id``. ``hot`` gives the hot keys
+    where they are known already.
     """
     if threshold < 1:
         raise ValueError("threshold must be at least 1")
     carry = [c for c in carry if c != key]
     keyed = events.filter(F.col(key).isNotNull())
-    split = KeySplit(keyed, key, max_rows)
+    split = KeySplit(keyed, key, max_rows, hot=hot)
     found = candidates(keyed, key, threshold, span_us, carry, split).select(
         key, "slice", "slice_base", "slice_rows", "rank", "event_time", "id", "members")
     schema = T.StructType(found.schema.fields + [T.StructField("entry_state", T.LongType())])

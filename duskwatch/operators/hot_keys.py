@@ -41,10 +41,16 @@ def hot_keys(df: DataFrame, key: str, max_rows: int) -> list:
 
     The sketch only decides how work is spread; no result depends on its estimates.
     """
-    found = (
-        df.agg(F.expr(f"approx_top_k({key}, {TRACKED}, {TRACKED})").alias("top"))
-        .select(F.inline("top")).filter(F.col("count") > max_rows).select("item").collect())
-    return [row[0] for row in found if row[0] is not None]
+    return hot_keys_of(df, {"only": (key, "true")}, max_rows)["only"]
+
+
+def hot_keys_of(df: DataFrame, wanted: dict[str, tuple[str, str]], max_rows: int) -> dict[str, list]:
+    """``hot_keys`` for several (key, row condition) pairs in one pass over ``df``."""
+    sketches = [F.expr(f"approx_top_k({key}, {TRACKED}, {TRACKED}) FILTER (WHERE {condition})").alias(name)
+                for name, (key, condition) in wanted.items()]
+    over = lambda name: F.transform(F.filter(name, lambda x: x["count"] > max_rows), lambda x: x["item"])
+    found = df.agg(*sketches).select(*[over(name).alias(name) for name in wanted]).first()
+    return {name: [v for v in found[name] or [] if v is not None] for name in wanted}
 
 
 class KeySplit:

@@ -153,3 +153,28 @@ def test_locate_by_feed_prefers_the_first_range(spark):
     ips = spark.createDataFrame([("10.1.2.3",), ("10.9.9.9",), ("11.0.0.1",), ("300.1.1.1",), ("::1",), ("01.2.3.4",)], "src_ip string")
     got = {r.src_ip: r.geo and r.geo.city for r in geo.locate_all(ips, ranges).collect()}
     assert got == {"10.1.2.3": "narrow", "10.9.9.9": "wide", "11.0.0.1": "rest", "300.1.1.1": None, "::1": None, "01.2.3.4": None}
+
+
+def test_all_rules_together_with_hot_keys(spark):
+    """run_all_rules measures hot keys once for all rules; results do not depend on where it cuts."""
+    import random
+    rng = random.Random(8)
+    rows = [{"event_time": BASE + timedelta(minutes=rng.randrange(2000)), "username": rng.choice(["hot"] * 4 + ["b", None]),
+             "src_ip": rng.choice(["203.0.113.9", "10.0.0.5", "203.0.113.9", "198.51.100.23", None]), "host": "h",
+             "event_type": rng.choice(["login_failure", "login_success", "http_auth_failure", "privilege_escalation"])} for _ in range(700)]
+    df, bad = events(spark, *rows), feed(spark, "203.0.113.9")
+    near = Settings(brute_force_minutes=60, multi_fail_threshold=4)
+    cut = Settings(brute_force_minutes=60, multi_fail_threshold=4, max_rows_per_task=15)
+    whole = sorted(map(str, detect.run_all_rules(df, bad, near).collect()))
+    assert sorted(map(str, detect.run_all_rules(df, bad, cut).collect())) == whole and len(whole) > 100
+    assert len({r.rule_name for r in detect.run_all_rules(df, bad, near).select("rule_name").collect()}) == 6
+
+
+def test_own_rule(spark):
+    df = events(spark, fail(0))
+    detect.register_rule("own", lambda e, intel, s: detect.detect_unusual_login_hours(
+        e.withColumn("event_type", detect.F.lit("login_success")), s))
+    try:
+        assert detect.run_all_rules(df, feed(spark), rules=["own"]).count() == 1
+    finally:
+        del detect.RULES["own"]

@@ -79,7 +79,8 @@ def _scores(spark, sf_dir) -> DataFrame:
 
 
 def _lines(spark, sf_dir) -> DataFrame:
-    return as_lines(_events(spark, sf_dir))
+    """The events as log lines, written out once: parsing is what its queries are about."""
+    return _once(spark, sf_dir, "lines", lambda: materialize(as_lines(_events(spark, sf_dir)), "lines"))
 
 
 def _log_files(spark, sf_dir) -> dict[str, str]:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from duskwatch.llm.batches import byte_slices, byte_texts
-from duskwatch.llm.tokens import WordTokens
+from duskwatch.llm.tokens import TEXT_BYTES, WordTokens
 from duskwatch.llm.tables import settle
 
 NODE_BUDGET = 20_000  # fillings tried by the search after the first incumbent; bounds the driver's work
@@ -188,7 +188,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> D
     """Every piece with chunk (the task that cut it) and nth (its number among the task's pieces of its length)."""
     def cut(batches):
         tokens, chunk, seen = WordTokens.shared(tokenizer), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for part in byte_slices(batches, "text"):
+        for part in byte_slices(batches, "text", TEXT_BYTES):
             ids, n_ids = tokens.encode(byte_texts(part, "text"), end_id)
             data, ends = ids.astype("<u4").tobytes(), np.cumsum(n_ids)
             pieces = -(-n_ids // capacity)

@@ -18,7 +18,7 @@ A file is a run of segments, each followed by one newline byte. A segment, all l
 
 Defined cases: a null text counts as empty and has the end id alone; a null doc_id comes first;
 rows that share a doc_id stay separate, ordered by their text; columns other than doc_id and text are
-left out; an empty table gives no rows. A text is never cut, so a segment holds about 4 MB of text or one
+left out; an empty table gives no rows. A text is never cut, so a segment holds about 2 MB of text or one
 document. A file must fit into one binary value (2 GB); ``spark.sql.shuffle.partitions`` sets how many there are.
 """
 
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from duskwatch.llm import simple8b
 from duskwatch.llm.batches import byte_slices, byte_texts
-from duskwatch.llm.tokens import WordTokens
+from duskwatch.llm.tokens import TEXT_BYTES, WordTokens
 from duskwatch.llm.tables import settle
 from duskwatch.session import new_scratch
 
@@ -78,7 +78,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int) -
     """Write ``docs`` (doc_id, text) to ``path``; ``tokenizer`` is a file of the tokenizers library."""
     def encode(batches):
         tokens, shard = WordTokens.shared(tokenizer), TaskContext.get().partitionId()
-        for number, part in enumerate(byte_slices(batches, "text")):
+        for number, part in enumerate(byte_slices(batches, "text", TEXT_BYTES)):
             ids, n_ids = tokens.encode(byte_texts(part, "text"), end_id)
             segment = pack_segment(shard, number, part.column("doc_id").to_pylist(), n_ids, ids)
             yield pa.RecordBatch.from_arrays([pa.array([segment], pa.binary())], ["segment"])

@@ -12,17 +12,26 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from itertools import repeat
 
 import numpy as np
 
 from duskwatch.llm.batches import worker_cache
 
-CACHE_WORDS = 1_200_000
+CACHE_WORDS = 800_000
 LONG_PIECE = 200
+TEXT_BYTES = 2 << 20  # text encoded at a time
 # Punctuation after an ASCII letter or digit is a token run of its own. An apostrophe may begin a
 # contraction, and <, |, > occur in special tokens, so those are left in place.
 TAIL = re.compile(rb"(.*[A-Za-z0-9])([!-&(-;=?@\[-`{}~]+)", re.S)
 
+# Letters that are one character before and after the tokenizer's normal form, and no part of another: words of
+# these alone are one word of the tokenizer, which its model takes as it is, in its characters for bytes.
+LETTERS = re.compile("[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u017F]+")
+_SELF = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_CHARS = dict(zip(_SELF, map(chr, _SELF))) | {
+    b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _SELF)}
+
 
 class WordTokens:
     """Encodes texts to ids; keeps the ids of pieces it has seen."""
@@ -57,7 +66,7 @@ class WordTokens:
         return self.flat[self.starts[code]:self.starts[code] + self.lengths[code]]
 
     def _learn(self, pieces: set[bytes]) -> None:
-        """Give every new piece a code: letters-only words in one call, the rest one by one."""
+        """Give every new piece a code."""
         cut, bare = [], set()
         for piece in pieces:
             found = TAIL.fullmatch(piece)
@@ -67,18 +76,14 @@ class WordTokens:
             else:
                 bare.add(piece)
         bare = [p for p in bare if p not in self.codes]
-        letters = [p for p in bare if p.isalpha()]  # ASCII letters: one word of the tokenizer each
-        if letters:
-            found = self.tokenizer.encode(b" ".join(letters).decode(), add_special_tokens=False)
-            ids, owner = np.asarray(found.ids, np.int64), np.asarray(found.word_ids, np.int64)
-            ends = np.searchsorted(owner, np.arange(len(letters)), side="right").tolist()
-            ids, begin = ids.tolist(), 0
-            for piece, end in zip(letters, ends):
-                self._add(piece, ids[begin:end])
-                begin = end
+        tokenize = self.tokenizer.model.tokenize
         for piece in bare:
-            if piece not in self.codes:
-                self._add(piece, self.encode_plain(piece))
+            if piece.isalpha():  # ASCII letters
+                word = piece.lower().decode()
+            else:
+                text = piece.decode("utf-8", "replace")
+                word = "".join(map(BYTE_CHARS.__getitem__, text.lower().encode())) if LETTERS.fullmatch(text) else None
+            self._add(piece, self.encode_plain(piece) if word is None else [t.id for t in tokenize(word)])
         for piece, head, tail in cut:
             self._add(piece, self._ids(self.codes[head]) + self._ids(self.codes[tail]))
 
@@ -98,13 +103,15 @@ class WordTokens:
             own = plain.split()
             words += own
             counts.append(len(own))
-        seen = set(words)
-        long = {w: self.encode_plain(w) for w in seen if len(w) > LONG_PIECE and w not in self.codes}
-        self._learn({w for w in seen if w not in self.codes and w not in long})
+        codes = np.fromiter(map(self.codes.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(codes < 0)
+        new = {words[k] for k in unknown.tolist()}
+        long = {w: self.encode_plain(w) for w in new if len(w) > LONG_PIECE}
+        self._learn(new - long.keys())
         known = len(self.starts)
         for w, ids in long.items():
             self._add(w, ids)
-        codes = np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
+        codes[unknown] = [self.codes[words[k]] for k in unknown.tolist()]
         starts, lengths = np.array(self.starts, np.int64), np.array(self.lengths, np.int64)
         flat = np.array(self.flat, np.uint32)
         if long:  # not kept: they hardly ever repeat

@@ -156,4 +156,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, slice
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """The documents, all columns, that hold no window of the benchmark."""
     marked = mark_documents(fold(docs, "text").withColumn("text", F.col("text").cast("string")), benchmark, window)
-    return unfold(marked.where(F.size("_hit_starts") == 0), docs.columns)
+    return unfold(marked.where(F.size("_hit_starts") == 0), docs.columns, "text")

@@ -125,7 +125,7 @@ def grow_rules(x: np.ndarray, y: np.ndarray) -> list[Rule]:
 def fit(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps: int = 400) -> RuleModel:
     """Lasso logistic weights of the grown rules by accelerated proximal gradient steps."""
     share = float(y.mean()) if len(y) else 0.5
-    if not 0 < share < 1:
+    if not len(y) or not 0 < share < 1:
         share = min(max(share, 1e-6), 1 - 1e-6)
         return RuleModel(float(np.log(share / (1 - share))), ())
     rules = grow_rules(x, y)
@@ -183,4 +183,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_ro
     """The documents, all columns, whose score reaches the threshold."""
     model = train(docs, labels, max_rows)
     folded = fold(docs, "text").withColumn("text", F.col("text").cast("string"))
-    return unfold(with_statistics(folded).where(model.column() >= threshold), docs.columns)
+    return unfold(with_statistics(folded).where(model.column() >= threshold), docs.columns, "text")

@@ -123,4 +123,4 @@ def keep_one(docs: DataFrame, shingle: int = 3) -> DataFrame:
     gone = _labelled(docs.where("doc_id is not null"), shingle).where("doc_id != component_id").select(
         F.col("doc_id").alias("_gone"), F.col("key").alias("_gone_key")).distinct()
     kept = fold(docs, "doc_id", "text").join(gone, (F.col("doc_id") == F.col("_gone")) & (text_key() == F.col("_gone_key")), "left_anti")
-    return unfold(kept, docs.columns)
+    return unfold(kept, docs.columns, "doc_id", "text")

@@ -222,4 +222,4 @@ def remove_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
     if "n_chars" in docs.columns:
         new = F.length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(F.size("_starts") > 0, new).otherwise(F.col("n_chars")))
-    return unfold(out, docs.columns)
+    return unfold(out, docs.columns, "doc_id", "text", "n_chars")

@@ -31,6 +31,6 @@ def fold(docs: DataFrame, *needed: str) -> DataFrame:
                        F.struct(F.lit(None).cast("int").alias("_none"), *rest).alias("_row"))
 
 
-def unfold(df: DataFrame, columns: list[str]) -> DataFrame:
-    """The columns of the table before ``fold``, in its order; what an operator added is left out."""
-    return df.select(*[F.col(c) if c in df.columns else F.col("_row").getField(c).alias(c) for c in columns])
+def unfold(df: DataFrame, columns: list[str], *needed: str) -> DataFrame:
+    """The columns of the table before ``fold`` by ``needed``, in its order; what an operator added is left out."""
+    return df.select(*[F.col(c) if c in needed else F.col("_row").getField(c).alias(c) for c in columns])

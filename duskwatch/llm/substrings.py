@@ -28,9 +28,10 @@ from pyspark.sql.types import StructType
 
 from duskwatch.llm.batches import byte_slices, byte_texts, plain_words
 from duskwatch.llm.simhash import text_key
-from duskwatch.llm.tables import fold, settle, unfold
+from duskwatch.llm.tables import fold, release, settle, unfold
 
 GRAM = 4
+_HASHES = np.dtype([("w1", "<i8"), ("w2", "<i4")])  # 96 bits of a block
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 # Odd multipliers of the rolling hashes and of the final mix.
 _STEP = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
@@ -103,7 +104,11 @@ def _anchors(docs: DataFrame, window: int, gram: int) -> DataFrame:
 
 
 def _blocks(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """The index: blocks (w1, w2) of shared anchors with doc_id, key and start. ``docs`` has the shared anchors as ``anchors``."""
+    """Groups of blocks in a row that have one shared anchor, with doc_id, key, first start and how many they are.
+
+    The outer two blocks hold all words of a group, so their hashes name it (g1, g2, n). ``hashes`` has 12 bytes for each block.
+    ``docs`` has the shared anchors as ``anchors``.
+    """
     def run(batches):
         for part in byte_slices(batches, "text"):
             parsed, shared = Parsed(byte_texts(part, "text"), window, gram), part.column("anchors")
@@ -112,13 +117,41 @@ def _blocks(docs: DataFrame, window: int, gram: int) -> DataFrame:
             known = np.rec.fromarrays([owner, shared.flatten().to_numpy(zero_copy_only=False)], names="t,a")
             mine = np.rec.fromarrays([parsed.text, parsed.anchor.view(np.int64)], names="t,a")
             rows = np.flatnonzero(_in(mine, known))
+            if not len(rows):
+                continue
             w1, w2 = parsed.window_hashes(rows)
-            text = pa.array(parsed.text[rows])
+            both = np.empty(len(rows), _HASHES)
+            both["w1"], both["w2"] = w1, w2
+            cut = np.flatnonzero((np.diff(parsed.anchor_at[rows]) != 0) | (np.diff(parsed.text[rows]) != 0)) + 1
+            begin, end = np.concatenate([[0], cut]), np.concatenate([cut, [len(rows)]])
+            data, step = both.tobytes(), _HASHES.itemsize
+            text = pa.array(parsed.text[rows[begin]])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(w1), pa.array(w2), part.column("doc_id").take(text), part.column("key").take(text),
-                 pa.array(parsed.start[rows].astype(np.int32))], ["w1", "w2", "doc_id", "key", "start"])
+                [pa.array(w1[begin]), pa.array(w1[end - 1] ^ w2[end - 1]), pa.array((end - begin).astype(np.int32)),
+                 part.column("doc_id").take(text), part.column("key").take(text), pa.array(parsed.start[rows[begin]].astype(np.int32)),
+                 pa.array([data[i * step:j * step] for i, j in zip(begin.tolist(), end.tolist())], pa.binary())],
+                ["g1", "g2", "n", "doc_id", "key", "start", "hashes"])
+
+    return docs.mapInArrow(run, "g1 bigint, g2 bigint, n int, doc_id bigint, key bigint, start int, hashes binary")
 
-    return docs.mapInArrow(run, "w1 bigint, w2 int, doc_id bigint, key bigint, start int")
+
+def _single_blocks(groups: DataFrame) -> DataFrame:
+    """One row per block (w1, w2) of the groups."""
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            n = batch.column("n").to_numpy()
+            both = np.frombuffer(b"".join(batch.column("hashes").to_pylist()), _HASHES)
+            owner = pa.array(np.repeat(np.arange(len(n)), n))
+            step = np.arange(len(both)) - np.repeat(np.cumsum(n) - n, n)
+            start = np.repeat(batch.column("start").to_numpy(), n) + step
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(both["w1"].copy()), pa.array(both["w2"].copy()), batch.column("doc_id").take(owner),
+                 batch.column("key").take(owner), pa.array(start.astype(np.int32))], ["w1", "w2", "doc_id", "key", "start"])
+
+    return groups.select("n", "doc_id", "key", "start", "hashes").mapInArrow(
+        run, "w1 bigint, w2 int, doc_id bigint, key bigint, start int")
 
 
 def _in(mine: np.recarray, known: np.recarray) -> np.ndarray:
@@ -147,7 +180,11 @@ def factor(starts: np.ndarray, sources: np.ndarray, window: int) -> list[tuple[i
 
 
 def add_factors(docs: DataFrame, window: int = 13, gram: int = GRAM) -> DataFrame:
-    """``docs`` (doc_id, text, ...) with ``_starts`` and ``_sources``: blocks that an earlier document holds, and the earliest that does."""
+    """``docs`` (doc_id, text, ...) with ``_starts``, ``_runs`` and ``_sources``: runs of blocks that an earlier document holds, and one that does.
+
+    Groups of blocks that are equal as a whole are settled first, which takes all copies but the first out of the way. The first of
+    each may still share single blocks with an earlier document; those are looked up one by one.
+    """
     gram = min(gram, window)
     base = docs.select(F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                        text_key().alias("key")).where("doc_id is not null")
@@ -155,35 +192,49 @@ def add_factors(docs: DataFrame, window: int = 13, gram: int = GRAM) -> DataFram
     shared = settle(anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor"),
                     "anchors")
     per_doc = settle(anchors.join(shared, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors")), "anchors")
-    blocks = settle(_blocks(base.join(per_doc, "doc_id"), window, gram), "blocks")
-    first = blocks.groupBy("w1", "w2").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last")).where("source < last")
-    hits = settle(blocks.join(first.drop("last"), ["w1", "w2"]).where("doc_id > source")
-                  .groupBy(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"))
-                  .agg(F.sort_array(F.collect_set(F.struct("start", "source"))).alias("_hits")), "factors")
+    groups = settle(_blocks(base.join(per_doc, "doc_id"), window, gram), "blocks")
+    first = groups.groupBy("g1", "g2", "n").agg(F.min("doc_id").alias("source"))
+    new = F.col("doc_id") == F.col("source")
+    known = settle(groups.join(first, ["g1", "g2", "n"]).select(
+        "n", "doc_id", "key", "start", "source", F.when(new, F.col("hashes")).alias("hashes")), "groups")
+    release(groups)
+    single = _single_blocks(known.where("hashes is not null"))
+    earliest = single.groupBy("w1", "w2").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last")).where("source < last").drop("last")
+    singles = single.join(earliest, ["w1", "w2"]).where("doc_id > source").select("doc_id", "key", "start", F.lit(1).alias("n"), "source")
+    wholes = known.where("hashes is null").select("doc_id", "key", "start", "n", "source")
+    hits = settle(singles.unionAll(wholes).groupBy(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"))
+                  .agg(F.sort_array(F.collect_set(F.struct("start", "n", "source"))).alias("_hits")), "factors")
     return (docs.join(hits, (F.col("doc_id") == F.col("_doc")) & (text_key() == F.col("_key")), "left")
             .withColumn("_starts", F.coalesce(F.col("_hits.start"), F.array().cast("array<int>")))
+            .withColumn("_runs", F.coalesce(F.col("_hits.n"), F.array().cast("array<int>")))
             .withColumn("_sources", F.coalesce(F.col("_hits.source"), F.array().cast("array<bigint>"))).drop("_doc", "_key", "_hits"))
 
 
-def _kept(n: int, starts: np.ndarray, sources: np.ndarray, window: int) -> np.ndarray:
+def _kept(n: int, runs: tuple[list[int], list[int], list[int]], window: int) -> np.ndarray:
+    """Which of ``n`` words stay, given (starts, runs, sources) of the blocks that are repeats."""
+    starts, counts, sources = (np.array(x, np.int64) for x in runs)
+    step = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
     covered = np.zeros(n + 1, np.int64)
-    for at, length, _ in factor(starts, sources, window):
+    for at, length, _ in factor(np.repeat(starts, counts) + step, np.repeat(sources, counts), window):
         covered[at] += 1
         covered[at + length] -= 1
     return np.cumsum(covered)[:n] == 0
 
 
+def _runs_of(part: pa.RecordBatch) -> list[tuple[list[int], list[int], list[int]]]:
+    return list(zip(*(part.column(c).to_pylist() for c in ("_starts", "_runs", "_sources"))))
+
+
 def repeated_words(docs: DataFrame, window: int = 13) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (of the words that stay, joined by blanks)."""
     def digest(batches):
         for part in byte_slices(batches, "text"):
             rows = []
-            spans = zip(part.column("_starts").to_pylist(), part.column("_sources").to_pylist())
-            for text, (starts, sources) in zip(byte_texts(part, "text"), spans):
+            for text, runs in zip(byte_texts(part, "text"), _runs_of(part)):
                 words = plain_words(text)
                 n = len(words)
-                if starts:
-                    keep = _kept(n, np.array(starts), np.array(sources), window)
+                if runs[0]:
+                    keep = _kept(n, runs, window)
                     words = [w for w, k in zip(words, keep.tolist()) if k]
                 rows.append((n, n - len(words), hashlib.sha256(b" ".join(words)).hexdigest()))
             n, gone, sha = zip(*rows)
@@ -194,10 +245,10 @@ def repeated_words(docs: DataFrame, window: int = 13) -> DataFrame:
     return add_factors(narrow, window).mapInArrow(digest, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
 
 
-def cut_text(text: bytes, starts: list[int], sources: list[int], window: int) -> bytes:
+def cut_text(text: bytes, runs: tuple[list[int], list[int], list[int]], window: int) -> bytes:
     """``text`` without the words of its factors: kept stretches as they are, joined by one blank."""
     places = [m.span() for m in _WORD.finditer(text)]
-    keep = _kept(len(places), np.array(starts), np.array(sources), window)
+    keep = _kept(len(places), runs, window)
     edges = np.flatnonzero(np.diff(np.concatenate([[0], keep.astype(np.int8), [0]]))).reshape(-1, 2)
     return b" ".join(text[places[a][0]:places[b - 1][1]] for a, b in edges.tolist())
 
@@ -210,9 +261,9 @@ def remove_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
     def cut(batches):
         for part in byte_slices(batches, "text"):
             texts = part.column("text").to_pylist()
-            for row, (starts, sources) in enumerate(zip(part.column("_starts").to_pylist(), part.column("_sources").to_pylist())):
-                if starts:
-                    texts[row] = cut_text(texts[row].encode(), starts, sources, window).decode()
+            for row, runs in enumerate(_runs_of(part)):
+                if runs[0]:
+                    texts[row] = cut_text(texts[row].encode(), runs, window).decode()
             at = part.schema.names.index("text")
             columns = [pa.array(texts, pa.string()) if i == at else part.column(i) for i in range(part.num_columns)]
             yield pa.RecordBatch.from_arrays(columns, part.schema.names)

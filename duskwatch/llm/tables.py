@@ -7,7 +7,7 @@ import gc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duskwatch.session import materialize
+from duskwatch.session import delete_path, materialize
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
@@ -24,6 +24,12 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def release(df: DataFrame) -> None:
+    """Delete the files of a settled table that no later step reads."""
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        delete_path(df.sparkSession, folder)
+
+
 def fold(docs: DataFrame, *needed: str) -> DataFrame:
     """``needed`` columns as they are and all others inside one struct ``_row``, where their names clash with nothing."""
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in needed]

@@ -108,7 +108,7 @@ def test_cut_texts_keep_the_rest_as_it_is(spark):
     assert got[2]["text"] == "kept  as\nit is and  this" and got[2]["n_chars"] == len(got[2]["text"])
     assert (got[2]["_starts"], got[2]["_row"]) == (7, 8)
     factors = {r["doc_id"]: r for r in add_factors(docs.select("doc_id", "text")).collect()}
-    assert factors[3]["_sources"] == [1] * 8
+    assert set(factors[3]["_sources"]) == {1} and sum(factors[3]["_runs"]) == 8
 
 
 def unlinked(rows, threshold=0.93):

@@ -192,18 +192,23 @@ def add_factors(docs: DataFrame, window: int = 13, gram: int = GRAM) -> DataFram
     shared = settle(anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor"),
                     "anchors")
     per_doc = settle(anchors.join(shared, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors")), "anchors")
+    release(shared)
     groups = settle(_blocks(base.join(per_doc, "doc_id"), window, gram), "blocks")
+    release(per_doc)
     first = groups.groupBy("g1", "g2", "n").agg(F.min("doc_id").alias("source"))
     new = F.col("doc_id") == F.col("source")
     known = settle(groups.join(first, ["g1", "g2", "n"]).select(
         "n", "doc_id", "key", "start", "source", F.when(new, F.col("hashes")).alias("hashes")), "groups")
     release(groups)
     single = _single_blocks(known.where("hashes is not null"))
-    earliest = single.groupBy("w1", "w2").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last")).where("source < last").drop("last")
+    earliest = settle(single.groupBy("w1", "w2").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last"))
+                      .where("source < last").drop("last"), "earliest")
     singles = single.join(earliest, ["w1", "w2"]).where("doc_id > source").select("doc_id", "key", "start", F.lit(1).alias("n"), "source")
     wholes = known.where("hashes is null").select("doc_id", "key", "start", "n", "source")
     hits = settle(singles.unionAll(wholes).groupBy(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"))
                   .agg(F.sort_array(F.collect_set(F.struct("start", "n", "source"))).alias("_hits")), "factors")
+    release(known)
+    release(earliest)
     return (docs.join(hits, (F.col("doc_id") == F.col("_doc")) & (text_key() == F.col("_key")), "left")
             .withColumn("_starts", F.coalesce(F.col("_hits.start"), F.array().cast("array<int>")))
             .withColumn("_runs", F.coalesce(F.col("_hits.n"), F.array().cast("array<int>")))

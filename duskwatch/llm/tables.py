@@ -19,8 +19,9 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     out = materialize(df, label)
     del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # what the first pass lets go of names the shuffles that the second one finds
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
     return out
 
 

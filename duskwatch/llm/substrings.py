@@ -195,11 +195,13 @@ def add_factors(docs: DataFrame, window: int = 13, gram: int = GRAM) -> DataFram
     release(shared)
     groups = settle(_blocks(base.join(per_doc, "doc_id"), window, gram), "blocks")
     release(per_doc)
-    first = groups.groupBy("g1", "g2", "n").agg(F.min("doc_id").alias("source"))
+    # written, so that both sides of the join are plain shuffles and AQE can split a group that many documents share
+    first = settle(groups.groupBy("g1", "g2", "n").agg(F.min("doc_id").alias("source")), "first")
     new = F.col("doc_id") == F.col("source")
     known = settle(groups.join(first, ["g1", "g2", "n"]).select(
         "n", "doc_id", "key", "start", "source", F.when(new, F.col("hashes")).alias("hashes")), "groups")
     release(groups)
+    release(first)
     single = _single_blocks(known.where("hashes is not null"))
     earliest = settle(single.groupBy("w1", "w2").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last"))
                       .where("source < last").drop("last"), "earliest")

@@ -372,10 +372,7 @@ ORACLES = {
     "m1_features": _M1_SQL,
 
     "t1_stream_normalise": _P + f"SELECT {_EVENT_COLS} FROM stored WHERE source_type = 'windows_auth'",
-    # buckets the watermark has closed: a day behind the newest failure
-    "t2_stream_failure_counts": _with(EV, f"b AS ({_BUCKETS})", """wm AS (SELECT max(event_time) - INTERVAL 24 HOUR AS w FROM ev
-        WHERE source_type IN ('windows_auth', 'linux_ssh') AND event_type = 'login_failure' AND src_ip IS NOT NULL)""")
-        + f"SELECT src_ip, {_t('bucket')} AS bucket, count FROM b, wm WHERE b.bucket + INTERVAL 5 MINUTE <= w",
+    "t2_stream_failure_counts": _with(EV, f"b AS ({_BUCKETS})") + f"SELECT src_ip, {_t('bucket')} AS bucket, count FROM b",
     "t3_stream_brute_force": _D1_SQL,
     "t4_stream_off_hours": _D5_SQL,
     "t4_stream_intel_match": _with(EV, FEED) + _HITS,

@@ -8,7 +8,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _OCTET = r"(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_QUAD = rf"{_OCTET}(?:\.{_OCTET}){{3}}"
 IPV4 = rf"^{_OCTET}(\.{_OCTET}){{3}}$"
+_HEX = "[0-9A-Fa-f]"
+# Eight groups, or fewer around one "::"; the last two may be a dotted quad; a zone may follow.
+IPV6 = (r"^(?!.*::.*::)(?!.*:::)(?!:[^:])(?!.*[^:]:(?:%|$))(?:"
+        rf"(?:{_HEX}{{1,4}}:){{7}}{_HEX}{{1,4}}|(?:{_HEX}{{1,4}}:){{6}}{_QUAD}|"
+        rf"(?=.*::)(?:{_HEX}{{0,4}}:){{2,7}}(?:{_HEX}{{0,4}}|{_QUAD}))(?:%[0-9A-Za-z]+)?$")
 
 EARTH_RADIUS_KM = 6371.0  # fixed value
 
@@ -18,8 +24,8 @@ def is_ipv4(ip: Column) -> Column:
 
 
 def looks_like_ip(ip: Column) -> Column:
-    """IPv4, or text made of hex digits and at least two colons (IPv6)."""
-    return is_ipv4(ip) | ip.rlike(r"^[0-9A-Fa-f.]*:[0-9A-Fa-f:.]*:[0-9A-Fa-f:.%a-z0-9]*$")
+    """An IPv4 or IPv6 address."""
+    return is_ipv4(ip) | ip.rlike(IPV6)
 
 
 def ipv4_number(ip: Column) -> Column:

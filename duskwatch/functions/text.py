@@ -1,4 +1,4 @@
-"""Regex capture with NULL (not '') on no match, and display formats."""
+"""Display formats."""
 
 from __future__ import annotations
 
@@ -6,11 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def capture(text: Column, pattern: str, group: int, matched: Column) -> Column:
-    """Group ``group`` of ``pattern`` where ``matched`` holds, else NULL."""
-    return F.when(matched, F.regexp_extract(text, pattern, group))
-
-
 def quoted_list(values: Column) -> Column:
     """``['a', 'b']`` from an array of strings."""
     return F.concat(F.lit("["), F.array_join(F.transform(values, lambda v: F.concat(F.lit("'"), v, F.lit("'"))), ", "), F.lit("]"))

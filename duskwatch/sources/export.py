@@ -39,5 +39,6 @@ def alert_envelopes(alerts: DataFrame, index: str = "siem") -> DataFrame:
 
 
 def write_envelopes(envelopes: DataFrame, path: str, records_per_file: int = 1_000_000) -> None:
-    """Text files a forwarder can post as they are; the file size takes the place of request batching."""
-    envelopes.write.option("maxRecordsPerFile", records_per_file).text(path)
+    """Text files a forwarder can post as they are; the file size takes the place of request batching.
+    A later export to the same path takes its place."""
+    envelopes.write.mode("overwrite").option("maxRecordsPerFile", records_per_file).text(path)

@@ -48,7 +48,8 @@ def stream_event_table(spark: SparkSession, folder: str, **options) -> DataFrame
 
 
 def failure_counts(events: DataFrame, at_least: int = 5, bucket: str = "5 minutes", lateness: str = LATENESS) -> DataFrame:
-    """Login failures per address and tumbling bucket, sent once a bucket can no longer change."""
+    """Login failures per address and tumbling bucket. In append mode a bucket is sent once it can no longer change;
+    ``count_sink`` takes every change, so that the newest buckets are not missing."""
     return (events.filter(F.col("source_type").isin("windows_auth", "linux_ssh") & (F.col("event_type") == "login_failure")
                           & F.col("src_ip").isNotNull())
             .withWatermark("event_time", lateness)
@@ -57,6 +58,23 @@ def failure_counts(events: DataFrame, at_least: int = 5, bucket: str = "5 minute
             .select("src_ip", F.col("w.start").alias("bucket"), "count"))
 
 
+_COUNTS = "src_ip string, bucket timestamp, count bigint"
+
+
+def count_sink(counts: DataFrame, folder: str, checkpoint: str, trigger: dict | None = None):
+    """Keep the changed buckets of every micro-batch in a folder of its own; a replayed batch takes its place."""
+    counts.sparkSession.createDataFrame([], _COUNTS).write.mode("overwrite").parquet(f"{folder}/batch=-1")
+    return (counts.writeStream.outputMode("update")
+            .foreachBatch(lambda df, batch: df.write.mode("overwrite").parquet(f"{folder}/batch={batch}"))
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
+
+
+def latest_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Every bucket of a ``count_sink`` with its last count; counts only grow, so that is the largest."""
+    return (spark.read.schema(f"{_COUNTS}, batch bigint").parquet(folder)
+            .groupBy("src_ip", "bucket").agg(F.max("count").alias("count")))
+
+
 def off_hours_alerts(events: DataFrame, settings: Settings = Settings()) -> DataFrame:
     return detect_unusual_login_hours(events, settings)
 
@@ -66,14 +84,13 @@ def intel_matches(events: DataFrame, intel: DataFrame, settings: Settings = Sett
     return intel_hits(events, intel, settings)
 
 
-def alert_sink(alerts: DataFrame, store: Store, checkpoint: str, lateness: str = LATENESS, trigger: dict | None = None):
-    """Store a stream of alerts, each once.
+def alert_sink(alerts: DataFrame, store: Store, checkpoint: str, trigger: dict | None = None):
+    """Store a stream of alerts, each once, however late they come.
 
-    Repeats inside the watermark go without touching storage; the anti join of the batch
-    sink catches the rest and makes a replayed micro-batch add nothing.
+    The anti join of the batch sink drops repeats and makes a replayed micro-batch add nothing; no watermark
+    is involved, so an alert on an old event is stored like any other.
     """
-    once = alerts.withWatermark("detected_at", lateness).dropDuplicatesWithinWatermark(["alert_id"])
-    return (once.select(*ALERT_COLUMNS).writeStream.foreachBatch(lambda df, _id: store.persist_alerts(df) and None)
+    return (alerts.select(*ALERT_COLUMNS).writeStream.foreachBatch(lambda df, _id: store.persist_alerts(df) and None)
             .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
 
 

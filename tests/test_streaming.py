@@ -75,9 +75,12 @@ def test_counts_and_stateless_rules(spark, arriving, tmp_path):
         return spark.table(name)
     stream = lambda: pipelines.stream_event_table(spark, folder, maxFilesPerTrigger=2)
     got = drain(pipelines.failure_counts(stream(), 2, "1 hour", "37 hours"), "counts")
+    kept = str(tmp_path / "kept")
+    pipelines.count_sink(pipelines.failure_counts(stream(), 2, "1 hour", "37 hours"), kept, str(tmp_path / "kept-ck")).awaitTermination()
     want = {tuple(r) for r in searches.brute_force_buckets(all_events, 2, "1 hour").select("src_ip", "bucket", "count").collect()}
     got = {tuple(r) for r in got.collect()}
     assert got and got <= want  # buckets younger than the watermark are still open
+    assert {tuple(r) for r in pipelines.latest_counts(spark, kept).collect()} == want
     assert all(w in got for w in want if w[1] < BASE + timedelta(hours=30))
     intel = spark.createDataFrame([("203.0.113.9", "x", 1, "y")], INTEL)
     hits = drain(pipelines.intel_matches(stream(), intel).select("id"), "hits")

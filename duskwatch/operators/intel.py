@@ -54,10 +54,12 @@ def enrich(events: DataFrame, intel: DataFrame, settings: Settings = Settings())
 def upsert(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     """Keyed upsert: the last incoming row of an address replaces it, ``added_at`` stays the oldest.
 
-    ``incoming`` carries ``added_at`` and ``pos`` (its order). One partial aggregate,
+    ``incoming`` carries ``added_at`` and ``pos`` (its order: file, block, row). One partial aggregate,
     so repeats of one address never meet in one task unreduced.
     """
-    both = stored.withColumn("pos", F.lit(-1).cast("bigint")).unionByName(incoming)
+    before = F.lit(-1).cast("bigint")
+    first = F.struct(F.lit("").alias("feed_file"), before.alias("feed_block"), before.alias("row"))  # before every feed row
+    both = stored.withColumn("pos", first).unionByName(incoming)
     latest = F.max_by(F.struct("category", "confidence", "source"), "pos")
     # a stored row keeps its stamp; among new rows the first one inserts
     added = F.min_by("added_at", "pos")

@@ -69,7 +69,7 @@ def run_detection(store: Store, settings: Settings = Settings(), feed_path: str
     """Load the feed, run every rule over the stored events, store what is new; returns how many."""
     prepare(store.spark)
     if feed_path:
-        store.upsert_intel(read_feed(store.spark, feed_path))
+        store.upsert_intel(read_feed(store.spark, feed_path, with_place=True))
     events, intel = store.events(since), store.intel.read()
     written = store.persist_alerts(detect.run_all_rules(events, intel, settings))
     store.persist_evidence(detect.group_evidence(events, intel, settings, above=settings.max_inline_ids))

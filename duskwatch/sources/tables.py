@@ -110,10 +110,16 @@ class Store:
     # ---- threat feed: upsert by address
 
     def upsert_intel(self, feed: DataFrame, added_at: datetime | None = None) -> int:
-        """Insert or update the feed's rows in order; returns how many rows the feed had."""
+        """Insert or update the feed's rows in order; returns how many rows the feed had.
+
+        A feed read ``with_place`` is ordered by file name, then by place in the file; of any other the row order counts.
+        """
         stamp = F.lit(added_at).cast("timestamp") if added_at else F.current_timestamp()
-        incoming = (feed.select("ip", "category", "confidence", "source", stamp.alias("added_at"))
-                    .withColumn("pos", F.monotonically_increasing_id()))
+        placed = "feed_file" in feed.columns
+        place = [F.col("feed_file"), F.col("feed_block")] if placed else [F.lit("").alias("feed_file"), F.lit(0).cast("bigint").alias("feed_block")]
+        incoming = (feed.select("ip", "category", "confidence", "source", stamp.alias("added_at"), *place)
+                    .withColumn("pos", F.struct("feed_file", "feed_block", F.monotonically_increasing_id().alias("row")))
+                    .drop("feed_file", "feed_block"))
         incoming = materialize(incoming, "feed")
         self.intel.replace(upsert(self.intel.read(), incoming))
         return incoming.count()

@@ -180,9 +180,13 @@ def _al(*rules: str, ev: str = EV) -> str:
 ALL = _al("D1", "D2", "D3", "D4", "D5", "D6")
 
 
+# The two rules that report a whole group keep their ids in the evidence table (d8_evidence) only.
+_IDS = "CASE WHEN rule_name NOT IN ('suspicious_ip_threat_intel', 'privilege_escalation') THEN event_ids END"
+
+
 def _alert_cols(description: bool = True) -> str:
     return ("rule_name, severity, src_ip, username, title, " + ("description, " if description else "")
-            + "risk_score, n_events, event_ids, " + _t("detected_at") + " AS detected_at, status")
+            + f"risk_score, n_events, {_IDS} AS event_ids, " + _t("detected_at") + " AS detected_at, status")
 
 
 _EVENT_COLS = ("source_type, " + _t("event_time") + " AS event_time, host, username, src_ip, dst_ip, dst_port::VARCHAR AS dst_port, "
@@ -265,7 +269,7 @@ ORACLES = {
     "s12_event_export": _with(EV) + f"""SELECT {_EPOCH.format('epoch_us(event_time)')} AS time, 'siem:' || source_type AS sourcetype,
         'siem' AS index, id::VARCHAR AS id, username, src_ip, event_type FROM ev""",
     "s13_alert_export": ALL + f"""SELECT {_EPOCH.format('epoch_us(detected_at)')} AS time, 'siem:alert' AS sourcetype, 'siem' AS index, rule_name,
-        risk_score::DECIMAL(5, 2)::VARCHAR AS risk_score, '[' || replace(event_ids, ',', ', ') || ']' AS event_ids, title FROM al""",
+        risk_score::DECIMAL(5, 2)::VARCHAR AS risk_score, '[' || replace({_IDS}, ',', ', ') || ']' AS event_ids, title FROM al""",
     "s14_dashboard_scan": ALL + f"SELECT rule_name, title, {_t('detected_at')} AS detected_at, status FROM al",
 
     "n1_windows": _P + f"""SELECT {_EVENT_COLS}, id, CASE was WHEN 'login_success' THEN '4624' WHEN 'login_failure' THEN '4625'
@@ -314,8 +318,9 @@ ORACLES = {
     "d5_unusual_hours": _D5_SQL,
     "d6_multiple_failed_auth": _al("D6") + f"SELECT {_alert_cols()} FROM al",
     "d7_all_rules": ALL + f"SELECT {_alert_cols(False)} FROM al",
-    "d8_evidence": _with(EV, FEED) + """SELECT 'suspicious_ip_threat_intel' AS rule_name, id AS event_id FROM ev WHERE src_ip IN (SELECT ip FROM feed)
-        UNION ALL SELECT 'privilege_escalation', id FROM ev WHERE event_type = 'privilege_escalation' AND username IS NOT NULL AND host IS NOT NULL""",
+    "d8_evidence": _with(EV, FEED) + """SELECT 'suspicious_ip_threat_intel' AS rule_name, 'Traffic from known-malicious IP ' || src_ip AS title, id AS event_id
+        FROM ev WHERE src_ip IN (SELECT ip FROM feed)
+        UNION ALL SELECT 'privilege_escalation', 'Privilege escalation activity by ' || username || ' on ' || host, id FROM ev WHERE event_type = 'privilege_escalation' AND username IS NOT NULL AND host IS NOT NULL""",
 
     "a1_kpis": ALL + """SELECT (SELECT count(*) FROM ev) AS total_events, count(*) FILTER (WHERE status = 'open') AS open_alerts,
         count(*) FILTER (WHERE severity = 'critical') AS critical_alerts, round(coalesce(avg(risk_score), 0), 6) AS avg_risk FROM al""",

@@ -370,10 +370,10 @@ def d7_all_rules(spark, sf_dir):
 
 
 def d8_evidence(spark, sf_dir):
-    """Ids of every group alert, one per row, as kept for groups of any size."""
+    """Ids of every group alert with the alert's title, which names its group; one per row, for groups of any size."""
     events, feed = _events(spark, sf_dir), _feed(spark, sf_dir)
-    groups = detect.group_evidence(events, feed)
-    return groups.select("rule_name", "event_id")
+    alerts = detect.run_all_rules(events, feed, rules=[detect.SUSPICIOUS_IP, detect.PRIVILEGE])
+    return detect.group_evidence(events, feed).join(alerts.select("alert_id", "title"), "alert_id").select("rule_name", "title", "event_id")
 
 
 # ---------------------------------------------------------------- dashboard
@@ -562,7 +562,7 @@ def t2_stream_failure_counts(spark, sf_dir):
 
 def _incremental(spark, sf_dir, rule) -> DataFrame:
     store = Store(prepare(spark), new_scratch(spark, "store"))
-    job = incremental.Incremental(spark, rule, store.persist_alerts, lateness=timedelta(hours=24))
+    job = incremental.Incremental(spark, rule, store.persist_alerts, new_scratch(spark, "state"), lateness=timedelta(hours=24))
     incremental.run(_event_stream(spark, sf_dir), job, new_scratch(spark, "checkpoint")).awaitTermination()
     job.finish()
     return store.alerts()

@@ -4,8 +4,8 @@ Every detector returns ``ALERT_COLUMNS``. Rules whose evidence is bounded (k
 failures, two logins, one login) carry ``event_ids`` themselves. The two rules
 that report a whole group (known-bad address, privilege use per account and
 host) may have a third of the table as evidence: their ids live one per row in
-the evidence table, and are also put into the alert row while the group is at
-most ``max_inline_ids``. Count and identity are exact for every size.
+the evidence table, for groups of every size, and ``event_ids`` is NULL. Count
+and identity are exact for every size.
 """
 
 from __future__ import annotations
@@ -15,17 +15,18 @@ from pyspark.sql import functions as F
 
 from duskwatch.functions.scoring import alert_id, ids_hashes, risk_score
 from duskwatch.schemas import ALERTS
-from duskwatch.session import materialize
-from duskwatch.settings import Settings
 
 ALERT_COLUMNS = [f.name for f in ALERTS]
 
 
 def alert_rows(df: DataFrame, *, rule: str, severity: str, title: Column, description: Column,
-               detected_at: Column, src_ip: Column, username: Column, event_ids: Column,
+               detected_at: Column, src_ip: Column, username: Column, event_ids: Column | None = None,
                n_events: Column | None = None, hashes: tuple[Column, Column] | None = None,
                multiplier: Column | float = 1.0, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Project ``df`` to the contract; ``extra`` columns of ``df`` are kept behind it."""
+    """Project ``df`` to the contract; ``extra`` columns of ``df`` are kept behind it.
+
+    Group rules give ``n_events`` and ``hashes`` in place of ``event_ids``.
+    """
     n = F.size(event_ids).cast("bigint") if n_events is None else n_events
     h1, h2 = ids_hashes(event_ids) if hashes is None else hashes
     values = {
@@ -39,36 +40,22 @@ def alert_rows(df: DataFrame, *, rule: str, severity: str, title: Column, descri
         "description": description,
         "risk_score": risk_score(severity, multiplier),
         "n_events": n,
-        "event_ids": event_ids,
+        "event_ids": F.lit(None) if event_ids is None else event_ids,
         "detected_at": detected_at,
         "status": F.lit("open"),
     }
     return df.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in ALERTS], *extra)
 
 
-def with_group_ids(groups: DataFrame, evidence: DataFrame, keys: list[str], settings: Settings) -> DataFrame:
-    """Add ``event_ids`` in time order to groups of at most ``max_inline_ids`` rows, NULL to larger ones.
+def alert_evidence(alerts: DataFrame, groups: DataFrame) -> DataFrame:
+    """Every alert's event ids, one per row (``alert_id``, ``rule_name``, ``event_id``).
 
-    ``groups`` has one row per group of ``evidence``. Rows of larger groups are dropped
-    map-side before the ids are gathered, so no task receives a hot group's rows. Their
-    ids remain in the evidence table.
+    Bounded evidence is unfolded from the alert row; the ids of group alerts come from the
+    evidence rows ``groups``. Rows of alerts that are not among ``alerts`` are left out.
     """
-    groups = materialize(groups, "groups")
-    ids = (_without_large(evidence, groups, keys, settings).groupBy(*keys)
-           .agg(F.array_sort(F.collect_list(F.struct("event_time", "id"))).alias("_ids")))
-    return groups.join(ids, keys, "left").withColumn("event_ids", F.col("_ids.id")).drop("_ids")
-
-
-def _without_large(evidence: DataFrame, groups: DataFrame, keys: list[str], settings: Settings) -> DataFrame:
-    large = groups.filter(F.col("n_events") > settings.max_inline_ids)
-    n = large.count()
-    if n == 0:
-        return evidence
-    # The heaviest groups go by broadcast, a bounded number of them. Should there be more, each of
-    # the rest is smaller than every one of these, so an ordinary join on the key can take them.
-    heaviest = large.orderBy(F.desc("n_events"), *keys).limit(settings.max_broadcast_rows).select(*keys)
-    rest = evidence.join(F.broadcast(heaviest), keys, "left_anti")
-    return rest if n <= settings.max_broadcast_rows else rest.join(large.select(*keys), keys, "left_anti")
+    inline = alerts.select("alert_id", "rule_name", F.explode("event_ids").alias("event_id"))
+    grouped = alerts.filter("event_ids IS NULL").select("alert_id")
+    return inline.unionByName(groups.join(grouped, "alert_id", "left_semi").select("alert_id", "rule_name", "event_id"))
 
 
 def first_new(candidates: DataFrame) -> DataFrame:

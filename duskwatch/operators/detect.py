@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -12,10 +13,11 @@ from duskwatch.functions.net import haversine_km, speed_kmh
 from duskwatch.functions.scoring import alert_id, group_hashes
 from duskwatch.functions.text import or_none, quoted_list
 from duskwatch.operators import geo
-from duskwatch.operators.alerts import ALERT_COLUMNS, alert_rows, with_group_ids
+from duskwatch.operators.alerts import ALERT_COLUMNS, alert_rows
 from duskwatch.operators.greedy import threshold_windows
 from duskwatch.operators.hot_keys import KeySplit, hot_keys_of, micros
-from duskwatch.operators.intel import known_bad_ips, semi_join
+from duskwatch.operators.intel import hint_if_small, known_bad_ips, semi_join
+from duskwatch.session import materialize
 from duskwatch.settings import Settings
 
 MINUTE_US = 60 * 1_000_000
@@ -135,14 +137,13 @@ def detect_suspicious_ip(events: DataFrame, intel: DataFrame, settings: Settings
     """One alert per known-bad address seen, over all its events."""
     hits = intel_hits(events, intel, settings)
     groups = _summed(hits, ["src_ip"], "username")
-    groups = with_group_ids(groups, hits, ["src_ip"], settings)
     ip, n = F.col("src_ip"), F.col("n_events")
     return alert_rows(
         groups, rule=SUSPICIOUS_IP, severity="high", src_ip=ip, username=F.col("username"),
         title=F.concat(F.lit("Traffic from known-malicious IP "), ip),
         description=F.concat(n.cast("string"), F.lit(" event(s) observed from "), ip,
                              F.lit(", which matches a known-bad indicator in the threat intelligence feed.")),
-        event_ids=F.col("event_ids"), n_events=n, hashes=(F.col("_h1"), F.col("_h2")),
+        n_events=n, hashes=(F.col("_h1"), F.col("_h2")),
         multiplier=F.least(n / 3, F.lit(2.0)), detected_at=F.col("last_seen"))
 
 
@@ -156,14 +157,13 @@ def detect_privilege_escalation(events: DataFrame, settings: Settings = Settings
     """One alert per (account, host) that used elevated privileges."""
     used = privilege_events(events, include_group_changes)
     groups = _summed(used, ["username", "host"], "src_ip")
-    groups = with_group_ids(groups, used, ["username", "host"], settings)
     user, host, n = F.col("username"), F.col("host"), F.col("n_events")
     return alert_rows(
         groups, rule=PRIVILEGE, severity="high", src_ip=F.col("src_ip"), username=user,
         title=F.concat(F.lit("Privilege escalation activity by "), user, F.lit(" on "), host),
         description=F.concat(n.cast("string"), F.lit(" privilege-escalation event(s) (sudo/admin-token) by "), user,
                              F.lit(" on "), host, F.lit(".")),
-        event_ids=F.col("event_ids"), n_events=n, hashes=(F.col("_h1"), F.col("_h2")),
+        n_events=n, hashes=(F.col("_h1"), F.col("_h2")),
         multiplier=F.least(n, F.lit(3)), detected_at=F.col("last_seen"))
 
 
@@ -180,24 +180,32 @@ def detect_unusual_login_hours(events: DataFrame, settings: Settings = Settings(
         event_ids=F.array("id"), detected_at=F.col("event_time"))
 
 
-# Detectors run by run_all_rules, in order: (events, intel, settings, hot keys by rule) -> alerts.
+@dataclass(frozen=True)
+class RuleOptions:
+    """What a deployment may set: a geo feed for travel (None: the built-in ranges), group changes as privilege use."""
+
+    ranges: DataFrame | None = None
+    include_group_changes: bool = False
+
+
+# Detectors run by run_all_rules, in order: (events, intel, settings, hot keys by rule, options) -> alerts.
 RULES: dict[str, Callable[..., DataFrame]] = {
-    BRUTE_FORCE: lambda events, intel, s, hot: detect_brute_force(events, s, hot.get(BRUTE_FORCE)),
-    TRAVEL: lambda events, intel, s, hot: detect_impossible_travel(events, s, hot=hot.get(TRAVEL)),
-    SUSPICIOUS_IP: lambda events, intel, s, hot: detect_suspicious_ip(events, intel, s),
-    PRIVILEGE: lambda events, intel, s, hot: detect_privilege_escalation(events, s),
-    OFF_HOURS: lambda events, intel, s, hot: detect_unusual_login_hours(events, s),
-    MULTI_FAIL: lambda events, intel, s, hot: detect_multiple_failed_auth(events, s, hot.get(MULTI_FAIL)),
+    BRUTE_FORCE: lambda events, intel, s, hot, opt: detect_brute_force(events, s, hot.get(BRUTE_FORCE)),
+    TRAVEL: lambda events, intel, s, hot, opt: detect_impossible_travel(events, s, opt.ranges, hot.get(TRAVEL)),
+    SUSPICIOUS_IP: lambda events, intel, s, hot, opt: detect_suspicious_ip(events, intel, s),
+    PRIVILEGE: lambda events, intel, s, hot, opt: detect_privilege_escalation(events, s, opt.include_group_changes),
+    OFF_HOURS: lambda events, intel, s, hot, opt: detect_unusual_login_hours(events, s),
+    MULTI_FAIL: lambda events, intel, s, hot, opt: detect_multiple_failed_auth(events, s, hot.get(MULTI_FAIL)),
 }
 
 
 def register_rule(name: str, detector: Callable[[DataFrame, DataFrame, Settings], DataFrame]) -> None:
     """Add (or replace) a detector ``(events, intel, settings) -> alerts``."""
-    RULES[name] = lambda events, intel, s, hot: detector(events, intel, s)
+    RULES[name] = lambda events, intel, s, hot, opt: detector(events, intel, s)
 
 
 def run_all_rules(events: DataFrame, intel: DataFrame, settings: Settings = Settings(),
-                  rules: list[str] | None = None) -> DataFrame:
+                  rules: list[str] | None = None, options: RuleOptions = RuleOptions()) -> DataFrame:
     """Alerts of all rules as one frame. Each rule scans only its event types and columns.
 
     The hot keys of all rules are measured in one pass before any rule is planned.
@@ -208,30 +216,25 @@ def run_all_rules(events: DataFrame, intel: DataFrame, settings: Settings = Sett
     if keyed:
         relevant = events.filter(" OR ".join(f"({condition})" for _, condition in keyed.values()))
         hot = hot_keys_of(relevant, keyed, settings.max_rows_per_task)
-    return reduce(DataFrame.unionByName, [RULES[name](events, intel, settings, hot).select(*ALERT_COLUMNS) for name in names])
+    return reduce(DataFrame.unionByName,
+                  [RULES[name](events, intel, settings, hot, options).select(*ALERT_COLUMNS) for name in names])
 
 
 def group_evidence(events: DataFrame, intel: DataFrame, settings: Settings = Settings(),
-                   above: int = 0) -> DataFrame:
-    """Evidence of the two group rules for groups of more than ``above`` events, one row per event:
-    (alert_id, rule_name, event_time, event_id).
+                   options: RuleOptions = RuleOptions(), known: DataFrame | None = None) -> DataFrame:
+    """Evidence of the two group rules, one row per event: (alert_id, rule_name, event_time, event_id).
 
-    Nothing is gathered, whatever a group's size; AQE splits the event side of a hot group.
+    Alerts whose ``alert_id`` is in ``known`` are left out before any event is joined. Nothing is gathered,
+    whatever a group's size: the groups are counted, and go to the events by broadcast where they are few;
+    otherwise AQE splits the event side of a hot group.
     """
     def rows(rule, found, keys, shown):
-        groups = _summed(found, keys, shown).filter(F.col("n_events") > above)
+        groups = _summed(found, keys, shown)
         ids = groups.select(*keys, alert_id(F.lit(rule), F.col("n_events"), F.col("_h1"), F.col("_h2")).alias("alert_id"))
+        if known is not None:
+            ids = ids.join(known, "alert_id", "left_anti")
+        ids = hint_if_small(materialize(ids, "groups"), settings.max_broadcast_rows)
         return found.join(ids, keys).select("alert_id", F.lit(rule).alias("rule_name"), "event_time", F.col("id").alias("event_id"))
 
     return rows(SUSPICIOUS_IP, intel_hits(events, intel, settings), ["src_ip"], "username").unionByName(
-        rows(PRIVILEGE, privilege_events(events), ["username", "host"], "src_ip"))
-
-
-def alert_evidence(alerts: DataFrame, groups: DataFrame) -> DataFrame:
-    """Every alert's event ids, one per row (``alert_id``, ``rule_name``, ``event_id``).
-
-    Inline ids are unfolded; alerts too large to carry them take theirs from ``groups``
-    (``group_evidence`` above the inline limit).
-    """
-    inline = alerts.select("alert_id", "rule_name", F.explode("event_ids").alias("event_id"))
-    return inline.unionByName(groups.select("alert_id", "rule_name", "event_id"))
+        rows(PRIVILEGE, privilege_events(events, options.include_group_changes), ["username", "host"], "src_ip"))

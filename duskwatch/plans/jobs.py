@@ -14,7 +14,7 @@ from duskwatch.operators.normalize import events_of, normalize, rejects_of
 from duskwatch.schemas import EVENTS, FEATURE_COLUMNS, RAW_LOGS
 from duskwatch.session import prepare
 from duskwatch.settings import Settings
-from duskwatch.sources.export import alert_envelopes, event_envelopes, write_envelopes
+from duskwatch.sources.export import alert_envelopes, event_envelopes, evidence_envelopes, write_envelopes
 from duskwatch.sources.feed import read_feed
 from duskwatch.sources.lines import read_all_lines, read_lines
 from duskwatch.sources.tables import Store
@@ -65,15 +65,19 @@ def ingest_all(store: Store, paths: dict[str, str], batch: int, year: int | None
     return ingest(store, read_all_lines(prepare(store.spark), paths), batch, year)
 
 
-def run_detection(store: Store, settings: Settings = Settings(), feed_path: str | None = None, since=None) -> int:
-    """Load the feed, run every rule over the stored events, store what is new; returns how many."""
+def run_detection(store: Store, settings: Settings = Settings(), feed_path: str | None = None, since=None,
+                  options: detect.RuleOptions = detect.RuleOptions()) -> int:
+    """Load the feed, run every rule over the stored events, store what is new; returns how many.
+
+    Evidence of group alerts is stored first. A run that dies in between leaves evidence without its alert,
+    which readers do not see; never an alert without its evidence.
+    """
     prepare(store.spark)
     if feed_path:
         store.upsert_intel(read_feed(store.spark, feed_path, with_place=True))
     events, intel = store.events(since), store.intel.read()
-    written = store.persist_alerts(detect.run_all_rules(events, intel, settings))
-    store.persist_evidence(detect.group_evidence(events, intel, settings, above=settings.max_inline_ids))
-    return written
+    store.persist_evidence(detect.group_evidence(events, intel, settings, options, store.known_evidence()))
+    return store.persist_alerts(detect.run_all_rules(events, intel, settings, options=options))
 
 
 def score_rows(scored: DataFrame) -> DataFrame:
@@ -96,6 +100,7 @@ def export(store: Store, path: str, what: str = "all", settings: Settings = Sett
         write_envelopes(event_envelopes(store.events().drop("ingest_batch", "event_date"), settings.export_index), f"{path}/events")
     if what in ("alerts", "all"):
         write_envelopes(alert_envelopes(store.alerts().drop("detected_date"), settings.export_index), f"{path}/alerts")
+        write_envelopes(evidence_envelopes(store.alert_events(), store.alerts(), settings.export_index), f"{path}/alert_evidence")
 
 
 def with_raw_lines(events: DataFrame, raw: DataFrame) -> DataFrame:

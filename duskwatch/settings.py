@@ -48,9 +48,6 @@ class Settings:
 
     # execution: a key with more rows than this is split over several tasks
     max_rows_per_task: int = 5_000_000
-    # execution: groups up to this size carry their event ids inside the alert row;
-    # larger ones keep them in the evidence table only (see operators/alerts.py)
-    max_inline_ids: int = 100_000
     # execution: a side is broadcast only after it was counted to be within this
     max_broadcast_rows: int = 200_000
 

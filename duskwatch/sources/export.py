@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 # Envelope source types.
 EVENT_PREFIX, ALERT_SOURCETYPE = "siem:", "siem:alert"
+EVIDENCE_SOURCETYPE = f"{ALERT_SOURCETYPE}:evidence"
 
 
 def _as_text(name: str, kind: T.DataType) -> Column:
@@ -38,6 +39,12 @@ def alert_envelopes(alerts: DataFrame, index: str = "siem") -> DataFrame:
     return _envelopes(alerts, "detected_at", F.lit(ALERT_SOURCETYPE), index)
 
 
+def evidence_envelopes(ids: DataFrame, alerts: DataFrame, index: str = "siem") -> DataFrame:
+    """One envelope per (alert, event id), at the alert's time: what a whole-group alert's own envelope cannot hold."""
+    timed = ids.join(alerts.select("alert_id", "detected_at"), "alert_id")
+    return _envelopes(timed, "detected_at", F.lit(EVIDENCE_SOURCETYPE), index)
+
+
 def write_envelopes(envelopes: DataFrame, path: str, records_per_file: int = 1_000_000) -> None:
     """Text files a forwarder can post as they are; the file size takes the place of request batching.
     A later export to the same path takes its place."""

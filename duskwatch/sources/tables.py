@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duskwatch import schemas
-from duskwatch.operators.alerts import ALERT_COLUMNS, not_stored
+from duskwatch.operators.alerts import ALERT_COLUMNS, alert_evidence, not_stored
 from duskwatch.operators.intel import upsert
 from duskwatch.session import delete_path, materialize
 
@@ -150,6 +150,15 @@ class Store:
         return self.spark.read.schema(full).parquet(path) if self._exists(path) else self.spark.createDataFrame([], full)
 
     def persist_evidence(self, groups: DataFrame) -> None:
-        """Keep the ids of groups too large for their alert row; known (alert, id) rows are left out."""
-        known = self.evidence().select("alert_id").distinct()
-        groups.join(known, "alert_id", "left_anti").write.mode("append").parquet(f"{self.root}/alert_evidence")
+        """Append evidence rows of alerts that have none yet (``detect.group_evidence`` without ``known_evidence``).
+
+        Written before the alerts they belong to, so that a stored alert always has its evidence.
+        """
+        groups.write.mode("append").parquet(f"{self.root}/alert_evidence")
+
+    def known_evidence(self) -> DataFrame:
+        return self.evidence().select("alert_id").distinct()
+
+    def alert_events(self) -> DataFrame:
+        """The event ids of every stored alert, one per row: (alert_id, rule_name, event_id)."""
+        return alert_evidence(self.alerts(), self.evidence())

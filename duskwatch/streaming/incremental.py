@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from duskwatch.functions.net import EARTH_RADIUS_KM
 from duskwatch.operators import detect
-from duskwatch.session import materialize, new_scratch
+from duskwatch.session import materialize
 from duskwatch.settings import Settings
 from duskwatch.sources.tables import VersionedTable
 
@@ -67,27 +67,30 @@ def multiple_failed_auth(settings: Settings = Settings()) -> Rule:
                 timedelta(minutes=settings.multi_fail_minutes), _after_last_alert("username"))
 
 
-def impossible_travel(settings: Settings = Settings()) -> Rule:
-    """A user's last login; no further back than the limit speed needs for half the globe."""
+def impossible_travel(settings: Settings = Settings(), ranges: DataFrame | None = None) -> Rule:
+    """A user's last login; no further back than the limit speed needs for half the globe. ``ranges`` is a geo feed."""
     def keep(rows: DataFrame, _alerts: DataFrame) -> DataFrame:
         last = rows.groupBy("username").agg(F.max(F.struct("event_time", "id", "source_type", "src_ip", "event_type")).alias("_last"))
         return last.select("username", "_last.*").select(*_COLUMNS)
 
     hours = math.pi * EARTH_RADIUS_KM / settings.max_travel_kmh
     return Rule((F.col("event_type") == "login_success") & F.col("src_ip").isNotNull() & F.col("username").isNotNull(),
-                lambda df: detect.detect_impossible_travel(df, settings), timedelta(hours=hours + 1 / 60), keep)
+                lambda df: detect.detect_impossible_travel(df, settings, ranges), timedelta(hours=hours + 1 / 60), keep)
 
 
 class Incremental:
-    """Runs one ``Rule`` micro-batch by micro-batch; use ``process`` in ``foreachBatch``."""
+    """Runs one ``Rule`` micro-batch by micro-batch; use ``process`` in ``foreachBatch``.
+
+    ``state_dir`` is part of the stream's checkpoint: a restart needs both. Rows later than ``lateness`` allows
+    are kept in ``late_events`` for the batch run over the stored events, which takes them into account.
+    """
 
     def __init__(self, spark: SparkSession, rule: Rule, sink: Callable[[DataFrame], object],
-                 state_dir: str | None = None, lateness: timedelta = timedelta(hours=24)):
-        state_dir = state_dir or new_scratch(spark, "incremental")
-        self.spark, self.rule, self.sink, self.lateness = spark, rule, sink, lateness
-        self.waiting = VersionedTable(spark, f"{state_dir}/waiting", ROWS)
-        self.carry = VersionedTable(spark, f"{state_dir}/carry", ROWS)
-        self.clock = VersionedTable(spark, f"{state_dir}/clock", CLOCK)
+                 state_dir: str, lateness: timedelta = timedelta(hours=24)):
+        self.spark, self.rule, self.sink, self.lateness, self.state_dir = spark, rule, sink, lateness, state_dir.rstrip("/")
+        self.waiting = VersionedTable(spark, f"{self.state_dir}/waiting", ROWS)
+        self.carry = VersionedTable(spark, f"{self.state_dir}/carry", ROWS)
+        self.clock = VersionedTable(spark, f"{self.state_dir}/clock", CLOCK)
 
     def _before(self, table: VersionedTable, batch: int) -> DataFrame:
         earlier = [v for v in table.versions() if v < batch]
@@ -105,8 +108,10 @@ class Incremental:
     def _advance(self, new: DataFrame, batch: int, final: bool) -> None:
         clock = self._before(self.clock, batch).first()
         newest, horizon = (clock.newest, clock.horizon) if clock else (None, None)
-        if horizon is not None:
-            new = new.filter(F.col("event_time") > F.lit(horizon))  # later than allowed: left to the batch run
+        late = F.lit(False) if horizon is None else F.col("event_time") <= F.lit(horizon)
+        # a folder per micro-batch, so a replay takes its own place
+        new.filter(late).write.mode("overwrite").parquet(f"{self.state_dir}/late/batch={batch}")
+        new = new.filter(~late)
         rows = materialize(self._before(self.waiting, batch).unionByName(new), "incremental-rows")
         seen = rows.agg(F.max("event_time")).first()[0]
         newest = max((t for t in (newest, seen) if t is not None), default=None)
@@ -121,6 +126,13 @@ class Incremental:
         kept = self.rule.keep(work.filter(F.col("event_time") > F.lit(horizon - self.rule.reach)), alerts)
         self._save(batch, rows.filter(~ready), kept, newest, horizon)
 
+    def late_events(self) -> DataFrame:
+        """Relevant rows that came behind the horizon, with the micro-batch (``batch``) they came in."""
+        schema = T.StructType(ROWS.fields + [T.StructField("batch", T.LongType())])
+        if not self.clock.versions():
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.state_dir}/late")
+
     def _save(self, batch: int, waiting: DataFrame, carry: DataFrame, newest: datetime | None, horizon: datetime | None) -> None:
         self.waiting.replace(waiting, batch)
         self.carry.replace(carry, batch)

@@ -5,7 +5,8 @@ from datetime import datetime, timedelta
 import pytest
 
 from duskwatch.operators import detect, geo
-from duskwatch.schemas import EVENTS, INTEL
+from duskwatch.operators.alerts import alert_evidence
+from duskwatch.schemas import EVENTS, GEO, INTEL
 from duskwatch.settings import Settings
 
 BASE = datetime(2026, 7, 1, 3)
@@ -75,28 +76,40 @@ def test_suspicious_ip(spark, n, risk):
     rows = [{"event_time": BASE + timedelta(minutes=n - i), "event_type": "conn_allowed", "src_ip": "185.220.101.13",
              "username": None if i == n - 1 and n > 1 else f"u{i}"} for i in range(n)]
     df = events(spark, *rows, {"event_time": BASE, "event_type": "conn_allowed", "src_ip": "10.0.0.5"})
-    (a,) = detect.detect_suspicious_ip(df, feed(spark, "185.220.101.13/32", "185.220.101.13")).collect()
+    bad = feed(spark, "185.220.101.13/32", "185.220.101.13")
+    (a,) = detect.detect_suspicious_ip(df, bad).collect()
     assert float(a.risk_score) == risk and a.n_events == n
-    assert a.event_ids == list(range(n, 0, -1))
+    assert sorted(r.event_id for r in detect.group_evidence(df, bad).collect()) == list(range(1, n + 1))
     assert a.detected_at == BASE + timedelta(minutes=n)
     assert a.username == (f"u{n - 2}" if n > 1 else "u0")
     assert detect.detect_suspicious_ip(df, feed(spark)).count() == 0
 
 
-def test_large_groups_keep_their_ids_in_the_evidence_table(spark):
+def test_group_alerts_keep_their_ids_in_the_evidence_rows(spark):
     rows = [{"event_time": BASE + timedelta(minutes=i), "event_type": "conn_allowed", "src_ip": ip}
-            for i, ip in enumerate(["1.1.1.1"] * 5 + ["2.2.2.2"] * 2)]
-    df, bad = events(spark, *rows), feed(spark, "1.1.1.1", "2.2.2.2")
-    small = Settings(max_inline_ids=3)
-    got = {a.src_ip: a for a in detect.detect_suspicious_ip(df, bad, small).collect()}
-    full = {a.src_ip: a for a in detect.detect_suspicious_ip(df, bad).collect()}
-    assert got["1.1.1.1"].event_ids is None and got["1.1.1.1"].n_events == 5
-    assert got["2.2.2.2"].event_ids == [6, 7]
-    assert {k: a.alert_id for k, a in got.items()} == {k: a.alert_id for k, a in full.items()}
-    groups = detect.group_evidence(df, bad, small, above=small.max_inline_ids)
-    assert sorted((r.alert_id, r.event_id) for r in groups.collect()) == [(got["1.1.1.1"].alert_id, i) for i in range(1, 6)]
-    every = detect.alert_evidence(detect.detect_suspicious_ip(df, bad, small), groups)
-    assert sorted(r.event_id for r in every.collect()) == list(range(1, 8))
+            for i, ip in enumerate(["1.1.1.1"] * 5 + ["2.2.2.2"])]
+    df, bad = events(spark, *rows, {"event_time": BASE, "event_type": "login_success", "username": "cy"}), feed(spark, "1.1.1.1", "2.2.2.2")
+    got = {a.src_ip: a for a in detect.detect_suspicious_ip(df, bad).collect()}
+    assert {k: (a.event_ids, a.n_events) for k, a in got.items()} == {"1.1.1.1": (None, 5), "2.2.2.2": (None, 1)}
+    groups = detect.group_evidence(df, bad)
+    want = [(got["1.1.1.1"].alert_id, i) for i in range(1, 6)] + [(got["2.2.2.2"].alert_id, 6)]
+    assert sorted((r.alert_id, r.event_id) for r in groups.collect()) == sorted(want)
+    both = detect.run_all_rules(df, bad, rules=[detect.SUSPICIOUS_IP, detect.OFF_HOURS])
+    assert sorted(r.event_id for r in alert_evidence(both, groups).collect()) == list(range(1, 8))
+    known = spark.createDataFrame([(got["1.1.1.1"].alert_id,)], "alert_id string")
+    assert [r.event_id for r in detect.group_evidence(df, bad, known=known).collect()] == [6]
+
+
+def test_options_reach_the_rules(spark):
+    at = lambda i, **kw: {"event_time": BASE + timedelta(minutes=i), "username": "dee", "host": "web01", **kw}
+    df = events(spark, at(0, event_type="login_success", src_ip="10.9.0.1"), at(5, event_type="login_success", src_ip="10.8.0.1"),
+                at(6, event_type="group_membership_change"))
+    near = spark.createDataFrame([(0, "10.9.0.0/16", "AA", "Here", 0.0, 0.0), (1, "10.8.0.0/16", "BB", "There", 40.0, 120.0)], GEO)
+    run = lambda **kw: {a.rule_name for a in detect.run_all_rules(df, feed(spark), options=detect.RuleOptions(**kw),
+                                                                  rules=[detect.TRAVEL, detect.PRIVILEGE]).collect()}
+    assert run() == set()
+    assert run(ranges=near) == {detect.TRAVEL}
+    assert run(include_group_changes=True) == {detect.PRIVILEGE}
 
 
 @pytest.mark.parametrize("limits", [dict(max_broadcast_rows=1), dict(max_broadcast_rows=1, max_rows_per_task=4)])
@@ -105,14 +118,12 @@ def test_feeds_and_groups_too_large_to_broadcast(spark, limits):
     rows = [{"event_time": BASE + timedelta(minutes=i), "event_type": "privilege_escalation", "username": f"u{ip}", "host": "h",
              "src_ip": ip} for i, ip in enumerate(["1.1.1.1"] * 9 + ["2.2.2.2"] * 6 + ["3.3.3.3"] * 5 + ["4.4.4.4"] * 2 + ["5.5.5.5"] * 7)]
     df, bad = events(spark, *rows), feed(spark, "1.1.1.1", "2.2.2.2", "3.3.3.3", "4.4.4.4")
-    near = Settings(max_inline_ids=4, **limits)
+    near = Settings(**limits)
     for run in (lambda s: detect.detect_suspicious_ip(df, bad, s), lambda s: detect.detect_privilege_escalation(df, s)):
-        plain = {a.alert_id: a for a in run(Settings()).collect()}
-        got = {a.alert_id: a for a in run(near).collect()}
-        assert set(got) == set(plain) and len(got) >= 4
-        for key, a in got.items():
-            assert a.n_events == len(plain[key].event_ids)
-            assert a.event_ids == (plain[key].event_ids if a.n_events <= 4 else None)
+        plain, got = ({a.alert_id: a for a in run(s).collect()} for s in (Settings(), near))
+        assert got == plain and len(got) >= 4
+    ids = [sorted(map(tuple, detect.group_evidence(df, bad, s).collect())) for s in (Settings(), near)]
+    assert ids[0] == ids[1] and len(ids[0]) == 22 + 29
 
 
 def test_privilege(spark):
@@ -122,7 +133,7 @@ def test_privilege(spark):
                 use(4, username="bo"), use(5, username="zed", event_type="group_membership_change"))
     got = {a.username: a for a in detect.detect_privilege_escalation(df).collect()}
     assert set(got) == {"agarcia", "bo"}
-    assert (float(got["agarcia"].risk_score), got["agarcia"].event_ids, got["agarcia"].src_ip) == (100.0, [1, 4], "10.0.0.12")
+    assert (float(got["agarcia"].risk_score), got["agarcia"].n_events, got["agarcia"].src_ip) == (100.0, 2, "10.0.0.12")
     assert float(got["bo"].risk_score) == 60.0 and got["bo"].host is None
     assert detect.detect_privilege_escalation(df, include_group_changes=True).count() == 3
 

@@ -115,14 +115,11 @@ def test_feed_upsert_keeps_the_last_row_and_the_first_stamp(spark, store):
     assert (after["203.0.113.55"].category, after["203.0.113.55"].added_at) == ("tor", before["203.0.113.55"].added_at)
 
 
-def test_large_groups_store_their_evidence_once(spark, store, tmp_path):
-    events, intel = store.events(), store.intel.read()
-    small = Settings(max_inline_ids=5)
-    other = Store(spark, str(tmp_path))
-    other.persist_alerts(detect.detect_suspicious_ip(events, intel, small))
-    for _ in range(2):
-        other.persist_evidence(detect.group_evidence(events, intel, small, above=5))
-    assert other.evidence().groupBy("alert_id").count().select("count").orderBy("count").collect() == [(12,), (16,)]
+def test_every_stored_alert_has_its_events(store):
+    counts = {r.alert_id: r["count"] for r in store.alert_events().groupBy("alert_id").count().collect()}
+    assert counts == {a.alert_id: a.n_events for a in store.alerts().collect()}
+    before = store.evidence().count()
+    assert jobs.run_detection(store) == 0 and store.evidence().count() == before
 
 
 def test_scores_replace(store):
@@ -164,6 +161,8 @@ def test_export(spark, store, tmp_path):
     fw = next(e for e in events if e["sourcetype"] == "siem:firewall")
     assert fw["index"] == "siem" and fw["event"]["dst_port"] == "443" and fw["event"]["username"] is None
     assert "event_time" not in fw["event"] and isinstance(fw["time"], float)
+    ids = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "out/alert_evidence")).collect()]
+    assert len(ids) == sum(int(a["event"]["n_events"]) for a in alerts) and all(i["sourcetype"] == "siem:alert:evidence" for i in ids)
     travel = next(a for a in alerts if a["event"]["rule_name"] == "impossible_travel")
     assert travel["sourcetype"] == "siem:alert" and travel["event"]["risk_score"] == "90.00"
     assert travel["time"] == datetime.fromisoformat("2026-07-01T14:06:00+00:00").timestamp()

@@ -66,6 +66,17 @@ def test_stateful_stream_equals_batch(spark, arriving, tmp_path, make, batch):
     assert job.carry.read().count() <= 12
 
 
+def test_late_rows_are_kept_aside(spark, tmp_path):
+    row = lambda i, hour: (i, datetime(2026, 7, 1) + timedelta(hours=hour), "linux_ssh", "eve", "10.0.0.1", "login_success")
+    store = Store(spark, str(tmp_path / "store"))
+    job = incremental.Incremental(spark, incremental.impossible_travel(), store.persist_alerts, str(tmp_path / "state"), timedelta(hours=2))
+    assert job.late_events().count() == 0
+    for batch, rows in enumerate([[row(1, 0), row(2, 9)], [row(3, 8), row(4, 5), row(5, 10)]]):
+        for _ in range(2):  # a replay keeps each late row once
+            job.process(spark.createDataFrame(rows, incremental.ROWS), batch)
+    assert [(r.id, r.batch) for r in job.late_events().collect()] == [(4, 1)]
+
+
 def test_counts_and_stateless_rules(spark, arriving, tmp_path):
     folder, all_events = arriving
     def drain(df, name, mode="append"):

@@ -38,7 +38,7 @@ def ingest(store: Store, lines: DataFrame, batch: int, year: int | None = None)
     """Store a batch of lines as raw rows, events and rejects.
 
     Ids are given once, when the raw rows are written (position in the input, past the
-    ids of earlier batches); events and rejects are derived from the stored raw rows, so
+    ids of other batches); events and rejects are derived from the stored raw rows, so
     a lost executor or a second attempt sees the same ids. Running a batch again
     replaces that batch.
     """

@@ -96,8 +96,12 @@ class Store:
         return self.spark.read.schema(full).parquet(path) if self._exists(path) else self.spark.createDataFrame([], full)
 
     def next_id(self, batch: int) -> int:
-        """First free id for a batch: one past the largest id of earlier batches."""
-        top = self.raw_logs().filter(F.col("ingest_batch") < batch).agg(F.max("raw_id")).first()[0]
+        """First free id for a batch: one past the largest id of all other batches.
+
+        A replay of the newest batch gets its old ids; an older batch that is run again gets new ones, past
+        those in use, so its alerts count as new.
+        """
+        top = self.raw_logs().filter(F.col("ingest_batch") != batch).agg(F.max("raw_id")).first()[0]
         return 0 if top is None else top + 1
 
     def write_batch(self, table: str, df: DataFrame, batch: int, by: str | None = None, rebalance: bool = False) -> None:

@@ -84,6 +84,16 @@ def test_running_a_batch_again_replaces_it(store):
     assert again == store.result and store.events().count() == again.events
 
 
+def test_an_older_batch_with_more_lines_takes_no_ids_of_later_ones(spark, tmp_path):
+    made = Store(spark, str(tmp_path / "store"))
+    for run, (batch, n) in enumerate([(0, 3), (1, 3), (0, 6), (1, 3)]):
+        path = tmp_path / f"fw{run}.log"
+        path.write_text("".join(f"line {i}\n" for i in range(n)))
+        jobs.ingest_file(made, "firewall", str(path), batch=batch)
+    ids = [r.raw_id for r in made.raw_logs().collect()]
+    assert len(ids) == len(set(ids)) == 9
+
+
 def test_unknown_source_and_missing_file(spark, store):
     with pytest.raises(ValueError):
         read_lines(spark, "mainframe", "/nowhere")

@@ -1,7 +1,7 @@
 """Operator 1: token ids of documents as binary files of Simple-8b words.
 
-``write_token_files`` orders documents by doc_id over range partitions, encodes whole texts and writes
-one file per partition; ``read_token_files`` gives the ids of every document back from the files alone.
+``write_token_files`` orders documents by doc_id over range partitions (shards), encodes whole texts and writes
+files of at most ``FILE_SEGMENTS`` segments per shard; ``read_token_files`` gives the ids of every document back from the files alone.
 The files go through Spark's own writer and commit, so a lost executor's file is written again and any
 store that Spark reaches will do.
 
@@ -17,9 +17,9 @@ A file is a run of segments, each followed by one newline byte. A segment, all l
     u64 each  escaped values
 
 Defined cases: a null text counts as empty and has the end id alone; a null doc_id comes first;
-rows that share a doc_id stay separate, ordered by their text; columns other than doc_id and text are
+rows that share a doc_id stay separate, ordered by a hash of their text, and may lie in several shards; columns other than doc_id and text are
 left out; an empty table gives no rows. A text is never cut, so a segment holds about 2 MB of text or one
-document. A file must fit into one binary value (2 GB); ``spark.sql.shuffle.partitions`` sets how many there are.
+document. A file is read as one binary value (2 GB at most), so a shard is written as several files, whatever its size.
 """
 
 from __future__ import annotations
@@ -35,12 +35,14 @@ from pyspark.sql import functions as F
 
 from duskwatch.llm import simple8b
 from duskwatch.llm.batches import byte_slices, byte_texts
+from duskwatch.llm.simhash import text_key
 from duskwatch.llm.tokens import TEXT_BYTES, WordTokens
 from duskwatch.llm.tables import settle
 from duskwatch.session import new_scratch
 
 MAGIC = b"DWS8B\x01\x00\x00"
 _HEAD = "<8s8Q"
+FILE_SEGMENTS = 64  # about 128 MB of text
 
 
 def pack_segment(shard: int, number: int, doc_ids: list[int | None], n_ids: np.ndarray, ids: np.ndarray) -> bytes:
@@ -74,7 +76,7 @@ def unpack_segments(content: bytes) -> Iterator[tuple[int, int, list[int | None]
                simple8b.decode(words, offsets, escapes, n, block))
 
 
-def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
+def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, file_segments: int = FILE_SEGMENTS) -> None:
     """Write ``docs`` (doc_id, text) to ``path``; ``tokenizer`` is a file of the tokenizers library."""
     def encode(batches):
         tokens, shard = WordTokens.shared(tokenizer), TaskContext.get().partitionId()
@@ -83,45 +85,51 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int) -
             segment = pack_segment(shard, number, part.column("doc_id").to_pylist(), n_ids, ids)
             yield pa.RecordBatch.from_arrays([pa.array([segment], pa.binary())], ["segment"])
 
+    order = ["doc_id", "_key", "_at"]  # the last two split a doc_id that many rows share
     (docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-     .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+     .select("*", text_key().alias("_key"), F.monotonically_increasing_id().alias("_at"))
+     .repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
      .mapInArrow(encode, "segment binary")
      .select(F.col("segment").cast("string").alias("value"))  # bytes as they are
-     .write.option("lineSep", "\n").text(path))
+     .write.option("lineSep", "\n").option("maxRecordsPerFile", file_segments).text(path))
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per document: shard, position in the shard, doc_id, local_start (ids before it in its file), ids (u32)."""
+    """One row per document: shard, file (its first segment's number in the shard), place in the file, doc_id,
+    local_start (ids before it in its file), ids (u32)."""
     def decode(batches):
         for batch in batches:
             for content in batch.column("content"):
                 at = place = 0
-                for shard, _, doc_ids, n_ids, ids in unpack_segments(content.as_py()):
+                file = None
+                for shard, number, doc_ids, n_ids, ids in unpack_segments(content.as_py()):
+                    file = number if file is None else file
                     flat, ends = ids.astype("<u4"), np.cumsum(n_ids, dtype=np.int64)
                     begins = ends - n_ids
                     k = len(doc_ids)
                     yield pa.RecordBatch.from_arrays([
-                        pa.array([shard] * k, pa.int64()), pa.array(range(place, place + k), pa.int64()), pa.array(doc_ids, pa.int64()),
+                        pa.array([shard] * k, pa.int64()), pa.array([file] * k, pa.int64()), pa.array(range(place, place + k), pa.int64()),
+                        pa.array(doc_ids, pa.int64()),
                         pa.array(begins + at, pa.int64()),
                         pa.array([flat[a:b].tobytes() for a, b in zip(begins.tolist(), ends.tolist())], pa.binary())],
-                        ["shard", "place", "doc_id", "local_start", "ids"])
+                        ["shard", "file", "place", "doc_id", "local_start", "ids"])
                     at, place = at + len(ids), place + k
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
-    return files.mapInArrow(decode, "shard bigint, place bigint, doc_id bigint, local_start bigint, ids binary")
+    return files.mapInArrow(decode, "shard bigint, file bigint, place bigint, doc_id bigint, local_start bigint, ids binary")
 
 
 def token_index(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, ids_crc32, from the files."""
     rows = settle(
         read_token_files(spark, path).select(
-            "shard", "doc_id", "local_start", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+            "shard", "file", "doc_id", "local_start", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
             F.crc32("ids").alias("ids_crc32")), "tokens")
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
-    starts = (rows.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
-              .select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shard_start")))
-    return rows.join(starts, "shard").select(
-        "doc_id", (F.col("shard_start") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
+    before = Window.orderBy("shard", "file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    starts = (rows.groupBy("shard", "file").agg(F.sum("n_tokens").alias("n"))
+              .select("shard", "file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("file_start")))
+    return rows.join(starts, ["shard", "file"]).select(
+        "doc_id", (F.col("file_start") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def encode_and_index(docs: DataFrame, tokenizer: str, end_id: int = 1, path: str | None = None) -> DataFrame:

@@ -6,10 +6,11 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from xxhash import xxh64_intdigest
 
 from duskwatch.llm import packing, simple8b
 from duskwatch.llm.queries import tokenizer_path
-from duskwatch.llm.token_files import encode_and_index, read_token_files, write_token_files
+from duskwatch.llm.token_files import encode_and_index, read_token_files, token_index, write_token_files
 from duskwatch.llm.tokens import WordTokens
 from duskwatch.session import new_scratch
 from tests.llm.brute import crc
@@ -60,8 +61,9 @@ def test_files_round_trip(spark, tokens):
     docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as shard", "'x' as ids").repartition(3)
     path = new_scratch(spark, "files")
     write_token_files(docs, path, tokenizer_path(), 1)
-    found = sorted(read_token_files(spark, path).collect(), key=lambda r: (r["shard"], r["place"]))
-    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    found = sorted(read_token_files(spark, path).collect(), key=lambda r: (r["shard"], r["file"], r["place"]))
+    key = lambda text: (xxh64_intdigest(text or "", 42) ^ 1 << 63)  # noqa: E731  order of the signed hash
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, key(r[1])))
     assert [r["doc_id"] for r in found] == [r[0] for r in want]
     assert [np.frombuffer(r["ids"], "<u4").tolist() for r in found] == [whole(tokens, t, 1) for _, t in want]
     assert any(f.startswith("part-") for f in os.listdir(path.replace("file://", "")))
@@ -73,6 +75,25 @@ def test_files_round_trip(spark, tokens):
         start += len(ids)
 
 
+def test_large_shards_are_several_files_and_a_shared_doc_id_is_split(spark, tokens):
+    rows = [(7, "word " * 200_000)] * 4 + [(7, None)] * 500 + [(8, "last one")]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    path = new_scratch(spark, "files")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small tasks stay apart, as large ones do
+    write_token_files(docs, path, tokenizer_path(), 1, file_segments=1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    found = read_token_files(spark, path)
+    assert found.select("shard").distinct().count() > 2  # one doc_id, several tasks
+    assert found.select("shard", "file").distinct().count() > found.select("shard").distinct().count()
+    index = token_index(spark, path).orderBy("start").collect()
+    start = 0
+    for row in index:
+        assert row["start"] == start
+        start += row["n_tokens"]
+    want = sorted((d, len(ids), crc(ids)) for d, t in rows for ids in [whole(tokens, t, 1)])
+    assert sorted((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in index) == want
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert encode_and_index(docs, tokenizer_path()).count() == 0

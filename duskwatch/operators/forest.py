@@ -42,19 +42,14 @@ def _unit_hash(*columns):
 def training_rows(features: DataFrame, n: int, settings: Settings) -> DataFrame:
     """(tree, id, features): ``forest_sample`` rows drawn without replacement for each tree."""
     trees, size = settings.forest_trees, min(settings.forest_sample, n)
-    pool = trees * size
-    rows = features.select("id", *FEATURE_COLUMNS)
-    if n > 2 * pool:
-        # Large table: thin it to about 1.2 pools by hash, then deal the first pool rows out in
-        # hash order, so trees get disjoint samples and no row is copied.
-        thinned = rows.withColumn("_h", _unit_hash("id", F.lit(settings.seed))).filter(F.col("_h") < 1.2 * pool / n)
-        dealt = thinned.withColumn("_r", F.row_number().over(Window.orderBy("_h", "id")) - 1).filter(F.col("_r") < pool)
-        return dealt.select(F.floor(F.col("_r") / size).cast("int").alias("tree"), "id", *FEATURE_COLUMNS)
-    # Small table (at most 2 pools): every tree takes the rows with its smallest hashes. The
-    # threshold only thins what is ranked; 2 x + 64 keeps at least ``size`` rows beyond doubt.
+    pool = min(n, 2 * trees * size)
+    # A hash of the id thins the table to about ``pool`` rows (all of them, where there are no more), so what is drawn from
+    # stays small however large the table is. Every tree then takes the rows with its own smallest hashes.
+    rows = features.select("id", *FEATURE_COLUMNS).filter(_unit_hash("id", F.lit(settings.seed)) <= pool / n)
+    # The threshold only thins what is ranked: 2 x + 64 expected rows leave ``size`` of them beyond doubt (grow_forest checks).
     drawn = (rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
              .withColumn("_h", _unit_hash("id", "tree", F.lit(settings.seed)))
-             .filter(F.col("_h") <= min(1.0, (2 * size + 64) / n)))
+             .filter(F.col("_h") <= min(1.0, (2 * size + 64) / pool)))
     ranked = drawn.withColumn("_r", F.row_number().over(Window.partitionBy("tree").orderBy("_h", "id")))
     return ranked.filter(F.col("_r") <= size).select("tree", "id", *FEATURE_COLUMNS)
 
@@ -63,6 +58,8 @@ def _grow(seed: int, sample: int):
     limit = math.ceil(math.log2(max(sample, 2)))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
+        if len(pdf) != sample:
+            raise ValueError(f"a tree got {len(pdf)} of {sample} rows")
         pdf = pdf.sort_values("id")
         tree = int(pdf["tree"].iloc[0])
         rng = np.random.default_rng([seed, tree])

@@ -32,12 +32,15 @@ def sample_ranges(spark: SparkSession) -> DataFrame:
 
 
 def locate(df: DataFrame, ranges=SAMPLE_RANGES, ip: str = "src_ip") -> DataFrame:
-    """Add ``geo`` from a short configured list: a CASE over the address number, no join, no shuffle.
+    """Add ``geo`` from a configured list, of any length; longer ones are joined as a feed is.
 
-    The number is a column of its own so that it is parsed once a row, not once a range.
+    A short list is a CASE over the address number, no join, no shuffle. The number is a column of its own so
+    that it is parsed once a row, not once a range.
     """
     if len(ranges) > INLINE_RANGES:
-        raise ValueError("use locate_all for a geo feed")
+        feed = df.sparkSession.createDataFrame([(i, *row) for i, row in enumerate(ranges)], GEO)
+        found = locate_distinct(df.filter(F.col(ip).isNotNull()), feed, ip)
+        return df.join(found, ip, "left").select(*[df[c] for c in df.columns], "geo")
     found = None
     for cidr, country, city, lat, lon in ranges:
         lo, hi, _ = cidr_bounds(cidr)

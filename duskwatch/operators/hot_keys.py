@@ -22,9 +22,6 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Heavy hitters tracked by the sketch: a key with more than about rows/TRACKED
-# rows is certain to be reported.
-TRACKED = 10_000
 SECOND = 1_000_000
 _MAX_TICKS = 1_000_000  # time buckets per hot key
 _CHUNKS = 16  # pieces per max_rows inside a burst
@@ -37,20 +34,22 @@ def micros(column: str = "event_time") -> Column:
 
 
 def hot_keys(df: DataFrame, key: str, max_rows: int) -> list:
-    """Values of ``key`` with more than ``max_rows`` rows (one pass, no shuffle by key).
-
-    The sketch only decides how work is spread; no result depends on its estimates.
-    """
+    """Values of ``key`` with more than ``max_rows`` rows."""
     return hot_keys_of(df, {"only": (key, "true")}, max_rows)["only"]
 
 
 def hot_keys_of(df: DataFrame, wanted: dict[str, tuple[str, str]], max_rows: int) -> dict[str, list]:
-    """``hot_keys`` for several (key, row condition) pairs in one pass over ``df``."""
-    sketches = [F.expr(f"approx_top_k({key}, {TRACKED}, {TRACKED}) FILTER (WHERE {condition})").alias(name)
-                for name, (key, condition) in wanted.items()]
-    over = lambda name: F.transform(F.filter(name, lambda x: x["count"] > max_rows), lambda x: x["item"])
-    found = df.agg(*sketches).select(*[over(name).alias(name) for name in wanted]).first()
-    return {name: [v for v in found[name] or [] if v is not None] for name in wanted}
+    """``hot_keys`` for several (key, row condition) pairs, in one pass over ``df``.
+
+    Counts are exact and summed map-side; only a key and a number are shuffled. What is gathered is at most
+    rows / ``max_rows`` keys per pair.
+    """
+    entry = lambda name, key, holds: F.when(F.expr(holds), F.struct(
+        F.lit(name).alias("name"), F.col(key).cast("string").alias("key")))
+    entries = F.array(*[entry(name, *pair) for name, pair in wanted.items()])
+    found = (df.select(F.explode(entries).alias("_e")).filter("_e.key IS NOT NULL").groupBy("_e.name", "_e.key")
+             .agg(F.count("*").alias("n")).filter(F.col("n") > max_rows).collect())
+    return {name: sorted(r["key"] for r in found if r["name"] == name) for name in wanted}
 
 
 class KeySplit:

@@ -11,8 +11,9 @@ from duskwatch.operators import detect
 from duskwatch.operators.features import build_features
 from duskwatch.operators.forest import train_and_score
 from duskwatch.operators.normalize import events_of, normalize, rejects_of
+from duskwatch.operators.normalize.base import reject_reason
 from duskwatch.schemas import EVENTS, FEATURE_COLUMNS, RAW_LOGS
-from duskwatch.session import prepare
+from duskwatch.session import materialize, prepare, release
 from duskwatch.settings import Settings
 from duskwatch.sources.export import alert_envelopes, event_envelopes, evidence_envelopes, write_envelopes
 from duskwatch.sources.feed import read_feed
@@ -37,23 +38,23 @@ def event_rows(normalized: DataFrame) -> DataFrame:
 def ingest(store: Store, lines: DataFrame, batch: int, year: int | None = None) -> IngestResult:
     """Store a batch of lines as raw rows, events and rejects.
 
-    Ids are given once, when the raw rows are written (position in the input, past the
-    ids of other batches); events and rejects are derived from the stored raw rows, so
-    a lost executor or a second attempt sees the same ids. Running a batch again
-    replaces that batch.
+    Ids are given once, when the numbered lines are staged (position in the input, past the ids of other
+    batches), and lines are parsed once, from there; raw rows, events and rejects are columns of that parse, so a
+    lost executor or a second attempt sees the same ids. Running a batch again replaces that batch.
     """
     base = store.next_id(batch)
-    numbered = lines.withColumn("raw_id", F.monotonically_increasing_id() + F.lit(base))
-    parsed = normalize(numbered, year, by_source=True).withColumn("processed", F.col("event_type").isNotNull())
-    raw = parsed.withColumn("ingested_at", F.current_timestamp())
+    # by_source filters below an id would run the input once per source; staged by source each branch reads its own files
+    numbered = materialize(lines.withColumn("raw_id", F.monotonically_increasing_id() + F.lit(base)), "numbered", by="source_type")
+    parsed = materialize(normalize(numbered, year, by_source=True), "parsed")
+    raw = parsed.withColumn("processed", F.col("event_type").isNotNull()).withColumn("ingested_at", F.current_timestamp())
     store.write_batch("raw_logs", raw.select(*[F.col(f.name).cast(f.dataType) for f in RAW_LOGS]), batch, by="source_type")
-
-    stored = store.raw_logs().filter(F.col("ingest_batch") == batch)
-    again = normalize(stored.drop("ingest_batch", "processed", "ingested_at"), year, by_source=True)
-    events = event_rows(again).withColumn("event_date", F.to_date("event_time"))
+    events = event_rows(parsed).withColumn("event_date", F.to_date("event_time"))
     store.write_batch("normalized_events", events, batch, by="event_date", rebalance=True)
-    store.write_batch("rejects", rejects_of(again).select("raw_id", "source_type", "raw_message", "path", "reason"), batch)
-    return IngestResult(batch, stored.count(), store.events().filter(F.col("ingest_batch") == batch).count())
+    store.write_batch("rejects", rejects_of(parsed).select("raw_id", "source_type", "raw_message", "path", "reason"), batch)
+    counts = parsed.agg(F.count("*"), F.count_if(reject_reason().isNull())).first()
+    for table in (numbered, parsed):
+        release(table)
+    return IngestResult(batch, *counts)
 
 
 def ingest_file(store: Store, source_type: str, path: str, batch: int, year: int | None = None) -> IngestResult:

@@ -66,13 +66,21 @@ def clear_scratch(spark: SparkSession) -> int:
     return done
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def materialize(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back. ``by`` lays it out in one folder per value.
 
     Used where one result feeds several jobs: the lineage is cut by a durable
     table, so a lost executor re-reads files instead of recomputing.
     """
     spark = df.sparkSession
     path = new_scratch(spark, label)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(df: DataFrame) -> None:
+    """Delete a materialized table that nothing reads any more."""
+    files = df.inputFiles()
+    for path in [p for p in _MADE if files and f"/{p.rpartition('/')[2]}/" in files[0]]:
+        delete_path(df.sparkSession, path)
+        _MADE.remove(path)

@@ -71,7 +71,7 @@ def test_scores(spark):
     assert {r.id: r.anomaly_score for r in again} == {r.id: r.anomaly_score for r in scored}
 
 
-def test_large_table_sampling_gives_each_tree_its_own_rows(spark):
+def test_samples_of_a_large_table_are_whole_and_come_from_a_bounded_pool(spark):
     from duskwatch.operators.forest import training_rows
     rows = [login(i, BASE + timedelta(minutes=i), f"user{i % 4}", "10.0.0.5") for i in range(2000)]
     few = Settings(forest_trees=10, forest_sample=16)
@@ -79,7 +79,8 @@ def test_large_table_sampling_gives_each_tree_its_own_rows(spark):
     per_tree = {}
     for r in got:
         per_tree.setdefault(r.tree, set()).add(r.id)
-    assert len(got) == 160 and set(map(len, per_tree.values())) == {16} and len({r.id for r in got}) == 160
+    assert len(got) == 160 and set(map(len, per_tree.values())) == {16}
+    assert 100 < len({r.id for r in got}) and len({frozenset(ids) for ids in per_tree.values()}) == 10
 
 
 def test_too_few_rows(spark):

@@ -243,12 +243,25 @@ _D5_SQL = _al("D5") + f"SELECT {_alert_cols()} FROM al"
 _W1_SQL = _with(EV, SMOKE) + f"SELECT key AS src_ip, {_t('event_time')} AS event_time, id, ids FROM sm"
 _GEO_SQL = _with(EV, GEO) + "SELECT id, src_ip, country, city, lat, lon FROM located"
 _M1_SQL = _F + f"SELECT id, username, {_t('event_time')} AS event_time, src_ip, {_FEATURE_COLS} FROM feats"
-_WINDOWS_AS_EV = EV + ",\n" + PARSED + ",\nwin AS (SELECT * FROM stored WHERE source_type = 'windows_auth')"
+# A score for every login by a rule on its id, as the catalogue makes it.
+_SCORES = """sc AS (SELECT id, username, event_time, ((id * 7919) % 10000) / 10000.0 AS anomaly_score FROM ev
+  WHERE event_type = 'login_success' AND username IS NOT NULL)"""
+
+
+def _score_laws(table: str) -> str:
+    """What any run of the model must show; ids, ends of the scale and the flagged share do not depend on the seed."""
+    return f"""SELECT count(*) AS logins_scored, count(*) AS ids, 0::DOUBLE AS lowest, 1::DOUBLE AS highest, true AS flagged_within_share,
+        true AS flagged_are_highest, count(*) AS scored_alike FROM {table} WHERE event_type = 'login_success' AND username IS NOT NULL"""
+
+
+# The rules over what is stored: ev is what the parsed lines left, under the names of the events.
+_STORED_AS_EV = EV.replace("ev AS (", "ev_in AS (") + ",\n" + PARSED.replace("FROM ev\n", "FROM ev_in\n") + ",\nev AS (SELECT * FROM stored)"
+_FEED_IN = FEED.replace("FROM ev WHERE", "FROM ev_in WHERE")
 
 ORACLES = {
     "s1_raw_scan": _with(EV, LINES) + "SELECT source_type, raw_message FROM ln WHERE source_type = 'windows_auth'",
     "s2_all_sources_scan": _with(EV, LINES) + """SELECT source_type, count(*) AS n, sum(length(raw_message))::BIGINT AS chars
-        FROM ln WHERE source_type <> 'firewall' GROUP BY source_type""",
+        FROM ln GROUP BY source_type""",
     "s3_raw_audit": _with(EV, PARSED) + """SELECT source_type, id IN (SELECT id FROM parsed) AS processed, count(*) AS n, count(*) AS ids
         FROM ev GROUP BY ALL""",
     "s4_event_sink": _P + f"SELECT {_EVENT_COLS} FROM stored",
@@ -265,7 +278,7 @@ ORACLES = {
         SELECT 'older events' AS run, count(*) AS written FROM old
         UNION ALL SELECT 'all events', count(*) FROM al WHERE {_FRESH}
         UNION ALL SELECT 'all events again', 0""",
-    "s11_score_sink": _F + f"SELECT id, username, {_t('event_time')} AS event_time, hour_of_day FROM feats",
+    "s11_score_sink": _F + f"SELECT id, username, {_t('event_time')} AS event_time, {_FEATURE_COLS} FROM feats",
     "s12_event_export": _with(EV) + f"""SELECT {_EPOCH.format('epoch_us(event_time)')} AS time, 'siem:' || source_type AS sourcetype,
         'siem' AS index, id::VARCHAR AS id, username, src_ip, event_type FROM ev""",
     "s13_alert_export": ALL + f"""SELECT {_EPOCH.format('epoch_us(detected_at)')} AS time, 'siem:alert' AS sourcetype, 'siem' AS index, rule_name,
@@ -323,7 +336,13 @@ ORACLES = {
         UNION ALL SELECT 'privilege_escalation', 'Privilege escalation activity by ' || username || ' on ' || host, id FROM ev WHERE event_type = 'privilege_escalation' AND username IS NOT NULL AND host IS NOT NULL""",
 
     "a1_kpis": ALL + """SELECT (SELECT count(*) FROM ev) AS total_events, count(*) FILTER (WHERE status = 'open') AS open_alerts,
-        count(*) FILTER (WHERE severity = 'critical') AS critical_alerts, round(coalesce(avg(risk_score), 0), 6) AS avg_risk FROM al""",
+        count(*) FILTER (WHERE severity = 'critical') AS critical_alerts, round(coalesce(avg(risk_score), 0), 6) AS avg_risk,
+        (SELECT count(*) FROM ev WHERE event_type = 'login_success' AND username IS NOT NULL AND (id * 7919) % 10000 >= 9500) AS anomalies FROM al""",
+    "a9_anomaly_summary": _with(EV, _SCORES) + "SELECT count(*) AS logins_scored, count(*) FILTER (WHERE anomaly_score >= 0.95) AS flagged FROM sc",
+    "a10_flagged_logins": _with(EV, _SCORES) + f"""SELECT id, username, {_t('event_time')} AS event_time, anomaly_score::DOUBLE AS anomaly_score,
+        true AS is_anomaly FROM sc WHERE anomaly_score >= 0.95""",
+    "m2_score_laws": _with(EV) + _score_laws("ev"),
+    "m3_score_laws": _P + _score_laws("stored"),
     "a2_alert_filter": ALL + f"""SELECT {_alert_cols(False)} FROM al WHERE severity IN ('critical', 'medium')
         AND rule_name IN ('impossible_travel', 'unusual_login_hours', 'brute_force_login')""",
     "a2_rule_options": ALL + "SELECT DISTINCT rule_name FROM al",
@@ -365,6 +384,11 @@ ORACLES = {
         count(DISTINCT src_ip) AS distinct_ips, round(avg(risk_score), 1) AS avg_risk FROM al""",
     "q13_panels": ALL + f"""SELECT username, round(sum(risk_score), 6) AS total_risk, count(*) AS alert_count
         FROM al WHERE username IS NOT NULL AND {_in_range(24 * 7)} GROUP BY username""",
+    "q13_severity_panel": ALL + f"SELECT severity, count(*) AS count FROM al WHERE {_in_range(24 * 7)} GROUP BY severity",
+    "q13_summary_panel": ALL + f"""SELECT count(*) AS total, count(*) FILTER (WHERE severity = 'critical') AS critical,
+        count(DISTINCT src_ip) AS distinct_ips, round(avg(risk_score), 1) AS avg_risk FROM al WHERE {_in_range(24 * 7)}""",
+    "q13_recent_panel": _ALL_PLUS(f"top AS (SELECT * FROM al WHERE {_in_range(24 * 7)} ORDER BY {_NEWEST} LIMIT 50)")
+        + f"SELECT {_t('detected_at')} AS detected_at, rule_name, severity, username, src_ip, title, risk_score FROM top",
     "q14_recent_alerts": _ALL_PLUS(f"top AS (SELECT * FROM al ORDER BY {_NEWEST} LIMIT 50)")
         + f"SELECT {_t('detected_at')} AS detected_at, rule_name, severity, username, src_ip, title, risk_score FROM top",
 
@@ -376,14 +400,13 @@ ORACLES = {
     "u2_distinct_sources": _with(EV) + "SELECT DISTINCT username, source_type FROM ev",
     "m1_features": _M1_SQL,
 
-    "t1_stream_normalise": _P + f"SELECT {_EVENT_COLS} FROM stored WHERE source_type = 'windows_auth'",
+    "t1_stream_normalise": _P + f"SELECT {_EVENT_COLS} FROM stored",
     "t2_stream_failure_counts": _with(EV, f"b AS ({_BUCKETS})") + f"SELECT src_ip, {_t('bucket')} AS bucket, count FROM b",
     "t3_stream_brute_force": _D1_SQL,
     "t4_stream_off_hours": _D5_SQL,
     "t4_stream_intel_match": _with(EV, FEED) + _HITS,
     "t5_stream_alert_sink": _D5_SQL,
     "t6_stream_travel": _D2_SQL,
-    "t8_scheduled_refresh": _al("D1", "D2", "D4", "D5", "D6", ev=_WINDOWS_AS_EV).replace("FROM ev WHERE", "FROM win WHERE").replace(
-        "SELECT ev.*, country, city, lat, lon FROM ev LEFT", "SELECT win.*, country, city, lat, lon FROM win LEFT")
+    "t8_scheduled_refresh": _al("D1", "D2", "D3", "D4", "D5", "D6", ev=_STORED_AS_EV).replace(FEED, _FEED_IN)
         + "SELECT rule_name, count(*) AS n, sum(n_events)::BIGINT AS n_events FROM al GROUP BY rule_name",
 }

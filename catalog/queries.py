@@ -7,6 +7,7 @@ defaults give none): 5 failures in 24 h per address, 3 in 24 h per account.
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,6 +79,13 @@ def _scores(spark, sf_dir) -> DataFrame:
     return _once(spark, sf_dir, "scores", make)
 
 
+def _score_table(spark, sf_dir) -> DataFrame:
+    """A score for every login by a rule on its id: what the dashboards make of scores can then be checked in full."""
+    logins = _events(spark, sf_dir).filter((F.col("event_type") == "login_success") & F.col("username").isNotNull())
+    score = (F.pmod(F.col("id") * 7919, F.lit(10_000)) / 10_000).cast("decimal(6,4)")
+    return logins.select("id", "username", "event_time", score.alias("anomaly_score"), (score >= 0.95).alias("is_anomaly"))
+
+
 def _lines(spark, sf_dir) -> DataFrame:
     """The events as log lines, written out once: parsing is what its queries are about."""
     return _once(spark, sf_dir, "lines", lambda: materialize(as_lines(_events(spark, sf_dir)), "lines"))
@@ -136,7 +144,7 @@ def s1_raw_scan(spark, sf_dir):
 
 
 def s2_all_sources_scan(spark, sf_dir):
-    return (read_all_lines(prepare(spark), {**_log_files(spark, sf_dir), "firewall": "/nonexistent/firewall.log"})
+    return (read_all_lines(prepare(spark), _log_files(spark, sf_dir))
             .groupBy("source_type").agg(F.count("*").alias("n"), F.sum(F.length("raw_message")).alias("chars")))
 
 
@@ -188,7 +196,7 @@ def s10_alert_sink(spark, sf_dir):
 
 
 def s11_score_sink(spark, sf_dir):
-    return _time(_scores(spark, sf_dir).select("id", "username", "event_time", F.col("features.hour_of_day").alias("hour_of_day")),
+    return _time(_scores(spark, sf_dir).select("id", "username", "event_time", *[F.col(f"features.{c}").alias(c) for c in FEATURE_COLUMNS]),
                  "event_time")
 
 
@@ -379,7 +387,7 @@ def d8_evidence(spark, sf_dir):
 # ---------------------------------------------------------------- dashboard
 
 def a1_kpis(spark, sf_dir):
-    return _double(dashboard.kpis(_events(spark, sf_dir), _alerts(spark, sf_dir), _scores(spark, sf_dir)).drop("anomalies"), "avg_risk")
+    return _double(dashboard.kpis(_events(spark, sf_dir), _alerts(spark, sf_dir), _score_table(spark, sf_dir)), "avg_risk")
 
 
 def a2_alert_filter(spark, sf_dir):
@@ -416,11 +424,11 @@ def a8_login_heatmap(spark, sf_dir):
 
 
 def a9_anomaly_summary(spark, sf_dir):
-    return dashboard.anomaly_summary(_scores(spark, sf_dir))
+    return dashboard.anomaly_summary(_score_table(spark, sf_dir))
 
 
 def a10_flagged_logins(spark, sf_dir):
-    return dashboard.flagged_logins(_scores(spark, sf_dir))
+    return _time(_double(dashboard.flagged_logins(_score_table(spark, sf_dir)), "anomaly_score"), "event_time")
 
 
 def a10_alert_table(spark, sf_dir):
@@ -482,6 +490,19 @@ def q13_panels(spark, sf_dir):
     return _double(searches.risk_leaderboard(recent), "total_risk")
 
 
+def q13_severity_panel(spark, sf_dir):
+    return dashboard.count_by(searches.in_range(_alerts(spark, sf_dir), "detected_at", AS_OF, 24 * 7), "severity")
+
+
+def q13_summary_panel(spark, sf_dir):
+    return _double(searches.alert_summary(searches.in_range(_alerts(spark, sf_dir), "detected_at", AS_OF, 24 * 7)), "avg_risk")
+
+
+def q13_recent_panel(spark, sf_dir):
+    recent = searches.in_range(_alerts(spark, sf_dir), "detected_at", AS_OF, 24 * 7)
+    return _time(_double(searches.recent_alerts(recent), "risk_score"), "detected_at")
+
+
 def q14_recent_alerts(spark, sf_dir):
     return _time(_double(searches.recent_alerts(_alerts(spark, sf_dir)), "risk_score"), "detected_at")
 
@@ -526,6 +547,30 @@ def m2_scores(spark, sf_dir):
     return out.select("id", F.round("anomaly_score", 4).alias("anomaly_score"), "is_anomaly", *FEATURE_COLUMNS)
 
 
+def _score_laws(scored: DataFrame, again: DataFrame) -> DataFrame:
+    """One row of what holds for scores of any seed: who is scored, their range, how many are flagged, and that a second run agrees."""
+    both = scored.join(again.select("id", F.col("anomaly_score").alias("_again")), "id")
+    same = both.agg(F.count_if(F.col("anomaly_score") == F.col("_again")).alias("scored_alike"))
+    share = Settings().contamination
+    return scored.agg(
+        F.count("*").alias("logins_scored"), F.count_distinct("id").alias("ids"),
+        F.min("anomaly_score").cast("double").alias("lowest"), F.round(F.max("anomaly_score").cast("double"), 4).alias("highest"),
+        (F.count_if("is_anomaly") <= F.ceil(F.count("*") * share)).alias("flagged_within_share"),
+        (F.coalesce(F.min(F.when(F.col("is_anomaly"), F.col("anomaly_score"))), F.lit(1)) >= F.coalesce(
+            F.max(F.when(~F.col("is_anomaly"), F.col("anomaly_score"))), F.lit(0))).alias("flagged_are_highest")).crossJoin(same)
+
+
+def m2_score_laws(spark, sf_dir):
+    features = build_features(_events(spark, sf_dir))
+    return _score_laws(train_and_score(features), train_and_score(features.repartition(5)))
+
+
+def m3_score_laws(spark, sf_dir):
+    store = _ingested(spark, sf_dir)
+    return _score_laws(jobs.run_scoring(store), train_and_score(build_features(store.events())).withColumn(
+        "anomaly_score", F.col("anomaly_score").cast("decimal(6,4)")))
+
+
 def m3_score_pipeline(spark, sf_dir):
     store = _ingested(spark, sf_dir)
     return jobs.run_scoring(store).select("id", "username", "anomaly_score", "is_anomaly")
@@ -548,9 +593,14 @@ def _drain(spark, df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(f"{out}/table")
 
 
+def _line_stream(spark, sf_dir) -> DataFrame:
+    """All four sources as one stream of lines."""
+    folders = _log_files(prepare(spark), sf_dir).items()
+    return reduce(DataFrame.unionByName, [pipelines.stream_lines(spark, source, folder) for source, folder in folders])
+
+
 def t1_stream_normalise(spark, sf_dir):
-    lines = pipelines.stream_lines(prepare(spark), "windows_auth", _log_files(spark, sf_dir)["windows_auth"])
-    return _event_out(_drain(spark, pipelines.stream_events(lines, YEAR)))
+    return _event_out(_drain(spark, pipelines.stream_events(_line_stream(spark, sf_dir), YEAR)))
 
 
 def t2_stream_failure_counts(spark, sf_dir):
@@ -596,10 +646,11 @@ def t6_stream_travel(spark, sf_dir):
 
 
 def t8_scheduled_refresh(spark, sf_dir):
-    """Stream the log files in, then detect over everything stored."""
+    """Stream the log files of all sources in, load the feed, then detect and score over everything stored."""
     store = Store(prepare(spark), new_scratch(spark, "store"))
-    lines = pipelines.stream_lines(spark, "windows_auth", _log_files(spark, sf_dir)["windows_auth"])
-    pipelines.scheduled_refresh(lines, store, new_scratch(spark, "checkpoint"), YEAR, LOOSE, score=False)
+    feed = new_scratch(spark, "feed-csv")
+    _feed(spark, sf_dir).write.csv(feed, header=True)
+    pipelines.scheduled_refresh(_line_stream(spark, sf_dir), store, new_scratch(spark, "checkpoint"), YEAR, LOOSE, feed_path=feed)
     return store.alerts().groupBy("rule_name").agg(F.count("*").alias("n"), F.sum("n_events").alias("n_events"))
 
 

@@ -86,7 +86,7 @@ class Parsed:
 
 
 def _anchors(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """(anchor, doc_id), each once per document and slice."""
+    """(anchor, doc_id, key), each once per text and slice."""
     def run(batches):
         for part in byte_slices(batches, "text"):
             parsed = Parsed(byte_texts(part, "text"), window, gram)
@@ -97,10 +97,11 @@ def _anchors(docs: DataFrame, window: int, gram: int) -> DataFrame:
             order = np.lexsort((anchor, text))
             text, anchor = text[order], anchor[order]
             once = np.concatenate([[True], (text[1:] != text[:-1]) | (anchor[1:] != anchor[:-1])])
-            yield pa.RecordBatch.from_arrays([pa.array(anchor[once].view(np.int64)), part.column("doc_id").take(pa.array(text[once]))],
-                                             ["anchor", "doc_id"])
+            owner = pa.array(text[once])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(anchor[once].view(np.int64)), part.column("doc_id").take(owner), part.column("key").take(owner)], ["anchor", "doc_id", "key"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "anchor bigint, doc_id bigint")
+    return docs.select("doc_id", "key", "text").mapInArrow(run, "anchor bigint, doc_id bigint, key bigint")
 
 
 def _blocks(docs: DataFrame, window: int, gram: int) -> DataFrame:
@@ -191,9 +192,9 @@ def add_factors(docs: DataFrame, window: int = 13, gram: int = GRAM) -> DataFram
     anchors = _anchors(base, window, gram)
     shared = settle(anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor"),
                     "anchors")
-    per_doc = settle(anchors.join(shared, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors")), "anchors")
+    per_doc = settle(anchors.join(shared, "anchor", "left_semi").groupBy("doc_id", "key").agg(F.collect_set("anchor").alias("anchors")), "anchors")
     release(shared)
-    groups = settle(_blocks(base.join(per_doc, "doc_id"), window, gram), "blocks")
+    groups = settle(_blocks(base.join(per_doc, ["doc_id", "key"]), window, gram), "blocks")
     release(per_doc)
     # written, so that both sides of the join are plain shuffles and AQE can split a group that many documents share
     first = settle(groups.groupBy("g1", "g2", "n").agg(F.min("doc_id").alias("source")), "first")

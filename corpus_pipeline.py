@@ -1,6 +1,6 @@
 """A corpus pipeline of five stages; each reads what the one before it wrote.
 
-Quality classifier (rejected documents go), near-duplicates (one of each group of similar texts stays), repeated passages (their words go),
+Quality classifier (rejected documents go), near-duplicates by SimHash (one document of each group stays), repeated passages (their words go),
 benchmark decontamination (documents that hold a benchmark passage go), best-fit packing (the placement of every piece).
 """
 
@@ -11,10 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from duskwatch.llm.decontaminate import remove_contaminated
-from duskwatch.llm.near_copies import keep_first
 from duskwatch.llm.packing import pack_documents
 from duskwatch.llm.quality import keep_good
 from duskwatch.llm.queries import read, tokenizer_path
+from duskwatch.llm.simhash import keep_one
 from duskwatch.llm.substrings import remove_repeats
 from duskwatch.llm.tables import settle
 
@@ -24,7 +24,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep_first(docs, shingle=5, similarity=0.8)
+    return keep_one(docs, shingle=3)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from duskwatch.llm.alignment import NUMBERS, align_documents
+from duskwatch.llm.conversations import damage, repair, summarize
 from duskwatch.llm.decontaminate import contamination
 from duskwatch.llm.embeddings import link_vectors
 from duskwatch.llm.licences import scan_licences
 from duskwatch.llm.packing import pack_documents
 from duskwatch.llm.quality import score_documents
 from duskwatch.llm.redirects import judge_pages
+from duskwatch.llm.secrets import scan_secrets, secret_digests
 from duskwatch.llm.shuffle_shards import shard_documents
 from duskwatch.llm.simhash import near_duplicates
 from duskwatch.llm.substrings import repeated_words
@@ -19,11 +23,11 @@ from duskwatch.session import prepare
 TOKENIZER = "word_bpe_49k.json"
 
 
-def tokenizer_path() -> str:
-    """Of the queries' public tokenizer; the operators take any path."""
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """Of a public tokenizer the queries use; the operators take any path."""
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -70,9 +74,27 @@ def op10_wu_manber(spark, sf_dir):
     return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=10)
 
 
+def op11_fragment_monoid(spark, sf_dir):
+    aligned = align_documents(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"),
+                              digest=True)
+    return aligned.select("doc_id", *NUMBERS, F.col("groups").alias("groups_sha256"))
+
+
+def op12_four_russians(spark, sf_dir):
+    conversations = read(spark, sf_dir, "conversations")
+    return summarize(repair(damage(conversations)), conversations)
+
+
+def op13_token_efficiency(spark, sf_dir):
+    import public_tokenizers
+
+    return secret_digests(scan_secrets(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_files, op2_simhash_ball, op3_substring_factors, op4_licence_scan, op5_embedding_tiles, op6_redirect_rules,
-    op7_bin_completion, op8_rule_ensemble, op9_feistel_shards, op10_wu_manber)}
+    op7_bin_completion, op8_rule_ensemble, op9_feistel_shards, op10_wu_manber, op11_fragment_monoid, op12_four_russians,
+    op13_token_efficiency)}
 
 ORACLES = {
     "op3_substring_factors": r"""
@@ -128,3 +150,47 @@ ORACLES["op6_redirect_rules"] = r"""
     b as (select page_id, arg_max(rule, length(rule)) rule, arg_max(v, length(rule)) v
           from p join q on (host = h or ends_with(host, '.' || h)) and starts_with(path, s) group by page_id)
     select page_id, host, path, rule, coalesce(v, 'allow') verdict from p left join b using (page_id)"""
+
+# Per conversation and row, the cheapest edits that end in each state of the pattern (nothing yet, after s, u, a) as (cost, audit, lines).
+ORACLES["op12_four_russians"] = r"""
+    with recursive n as (
+        select conv_id, turn, coalesce(role, ' ') r0, coalesce(text, ' ') t0,
+               xor(list_reduce([4294967295::bigint] || flatten(list_transform(
+                       string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''),
+                       lambda ch: [ascii(ch)::bigint] || list_transform(range(8), lambda b: -1::bigint))),
+                   lambda v, b: case when b >= 0 then xor(v, b) when v & 1 = 1 then xor(v >> 1, 3988292384::bigint) else v >> 1 end),
+                   4294967295::bigint) % 20 k from conversations),
+    d as (select conv_id, turn, case k when 4 then 'user' else r0 end r,
+                 case k when 1 then '' when 2 then regexp_replace(t0, '[.!?]', '', 'g') else t0 end x
+          from n, unnest(range(case k when 3 then 2 else 1 end)) c(copy) where k <> 0),
+    o as (select *, row_number() over w i, row_number() over (partition by conv_id, r, x order by turn nulls first) seen,
+                 lag(left(r, 1)) over w before, rtrim(x, e' \t\n\x0b\x0c\r') body
+          from d window w as (partition by conv_id order by turn nulls first, r, x)),
+    f as (select *, case when body = '' then 'b' when seen > 1 then 'd' when right(body, 1) not in ('.', '!', '?') then 't' else '' end fault,
+                 left(r, 1) q, r || ':' || x line from o),
+    g as (select conv_id, count(*) rows, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) gaps, count_if(fault = 'b') blank,
+                 count_if(fault = 'd') duplicate, count_if(fault = 't') truncated,
+                 count_if(before is not null and before || q not in ('su', 'ua', 'au')) illegal from f group by conv_id),
+    z as (select conv_id, 0::bigint i, {'c': 0, 'a': '', 'l': []::varchar[]} s0, {'c': 9000000, 'a': '', 'l': []::varchar[]} ss,
+                 {'c': 3, 'a': 'I', 'l': ['user:']} su, {'c': 6, 'a': 'II', 'l': ['user:', 'assistant:']} sa from g
+          union all
+          select conv_id, i, s0, ss, v.su, list_min([v.sa, {'c': v.su.c + 3, 'a': v.su.a || 'I', 'l': list_append(v.su.l, 'assistant:')}])
+          from (select conv_id, i, s0, ss, list_min([pu] || list_transform([s0, ss, pa], lambda y: {'c': y.c + 3, 'a': y.a || 'I', 'l': list_append(y.l, 'user:')})) su,
+                       pa sa from (
+              select f.conv_id, f.i, f.fault in ('b', 'd') gone, case f.fault when 't' then 3 else 0 end e,
+                     {'c': s0.c + 4, 'a': s0.a || 'D', 'l': s0.l} s0,
+                     list_min([{'c': ss.c + 4, 'a': ss.a || 'D', 'l': ss.l},
+                               {'c': s0.c + e + case when q = 's' and not gone then 0 else 9000000 end, 'a': s0.a || 'K', 'l': list_append(s0.l, line)}]) ss,
+                     list_min([{'c': su.c + 4, 'a': su.a || 'D', 'l': su.l}]
+                         || list_transform([s0, ss, sa], lambda y: {'c': y.c + e + case when q = 'u' and not gone then 0 else 9000000 end, 'a': y.a || 'K', 'l': list_append(y.l, line)})
+                         || list_transform([s0, ss, sa], lambda y: {'c': y.c + 3 + e + case when gone then 9000000 else 0 end, 'a': y.a || 'R', 'l': list_append(y.l, 'user:' || x)})) pu,
+                     list_min([{'c': sa.c + 4, 'a': sa.a || 'D', 'l': sa.l},
+                               {'c': su.c + e + case when q = 'a' and not gone then 0 else 9000000 end, 'a': su.a || 'K', 'l': list_append(su.l, line)},
+                               {'c': su.c + 3 + e + case when gone then 9000000 else 0 end, 'a': su.a || 'R', 'l': list_append(su.l, 'assistant:' || x)}]) pa
+              from z join f on f.conv_id is not distinct from z.conv_id and f.i = z.i + 1)) v),
+    h as (select z.conv_id, gaps, blank, duplicate, truncated, illegal, list_min([s0, sa]) best
+          from z join g on g.conv_id is not distinct from z.conv_id and z.i = g.rows)
+    select a.conv_id, coalesce(gaps, 0)::bigint gaps, coalesce(blank, 0)::bigint blank, coalesce(duplicate, 0)::bigint duplicate,
+           coalesce(truncated, 0)::bigint truncated, coalesce(illegal, 0)::bigint illegal, coalesce(best.c, 0)::bigint cost,
+           coalesce(best.a, '') audit, sha256(coalesce(array_to_string(best.l, chr(10)), '')) repaired_sha256
+    from (select distinct conv_id from conversations) a left join h on h.conv_id is not distinct from a.conv_id"""

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from duskwatch.llm.batches import LOWER_TABLE, byte_slices, byte_texts
 from duskwatch.llm.components import components
@@ -68,15 +69,15 @@ def fingerprints(texts: list[bytes], shingle: int) -> np.ndarray:
     return out
 
 
-def add_fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, key (a hash of the text, which tells rows of one doc_id apart) and fp (the 64 bits as a signed long)."""
+def add_fingerprints(docs: DataFrame, shingle: int, *kept: str) -> DataFrame:
+    """The columns ``kept`` and fp (the 64 bits as a signed long) of every row."""
     def run(batches):
         for part in byte_slices(batches, "text"):
             fp = fingerprints(byte_texts(part, "text"), shingle)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("key"), pa.array(fp.view(np.int64))], ["doc_id", "key", "fp"])
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], pa.array(fp.view(np.int64))], [*kept, "fp"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), text_key().alias("key")).mapInArrow(
-        run, "doc_id bigint, key bigint, fp bigint")
+    rows = docs.select(*kept, F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, T.StructType([*[rows.schema[c] for c in kept], T.StructField("fp", T.LongType())]))
 
 
 def text_key():
@@ -101,26 +102,30 @@ def ball_links(prints: DataFrame) -> DataFrame:
     return pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2)
 
 
-def _labelled(docs: DataFrame, shingle: int) -> DataFrame:
-    rows = settle(add_fingerprints(docs, shingle), "fingerprints")
+def _labelled(docs: DataFrame, shingle: int, *kept: str) -> DataFrame:
+    """``kept`` columns, fp, root (of the fingerprint's component) and component_id of every row."""
+    rows = settle(add_fingerprints(docs, shingle, *kept), "fingerprints")
     prints = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "prints")
     roots = components(ball_links(prints), "a", "b")
     rooted = prints.join(roots, prints.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     classes = settle(
-        rooted.join(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "root").select("fp", "component_id"), "classes")
+        rooted.join(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "root").select("fp", "root", "component_id"), "classes")
     return rows.join(classes, "fp")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable over links of at most 2 bits)."""
-    return _labelled(docs, shingle).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return _labelled(named, shingle, "doc_id").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """The documents, all columns, whose doc_id is the smallest of their component. Rows that repeat that doc_id in the
-    component are the same document and stay; rows without a doc_id cannot be told apart and stay."""
-    gone = _labelled(docs.where("doc_id is not null"), shingle).where("doc_id != component_id").select(
-        F.col("doc_id").alias("_gone"), F.col("key").alias("_gone_key")).distinct()
-    kept = fold(docs, "doc_id", "text").join(gone, (F.col("doc_id") == F.col("_gone")) & (text_key() == F.col("_gone_key")), "left_anti")
-    return unfold(kept, docs.columns, "doc_id", "text")
+    """The documents, all columns, one row of every component: the one with the smallest doc_id (nulls last), then text hash, then row.
+
+    Rows are told apart by a number that is stored with them, so rows that repeat a doc_id or have none go like any other.
+    """
+    rows = settle(fold(docs, "doc_id", "text").withColumn("at", F.monotonically_increasing_id()), "rows")
+    labelled = settle(_labelled(rows.select("doc_id", "text", text_key().alias("key"), "at"), shingle, "doc_id", "key", "at"), "labelled")
+    first = labelled.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "at")).alias("first"))
+    gone = settle(labelled.join(first, "root").where("at != first.at").select("at"), "gone")
+    return unfold(rows.join(gone, "at", "left_anti"), docs.columns, "doc_id", "text")

@@ -58,7 +58,21 @@ def test_simhash_agrees_with_all_pairs(spark):
     assert len(set(of)) < len(rows) - 30
     kept = keep_one(docs)
     assert kept.columns == docs.columns
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(d for d, _, c in want if d == c)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for _, _, c in want})
+
+
+def test_one_row_stays_of_repeated_and_missing_ids(spark):
+    pick = random.Random(4)
+    texts = [" ".join("".join(pick.choices("abcdefgh", k=6)) for _ in range(50)) for _ in range(6)]
+    long = " ".join("".join(pick.choices("abcdefgh", k=6)) for _ in range(40_000))
+    rows = [(1, texts[0])] * 3 + [(None, texts[1])] * 4 + [(None, texts[2]), (9, texts[2]), (9, texts[2]), (5, texts[3]), (5, texts[4]), (7, long), (8, long)]
+    docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as at", "'r' as root", "2 as fp").repartition(4)
+    got = keep_one(docs)
+    assert got.columns == docs.columns
+    want = [(1, texts[0]), (None, texts[1]), (9, texts[2]), (5, texts[3]), (5, texts[4]), (7, long)]
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted(want, key=str)
+    found = near_duplicates(docs).toPandas()
+    assert len(found) == len(rows) and found.component_id.isna().sum() == 4
 
 
 def test_simhash_with_chains_of_bits(spark):

@@ -160,6 +160,6 @@ def test_pipeline_stages_against_brute_force(spark):
 def test_registered(spark):
     import __spark_entry__ as entry
     names = list(entry.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names and set(ORACLES) <= set(QUERIES) <= set(names)

@@ -258,6 +258,21 @@ def _score_laws(table: str) -> str:
 _STORED_AS_EV = EV.replace("ev AS (", "ev_in AS (") + ",\n" + PARSED.replace("FROM ev\n", "FROM ev_in\n") + ",\nev AS (SELECT * FROM stored)"
 _FEED_IN = FEED.replace("FROM ev WHERE", "FROM ev_in WHERE")
 
+
+
+def _late_sql(rule: str, relevant: str, key: str) -> str:
+    """All alerts, as if nothing had been late, and the rows that came after their hour had been closed for a day."""
+    return _al(rule).rstrip() + f""",
+  lim AS (SELECT floor(epoch(min(event_time))) AS lo, floor(epoch(max(event_time))) AS hi FROM ev),
+  arr AS (SELECT id, {key} AS key, event_time, epoch_ms(event_time) AS ms, least(floor((floor(epoch(event_time))
+      + CASE WHEN id % 7 = 0 THEN 691200 ELSE 0 END - lo) * 3 / (hi + 1 - lo)), 3) AS part FROM ev, lim WHERE {relevant}),
+  clk AS (SELECT p.part, max(a.ms) AS newest FROM (SELECT DISTINCT part FROM arr) p JOIN arr a ON a.part < p.part GROUP BY p.part)
+  SELECT 'alert' AS what, {key} AS key, {_t('detected_at')} AS at, event_ids AS ids FROM al
+  UNION ALL
+  SELECT 'late', key, {_t('event_time')}, id::VARCHAR FROM arr JOIN clk USING (part)
+  WHERE (floor(ms / 3600000.0) + 1) * 3600000 + 86400000 <= newest"""
+
+
 ORACLES = {
     "s1_raw_scan": _with(EV, LINES) + "SELECT source_type, raw_message FROM ln WHERE source_type = 'windows_auth'",
     "s2_all_sources_scan": _with(EV, LINES) + """SELECT source_type, count(*) AS n, sum(length(raw_message))::BIGINT AS chars
@@ -407,6 +422,8 @@ ORACLES = {
     "t4_stream_intel_match": _with(EV, FEED) + _HITS,
     "t5_stream_alert_sink": _D5_SQL,
     "t6_stream_travel": _D2_SQL,
+    "t7_late_data": _late_sql("D1", "event_type = 'login_failure' AND src_ip IS NOT NULL", "src_ip"),
+    "t7_late_travel": _late_sql("D2", "event_type = 'login_success' AND src_ip IS NOT NULL AND username IS NOT NULL", "username"),
     "t8_scheduled_refresh": _al("D1", "D2", "D3", "D4", "D5", "D6", ev=_STORED_AS_EV).replace(FEED, _FEED_IN)
         + "SELECT rule_name, count(*) AS n, sum(n_events)::BIGINT AS n_events FROM al GROUP BY rule_name",
 }

@@ -28,7 +28,8 @@ from duskwatch.sources import export
 from duskwatch.sources.driver_tables import as_lines, events_norm, feed_from_events, map_events
 from duskwatch.sources.lines import read_all_lines, read_lines
 from duskwatch.sources.tables import Store
-from duskwatch.streaming import incremental, pipelines
+from duskwatch.streaming import keyed, pipelines
+from duskwatch.streaming import late as late_rule
 
 LOOSE = Settings(brute_force_threshold=5, brute_force_minutes=24 * 60,
                  multi_fail_threshold=3, multi_fail_minutes=24 * 60)
@@ -610,16 +611,68 @@ def t2_stream_failure_counts(spark, sf_dir):
     return _time(pipelines.latest_counts(spark, folder), "bucket")
 
 
-def _incremental(spark, sf_dir, rule) -> DataFrame:
-    store = Store(prepare(spark), new_scratch(spark, "store"))
-    job = incremental.Incremental(spark, rule, store.persist_alerts, new_scratch(spark, "state"), lateness=timedelta(hours=24))
-    incremental.run(_event_stream(spark, sf_dir), job, new_scratch(spark, "checkpoint")).awaitTermination()
-    job.finish()
-    return store.alerts()
+FILES = 3
+
+
+def _arrivals(spark, sf_dir, delayed) -> list[DataFrame]:
+    """The events by when they arrive: in FILES parts of time, rows of ``delayed`` (id -> seconds) later by that much."""
+    events = _events(spark, sf_dir).drop("k")
+    seconds = F.unix_seconds("event_time")
+    low, high = events.agg(F.min(seconds), F.max(seconds)).first()
+    part = F.least(F.floor((seconds + delayed(F.col("id")) - low) * FILES / (high + 1 - low)), F.lit(FILES))
+    staged = materialize(events.withColumn("part", part), "arrivals", by="part")
+    return [staged.where(F.col("part") == k).drop("part") for k in range(FILES + 1)]
+
+
+def _beat(events: DataFrame, at: datetime) -> DataFrame:
+    """One event that moves a stream's clock."""
+    row = events.sparkSession.createDataFrame([(at, keyed.HEARTBEAT)], "event_time timestamp, event_type string")
+    return events.limit(0).unionByName(row, allowMissingColumns=True)
+
+
+def _keyed(spark, sf_dir, rule, delayed) -> tuple[Store, keyed.KeyedRun]:
+    """A stream over events that arrive in several parts; it is stopped and started again after each. A heartbeat ends it."""
+    store, folder = Store(prepare(spark), new_scratch(spark, "store")), new_scratch(spark, "arriving")
+    run = keyed.KeyedRun(spark, rule, store.persist_alerts, new_scratch(spark, "state"), lateness=timedelta(hours=24))
+    parts, checkpoint = _arrivals(spark, sf_dir, delayed), new_scratch(spark, "checkpoint")
+    parts[-1] = parts[-1].unionByName(_beat(parts[0], datetime(2030, 1, 1)))
+    for part in parts:
+        part.write.mode("append").parquet(folder)
+        run.start(spark.readStream.schema(parts[0].schema).parquet(folder), checkpoint).awaitTermination()
+    return store, run
+
+
+def _some_hours(event_id):
+    """Every fifth event comes 20 hours late, which the stream waits for."""
+    return F.when(event_id % 5 == 0, 20 * 3600).otherwise(0)
+
+
+def _some_days(event_id):
+    """Every seventh event comes eight days late: long after the stream has closed its hour."""
+    return F.when(event_id % 7 == 0, 8 * 86400).otherwise(0)
 
 
 def t3_stream_brute_force(spark, sf_dir):
-    return _alert_out(_incremental(spark, sf_dir, incremental.brute_force(LOOSE)))
+    return _alert_out(_keyed(spark, sf_dir, keyed.brute_force(LOOSE), _some_hours)[0].alerts())
+
+
+def _late_data(spark, sf_dir, rule) -> DataFrame:
+    """What is stored once late rows were repaired, and the late rows."""
+    store, run = _keyed(spark, sf_dir, rule, _some_days)
+    late = run.late_events()
+    late_rule.repair(store, rule, late, _events(spark, sf_dir))
+    alerts = store.alerts().select(F.lit("alert").alias("what"), F.col(rule.key).alias("key"), F.col("detected_at").alias("at"),
+                                   F.array_join("event_ids", ",").alias("ids"))
+    return _time(alerts.unionByName(late.select(F.lit("late").alias("what"), "key", F.col("event_time").alias("at"), F.col("id").cast("string").alias("ids"))),
+                 "at")
+
+
+def t7_late_data(spark, sf_dir):
+    return _late_data(spark, sf_dir, keyed.brute_force(LOOSE))
+
+
+def t7_late_travel(spark, sf_dir):
+    return _late_data(spark, sf_dir, keyed.impossible_travel())
 
 
 def t4_stream_off_hours(spark, sf_dir):
@@ -642,7 +695,7 @@ def t5_stream_alert_sink(spark, sf_dir):
 
 
 def t6_stream_travel(spark, sf_dir):
-    return _alert_out(_incremental(spark, sf_dir, incremental.impossible_travel()), description=False)
+    return _alert_out(_keyed(spark, sf_dir, keyed.impossible_travel(), _some_hours)[0].alerts(), description=False)
 
 
 def t8_scheduled_refresh(spark, sf_dir):

@@ -48,7 +48,13 @@ def detect_brute_force(events: DataFrame, settings: Settings = Settings(), hot:
     """Repeated login failures from one address within a short span."""
     k, minutes = settings.brute_force_threshold, settings.brute_force_minutes
     failures = events.filter(KEYED_RULES[BRUTE_FORCE][1])
-    found = threshold_windows(failures, "src_ip", k, minutes * MINUTE_US, ("username",), settings.max_rows_per_task, hot)
+    return brute_force_alerts(
+        threshold_windows(failures, "src_ip", k, minutes * MINUTE_US, ("username",), settings.max_rows_per_task, hot), settings)
+
+
+def brute_force_alerts(found: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Alerts of windows of failures (``src_ip``, ``event_time``, ``members``)."""
+    k, minutes = settings.brute_force_threshold, settings.brute_force_minutes
     ip, users = F.col("src_ip"), F.array_sort(F.array_distinct(F.array_compact(F.col("members.username"))))
     return alert_rows(
         found, rule=BRUTE_FORCE, severity="high", src_ip=ip, username=F.col("members")[k - 1]["username"],
@@ -62,8 +68,13 @@ def detect_multiple_failed_auth(events: DataFrame, settings: Settings = Settings
     """Repeated authentication failures of one account over all sources."""
     k, minutes = settings.multi_fail_threshold, settings.multi_fail_minutes
     failures = events.filter(KEYED_RULES[MULTI_FAIL][1])
-    found = threshold_windows(failures, "username", k, minutes * MINUTE_US, ("src_ip", "source_type"),
-                              settings.max_rows_per_task, hot)
+    return multiple_failed_auth_alerts(
+        threshold_windows(failures, "username", k, minutes * MINUTE_US, ("src_ip", "source_type"), settings.max_rows_per_task, hot), settings)
+
+
+def multiple_failed_auth_alerts(found: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Alerts of windows of failures (``username``, ``event_time``, ``members``)."""
+    k, minutes = settings.multi_fail_threshold, settings.multi_fail_minutes
     user, sources = F.col("username"), F.array_sort(F.array_distinct(F.col("members.source_type")))
     return alert_rows(
         found, rule=MULTI_FAIL, severity="high", src_ip=F.col("members")[k - 1]["src_ip"], username=user,
@@ -89,10 +100,14 @@ def login_pairs(events: DataFrame, settings: Settings = Settings(), ranges: Data
         logins = geo.locate_all(logins, ranges, max_broadcast_rows=settings.max_broadcast_rows)
     rows = split.apply(logins, context_rows=1)
     order = Window.partitionBy("username", "slice").orderBy("event_time", "id")
-    rows = rows.withColumn("previous", F.lag(F.struct("id", "event_time", "src_ip", "geo", "_at")).over(order))
+    rows = rows.withColumn("previous", F.lag(F.struct("id", "event_time", "src_ip", "geo")).over(order))
+    return measured(rows.filter("own AND previous IS NOT NULL"))
+
+
+def measured(pairs: DataFrame) -> DataFrame:
+    """Located logins with their ``previous`` one: ``seconds``, ``distance_km`` and ``speed_kmh`` between them."""
     a, b = F.col("previous.geo"), F.col("geo")
-    return (rows.filter("own AND previous IS NOT NULL")
-            .withColumn("seconds", (F.col("_at") - F.col("previous._at")) / 1e6)
+    return (pairs.withColumn("seconds", (micros() - F.unix_micros("previous.event_time")) / 1e6)
             .withColumn("distance_km", haversine_km(a["lat"], a["lon"], b["lat"], b["lon"]))
             .withColumn("speed_kmh", speed_kmh(F.col("distance_km"), F.col("seconds")))
             .select("username", "event_time", "id", "src_ip", "geo", "previous", "seconds", "distance_km", "speed_kmh"))
@@ -101,8 +116,13 @@ def login_pairs(events: DataFrame, settings: Settings = Settings(), ranges: Data
 def detect_impossible_travel(events: DataFrame, settings: Settings = Settings(),
                              ranges: DataFrame | None = None, hot: list | None = None) -> DataFrame:
     """Consecutive logins of a user in two cities that no flight connects in time."""
+    return travel_alerts(login_pairs(events, settings, ranges, hot), settings)
+
+
+def travel_alerts(pairs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Alerts of ``measured`` pairs."""
     prev, here, user = F.col("previous"), F.col("geo"), F.col("username")
-    found = login_pairs(events, settings, ranges, hot).filter(
+    found = pairs.filter(
         (prev["geo"]["city"] != here["city"]) & (F.col("speed_kmh") > settings.max_travel_kmh))
     speed = F.col("speed_kmh")
     speed_text = F.when(speed == float("inf"), F.lit("inf")).otherwise(F.format_number(F.bround(speed, 0), 0))

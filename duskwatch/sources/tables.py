@@ -28,13 +28,13 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, path: str, schema):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
 
-    def versions(self) -> list[int]:
+    def versions(self, label: str = "v") -> list[int]:
         """Complete versions, ascending."""
         jvm = self.spark._jvm
-        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path}/v=*/_SUCCESS")
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{label}=*/_SUCCESS")
         fs = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
         found = fs.globStatus(pattern) or []
-        return sorted(int(s.getPath().getParent().getName()[2:]) for s in found)
+        return sorted(int(s.getPath().getParent().getName().partition("=")[2]) for s in found)
 
     def read(self, version: int | None = None) -> DataFrame:
         if version is None:
@@ -130,9 +130,30 @@ class Store:
 
     # ---- alerts: append if new
 
-    def alerts(self) -> DataFrame:
+    def _stored_alerts(self) -> DataFrame:
         return self._read("alerts", schemas.ALERTS, "detected_date date").select(*ALERT_COLUMNS, "detected_date")
 
+    def alerts(self) -> DataFrame:
+        """Stored alerts, without those that later data withdrew."""
+        stored, path = self._stored_alerts(), f"{self.root}/alert_changes"
+        if not self._exists(path):
+            return stored
+        return stored.join(self._withdrawn(), "alert_id", "left_anti").select(*stored.columns)
+
+    def _withdrawn(self) -> DataFrame:
+        changes = self.spark.read.schema("alert_id string, withdrawn boolean, change bigint").parquet(f"{self.root}/alert_changes")
+        return changes.groupBy("alert_id").agg(F.max_by("withdrawn", "change").alias("withdrawn")).where("withdrawn").select("alert_id")
+
+    def change_alerts(self, ids: DataFrame, withdrawn: bool) -> int:
+        """Withdraw the alerts of ``ids`` (alert_id), or let withdrawn ones hold again; returns how many. The newest change counts."""
+        staged = materialize(ids.select("alert_id").distinct(), "alert-changes")
+        n = staged.count()
+        if n:
+            known = VersionedTable(self.spark, f"{self.root}/alert_changes", None).versions("change")
+            path = f"{self.root}/alert_changes/change={(known[-1] + 1 if known else 0):012d}"
+            staged.withColumn("withdrawn", F.lit(withdrawn)).write.mode("overwrite").parquet(path)
+        return n
+
     def persist_alerts(self, alerts: DataFrame) -> int:
         """Store alerts whose (rule, set of event ids) is new; returns how many were stored."""
         staged = materialize(alerts.select(*ALERT_COLUMNS), "alerts-staged")
@@ -140,7 +161,9 @@ class Store:
         if days.lo is None:
             return 0
         # The same evidence gives the same detected_at, so only its days can hold a duplicate.
-        stored = self.alerts().filter(F.col("detected_date").between(F.lit(days.lo), F.lit(days.hi)))
+        stored = self._stored_alerts().filter(F.col("detected_date").between(F.lit(days.lo), F.lit(days.hi)))
+        if self._exists(f"{self.root}/alert_changes"):
+            self.change_alerts(staged.join(self._withdrawn(), "alert_id", "left_semi"), withdrawn=False)
         new = materialize(not_stored(staged, stored), "alerts-new")
         written = new.count()
         if written:

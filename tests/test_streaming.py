@@ -4,13 +4,15 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from duskwatch.operators import detect
 from duskwatch.plans import searches
 from duskwatch.schemas import EVENTS, INTEL
 from duskwatch.settings import Settings
 from duskwatch.sources.tables import Store
-from duskwatch.streaming import incremental, pipelines
+from duskwatch.streaming import keyed, pipelines
+from duskwatch.streaming import late as late_rule
 
 BASE = datetime(2026, 7, 1)
 S = Settings(brute_force_threshold=3, brute_force_minutes=30, multi_fail_threshold=4, multi_fail_minutes=90)
@@ -38,43 +40,93 @@ def arriving(spark, tmp_path_factory):
     return folder, spark.read.schema(EVENTS).parquet(folder)
 
 
-@pytest.mark.parametrize("make,batch", [
-    (incremental.brute_force, detect.detect_brute_force),
-    (incremental.multiple_failed_auth, detect.detect_multiple_failed_auth),
-    (incremental.impossible_travel, detect.detect_impossible_travel)])
-def test_stateful_stream_equals_batch(spark, arriving, tmp_path, make, batch):
-    folder, all_events = arriving
-    store = Store(spark, str(tmp_path / "store"))
-    job = incremental.Incremental(spark, make(S), store.persist_alerts, str(tmp_path / "state"), timedelta(hours=37))
-    seen = {}
-
-    def twice(df, batch_id):  # one micro-batch is replayed, as after a lost driver
-        job.process(df, batch_id)
-        if batch_id == 2:
-            before = store.alerts().count()
-            job.process(df, batch_id)
-            seen["replay adds"] = store.alerts().count() - before
-
-    stream = pipelines.stream_event_table(spark, folder, maxFilesPerTrigger=1)
-    (stream.writeStream.foreachBatch(twice).option("checkpointLocation", str(tmp_path / "ck"))
-     .trigger(availableNow=True).start().awaitTermination())
-    assert job.clock.versions() == [0, 1, 2, 3, 4] and seen == {"replay adds": 0}
-    job.finish()
+def shown(alerts):
     columns = ["alert_id", "rule_name", "src_ip", "username", "title", "description", "event_ids", "detected_at"]
-    want = sorted(map(str, batch(all_events, S).select(*columns).collect()))
-    assert sorted(map(str, store.alerts().select(*columns).collect())) == want and len(want) > 10
-    assert job.carry.read().count() <= 12
+    return sorted(map(str, alerts.select(*columns).collect()))
 
 
-def test_late_rows_are_kept_aside(spark, tmp_path):
+@pytest.mark.parametrize("make,batch", [
+    (keyed.brute_force, detect.detect_brute_force),
+    (keyed.multiple_failed_auth, detect.detect_multiple_failed_auth),
+    (keyed.impossible_travel, detect.detect_impossible_travel)])
+def test_keyed_state_and_repair_equal_batch(spark, tmp_path, make, batch):
+    """Parts of time, each with rows of hours and of a day before; the stream stops and starts again after each."""
+    events = make_events(spark, 600).repartition(4).cache()
+    rule, store = make(S), Store(spark, str(tmp_path / "store"))
+    run = keyed.KeyedRun(spark, rule, store.persist_alerts, str(tmp_path / "state"), timedelta(hours=13), timedelta(minutes=30))
+    hours = "floor((unix_seconds(event_time) - unix_seconds(timestamp'2026-07-01')) / 3600)"
+    arrives = f"floor(({hours} + CASE WHEN id % 5 = 0 THEN 11 WHEN id % 11 = 0 THEN 40 ELSE 0 END) / 30)"
+    folder = str(tmp_path / "in")
+    for part in range(4):
+        rows = events.filter(f"{arrives} = {part}")
+        if part == 3:
+            beat = spark.createDataFrame([(BASE + timedelta(days=9), keyed.HEARTBEAT)], "event_time timestamp, event_type string")
+            rows = rows.unionByName(beat, allowMissingColumns=True)
+        rows.coalesce(1).write.mode("append").parquet(folder)
+        run.start(pipelines.stream_event_table(spark, folder, maxFilesPerTrigger=1), str(tmp_path / "ck")).awaitTermination()
+    late = run.late_events()
+    ids = [r.id for r in late.collect()]
+    assert len(ids) == len(set(ids)) and 5 < len(ids) < 120
+    in_time = events.filter(~events.id.isin(ids))
+    assert shown(store.alerts()) == shown(batch(in_time, S)) != shown(batch(events, S))
+    done = late_rule.repair(store, rule, late, events, max_rows=50, first_span=timedelta(hours=1))
+    assert shown(store.alerts()) == shown(batch(events, S)) and done.added + done.withdrawn > 0
+    assert late_rule.repair(store, rule, late, events) == late_rule.Repaired(0, 0)
+    # an alert that was withdrawn and is raised again holds again, once
+    assert store.change_alerts(store.alerts().limit(1), withdrawn=True) == 1
+    assert store.alerts().count() == batch(events, S).count() - 1
+    store.persist_alerts(batch(events, S))
+    assert shown(store.alerts()) == shown(batch(events, S))
+
+
+def test_folds_agree_with_batch_rules(spark):
+    events = make_events(spark, 400).filter("event_type = 'login_failure' AND src_ip IS NOT NULL").orderBy("event_time", "id").collect()
+    rows = [{"at": int((r.event_time - BASE).total_seconds() * 1e6), "id": r.id, "src_ip": r.src_ip} for r in events]
+    for k in (1, 2, 3, 6):
+        fold = keyed.Threshold(k, 4 * 3600 * 10**6)
+        whole, rest = fold([], rows)
+        found, open_rows = [], []
+        for cut in range(0, len(rows), 7):  # in pieces as in one go
+            some, open_rows = fold(open_rows, rows[cut:cut + 7])
+            found += some
+        assert (found, open_rows) == (whole, rest) and len(open_rows) <= k - 1
+        assert all(len(w) == k and w[-1]["at"] - w[0]["at"] <= fold.reach_us for w in whole) and whole
+    pairs, last = keyed.Previous(10**12)([], rows)
+    assert last == rows[-1:] and all(a["src_ip"] != b["src_ip"] for a, b in pairs)
+
+
+def test_a_micro_batch_writes_what_it_brings(spark, tmp_path):
+    """Thousands of rows wait; a few more cost a few bytes of state."""
+    store, folder, checkpoint = Store(spark, str(tmp_path / "store")), str(tmp_path / "in"), tmp_path / "ck"
+    run = keyed.KeyedRun(spark, keyed.brute_force(S), store.persist_alerts, str(tmp_path / "state"))
+
+    def arrive(first, n):
+        rows = spark.range(first, first + n).selectExpr(
+            "id", "timestamp'2026-07-01' + make_dt_interval(0, 0, 0, id % 3000) AS event_time", "'linux_ssh' AS source_type",
+            "concat('user', id) AS username", "concat('10.0.0.', id % 4) AS src_ip", "'login_failure' AS event_type")
+        before = sum(f.stat().st_size for f in checkpoint.rglob("*") if f.is_file())
+        rows.select(*[F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in EVENTS]).write.mode(
+            "append").parquet(folder)
+        run.start(pipelines.stream_event_table(spark, folder), str(checkpoint)).awaitTermination()
+        return sum(f.stat().st_size for f in checkpoint.rglob("*") if f.is_file()) - before
+
+    arrive(0, 10)
+    many, few = arrive(10, 20_000), arrive(20_010, 10)
+    assert few < many / 4 and store.alerts().count() == 0
+
+
+def test_late_rows_are_kept_with_their_batch(spark, tmp_path):
     row = lambda i, hour: (i, datetime(2026, 7, 1) + timedelta(hours=hour), "linux_ssh", "eve", "10.0.0.1", "login_success")
     store = Store(spark, str(tmp_path / "store"))
-    job = incremental.Incremental(spark, incremental.impossible_travel(), store.persist_alerts, str(tmp_path / "state"), timedelta(hours=2))
-    assert job.late_events().count() == 0
-    for batch, rows in enumerate([[row(1, 0), row(2, 9)], [row(3, 8), row(4, 5), row(5, 10)]]):
-        for _ in range(2):  # a replay keeps each late row once
-            job.process(spark.createDataFrame(rows, incremental.ROWS), batch)
-    assert [(r.id, r.batch) for r in job.late_events().collect()] == [(4, 1)]
+    run = keyed.KeyedRun(spark, keyed.impossible_travel(), store.persist_alerts, str(tmp_path / "state"), timedelta(hours=2))
+    folder = str(tmp_path / "in")
+    for rows in [[row(1, 0), row(2, 9)], [row(3, 8), row(4, 5), row(5, 10)]]:
+        spark.createDataFrame(rows, "id long, event_time timestamp, source_type string, username string, src_ip string, event_type string").write.mode(
+            "append").parquet(folder)
+        stream = spark.readStream.schema("id long, event_time timestamp, source_type string, username string, src_ip string, event_type string").parquet(folder)
+        run.start(stream, str(tmp_path / "ck")).awaitTermination()
+    assert [r.id for r in run.late_events().collect()] == [4]
+    assert late_rule.repair(store, run.rule, run.late_events().limit(0), run.late_events()) == late_rule.Repaired(0, 0)
 
 
 def test_counts_and_stateless_rules(spark, arriving, tmp_path):

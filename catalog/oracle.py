@@ -232,7 +232,10 @@ _OLD_KEYS = """old AS (
   WHERE src_ip IN (SELECT ip FROM feed) AND event_time < {cut} GROUP BY src_ip
   UNION ALL
   SELECT 'unusual_login_hours', id::VARCHAR FROM ev
-  WHERE event_type = 'login_success' AND (hour(event_time) < 6 OR hour(event_time) >= 22) AND event_time < {cut})""".format(cut=_CUT)
+  WHERE event_type = 'login_success' AND (hour(event_time) < 6 OR hour(event_time) >= 22) AND event_time < {cut}
+  UNION ALL
+  SELECT rule_name, event_ids FROM al WHERE rule_name IN ('brute_force_login', 'impossible_travel', 'multiple_failed_auth')
+  AND detected_at < {cut})""".format(cut=_CUT)
 _FRESH = "NOT EXISTS (SELECT 1 FROM old WHERE old.rule_name = al.rule_name AND old.ids = al.event_ids)"
 _ALL_PLUS = lambda cte: ALL.rstrip() + ",\n" + cte + "\n"
 
@@ -289,7 +292,7 @@ ORACLES = {
         'events' AS source, CASE WHEN a.ip IS NULL THEN '2024-02-01 00:00:00.000000' ELSE '2024-01-01 00:00:00.000000' END AS added_at
         FROM a FULL JOIN b ON a.ip = b.ip""",
     "s9_known_bad_ips": _with(EV, FEED) + "SELECT ip AS src_ip FROM feed",
-    "s10_alert_sink": _al("D3", "D4", "D5").rstrip() + ",\n" + _OLD_KEYS + f"""
+    "s10_alert_sink": ALL.rstrip() + ",\n" + _OLD_KEYS + f"""
         SELECT 'older events' AS run, count(*) AS written FROM old
         UNION ALL SELECT 'all events', count(*) FROM al WHERE {_FRESH}
         UNION ALL SELECT 'all events again', 0""",
@@ -298,6 +301,10 @@ ORACLES = {
         'siem' AS index, id::VARCHAR AS id, username, src_ip, event_type FROM ev""",
     "s13_alert_export": ALL + f"""SELECT {_EPOCH.format('epoch_us(detected_at)')} AS time, 'siem:alert' AS sourcetype, 'siem' AS index, rule_name,
         risk_score::DECIMAL(5, 2)::VARCHAR AS risk_score, '[' || replace({_IDS}, ',', ', ') || ']' AS event_ids, title FROM al""",
+    "s13_alert_evidence": ALL.rstrip() + """,
+        ids AS (SELECT rule_name, title, CAST(unnest(string_split(event_ids, ',')) AS BIGINT) AS id FROM al)
+        SELECT 'siem:alert:evidence' AS sourcetype, rule_name, title, count(*) AS n, CAST(sum(id) AS BIGINT) AS id_sum, min(id) AS first_id
+        FROM ids GROUP BY rule_name, title""",
     "s14_dashboard_scan": ALL + f"SELECT rule_name, title, {_t('detected_at')} AS detected_at, status FROM al",
 
     "n1_windows": _P + f"""SELECT {_EVENT_COLS}, id, CASE was WHEN 'login_success' THEN '4624' WHEN 'login_failure' THEN '4625'
@@ -330,7 +337,7 @@ ORACLES = {
     "j3_login_pairs": _with(EV, PAIRS) + """SELECT id, previous_id, username, round(seconds, 6) AS seconds, city, previous_city,
         round(distance_km, 6) AS distance_km, CASE WHEN seconds <= 0 THEN 'inf'::DOUBLE ELSE round(speed_kmh, 6) END AS speed_kmh FROM pairs""",
     "j4_failures_before_login": _F + "SELECT id, username, failed_attempts_1h FROM feats",
-    "j5_new_alerts": _al("D4", "D5").rstrip() + ",\n" + FEED + ",\n" + _OLD_KEYS + f"\nSELECT {_alert_cols()} FROM al WHERE {_FRESH}",
+    "j5_new_alerts": _ALL_PLUS(_OLD_KEYS) + f"SELECT {_alert_cols(False)} FROM al WHERE {_FRESH}",
     "j6_raw_line": _with(EV, LINES) + "SELECT id, source_type, length(raw_message)::INTEGER AS line_length FROM ln",
     "j7_intel_enrichment": _with(EV, FEED) + """SELECT id, src_ip, category AS intel_category, confidence::VARCHAR AS intel_confidence
         FROM ev LEFT JOIN feed ON ip = src_ip""",
@@ -404,6 +411,16 @@ ORACLES = {
         count(DISTINCT src_ip) AS distinct_ips, round(avg(risk_score), 1) AS avg_risk FROM al WHERE {_in_range(24 * 7)}""",
     "q13_recent_panel": _ALL_PLUS(f"top AS (SELECT * FROM al WHERE {_in_range(24 * 7)} ORDER BY {_NEWEST} LIMIT 50)")
         + f"SELECT {_t('detected_at')} AS detected_at, rule_name, severity, username, src_ip, title, risk_score FROM top",
+    "q13_rule_panel": ALL + f"SELECT rule_name, count(*) AS count FROM al WHERE {_in_range(24 * 7)} GROUP BY rule_name",
+    "q13_top_ips_panel": ALL + f"""SELECT src_ip, count(*) AS alerts, max(risk_score) AS max_risk FROM al WHERE src_ip IS NOT NULL AND {_in_range(24 * 7)}
+        GROUP BY src_ip ORDER BY alerts DESC, src_ip LIMIT 10""",
+    "q13_hour_severity_panel": ALL.rstrip() + f""",
+        wk AS (SELECT * FROM al WHERE {_in_range(24 * 7)}),
+        hr AS (SELECT unnest(generate_series((SELECT date_trunc('hour', min(detected_at)) FROM wk), (SELECT date_trunc('hour', max(detected_at)) FROM wk),
+               INTERVAL 1 HOUR)) AS hour)
+        SELECT {_t('hour')} AS hour, count(*) FILTER (WHERE severity = 'low') AS low, count(*) FILTER (WHERE severity = 'medium') AS medium,
+        count(*) FILTER (WHERE severity = 'high') AS high, count(*) FILTER (WHERE severity = 'critical') AS critical
+        FROM hr LEFT JOIN wk ON date_trunc('hour', detected_at) = hour GROUP BY hr.hour""",
     "q14_recent_alerts": _ALL_PLUS(f"top AS (SELECT * FROM al ORDER BY {_NEWEST} LIMIT 50)")
         + f"SELECT {_t('detected_at')} AS detected_at, rule_name, severity, username, src_ip, title, risk_score FROM top",
 
@@ -424,6 +441,10 @@ ORACLES = {
     "t6_stream_travel": _D2_SQL,
     "t7_late_data": _late_sql("D1", "event_type = 'login_failure' AND src_ip IS NOT NULL", "src_ip"),
     "t7_late_travel": _late_sql("D2", "event_type = 'login_success' AND src_ip IS NOT NULL AND username IS NOT NULL", "username"),
-    "t8_scheduled_refresh": _al("D1", "D2", "D3", "D4", "D5", "D6", ev=_STORED_AS_EV).replace(FEED, _FEED_IN)
-        + "SELECT rule_name, count(*) AS n, sum(n_events)::BIGINT AS n_events FROM al GROUP BY rule_name",
+    # two ticks: an address or account that was active in both has an alert of each
+    "t8_scheduled_refresh": (_al("D1", "D2", "D3", "D4", "D5", "D6", ev=_STORED_AS_EV).rstrip() + ",\n" + _OLD_KEYS).replace(FEED, _FEED_IN) + f"""
+        SELECT rule_name, count(*) AS n, sum(n_events)::BIGINT AS n_events FROM (
+            SELECT rule_name, n_events FROM al UNION ALL
+            SELECT rule_name, len(string_split(ids, ',')) FROM old WHERE ids NOT IN (SELECT event_ids FROM al WHERE al.rule_name = old.rule_name))
+        GROUP BY rule_name""",
 }

@@ -155,7 +155,10 @@ def _summed(rows: DataFrame, keys: list[str], shown: str) -> DataFrame:
 
 def detect_suspicious_ip(events: DataFrame, intel: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One alert per known-bad address seen, over all its events."""
-    hits = intel_hits(events, intel, settings)
+    return suspicious_ip_alerts(intel_hits(events, intel, settings))
+
+
+def suspicious_ip_alerts(hits: DataFrame) -> DataFrame:
     groups = _summed(hits, ["src_ip"], "username")
     ip, n = F.col("src_ip"), F.col("n_events")
     return alert_rows(
@@ -175,7 +178,10 @@ def privilege_events(events: DataFrame, include_group_changes: bool = False) ->
 def detect_privilege_escalation(events: DataFrame, settings: Settings = Settings(),
                                 include_group_changes: bool = False) -> DataFrame:
     """One alert per (account, host) that used elevated privileges."""
-    used = privilege_events(events, include_group_changes)
+    return privilege_alerts(privilege_events(events, include_group_changes))
+
+
+def privilege_alerts(used: DataFrame) -> DataFrame:
     groups = _summed(used, ["username", "host"], "src_ip")
     user, host, n = F.col("username"), F.col("host"), F.col("n_events")
     return alert_rows(
@@ -219,6 +225,9 @@ RULES: dict[str, Callable[..., DataFrame]] = {
 }
 
 
+BUILT_IN = dict(RULES)
+
+
 def register_rule(name: str, detector: Callable[[DataFrame, DataFrame, Settings], DataFrame]) -> None:
     """Add (or replace) a detector ``(events, intel, settings) -> alerts``."""
     RULES[name] = lambda events, intel, s, hot, opt: detector(events, intel, s)
@@ -240,21 +249,38 @@ def run_all_rules(events: DataFrame, intel: DataFrame, settings: Settings = Sett
                   [RULES[name](events, intel, settings, hot, options).select(*ALERT_COLUMNS) for name in names])
 
 
-def group_evidence(events: DataFrame, intel: DataFrame, settings: Settings = Settings(),
-                   options: RuleOptions = RuleOptions(), known: DataFrame | None = None) -> DataFrame:
+GROUP_RULES = (SUSPICIOUS_IP, PRIVILEGE)
+HIT_COLUMNS = ["rule_name", "group_key", "src_ip", "username", "host", "event_time", "id"]
+
+
+def group_hits(events: DataFrame, intel: DataFrame, settings: Settings = Settings(), options: RuleOptions = RuleOptions()) -> DataFrame:
+    """The events the two group rules rest on, narrow: ``HIT_COLUMNS``. ``group_key`` names the group within its rule."""
+    def rows(rule, found, key):
+        return found.select(F.lit(rule).alias("rule_name"), key.alias("group_key"), *HIT_COLUMNS[2:])
+
+    return rows(SUSPICIOUS_IP, intel_hits(events, intel, settings), F.col("src_ip")).unionByName(
+        rows(PRIVILEGE, privilege_events(events, options.include_group_changes), F.to_json(F.struct("username", "host"))))
+
+
+def group_alerts(hits: DataFrame) -> DataFrame:
+    """Alerts of both group rules from ``group_hits``."""
+    return suspicious_ip_alerts(hits.filter(F.col("rule_name") == SUSPICIOUS_IP)).unionByName(
+        privilege_alerts(hits.filter(F.col("rule_name") == PRIVILEGE)))
+
+
+def group_alert_ids(hits: DataFrame) -> DataFrame:
+    """(alert_id, rule_name, group_key): the alert each group of ``group_hits`` has now. Summed map-side, whatever a group's size."""
+    h1, h2 = group_hashes(F.col("id"))
+    groups = hits.groupBy("rule_name", "group_key").agg(F.count("*").alias("n"), h1.alias("_h1"), h2.alias("_h2"))
+    return groups.select(alert_id(F.col("rule_name"), F.col("n"), F.col("_h1"), F.col("_h2")).alias("alert_id"), "rule_name", "group_key")
+
+
+def group_evidence(events: DataFrame, intel: DataFrame, settings: Settings = Settings(), options: RuleOptions = RuleOptions()) -> DataFrame:
     """Evidence of the two group rules, one row per event: (alert_id, rule_name, event_time, event_id).
 
-    Alerts whose ``alert_id`` is in ``known`` are left out before any event is joined. Nothing is gathered,
-    whatever a group's size: the groups are counted, and go to the events by broadcast where they are few;
+    Nothing is gathered, whatever a group's size: the groups are counted, and go to the events by broadcast where they are few;
     otherwise AQE splits the event side of a hot group.
     """
-    def rows(rule, found, keys, shown):
-        groups = _summed(found, keys, shown)
-        ids = groups.select(*keys, alert_id(F.lit(rule), F.col("n_events"), F.col("_h1"), F.col("_h2")).alias("alert_id"))
-        if known is not None:
-            ids = ids.join(known, "alert_id", "left_anti")
-        ids = hint_if_small(materialize(ids, "groups"), settings.max_broadcast_rows)
-        return found.join(ids, keys).select("alert_id", F.lit(rule).alias("rule_name"), "event_time", F.col("id").alias("event_id"))
-
-    return rows(SUSPICIOUS_IP, intel_hits(events, intel, settings), ["src_ip"], "username").unionByName(
-        rows(PRIVILEGE, privilege_events(events, options.include_group_changes), ["username", "host"], "src_ip"))
+    hits = materialize(group_hits(events, intel, settings, options), "group-hits")
+    ids = hint_if_small(materialize(group_alert_ids(hits), "groups"), settings.max_broadcast_rows)
+    return hits.join(ids, ["rule_name", "group_key"]).select("alert_id", "rule_name", "event_time", F.col("id").alias("event_id"))

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duskwatch.operators import detect
+from duskwatch.operators.alerts import ALERT_COLUMNS
 from duskwatch.operators.features import build_features
 from duskwatch.operators.forest import train_and_score
+from duskwatch.operators.intel import known_bad_ips
 from duskwatch.operators.normalize import events_of, normalize, rejects_of
 from duskwatch.operators.normalize.base import reject_reason
 from duskwatch.schemas import EVENTS, FEATURE_COLUMNS, RAW_LOGS
@@ -19,6 +21,7 @@ from duskwatch.sources.export import alert_envelopes, event_envelopes, evidence_
 from duskwatch.sources.feed import read_feed
 from duskwatch.sources.lines import read_all_lines, read_lines
 from duskwatch.sources.tables import Store
+from duskwatch.streaming import keyed, late
 
 
 @dataclass(frozen=True)
@@ -70,15 +73,73 @@ def run_detection(store: Store, settings: Settings = Settings(), feed_path: str
                   options: detect.RuleOptions = detect.RuleOptions()) -> int:
     """Load the feed, run every rule over the stored events, store what is new; returns how many.
 
-    Evidence of group alerts is stored first. A run that dies in between leaves evidence without its alert,
+    New evidence of group alerts is logged first. A run that dies in between leaves evidence without its alert,
     which readers do not see; never an alert without its evidence.
     """
     prepare(store.spark)
     if feed_path:
         store.upsert_intel(read_feed(store.spark, feed_path, with_place=True))
     events, intel = store.events(since), store.intel.read()
-    store.persist_evidence(detect.group_evidence(events, intel, settings, options, store.known_evidence()))
-    return store.persist_alerts(detect.run_all_rules(events, intel, settings, options=options))
+    hits = materialize(detect.group_hits(events, intel, settings, options), "group-hits")
+    store.mark_alerts(detect.group_alert_ids(hits), store.log_evidence(hits))
+    return store.persist_alerts(_group_alerts(hits).unionByName(
+        detect.run_all_rules(events, intel, settings, [name for name in detect.RULES if name not in _logged_rules()], options)))
+
+
+def _logged_rules() -> list[str]:
+    """The group rules, unless a deployment put its own in their place."""
+    return [name for name in detect.GROUP_RULES if detect.RULES.get(name) is detect.BUILT_IN[name]]
+
+
+def _group_alerts(hits: DataFrame) -> DataFrame:
+    return detect.group_alerts(hits).where(F.col("rule_name").isin(_logged_rules())).select(*ALERT_COLUMNS)
+
+
+def detect_changes(store: Store, settings: Settings = Settings(), feed_path: str | None = None,
+                   options: detect.RuleOptions = detect.RuleOptions(), batches: list[int] | None = None) -> int:
+    """``run_detection`` for what came since the last call: the events of new ingest ``batches`` and addresses new in the feed.
+
+    Rules that a deployment registered itself run over all events.
+
+    Group rules log the new hits and sum up the log of the groups that grew. Keyed rules read the touched
+    sessions of the touched keys (``streaming.late``) and withdraw alerts that out-of-order rows undid. Off-hours logins are looked for
+    among new events only. History is read in full for new addresses of the feed alone. A batch that was ingested again is named by the caller.
+    """
+    spark = prepare(store.spark)
+    if feed_path:
+        store.upsert_intel(read_feed(spark, feed_path, with_place=True))
+    now, intel = store.batches(), store.intel.read()
+    seen = {r["ingest_batch"] for r in store.seen_batches.read().collect()}
+    fresh = [b for b in now if b not in seen] if batches is None else batches
+    events = store.events()
+    changed = events.where(F.col("ingest_batch").isin(fresh)) if fresh else events.limit(0)
+    known = materialize(known_bad_ips(intel).select("src_ip").distinct(), "known-ips")
+    new_ips = known.join(store.seen_ips.read(), "src_ip", "left_anti")
+    hits = detect.group_hits(changed, intel, settings, options)
+    if not new_ips.isEmpty():
+        listed = intel.join(new_ips.withColumnRenamed("src_ip", "ip"), "ip", "left_semi")
+        older = detect.group_hits(events, listed, settings, options).where(F.col("rule_name") == detect.SUSPICIOUS_IP)
+        hits = hits.unionByName(older).dropDuplicates(["rule_name", "id"])
+    hits = materialize(hits, "group-hits")
+    run = store.log_evidence(hits)
+    touched = hits.select("rule_name", "group_key").distinct()
+    grown = materialize(store.evidence().drop("run").join(touched, ["rule_name", "group_key"], "left_semi"), "grown-groups")
+    store.mark_alerts(detect.group_alert_ids(grown), run)
+    fresh_alerts = _group_alerts(grown)
+    own = [name for name in detect.RULES if detect.RULES[name] is not detect.BUILT_IN.get(name)]
+    if own:  # of these nothing is known but that they read all events
+        fresh_alerts = fresh_alerts.unionByName(detect.run_all_rules(events, intel, settings, own, options))
+    if detect.OFF_HOURS in detect.RULES and detect.OFF_HOURS not in own:
+        fresh_alerts = fresh_alerts.unionByName(detect.detect_unusual_login_hours(changed, settings).select(*ALERT_COLUMNS))
+    written = store.persist_alerts(fresh_alerts)
+    for rule in (keyed.brute_force(settings), keyed.multiple_failed_auth(settings), keyed.impossible_travel(settings, options.ranges)):
+        if rule.name in own or rule.name not in detect.RULES:
+            continue
+        rows = changed.where(rule.relevant).select(F.col(rule.key).alias("key"), "event_time")
+        written += late.repair(store, rule, rows, events, settings.max_rows_per_task).added
+    store.seen_ips.replace(known)
+    store.seen_batches.replace(spark.createDataFrame([(b,) for b in now], store.seen_batches.schema))  # last: it marks the run complete
+    return written
 
 
 def score_rows(scored: DataFrame) -> DataFrame:

@@ -15,13 +15,19 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from duskwatch import schemas
 from duskwatch.operators.alerts import ALERT_COLUMNS, alert_evidence, not_stored
+from duskwatch.operators.detect import HIT_COLUMNS
 from duskwatch.operators.intel import upsert
 from duskwatch.session import delete_path, materialize
 
 
+_EVIDENCE = "rule_name string, group_key string, src_ip string, username string, host string, event_time timestamp, id bigint, run bigint"
+_MARKS = "alert_id string, rule_name string, group_key string, run bigint"
+
+
 class VersionedTable:
     """A table replaced as a whole, as numbered folders ``v=<n>``."""
 
@@ -63,6 +69,9 @@ class Store:
         self.spark, self.root = spark, root.rstrip("/")
         self.intel = VersionedTable(spark, f"{self.root}/threat_intel_ips", schemas.INTEL_TABLE)
         self.scores = VersionedTable(spark, f"{self.root}/ml_anomaly_scores", schemas.SCORES)
+        # what a run of detection on changes has seen: ingest batches and addresses of the feed
+        self.seen_batches = VersionedTable(spark, f"{self.root}/seen_batches", T.StructType([T.StructField("ingest_batch", T.LongType())]))
+        self.seen_ips = VersionedTable(spark, f"{self.root}/seen_ips", T.StructType([T.StructField("src_ip", T.StringType())]))
 
     def _read(self, table: str, schema, partitions: str) -> DataFrame:
         full = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema) + ", " + partitions
@@ -171,21 +180,51 @@ class Store:
              .write.mode("append").partitionBy("detected_date").parquet(f"{self.root}/alerts"))
         return written
 
+    # ---- evidence of group alerts: a log that grows by what is new
+
+    def _log(self, table: str, schema: str) -> DataFrame:
+        path = f"{self.root}/{table}"
+        return self.spark.read.schema(schema).parquet(path) if self._exists(path) else self.spark.createDataFrame([], schema)
+
     def evidence(self) -> DataFrame:
-        full = "alert_id string, rule_name string, event_time timestamp, event_id bigint"
-        path = f"{self.root}/alert_evidence"
-        return self.spark.read.schema(full).parquet(path) if self._exists(path) else self.spark.createDataFrame([], full)
+        """Every event a group rule ever rested on, once: ``HIT_COLUMNS`` and the ``run`` that logged it."""
+        return self._log("alert_evidence", _EVIDENCE)
 
-    def persist_evidence(self, groups: DataFrame) -> None:
-        """Append evidence rows of alerts that have none yet (``detect.group_evidence`` without ``known_evidence``).
+    def evidence_runs(self) -> list[int]:
+        return VersionedTable(self.spark, f"{self.root}/alert_evidence", None).versions("run")
 
-        Written before the alerts they belong to, so that a stored alert always has its evidence.
-        """
-        groups.write.mode("append").parquet(f"{self.root}/alert_evidence")
+    def log_evidence(self, hits: DataFrame) -> int:
+        """Append the rows of ``group_hits`` that are not logged yet; returns the number of the newest run.
 
-    def known_evidence(self) -> DataFrame:
-        return self.evidence().select("alert_id").distinct()
+        A group's evidence at a run is what was logged for it up to that run, so an alert needs no copy of its rows: it is
+        marked with the run. A run that died is taken up by the next one, which finds its rows logged.
+        """
+        known = self.evidence_runs()
+        new = hits.join(self.evidence().select("rule_name", "id"), ["rule_name", "id"], "left_anti") if known else hits
+        staged = materialize(new.select(*HIT_COLUMNS), "evidence")
+        run = known[-1] if known else -1
+        if not staged.isEmpty():
+            run += 1
+            staged.write.mode("overwrite").parquet(f"{self.root}/alert_evidence/run={run:012d}")
+        return run
+
+    def marks(self) -> DataFrame:
+        """The group and the newest evidence run of every group alert."""
+        return self._log("alert_marks", _MARKS)
+
+    def mark_alerts(self, ids: DataFrame, run: int) -> None:
+        """Record which evidence the group alerts ``ids`` (alert_id, rule_name, group_key) rest on; written before the alerts themselves."""
+        new = materialize(ids.join(self.marks().select("alert_id"), "alert_id", "left_anti").withColumn("run", F.lit(run).cast("bigint")), "marks")
+        if not new.isEmpty():
+            new.write.mode("append").parquet(f"{self.root}/alert_marks")
+
+    def batches(self) -> list[int]:
+        """Ingest batches whose events are stored."""
+        return VersionedTable(self.spark, f"{self.root}/normalized_events", None).versions("ingest_batch")
 
     def alert_events(self) -> DataFrame:
         """The event ids of every stored alert, one per row: (alert_id, rule_name, event_id)."""
-        return alert_evidence(self.alerts(), self.evidence())
+        marks = self.marks().withColumnRenamed("run", "upto")
+        groups = self.evidence().join(marks, ["rule_name", "group_key"]).where("run <= upto").select(
+            "alert_id", "rule_name", "event_time", F.col("id").alias("event_id"))
+        return alert_evidence(self.alerts(), groups)

@@ -64,7 +64,7 @@ def touched_rows(events: DataFrame, late: DataFrame, rule: Rule, max_rows: int,
     if bounds[0] is None:
         return None
     relevant = events.filter(rule.relevant)
-    table = relevant.agg(F.min(micros()), F.max(micros())).first()
+    table = None
     span = max(int(first_span.total_seconds() * 1e6), reach)
     while True:
         low, high = bounds[0] - span, bounds[1] + span
@@ -74,9 +74,14 @@ def touched_rows(events: DataFrame, late: DataFrame, rule: Rule, max_rows: int,
         sessions = materialize(touched_sessions(rows, late, key, reach, max_rows), "sessions")
         own = materialize(inside(rows, sessions, key, "event_time"), "touched-rows")
         edge = own.agg(F.min(micros()), F.max(micros())).first()
-        if (edge[0] - reach >= low or low <= table[0]) and (edge[1] + reach <= high or high >= table[1]):
+        if edge[0] is None:
             return sessions, own
-        span *= 2
+        if edge[0] - reach < low or edge[1] + reach > high:
+            table = table or relevant.agg(F.min(micros()), F.max(micros())).first()
+            if (edge[0] - reach < low and low > table[0]) or (edge[1] + reach > high and high < table[1]):
+                span *= 2
+                continue
+        return sessions, own
 
 
 def repair(store: Store, rule: Rule, late: DataFrame, events: DataFrame | None = None, max_rows: int = 5_000_000,

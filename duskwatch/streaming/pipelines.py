@@ -108,9 +108,9 @@ def stream_ingest(lines: DataFrame, store: Store, checkpoint: str, year: int | N
 
 def scheduled_refresh(lines: DataFrame, store: Store, checkpoint: str, year: int | None = None,
                       settings: Settings = Settings(), feed_path: str | None = None, score: bool = True) -> int:
-    """One scheduled tick: take in what has arrived, then re-run detection and scoring over all history."""
+    """One scheduled tick: take in what has arrived, run detection on that, and score all history anew."""
     stream_ingest(lines, store, checkpoint, year).awaitTermination()
-    written = jobs.run_detection(store, settings, feed_path)
+    written = jobs.detect_changes(store, settings, feed_path)
     if score:
         jobs.run_scoring(store, settings)
     return written

@@ -96,8 +96,6 @@ def test_group_alerts_keep_their_ids_in_the_evidence_rows(spark):
     assert sorted((r.alert_id, r.event_id) for r in groups.collect()) == sorted(want)
     both = detect.run_all_rules(df, bad, rules=[detect.SUSPICIOUS_IP, detect.OFF_HOURS])
     assert sorted(r.event_id for r in alert_evidence(both, groups).collect()) == list(range(1, 8))
-    known = spark.createDataFrame([(got["1.1.1.1"].alert_id,)], "alert_id string")
-    assert [r.event_id for r in detect.group_evidence(df, bad, known=known).collect()] == [6]
 
 
 def test_options_reach_the_rules(spark):

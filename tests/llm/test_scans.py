@@ -3,7 +3,7 @@
 import hashlib
 import random
 
-from duskwatch.llm.decontaminate import contamination, remove_contaminated
+from duskwatch.llm.decontaminate import contamination, mark_documents, remove_contaminated
 from duskwatch.llm.licences import BASE_PHRASES, evaluate, parse_expression, scan_licences
 from duskwatch.llm.redirects import Rule, judge_pages
 from tests.llm.brute import letter_words
@@ -78,7 +78,7 @@ def test_decontamination_agrees_with_every_window(spark):
     pick = random.Random(8)
     known = [f"w{k}" for k in range(30)] + ["é"]
     items = [(k, " ".join(pick.choices(known, k=pick.randint(1, 25)))) for k in range(25)]
-    items += [(100, None), (101, "..."), (102, "solo"), (103, items[0][1]), (None, "w1 w2"), (0, "another row of one item with ten words in all")]
+    items += [(100, None), (101, "..."), (102, "solo"), (103, items[0][1]), (None, "w1 w2"), (None, "one passage of a few words that no item id goes with"), (0, "another row of one item with ten words in all")]
     rows = []
     for k in range(120):
         words = pick.choices(known, k=pick.randint(0, 60))
@@ -88,11 +88,12 @@ def test_decontamination_agrees_with_every_window(spark):
             words[at:at] = part[pick.randint(0, 3):]
         rows.append((k, ", ".join(words).upper()))
     rows += [(500, None), (501, ""), (501, "solo"), (502, "a " * 30_000 + items[0][1]), (None, items[0][1])]
+    rows += [(503, "before one passage of a few words that no item id goes with after")]
     patterns = {}
     for item, text in items:
         words = letter_words(text)
-        for at in range(max(1, len(words) - 9) if words and item is not None else 0):
-            patterns.setdefault(tuple(words[at:at + 10]), set()).add(item)
+        for at in range(max(1, len(words) - 9) if words else 0):
+            patterns.setdefault(tuple(words[at:at + 10]), set()).update([item] if item is not None else [])
     want = []
     for doc, text in rows:
         words, hit, found = letter_words(text), set(), set()
@@ -108,6 +109,9 @@ def test_decontamination_agrees_with_every_window(spark):
     for size in (1 << 20, 300):  # one slice of the benchmark, and several
         got = [(r[0] if r[0] is not None else -1, *r[1:]) for r in contamination(docs, bench, slice_bytes=size).collect()]
         assert sorted(got) == sorted(want)
+    assert (503, 14, 12, 0, hashlib.sha256(b"").hexdigest(), True) in want
+    marked = mark_documents(docs.select("doc_id", "text"), bench, slice_bytes=300)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in marked  # hits of several slices are read from tables
     clean = remove_contaminated(docs, bench)
     assert clean.columns == docs.columns
     assert sorted(r["doc_id"] for r in clean.collect()) == sorted(w[0] for w in want if not w[5])

@@ -7,7 +7,9 @@ this a distributed job rather than a loop:
 * counting grows by one event at a time, so an alert always holds exactly k
   events: row r is a *candidate* iff ``time[r] - time[r-k+1] <= span``, which is
   one ``lag``. Ordinary traffic ends here, inside the shuffle's own task;
-* alerts are the candidates picked greedily with ranks at least k apart. All that
+* alerts are the candidates picked greedily with ranks at least k apart. A candidate
+  k or more ranks behind the one before it is free of all earlier picks, so candidates fall
+  into sessions that are folded by themselves, in native expressions. Of a key that is cut, all that
   a slice of rows must know about the past is how many events came since the last
   pick, capped at k-1: k states. So the slices of a hot key are worked on
   independently for every state, the slices' state maps are chained (one small
@@ -23,16 +25,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from duskwatch.operators.hot_keys import KeySplit, micros
+from duskwatch.session import materialize
 
 _LAG_LIMIT = 32
 
 
-def candidates(events: DataFrame, key: str, threshold: int, span_us: int, carry: list[str],
-               split: KeySplit) -> DataFrame:
-    """Rows that end a window of ``threshold`` events within the span, with its members."""
+def candidates(rows: DataFrame, key: str, threshold: int, span_us: int, carry: list[str]) -> DataFrame:
+    """Rows that end a window of ``threshold`` events within the span, with its members. ``rows`` are spread over slices."""
     k = threshold
-    rows = events.select(key, "event_time", "id", *carry).withColumn("_at", micros())
-    rows = split.apply(rows, context_rows=k - 1)
     order = Window.partitionBy(key, "slice").orderBy("event_time", "id")
     member = F.struct("id", "event_time", *carry)
     if k <= _LAG_LIMIT:
@@ -45,7 +45,7 @@ def candidates(events: DataFrame, key: str, threshold: int, span_us: int, carry:
         order.rowsBetween(Window.unboundedPreceding, 0))
     return (rows.withColumn("rank", rank).withColumn("_first_at", first_at).withColumn("members", members)
             .filter("own").filter(F.col("_at") - F.col("_first_at") <= span_us)
-            .drop("own", "_first_at"))
+            .select(key, "slice", "slice_base", "slice_rows", "rank", "event_time", "id", "members"))
 
 
 def _follow(ranks: np.ndarray, k: int, base: int, state: int, jump: np.ndarray) -> list[int]:
@@ -62,10 +62,9 @@ def _pick(k: int):
         group = group.sort_by("rank")
         ranks = group["rank"].to_numpy()
         base = group["slice_base"][0].as_py()
-        split = group["slice_rows"][0].as_py() is not None
         jump = np.searchsorted(ranks, ranks + k)
         taken, state_of = [], []
-        for state in range(k) if split else (k - 1,):
+        for state in range(k):
             picks = _follow(ranks, k, base, state, jump)
             taken += picks
             state_of += [state] * len(picks)
@@ -74,6 +73,35 @@ def _pick(k: int):
     return pick
 
 
+_OPEN = 256
+
+
+def fold_sessions(found: DataFrame, key: str, k: int) -> DataFrame:
+    """The candidates of whole keys that are picked, one session after another: (key, event_time, id, members).
+
+    ``found`` is clustered by (key, slice) and the window's order, which this keeps, so nothing is shuffled.
+    """
+    order = Window.partitionBy(key, "slice").orderBy("event_time", "id")
+    free = F.coalesce(F.col("rank") - F.lag("rank").over(order) >= k, F.lit(True))
+    rows = found.withColumn("_free", free.cast("bigint")).withColumn(
+        "_session", F.sum("_free").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    sessions = rows.groupBy(key, "slice", "_session").agg(
+        F.array_sort(F.collect_list(F.struct("rank", "event_time", "id", "members"))).alias("rows"))
+    kind = sessions.schema["rows"].dataType.simpleString()
+    nothing = F.struct(F.lit(-1).cast("bigint").alias("next"), F.array().cast(f"array<{kind}>").alias("full"), F.array().cast(kind).alias("open"))
+
+    def pick(acc, row):
+        # picks are gathered in parts, as an array grows by being copied
+        brim = F.size(acc["open"]) >= _OPEN
+        return F.when(row["rank"] < acc["next"], acc).otherwise(F.struct(
+            (row["rank"] + k).alias("next"),
+            F.when(brim, F.concat(acc["full"], F.array(acc["open"]))).otherwise(acc["full"]).alias("full"),
+            F.when(brim, F.array(row)).otherwise(F.concat(acc["open"], F.array(row))).alias("open")))
+
+    picked = F.aggregate("rows", nothing, pick, lambda acc: F.concat(F.flatten(acc["full"]), acc["open"]))
+    return sessions.select(key, F.inline(picked)).select(key, "event_time", "id", "members")
+
+
 def _exits(k: int):
     """State left behind by a slice, for each state it may be entered in."""
     def exits(group: pa.Table) -> pa.Table:
@@ -117,21 +145,19 @@ def threshold_windows(events: DataFrame, key: str, threshold: int, span_us: int,
     carry = [c for c in carry if c != key]
     keyed = events.filter(F.col(key).isNotNull())
     split = KeySplit(keyed, key, max_rows, hot=hot)
-    found = candidates(keyed, key, threshold, span_us, carry, split).select(
-        key, "slice", "slice_base", "slice_rows", "rank", "event_time", "id", "members")
-    schema = T.StructType(found.schema.fields + [T.StructField("entry_state", T.LongType())])
-    # Clustered by (key, slice) already by the window, so this adds no shuffle; a group is the
+    rows = keyed.select(key, "event_time", "id", *carry).withColumn("_at", micros())
+    # Clustered by (key, slice) already by the window, so neither way adds a shuffle; a group is the
     # candidates of one slice, at most about max_rows.
-    picked = found.groupBy(key, "slice").applyInArrow(_pick(threshold), schema)
-    if split.hot:
-        key_type = found.schema[key].dataType.simpleString()
-        exits = (found.filter("slice_rows IS NOT NULL").groupBy(key, "slice")
-                 .applyInArrow(_exits(threshold), f"{key} {key_type}, slice bigint, exit_states array<bigint>"))
-        entered = (split.slice_list().join(exits, [key, "slice"], "left")
-                   .select(key, "slice", "slice_rows", "exit_states")
-                   .groupBy(key).applyInArrow(_chain(threshold), f"{key} {key_type}, slice bigint, entry_state bigint"))
-        cold = picked.filter("slice_rows IS NULL")
-        cut = picked.filter("slice_rows IS NOT NULL").join(
-            entered, [key, "slice", "entry_state"], "left_semi")
-        picked = cold.unionByName(cut)
-    return picked.select(key, "event_time", "id", "members")
+    cold = fold_sessions(candidates(split.whole(rows), key, threshold, span_us, carry), key, threshold)
+    if not split.hot:
+        return cold
+    cut = materialize(candidates(split.cut(rows, threshold - 1), key, threshold, span_us, carry), "candidates")
+    key_type = cut.schema[key].dataType.simpleString()
+    exits = cut.select(key, "slice", "slice_base", "slice_rows", "rank").groupBy(key, "slice").applyInArrow(
+        _exits(threshold), f"{key} {key_type}, slice bigint, exit_states array<bigint>")
+    entered = (split.slice_list().join(exits, [key, "slice"], "left")
+               .select(key, "slice", "slice_rows", "exit_states")
+               .groupBy(key).applyInArrow(_chain(threshold), f"{key} {key_type}, slice bigint, entry_state bigint"))
+    schema = T.StructType(cut.schema.fields + [T.StructField("entry_state", T.LongType())])
+    picked = cut.groupBy(key, "slice").applyInArrow(_pick(threshold), schema).join(entered, [key, "slice", "entry_state"], "left_semi")
+    return cold.unionByName(picked.select(key, "event_time", "id", "members"))

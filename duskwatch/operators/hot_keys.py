@@ -9,10 +9,11 @@ other key stays whole as slice 0. Results stay exact because each slice knows
 * its halo: the rows right before it, repeated as context (``own = False``), so
   ``lag`` and row frames see across the cut.
 
-What is gathered per hot key is a row count per time bucket (at most about
-``_MAX_TICKS`` of them), never rows. A bucket that is itself too big is cut
-finer: into shorter times, or, where it holds only a few timestamps, into those
-and ranges of ids, so a burst that shares one timestamp is cut as well.
+What is worked out per hot key is a row count per time bucket (at most about
+``_MAX_TICKS`` of them), kept as a written table. A bucket that is itself too big is cut
+finer, at measured quantiles of its times; an instant that is too big by itself is cut
+at measured quantiles of its ids. So a burst that shares one timestamp is cut as well,
+however its times and ids are spread. Only two numbers reach the driver.
 """
 
 from __future__ import annotations
@@ -22,9 +23,13 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from duskwatch.session import materialize
+
 SECOND = 1_000_000
 _MAX_TICKS = 1_000_000  # time buckets per hot key
-_CHUNKS = 16  # pieces per max_rows inside a burst
+_PIECES = 4  # of a burst, per max_rows
+_MAX_PIECES = 4096
+_INSTANT = 1 << 20  # places of a tick inside one instant
 
 _MEMBER = "struct<slice:bigint,slice_base:bigint,slice_rows:bigint,own:boolean>"
 
@@ -55,7 +60,7 @@ def hot_keys_of(df: DataFrame, wanted: dict[str, tuple[str, str]], max_rows: int
 class KeySplit:
     """How the keys of ``df`` (``key``, ``event_time``, ``id``, ...) are spread over tasks.
 
-    Measured once when built; ``apply`` is then used on the same rows. ``hot`` gives
+    Measured and written once when built; ``apply`` is then used on the same rows. ``hot`` gives
     the hot keys where they are known already. With ``ties_together`` a slice is never
     cut inside one timestamp.
     """
@@ -64,44 +69,53 @@ class KeySplit:
                  ties_together: bool = False):
         self.key, self.max_rows, self._ties_together = key, max_rows, ties_together
         self.hot = hot_keys(df, key, max_rows) if hot is None else hot
-        self._bursts = None
         if self.hot:
-            self._rows = df.filter(F.col(key).isin(self.hot)).select(key, micros().alias("_at"), "id")
-            self._bursts = self._measure_bursts()
-
-    def _measure_bursts(self):
-        """Buckets of a hot key with more than max_rows rows; at most rows/max_rows of them."""
-        first, last = self._rows.agg(F.min("_at"), F.max("_at")).first()
-        self._grain = max(1, math.ceil((last - first) / _MAX_TICKS / SECOND)) * SECOND
-        pieces = F.ceil(F.col("n") / self.max_rows) * _CHUNKS
-        lo, hi = F.col("lo").cast("double"), F.col("hi").cast("double")
-        found = (self._rows.groupBy(self.key, self._bucket().alias("_bucket"))
-                 .agg(F.count("*").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi"),
-                      F.approx_count_distinct("_at").alias("times"))
-                 .filter(F.col("n") > self.max_rows)
-                 .select(F.col(self.key).alias("_bkey"), F.col("_bucket").alias("_bbucket"), lo.alias("_lo"),
-                         ((hi - lo + 1) / pieces).alias("_id_width"), (F.lit(float(self._grain)) / pieces).alias("_time_width"),
-                         (F.col("times") <= pieces).alias("_few_times")))
-        rows = found.collect()
-        return self._rows.sparkSession.createDataFrame(rows, found.schema) if rows else None
+            slim = df.filter(F.col(key).isin(self.hot)).select(key, micros().alias("_at"), "id")
+            self._rows = materialize(slim, "hot-rows")
+            first, last = self._rows.agg(F.min("_at"), F.max("_at")).first()
+            self._grain = max(1, math.ceil((last - first) / _MAX_TICKS / SECOND)) * SECOND
+            self._times, self._ids = self._measure_bursts()
+            self._ticks = materialize(self._count_ticks(), "ticks")
 
     def _bucket(self) -> Column:
         return (F.floor(F.col("_at") / self._grain) * self._grain).cast("bigint")
 
+    def _measure_bursts(self) -> tuple[DataFrame | None, DataFrame | None]:
+        """Cut points of buckets with more than max_rows rows, by time, and of instants with more than that, by id."""
+        key, counted = self.key, self._rows.groupBy(self.key, self._bucket().alias("_bucket")).agg(F.count("*").alias("n"))
+        over = materialize(counted.filter(F.col("n") > self.max_rows), "bursts")
+        most = over.agg(F.max("n")).first()[0]
+        if most is None:
+            return None, None
+        pieces = min(_MAX_PIECES, _PIECES * math.ceil(most / self.max_rows))
+        quantiles = lambda c: F.array_sort(F.array_distinct(F.percentile_approx(
+            c, [k / pieces for k in range(1, pieces)], max(10_000, 20 * pieces))))
+        rows = self._rows.withColumn("_bucket", self._bucket()).join(over.drop("n"), [key, "_bucket"])
+        times = materialize(rows.groupBy(key, "_bucket").agg(quantiles("_at").alias("_time_cuts")), "time-cuts")
+        if self._ties_together:
+            return times, None
+        # an instant that holds that many rows is a cut point itself
+        instants = rows.join(times, [key, "_bucket"]).filter(F.array_contains("_time_cuts", F.col("_at")))
+        ids = instants.groupBy(key, "_at").agg(F.count("*").alias("n"), quantiles("id").alias("_id_cuts")).filter(F.col("n") > self.max_rows)
+        return times, materialize(ids.drop("n"), "id-cuts")
+
     def _ticked(self, rows: DataFrame) -> DataFrame:
         """Add (_t, _sub): the grain a row is counted and cut on. Monotone in (time, id)."""
-        bucket, zero = self._bucket(), F.lit(0).cast("bigint")
-        if self._bursts is None:
-            return rows.withColumn("_t", bucket).withColumn("_sub", zero)
-        joined = rows.join(F.broadcast(self._bursts), (rows[self.key] == F.col("_bkey")) & (bucket == F.col("_bbucket")), "left")
-        few = F.coalesce("_few_times", F.lit(False))
-        by_id = zero if self._ties_together else F.floor((F.col("id").cast("double") - F.col("_lo")) / F.col("_id_width"))
-        by_time = F.floor((F.col("_at") - bucket) / F.col("_time_width"))
-        return joined.select(*[rows[c] for c in rows.columns],
-                             F.when(few, F.col("_at")).otherwise(bucket).alias("_t"),
-                             F.coalesce(F.when(few, by_id).otherwise(by_time).cast("bigint"), zero).alias("_sub"))
-
-    def _ticks(self) -> DataFrame:
+        zero = F.lit(0).cast("bigint")
+        out = rows.withColumn("_t", self._bucket())
+        if self._times is None:
+            return out.withColumn("_sub", zero)
+        # a place between two cut points, or on one
+        place = lambda cuts, c: F.coalesce(
+            F.size(F.filter(cuts, lambda x: x < F.col(c))) + F.size(F.filter(cuts, lambda x: x <= F.col(c))), F.lit(0)).cast("bigint")
+        held = lambda cuts: F.coalesce(F.col(cuts), F.array().cast("array<bigint>"))
+        cut = out.join(self._times.withColumnRenamed("_bucket", "_t"), [self.key, "_t"], "left")
+        inner = zero
+        if self._ids is not None:
+            cut, inner = cut.join(self._ids, [self.key, "_at"], "left"), place(held("_id_cuts"), "id")
+        return cut.select(*rows.columns, "_t", (place(held("_time_cuts"), "_at") * _INSTANT + inner).alias("_sub"))
+
+    def _count_ticks(self) -> DataFrame:
         key = self.key
         by_time = Window.partitionBy(key).orderBy("_t", "_sub")
         before = F.coalesce(F.sum("n").over(by_time.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -114,11 +128,11 @@ class KeySplit:
 
     def slice_list(self) -> DataFrame:
         """(key, slice, slice_base, slice_rows): one row per slice of each hot key."""
-        return self._ticks().select(self.key, "slice", "slice_base", "slice_rows").distinct()
+        return self._ticks.select(self.key, "slice", "slice_base", "slice_rows").distinct()
 
     def plan(self, context_rows: int) -> DataFrame:
         """For every (hot key, tick): the slice its rows belong to and those they are context of."""
-        key, ticks = self.key, self._ticks()
+        key, ticks = self.key, self._ticks
         own = F.struct("slice", "slice_base", "slice_rows", F.lit(True).alias("own"))
         out = [F.col(key).alias("_pkey"), F.col("_t").alias("_pt"), F.col("_sub").alias("_psub")]
         if context_rows == 0:
@@ -139,21 +153,25 @@ class KeySplit:
     def is_hot(self) -> Column:
         return F.coalesce(F.col(self.key).isin(self.hot), F.lit(False)) if self.hot else F.lit(False)
 
-    def apply(self, df: DataFrame, context_rows: int = 0) -> DataFrame:
-        """Add ``slice``, ``slice_base``, ``slice_rows`` (NULL for a whole key) and ``own``.
-
-        ``df`` needs ``key``, ``id`` and ``_at`` (micros). With ``context_rows`` = c every
-        slice also gets at least the c rows before it, with ``own = False``.
-        """
+    def whole(self, df: DataFrame) -> DataFrame:
+        """Rows of the keys that are not cut, as slice 0, with ``slice_base`` 0, ``slice_rows`` NULL and ``own`` true."""
         zero = F.lit(0).cast("bigint")
-        whole = [zero.alias("slice"), zero.alias("slice_base"),
-                 F.lit(None).cast("bigint").alias("slice_rows"), F.lit(True).alias("own")]
-        if not self.hot:
-            return df.select("*", *whole)
-        cold = df.filter(~self.is_hot()).select("*", *whole)
+        return df.filter(~self.is_hot()).select("*", zero.alias("slice"), zero.alias("slice_base"),
+                                                F.lit(None).cast("bigint").alias("slice_rows"), F.lit(True).alias("own"))
+
+    def cut(self, df: DataFrame, context_rows: int = 0) -> DataFrame:
+        """Rows of the keys that are cut, with their slice; every slice also gets its context, with ``own`` false."""
         rows, plan = self._ticked(df.filter(self.is_hot())), self.plan(context_rows)
         # No broadcast hint: the plan has a row per (hot key, tick). AQE broadcasts it when it
         # is small and otherwise hashes on (key, tick), which no hot key can dominate.
         cut = rows.join(plan, (rows[self.key] == plan["_pkey"]) & (rows["_t"] == plan["_pt"])
                         & (rows["_sub"] == plan["_psub"]))
-        return cold.unionByName(cut.select(*[rows[c] for c in df.columns], F.inline("_members")))
+        return cut.select(*[rows[c] for c in df.columns], F.inline("_members"))
+
+    def apply(self, df: DataFrame, context_rows: int = 0) -> DataFrame:
+        """Add ``slice``, ``slice_base``, ``slice_rows`` (NULL for a whole key) and ``own``.
+
+        ``df`` needs ``key``, ``id`` and ``_at`` (micros). With ``context_rows`` = c every
+        slice also gets at least the c rows before it, with ``own = False``.
+        """
+        return self.whole(df).unionByName(self.cut(df, context_rows)) if self.hot else self.whole(df)

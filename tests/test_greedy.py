@@ -102,3 +102,25 @@ def test_slices_of_any_shape_are_contiguous(spark, shape, ties, monkeypatch):
     assert all(tuple(a.hi) < tuple(b.lo) and a.slice_base + a.n == b.slice_base for a, b in zip(got, got[1:]))
     if not (ties and shape == "few timestamps"):
         assert max(r.n for r in got) <= 400 and len(got) >= 8
+
+
+def test_a_burst_with_ids_in_two_clumps_is_cut(spark):
+    """One instant, ids of two input partitions: far apart, dense in themselves."""
+    from duskwatch.operators.hot_keys import KeySplit, micros
+    from pyspark.sql import functions as F
+    rows = [(i + clump * 2**33, "hot", BASE) for clump in (0, 1) for i in range(1000)]
+    df = spark.createDataFrame(rows, "id long, src_ip string, event_time timestamp").withColumn("_at", micros())
+    sizes = [r["count"] for r in KeySplit(df, "src_ip", 100).apply(df).groupBy("slice").count().collect()]
+    assert sum(sizes) == 2000 and max(sizes) <= 200
+    got = threshold_windows(df.drop("_at"), "src_ip", 7, 0, max_rows=100).orderBy("id").collect()
+    ids = [r[0] for r in rows]
+    assert [[m.id for m in r.members] for r in got] == [ids[i:i + 7] for i in range(0, 1995, 7)]
+
+
+def test_long_sessions_are_folded_in_parts(spark, monkeypatch):
+    from duskwatch.operators import greedy
+    monkeypatch.setattr(greedy, "_OPEN", 3)
+    rows = [(i, "a", BASE + timedelta(seconds=i)) for i in range(500)] + [(i, "b", BASE + timedelta(hours=i)) for i in range(500, 520)]
+    df = spark.createDataFrame(rows, "id long, src_ip string, event_time timestamp")
+    got = threshold_windows(df, "src_ip", 4, 10_000_000).orderBy("event_time").collect()
+    assert [[m.id for m in r.members] for r in got] == [list(range(i, i + 4)) for i in range(0, 500, 4)]

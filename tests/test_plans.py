@@ -38,6 +38,18 @@ def test_threshold_windows_shuffle_once(events):
     assert shuffles(detect.detect_multiple_failed_auth(events)) == 1
 
 
+def test_threshold_windows_of_whole_keys_stay_native(events):
+    for rule in (detect.detect_brute_force, detect.detect_multiple_failed_auth):
+        text = plan(rule(events))
+        assert "Arrow" not in text and "Python" not in text and "Pandas" not in text
+
+
+def test_cut_threshold_windows_read_the_events_a_few_times(events):
+    text = plan(detect.detect_brute_force(events, Settings(max_rows_per_task=50)))
+    assert len(re.findall(r"FileScan parquet \[[^\]]*event_type", text)) <= 1  # whole keys; cut ones are read from what was written
+    assert len(re.findall("FileScan", text)) <= 5
+
+
 def test_travel_and_features_shuffle_once(events):
     assert shuffles(detect.detect_impossible_travel(events)) == 1
     assert shuffles(build_features(events)) == 1

@@ -1,7 +1,8 @@
 """Token ids of whole texts with a public tokenizer, one lookup per repeated word.
 
-A tokenizer of this kind never lets a token cross ASCII white space, so the ids of a text are
-the ids of its blank-separated pieces, one after another. Each worker encodes a piece once with
+A word tokenizer that drops white space never lets a token cross it, so the ids of a text are
+the ids of its blank-separated pieces, one after another. Whether a file is of that kind is read from its normaliser and pre-tokenizer; with
+any other, texts are encoded whole. Each worker encodes a piece once with
 the tokenizers library and then looks it up; most words of a corpus repeat. The table is emptied
 when it holds ``CACHE_WORDS`` pieces, which bounds its memory and changes no result. Pieces of more than
 ``LONG_PIECE`` bytes are encoded each time.
@@ -9,10 +10,11 @@ when it holds ``CACHE_WORDS`` pieces, which bounds its memory and changes no res
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
-from itertools import repeat
+from itertools import accumulate, chain, repeat
 
 import numpy as np
 
@@ -33,6 +35,20 @@ BYTE_CHARS = dict(zip(_SELF, map(chr, _SELF))) | {
     b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _SELF)}
 
 
+# Fixed value: how a tokenizer of this kind takes words out of a lower-cased text; white space is in none of them.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def takes_words(tokenizer) -> bool:
+    """Whether the tokenizer's file says that it lower-cases, drops white space and then takes the words of ``WORD_PATTERN``."""
+    made = json.loads(tokenizer.to_str())
+    steps = lambda part, name: (made[part] or {}).get(name) or []
+    normal, before = steps("normalizer", "normalizers"), steps("pre_tokenizer", "pretokenizers")
+    return ([n["type"] for n in normal] == ["NFC", "Replace", "Lowercase"] and [b["type"] for b in before] == ["Split", "ByteLevel"]
+            and before[0]["pattern"] == {"Regex": WORD_PATTERN} and before[0]["behavior"] == "Removed" and before[0]["invert"]
+            and not before[1]["add_prefix_space"] and not before[1]["use_regex"])
+
+
 class WordTokens:
     """Encodes texts to ids; keeps the ids of pieces it has seen."""
 
@@ -41,6 +57,7 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_word = takes_words(self.tokenizer)
         self.clear()
 
     def clear(self) -> None:
@@ -54,13 +71,15 @@ class WordTokens:
             cache[path] = cls(path)
         return cache[path]
 
-    def _add(self, piece: bytes, ids) -> int:
-        code = len(self.starts)
-        self.codes[piece] = code
-        self.starts.append(len(self.flat))
-        self.lengths.append(len(ids))
-        self.flat.extend(ids)
-        return code
+    def _add(self, pieces: list[bytes], ids: list) -> None:
+        """Give the pieces the next codes."""
+        if not pieces:
+            return
+        sizes = array("q", map(len, ids))
+        self.codes.update(zip(pieces, range(len(self.starts), len(self.starts) + len(pieces))))
+        self.starts.extend(accumulate(sizes[:-1], initial=len(self.flat)))
+        self.lengths.extend(sizes)
+        self.flat.extend(chain.from_iterable(ids))
 
     def _ids(self, code: int) -> array:
         return self.flat[self.starts[code]:self.starts[code] + self.lengths[code]]
@@ -76,22 +95,25 @@ class WordTokens:
             else:
                 bare.add(piece)
         bare = [p for p in bare if p not in self.codes]
-        tokenize = self.tokenizer.model.tokenize
+        tokenize, found = self.tokenizer.model.tokenize, []
         for piece in bare:
             if piece.isalpha():  # ASCII letters
                 word = piece.lower().decode()
             else:
                 text = piece.decode("utf-8", "replace")
                 word = "".join(map(BYTE_CHARS.__getitem__, text.lower().encode())) if LETTERS.fullmatch(text) else None
-            self._add(piece, self.encode_plain(piece) if word is None else [t.id for t in tokenize(word)])
-        for piece, head, tail in cut:
-            self._add(piece, self._ids(self.codes[head]) + self._ids(self.codes[tail]))
+            found.append(self.encode_plain(piece) if word is None else [t.id for t in tokenize(word)])
+        self._add(bare, found)
+        self._add([piece for piece, _, _ in cut], [self._ids(self.codes[head]) + self._ids(self.codes[tail]) for _, head, tail in cut])
 
     def encode_plain(self, text: bytes) -> list[int]:
         return self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
 
     def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in one uint32 array, each text ended by ``end_id``; number of ids per text)."""
+        if not self.by_word:
+            found = [e.ids + [end_id] for e in self.tokenizer.encode_batch([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)]
+            return np.fromiter(chain.from_iterable(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
         if len(self.codes) > CACHE_WORDS:
             self.clear()
         words: list[bytes] = []
@@ -109,8 +131,7 @@ class WordTokens:
         long = {w: self.encode_plain(w) for w in new if len(w) > LONG_PIECE}
         self._learn(new - long.keys())
         known = len(self.starts)
-        for w, ids in long.items():
-            self._add(w, ids)
+        self._add(list(long), list(long.values()))
         codes[unknown] = [self.codes[words[k]] for k in unknown.tolist()]
         starts, lengths = np.array(self.starts, np.int64), np.array(self.lengths, np.int64)
         flat = np.array(self.flat, np.uint32)

@@ -40,6 +40,16 @@ def test_pieces_give_the_ids_of_whole_texts(tokens, texts):
         at += n
 
 
+def test_any_other_tokenizer_encodes_whole_texts(tokens):
+    other = WordTokens(tokenizer_path("byte_bpe_50k.json"))
+    assert tokens.by_word and not other.by_word
+    texts = HARD + ["Hello World", "  two  blanks", "tab\there"]
+    ids, counts = other.encode([t.encode() for t in texts], 7)
+    ends = np.cumsum(counts)
+    assert [ids[e - n:e].tolist() for e, n in zip(ends, counts)] == [whole(other, t, 7) for t in texts]
+    assert whole(other, "Hello World", 7) == [15496, 2159, 7]
+
+
 @given(st.lists(st.one_of(st.integers(0, 3), st.integers(0, 50_000), st.integers(0, 2**64 - 1)), max_size=400))
 @settings(max_examples=150, deadline=None)
 def test_simple8b_round_trip(values):

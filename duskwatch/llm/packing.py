@@ -2,9 +2,10 @@
 
 However many documents there are, pieces have at most ``capacity`` different lengths, so how many pieces there
 are of each length (at most ``capacity`` rows) describes the whole problem. ``plan_sequences`` works on that table alone:
-around the largest length left it enumerates undominated fillings, repeats a filling as often as the counts
-allow, prunes by the waste that a better solution could still afford, and keeps best-fit solutions as
-incumbents. The plan is a list of (filling, repetitions). A repetition stops when a length of the filling has fewer
+around the largest length left it enumerates fillings, leaves out those that another one dominates, repeats a filling as often as the counts
+allow and prunes by the waste that a better solution could still afford. Best fit, balanced pairs and fullest fillings give the first
+incumbents; the search then starts from an incumbent's last steps and takes in more of them. It is bounded (``NODE_BUDGET`` and
+``NODES_A_LENGTH`` fillings in all, ``FILLINGS`` of up to four pieces plus best fit in a node), so a plan may use more sequences than the least possible. The plan is a list of (filling, repetitions). A repetition stops when a length of the filling has fewer
 pieces left than one more filling needs, so the plan is bounded by the number of lengths, too, and not by the number of documents. Spark then places every piece by its rank among the pieces of its length.
 
 Defined cases: a null text is empty and holds the end id alone; a document longer than ``capacity`` is cut into
@@ -26,7 +27,7 @@ from duskwatch.llm.batches import byte_slices, byte_texts
 from duskwatch.llm.tokens import TEXT_BYTES, WordTokens
 from duskwatch.llm.tables import settle
 
-NODE_BUDGET = 20_000  # fillings tried by the search after the first incumbent; bounds the driver's work
+NODE_BUDGET, NODES_A_LENGTH = 20_000, 10  # fillings tried by the search after the first incumbents; bounds the driver's work
 FILLINGS = 12  # undominated fillings looked at in one node
 
 Plan = list[tuple[tuple[int, ...], int]]
@@ -81,9 +82,49 @@ def _fillings(largest: int, counts: dict[int, int], sizes: list[int], capacity:
         if len(found) >= 8 * FILLINGS:
             break
     found.add(_best_fit(largest, counts, sizes, capacity))
+    found.add(_balanced(largest, counts, sizes, capacity))
     done = {_complete(f, counts, sizes, capacity) for f in found}
-    done = [f for f in done if capacity - sum(f) <= waste]
-    return sorted(done, key=lambda f: (capacity - sum(f), len(f), [-x for x in f]))[:FILLINGS]
+    kept: list[tuple[int, ...]] = []
+    for f in sorted((f for f in done if capacity - sum(f) <= waste), key=lambda f: (capacity - sum(f), len(f), [-x for x in f])):
+        if not any(dominates(g, f) for g in kept):
+            kept.append(f)
+            if len(kept) == FILLINGS:
+                break
+    return kept
+
+
+def dominates(one: tuple[int, ...], two: tuple[int, ...]) -> bool:
+    """Whether the pieces of ``two`` can be dealt to the pieces of ``one`` so that none holds more than its own size (Martello and Toth)."""
+    small = list(two)
+    big = list(one)
+    for x in one:  # what both have stays where it is
+        if x in small:
+            small.remove(x)
+            big.remove(x)
+    if len(small) > 6:
+        return False
+
+    def deal(k: int, room: list[int]) -> bool:
+        return k == len(small) or any(small[k] <= r and deal(k + 1, room[:i] + [r - small[k]] + room[i + 1:]) for i, r in enumerate(room))
+
+    return deal(0, big)
+
+
+def _balanced(largest: int, counts: dict[int, int], sizes: list[int], capacity: int) -> tuple[int, ...]:
+    """The largest piece with one piece that fills the rest, or else the two most alike that do, or else best fit.
+
+    Pieces in the middle are then used up evenly, and what is left over at the end still has small and large ones.
+    """
+    room = capacity - largest
+    free = lambda s: counts.get(s, 0) - (s == largest)
+    if room <= 0 or free(room) > 0:
+        return (largest, room) if room > 0 else (largest,)
+    for i in range(bisect_right(sizes, room // 2) - 1, -1, -1):
+        small = sizes[i]
+        large = room - small
+        if free(small) > (small == large) and free(large) > 0:
+            return largest, large, small
+    return _best_fit(largest, counts, sizes, capacity)
 
 
 def _complete(filling: tuple[int, ...], counts: dict[int, int], sizes: list[int], capacity: int) -> tuple[int, ...]:
@@ -129,7 +170,6 @@ def plan_sequences(counts: dict[int, int], capacity: int, budget: int = NODE_BUD
     if not counts:
         return []
     bound = lower_bound(counts, capacity)
-    total = sum(s * n for s, n in counts.items())
 
     def dive(counts, sizes, choose) -> Plan:
         plan = []
@@ -139,15 +179,43 @@ def plan_sequences(counts: dict[int, int], capacity: int, budget: int = NODE_BUD
             plan.append((filling, times))
         return plan
 
-    used = lambda plan: sum(t for _, t in plan)
     sizes = sorted(counts)
-    incumbent = dive(counts, sizes, lambda big, c, s: _best_fit(big, c, s, capacity))
-    if used(incumbent) == bound:
-        return incumbent
-    greedy = dive(counts, sizes, lambda big, c, s: _fillings(big, c, s, capacity, capacity)[0])
-    incumbent = min(incumbent, greedy, key=used)
+    ways = (lambda big, c, s: _best_fit(big, c, s, capacity), lambda big, c, s: _balanced(big, c, s, capacity),
+            lambda big, c, s: _fillings(big, c, s, capacity, capacity)[0])
+    incumbent: Plan = []
+    for choose in ways:
+        plan = dive(counts, sizes, choose)
+        if not incumbent or used(plan) < used(incumbent):
+            incumbent = plan
+        if used(incumbent) == bound:
+            return incumbent
+    # Waste gathers where the pieces run out, so the search starts from the end: the last steps of the incumbent are solved
+    # anew, then more of them, and whatever gets better is kept.
+    nodes, steps = budget + NODES_A_LENGTH * len(sizes), 4
+    while nodes > 0 and used(incumbent) > bound:
+        head, tail = incumbent[:-steps], incumbent[-steps:]
+        left: dict[int, int] = {}
+        for filling, times in tail:
+            for size in filling:
+                left[size] = left.get(size, 0) + times
+        better, spent = _search(left, capacity, tail, nodes if not head else nodes // 4)
+        nodes -= spent
+        incumbent = head + better
+        if not head:
+            break
+        steps *= 2
+    return incumbent
+
+
+def used(plan: Plan) -> int:
+    return sum(t for _, t in plan)
+
+
+def _search(counts: dict[int, int], capacity: int, incumbent: Plan, budget: int) -> tuple[Plan, int]:
+    """(the best plan found for ``counts``, fillings tried): depth first, pruned by the waste a better plan could afford."""
+    bound, total = lower_bound(counts, capacity), sum(s * n for s, n in counts.items())
     # A stack entry holds its parent's table and what to do to it, so the search keeps one table per level.
-    stack, nodes = [(counts, sizes, None, None, 0, 0)], 0
+    stack, nodes = [(counts, sorted(counts), None, None, 0, 0)], 0
     while stack and nodes < budget and used(incumbent) > bound:
         now, left, filling, path, spent, wasted = stack.pop()
         if filling:
@@ -166,7 +234,7 @@ def plan_sequences(counts: dict[int, int], capacity: int, budget: int = NODE_BUD
             fillings = _fillings(left[-1], now, left, capacity, afford)
             nodes += len(fillings)
             stack.extend((now, left, f, path, spent, wasted) for f in reversed(fillings))
-    return incumbent
+    return incumbent, nodes
 
 
 def _places(plan: Plan) -> dict[int, list[tuple[int, int, int, int, int]]]:

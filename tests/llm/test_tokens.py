@@ -170,3 +170,23 @@ def test_packing_places_every_piece(spark, tokens):
         group = group.sort_values("offset")
         assert (group.offset == group.length.cumsum() - group.length).all() and group.length.sum() <= 256
     assert found.sequence_id.nunique() == packing.lower_bound(found.length.value_counts().to_dict(), 256)
+
+
+def test_plans_are_close_to_the_bound():
+    gen = np.random.default_rng(1)
+    for n, low, high, most in ((20_000, 500, 860, 6740), (2000, 500, 860, 690), (2000, 100, 500, 300)):
+        lengths = gen.integers(low, high + 1, n).tolist()
+        counts = {s: lengths.count(s) for s in set(lengths)}
+        plan = packing.plan_sequences(counts, 2048, budget=2000)
+        assert packing.lower_bound(counts, 2048) <= packing.used(plan) <= most
+        placed = {}
+        for filling, times in plan:
+            assert sum(filling) <= 2048
+            for size in filling:
+                placed[size] = placed.get(size, 0) + times
+        assert placed == counts
+
+
+def test_dominance():
+    assert packing.dominates((9, 6), (9, 5)) and packing.dominates((9, 6), (9, 4, 2)) and packing.dominates((9, 6, 3), (9, 3, 3, 3))
+    assert not packing.dominates((9, 5), (9, 6)) and not packing.dominates((9, 4, 2), (9, 6)) and not packing.dominates((9, 4, 4), (9, 5, 3))

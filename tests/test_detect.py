@@ -26,10 +26,10 @@ def feed(spark, *ips):
 
 def fail(seconds, **kw):
     return {"event_time": BASE + timedelta(seconds=seconds), "event_type": "login_failure",
-            "src_ip": "203.0.113.55", "username": "admin", **kw}
+            "src_ip": "45.155.204.33", "username": "svc", **kw}
 
 
-def login(minutes, ip, user="jsmith", **kw):
+def login(minutes, ip, user="noor", **kw):
     return {"event_time": BASE + timedelta(minutes=minutes), "event_type": "login_success", "src_ip": ip,
             "username": user, **kw}
 
@@ -37,34 +37,34 @@ def login(minutes, ip, user="jsmith", **kw):
 def test_brute_force(spark):
     df = events(spark, *[fail(i * 20, username=None if i == 1 else f"u{i % 2}") for i in range(6)])
     (a,) = detect.detect_brute_force(df).collect()
-    assert (a.rule_name, a.severity, a.src_ip, a.username) == ("brute_force_login", "high", "203.0.113.55", "u0")
+    assert (a.rule_name, a.severity, a.src_ip, a.username) == ("brute_force_login", "high", "45.155.204.33", "u0")
     assert a.event_ids == [1, 2, 3, 4, 5] and float(a.risk_score) == 60.0 and a.status == "open"
     assert a.detected_at == BASE + timedelta(seconds=80)
-    assert a.title == "Brute-force login attempts from 203.0.113.55"
-    assert a.description == ("5 failed login attempts from 203.0.113.55 within 5 minutes "
+    assert a.title == "Brute-force login attempts from 45.155.204.33"
+    assert a.description == ("5 failed login attempts from 45.155.204.33 within 5 minutes "
                              "(targeting user(s): ['u0', 'u1']).")
     assert detect.detect_brute_force(events(spark, *[fail(i * 600) for i in range(3)])).count() == 0
 
 
 def test_travel(spark):
-    quick = events(spark, login(0, "10.0.0.5"), login(6, "198.51.100.23"))
+    quick = events(spark, login(0, "10.3.0.8"), login(6, "198.51.100.140"))
     for ranges in (None, geo.sample_ranges(spark)):
         (a,) = detect.detect_impossible_travel(quick, ranges=ranges).collect()
-        assert (a.severity, float(a.risk_score), a.event_ids, a.src_ip) == ("critical", 90.0, [1, 2], "198.51.100.23")
-        assert a.description.startswith("jsmith logged in from Baltimore (Corporate HQ), US then Beijing, CN 6.0 minutes later")
-    assert detect.detect_impossible_travel(events(spark, login(0, "10.0.0.5"), login(1200, "198.51.100.23"))).count() == 0
+        assert (a.severity, float(a.risk_score), a.event_ids, a.src_ip) == ("critical", 90.0, [1, 2], "198.51.100.140")
+        assert a.description.startswith("noor logged in from Baltimore (Corporate HQ), US then Beijing, CN 6.0 minutes later")
+    assert detect.detect_impossible_travel(events(spark, login(0, "10.3.0.8"), login(1200, "198.51.100.140"))).count() == 0
     # same city under another range; an unlocatable predecessor ends the pair; same instant is infinite speed
-    edges = events(spark, login(0, "10.0.0.5", "a"), login(1, "192.168.1.1", "a"),
-                   login(0, "10.0.0.5", "b"), login(1, "8.8.8.8", "b"), login(2, "198.51.100.23", "b"),
-                   login(0, "10.0.0.5", "c"), login(0, "203.0.113.9", "c"),
-                   login(0, "10.0.0.5", "d"), login(1, None, "d"), login(2, "203.0.113.9", "d"))
+    edges = events(spark, login(0, "10.3.0.8", "a"), login(1, "192.168.1.1", "a"),
+                   login(0, "10.3.0.8", "b"), login(1, "8.8.8.8", "b"), login(2, "198.51.100.140", "b"),
+                   login(0, "10.3.0.8", "c"), login(0, "203.0.113.201", "c"),
+                   login(0, "10.3.0.8", "d"), login(1, None, "d"), login(2, "203.0.113.201", "d"))
     got = {r.username: r for r in detect.detect_impossible_travel(edges).collect()}
     assert set(got) == {"c", "d"}
     assert "implied speed ~inf km/h" in got["c"].description
 
 
 def test_travel_with_a_hot_user(spark):
-    ips = ["10.0.0.5", "203.0.113.9", "8.8.8.8", "198.51.100.23"]
+    ips = ["10.3.0.8", "203.0.113.201", "8.8.8.8", "198.51.100.140"]
     df = events(spark, *[login((i * 37) % 5000, ips[i % 4]) for i in range(300)])
     whole = detect.detect_impossible_travel(df).select("event_ids").collect()
     cut = detect.detect_impossible_travel(df, Settings(max_rows_per_task=11)).select("event_ids").collect()
@@ -75,7 +75,7 @@ def test_travel_with_a_hot_user(spark):
 def test_suspicious_ip(spark, n, risk):
     rows = [{"event_time": BASE + timedelta(minutes=n - i), "event_type": "conn_allowed", "src_ip": "185.220.101.13",
              "username": None if i == n - 1 and n > 1 else f"u{i}"} for i in range(n)]
-    df = events(spark, *rows, {"event_time": BASE, "event_type": "conn_allowed", "src_ip": "10.0.0.5"})
+    df = events(spark, *rows, {"event_time": BASE, "event_type": "conn_allowed", "src_ip": "10.3.0.8"})
     bad = feed(spark, "185.220.101.13/32", "185.220.101.13")
     (a,) = detect.detect_suspicious_ip(df, bad).collect()
     assert float(a.risk_score) == risk and a.n_events == n
@@ -137,21 +137,21 @@ def test_privilege(spark):
 
 
 def test_off_hours(spark):
-    at = lambda h, m=0, user="mchen": {"event_time": datetime(2026, 7, 1, h, m), "event_type": "login_success", "username": user}
+    at = lambda h, m=0, user="teodor": {"event_time": datetime(2026, 7, 1, h, m), "event_type": "login_success", "username": user}
     got = detect.detect_unusual_login_hours(events(spark, at(3, 5), at(6), at(10), at(21, 59), at(22), at(5, 59, None))).collect()
     assert sorted(a.event_ids[0] for a in got) == [1, 5, 6]
     first = next(a for a in got if a.event_ids == [1])
-    assert first.title == "Off-hours login by mchen" and float(first.risk_score) == 30.0
-    assert first.description == "mchen logged in at 03:05 UTC, outside the configured business-hours window (6:00-22:00)."
+    assert first.title == "Off-hours login by teodor" and float(first.risk_score) == 30.0
+    assert first.description == "teodor logged in at 03:05 UTC, outside the configured business-hours window (6:00-22:00)."
     assert next(a for a in got if a.event_ids == [6]).title == "Off-hours login by None"
 
 
 def test_multiple_failed(spark):
-    rows = [fail(i * 180, username="rpatel", src_ip="103.21.244.101",
+    rows = [fail(i * 180, username="ines", src_ip="103.21.244.60",
                  **({"source_type": "web_server", "event_type": "http_auth_failure"} if i == 9 else {})) for i in range(10)]
     (a,) = detect.detect_multiple_failed_auth(events(spark, *rows, fail(0, username=None))).collect()
-    assert (a.username, a.src_ip, float(a.risk_score)) == ("rpatel", "103.21.244.101", 60.0)
-    assert a.description == ("10 failed authentication events for user rpatel across sources "
+    assert (a.username, a.src_ip, float(a.risk_score)) == ("ines", "103.21.244.60", 60.0)
+    assert a.description == ("10 failed authentication events for user ines across sources "
                              "['linux_ssh', 'web_server'] within 60 minutes.")
 
 
@@ -169,9 +169,9 @@ def test_all_rules_together_with_hot_keys(spark):
     import random
     rng = random.Random(8)
     rows = [{"event_time": BASE + timedelta(minutes=rng.randrange(2000)), "username": rng.choice(["hot"] * 4 + ["b", None]),
-             "src_ip": rng.choice(["203.0.113.9", "10.0.0.5", "203.0.113.9", "198.51.100.23", None]), "host": "h",
+             "src_ip": rng.choice(["203.0.113.201", "10.3.0.8", "203.0.113.201", "198.51.100.140", None]), "host": "h",
              "event_type": rng.choice(["login_failure", "login_success", "http_auth_failure", "privilege_escalation"])} for _ in range(700)]
-    df, bad = events(spark, *rows), feed(spark, "203.0.113.9")
+    df, bad = events(spark, *rows), feed(spark, "203.0.113.201")
     near = Settings(brute_force_minutes=60, multi_fail_threshold=4)
     cut = Settings(brute_force_minutes=60, multi_fail_threshold=4, max_rows_per_task=15)
     whole = sorted(map(str, detect.run_all_rules(df, bad, near).collect()))

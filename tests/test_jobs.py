@@ -1,8 +1,7 @@
 """End to end on log files: ingest, detect twice, score, export.
 
-The files hold what the tests of a security pipeline need to see at least once:
-a brute-force run over two sources, a travelling account, feed addresses, sudo and
-admin tokens, night logins, and failures of one account over two sources.
+Four days of one site, in which every rule has something to find: guesses at made-up accounts from one address over two
+sources, an account in two cities, administration on two hosts, one late login, and a build account whose password expired.
 """
 
 import json
@@ -17,35 +16,38 @@ from duskwatch.settings import Settings
 from duskwatch.sources.lines import read_lines
 from duskwatch.sources.tables import Store
 
-DAY = datetime(2026, 7, 1)
+DAY = datetime(2026, 3, 10)
 
 
 def win(t, code, user, ip):
-    return f"{t:%Y-%m-%dT%H:%M:%SZ} EventID={code} Account={user} LogonType=3 SourceIP={ip} Workstation=WIN-DC01 Status=x"
+    return f"{t:%Y-%m-%dT%H:%M:%SZ} EventID={code} Account={user} LogonType=3 SourceIP={ip} Workstation=APP-02 Status=x"
 
 
 def ssh(t, what):
-    return f"{t:%b} {t.day:2d} {t:%H:%M:%S} web01 {what}"
+    return f"{t:%b} {t.day:2d} {t:%H:%M:%S} db9 {what}"
 
 
 def files():
     at = lambda h, m=0, s=0, d=0: DAY + timedelta(days=d, hours=h, minutes=m, seconds=s)
     windows, linux, firewall, web = [], [], [], []
-    for d in range(5):
-        for i, (user, ip) in enumerate([("jsmith", "10.0.0.5"), ("agarcia", "10.0.0.12"), ("mchen", "10.0.0.31")]):
-            windows.append(win(at(8, 10 * i, d=d), 4624, user, ip))
-            firewall.append(f"{at(9, i, d=d):%Y-%m-%dT%H:%M:%SZ},fw01,ALLOW,TCP,{ip},10.0.0.10,443")
-    for i in range(8):  # 16 failures of one address, 3 full windows of five
-        windows.append(win(at(3, 10, 10 + 25 * i), 4625, "administrator", "203.0.113.55"))
-        linux.append(ssh(at(3, 10, 25 * i), f"sshd[{i}]: Failed password for invalid user admin from 203.0.113.55 port {i} ssh2"))
-    windows += [win(at(14), 4624, "jsmith", "10.0.0.5"), win(at(14, 6), 4624, "jsmith", "198.51.100.23"),
-                win(at(10, 20), 4672, "agarcia", "10.0.0.12"), win(at(10, 21), 4728, "agarcia", "10.0.0.12"),
-                win(at(3, 45, d=2), 4624, "mchen", "10.0.0.31")]
-    for m in (15, 17):
-        linux.append(ssh(at(10, m), "sudo: agarcia : TTY=pts/0 ; PWD=/etc ; USER=root ; COMMAND=/bin/bash"))
-    for i in range(6):
-        linux.append(ssh(at(20, 4 * i), f"sshd[{i}]: Failed password for rpatel from 103.21.244.101 port {i} ssh2"))
-        web.append(f'103.21.244.101 - rpatel [{at(20, 30 + 3 * i):%d/%b/%Y:%H:%M:%S} +0000] "POST /wp-login.php HTTP/1.1" 401 3 "-" "x"')
+    for d in range(4):
+        for i, (user, ip) in enumerate([("noor", "172.16.4.9"), ("wanda", "172.16.4.20"), ("teodor", "192.168.7.3"), ("lu", "192.168.7.8")]):
+            windows.append(win(at(7, 30 + 7 * i, d=d), 4624, user, ip))
+            firewall.append(f"{at(12, 5 * i, d=d):%Y-%m-%dT%H:%M:%SZ},edge2,ALLOW,TCP,{ip},10.0.0.10,8443")
+    for i in range(21):  # four full windows of five, and one failure left over
+        if i % 2:
+            linux.append(ssh(at(15, 40, 12 * i), f"sshd[{i}]: Failed password for invalid user ora{i % 3} from 185.220.101.77 port {i} ssh2"))
+        else:
+            windows.append(win(at(15, 40, 12 * i), 4625, f"guest{i % 3}", "185.220.101.77"))
+    windows += [win(at(11, 30), 4624, "noor", "172.16.4.9"), win(at(11, 52), 4624, "noor", "45.155.204.201"),
+                win(at(13, 5), 4672, "wanda", "172.16.4.20"), win(at(13, 9), 4728, "wanda", "172.16.4.20"),
+                win(at(23, 20, d=3), 4624, "teodor", "192.168.7.3")]
+    for m in (2, 3, 44):
+        linux.append(ssh(at(9, m), "sudo: wanda : TTY=pts/2 ; PWD=/srv ; USER=root ; COMMAND=/usr/bin/systemctl"))
+    for i in range(7):
+        linux.append(ssh(at(16, 3 * i), f"sshd[{i}]: Failed password for build from 103.21.244.17 port {i} ssh2"))
+    for i in range(4):
+        web.append(f'103.21.244.17 - build [{at(16, 25 + 5 * i):%d/%b/%Y:%H:%M:%S} +0000] "GET /artifacts HTTP/1.1" 401 9 "-" "agent"')
     web += ["", "   ", "garbage"]
     return {"windows_auth": windows, "linux_ssh": linux, "firewall": firewall, "web_server": web}
 
@@ -57,8 +59,8 @@ def store(spark, tmp_path_factory):
     for source, lines in files().items():
         (root / f"{source}.log").write_text("\n".join(lines) + "\n")
         paths[source] = str(root / f"{source}.log")
-    (root / "feed.csv").write_text("ip,category,confidence,source\n203.0.113.55,brute_force,92,f\n198.51.100.23,c2,95,f\n"
-                                   "103.21.244.101,stuffing,85,f\n203.0.113.55,scanner,50,f\n")
+    (root / "feed.csv").write_text("ip,category,confidence,source\n185.220.101.77,guessing,70,f\n45.155.204.201,proxy,60,f\n"
+                                   "103.21.244.17,spam,55,f\n185.220.101.77,scanner,50,f\n")
     made = Store(spark, str(tmp_path_factory.mktemp("store")))
     made.feed, made.paths = str(root / "feed.csv"), paths
     made.result = jobs.ingest_all(made, {**paths, "windows_auth": paths["windows_auth"]}, batch=0, year=2026)
@@ -74,8 +76,8 @@ def test_ingest(store):
     assert reject.raw_message == "garbage" and reject.reason == "unparsed"
     with_lines = jobs.with_raw_lines(store.events(), store.raw_logs()).filter("event_type = 'group_membership_change'").collect()
     assert len(with_lines) == 1 and "EventID=4728" in with_lines[0].raw_message
-    recent = store.events(since=datetime(2026, 7, 3))
-    assert recent.count() == 3 * 2 * 3 + 1
+    recent = store.events(since=datetime(2026, 3, 12))
+    assert recent.count() == 2 * 2 * 4 + 1
     assert "event_date" in recent._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1][:200]
 
 
@@ -107,22 +109,22 @@ def test_detection_is_complete_and_idempotent(store):
     for a in store.alerts().collect():
         by_rule.setdefault(a.rule_name, []).append(a)
     assert {r: len(v) for r, v in by_rule.items()} == {
-        "brute_force_login": 3, "impossible_travel": 1, "suspicious_ip_threat_intel": 3,
+        "brute_force_login": 4, "impossible_travel": 1, "suspicious_ip_threat_intel": 3,
         "privilege_escalation": 2, "unusual_login_hours": 1, "multiple_failed_auth": 1}
-    assert [a.username for a in by_rule["unusual_login_hours"]] == ["mchen"]
+    assert [a.username for a in by_rule["unusual_login_hours"]] == ["teodor"]
     assert {(a.src_ip, a.n_events) for a in by_rule["suspicious_ip_threat_intel"]} == {
-        ("203.0.113.55", 16), ("198.51.100.23", 1), ("103.21.244.101", 12)}
+        ("185.220.101.77", 21), ("45.155.204.201", 1), ("103.21.244.17", 11)}
     assert jobs.run_detection(store, feed_path=store.feed) == 0
-    assert store.alerts().count() == 11
+    assert store.alerts().count() == 12
 
 
 def test_feed_upsert_keeps_the_last_row_and_the_first_stamp(spark, store):
     before = {r.ip: r for r in store.intel.read().collect()}
-    assert before["203.0.113.55"].category == "scanner" and len(before) == 3
-    n = store.upsert_intel(spark.createDataFrame([("203.0.113.55", "tor", 1, "g"), ("9.9.9.9", "new", 2, "g")], INTEL))
+    assert before["185.220.101.77"].category == "scanner" and len(before) == 3
+    n = store.upsert_intel(spark.createDataFrame([("185.220.101.77", "tor", 1, "g"), ("9.9.9.9", "new", 2, "g")], INTEL))
     after = {r.ip: r for r in store.intel.read().collect()}
     assert n == 2 and len(after) == 4
-    assert (after["203.0.113.55"].category, after["203.0.113.55"].added_at) == ("tor", before["203.0.113.55"].added_at)
+    assert (after["185.220.101.77"].category, after["185.220.101.77"].added_at) == ("tor", before["185.220.101.77"].added_at)
 
 
 def test_every_stored_alert_has_its_events(store):
@@ -135,24 +137,24 @@ def test_every_stored_alert_has_its_events(store):
 def test_scores_replace(store):
     first = jobs.run_scoring(store, Settings(forest_trees=20))
     jobs.run_scoring(store, Settings(forest_trees=20))
-    assert first.count() == store.scores.read().count() == 18
+    assert first.count() == store.scores.read().count() == 19
     assert store.scores.versions() == [0, 1]
     (summary,) = dashboard.anomaly_summary(store.scores.read()).collect()
-    assert summary.logins_scored == 18 and summary.flagged >= 1
+    assert summary.logins_scored == 19 and summary.flagged >= 1
 
 
 def test_dashboard_and_searches(store):
     alerts = store.alerts()
     (k,) = dashboard.kpis(store.events(), alerts, store.scores.read()).collect()
-    assert (k.total_events, k.open_alerts, k.critical_alerts) == (store.result.events, 11, 1)
+    assert (k.total_events, k.open_alerts, k.critical_alerts) == (store.result.events, 12, 1)
     trend = dashboard.hourly_trend(alerts).collect()
-    assert sum(r.alert_count for r in trend) == 11 and any(r.alert_count == 0 for r in trend)
+    assert sum(r.alert_count for r in trend) == 12 and any(r.alert_count == 0 for r in trend)
     assert all(b.hour - a.hour == timedelta(hours=1) for a, b in zip(trend, trend[1:]))
     chart = searches.severity_timechart(alerts).collect()
-    assert sum(r.high for r in chart) == 9 and len(chart) == len(trend)
-    assert searches.brute_force_buckets(store.events()).first()["count"] == 16
+    assert sum(r.high for r in chart) == 10 and len(chart) == len(trend)
+    assert searches.brute_force_buckets(store.events()).first()["count"] == 21
     assert dashboard.filter_alerts(alerts, ["critical"], ["impossible_travel"]).count() == 1
-    assert searches.in_range(alerts, "detected_at", datetime(2026, 7, 2, 3, 30)).count() == 10
+    assert searches.in_range(alerts, "detected_at", datetime(2026, 3, 11, 15, 0)).count() == 7
     assert searches.recent_alerts(alerts, 3).count() == 3
 
 
@@ -167,12 +169,12 @@ def test_export(spark, store, tmp_path):
     jobs.export(store, str(tmp_path / "out"))
     events = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "out/events")).collect()]
     alerts = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "out/alerts")).collect()]
-    assert len(events) == store.result.events and len(alerts) == 11
+    assert len(events) == store.result.events and len(alerts) == 12
     fw = next(e for e in events if e["sourcetype"] == "siem:firewall")
-    assert fw["index"] == "siem" and fw["event"]["dst_port"] == "443" and fw["event"]["username"] is None
+    assert fw["index"] == "siem" and fw["event"]["dst_port"] == "8443" and fw["event"]["username"] is None
     assert "event_time" not in fw["event"] and isinstance(fw["time"], float)
     ids = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "out/alert_evidence")).collect()]
     assert len(ids) == sum(int(a["event"]["n_events"]) for a in alerts) and all(i["sourcetype"] == "siem:alert:evidence" for i in ids)
     travel = next(a for a in alerts if a["event"]["rule_name"] == "impossible_travel")
     assert travel["sourcetype"] == "siem:alert" and travel["event"]["risk_score"] == "90.00"
-    assert travel["time"] == datetime.fromisoformat("2026-07-01T14:06:00+00:00").timestamp()
+    assert travel["time"] == datetime.fromisoformat("2026-03-10T11:52:00+00:00").timestamp()

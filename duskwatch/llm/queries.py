@@ -163,9 +163,9 @@ ORACLES["op12_four_russians"] = r"""
     d as (select conv_id, turn, case k when 4 then 'user' else r0 end r,
                  case k when 1 then '' when 2 then regexp_replace(t0, '[.!?]', '', 'g') else t0 end x
           from n, unnest(range(case k when 3 then 2 else 1 end)) c(copy) where k <> 0),
-    o as (select *, row_number() over w i, row_number() over (partition by conv_id, r, x order by turn nulls first) seen,
-                 lag(left(r, 1)) over w before, rtrim(x, e' \t\n\x0b\x0c\r') body
-          from d window w as (partition by conv_id order by turn nulls first, r, x)),
+    e as (select *, row_number() over (partition by conv_id order by turn nulls first, r, x) i from d),
+    o as (select *, row_number() over (partition by conv_id, r, x order by i) seen, lag(left(r, 1)) over (partition by conv_id order by i) before,
+                 rtrim(x, e' \t\n\x0b\x0c\r') body from e),
     f as (select *, case when body = '' then 'b' when seen > 1 then 'd' when right(body, 1) not in ('.', '!', '?') then 't' else '' end fault,
                  left(r, 1) q, r || ':' || x line from o),
     g as (select conv_id, count(*) rows, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) gaps, count_if(fault = 'b') blank,

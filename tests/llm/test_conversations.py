@@ -122,3 +122,22 @@ def test_blocks_agree_with_single_rows():
                 first, state = tables.trace(syms[:k], int(tables.span(syms[k:])[0][0]), START, False)
                 rest, _ = tables.trace(syms[k:], 0, state, True)
                 assert first + rest == tables.trace(syms, 0, START, True)[0]
+
+
+def test_sql_agrees_with_the_search(rows, tmp_path):
+    """The query's SQL, on the rows the operator is tested with (equal turns left out, whose order SQL takes from the text itself)."""
+    import duckdb
+    import pandas as pd
+
+    from duskwatch.llm.queries import ORACLES
+
+    seen, own = set(), []
+    for row in rows:
+        if (row[0], row[1]) not in seen and row[0] not in (777, 778):
+            seen.add((row[0], row[1]))
+            own.append(row)
+    con = duckdb.connect()
+    con.register("raw", pd.DataFrame(own, columns=["conv_id", "turn", "role", "text"]))
+    con.execute("create view conversations as select conv_id::bigint conv_id, turn::bigint turn, role, text from raw")
+    got = con.sql("select conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256 from (" + ORACLES["op12_four_russians"] + ")")
+    assert sorted(map(str, got.fetchall())) == sorted(map(str, expected(own)))

@@ -71,7 +71,9 @@ def touched_rows(events: DataFrame, late: DataFrame, rule: Rule, max_rows: int,
         at = lambda us: F.timestamp_micros(F.lit(us))
         read = relevant.filter(F.col("event_time").between(at(low), at(high))).join(late.select(key), key, "left_semi")
         rows = materialize(read.select(*events.columns), "touched")
-        sessions = materialize(touched_sessions(rows, late, key, reach, max_rows), "sessions")
+        # what lies beyond the rows that were read belongs to no session of theirs, also where no next one was read
+        sessions = materialize(touched_sessions(rows, late, key, reach, max_rows).withColumn(
+            "end", F.coalesce("end", F.lit(high + 1))), "sessions")
         own = materialize(inside(rows, sessions, key, "event_time"), "touched-rows")
         edge = own.agg(F.min(micros()), F.max(micros())).first()
         if edge[0] is None:

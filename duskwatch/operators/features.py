@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from duskwatch.operators.detect import off_hours
 from duskwatch.operators.hot_keys import KeySplit, hot_keys, micros
 from duskwatch.schemas import FEATURE_COLUMNS
+from duskwatch.session import materialize
 from duskwatch.settings import Settings
 
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
-_FAILURE, _LOGIN, _PROBE = 0, 1, 2
+_FAILURE, _LOGIN = 0, 1
 
 
 def build_features(events: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -61,47 +62,60 @@ def _whole_users(history: DataFrame) -> DataFrame:
             .select("id", "username", "event_time", "src_ip", "is_new_source_ip", "failed_attempts_1h", "logins_last_24h"))
 
 
-def _cut_users(history: DataFrame, hot: list, settings: Settings) -> DataFrame:
-    """The same numbers for users with too many rows for one task.
+def ranked_logins(logins: DataFrame, hot: list, max_rows: int) -> DataFrame:
+    """Logins with ``rank``, their place (from 1) among the user's by (time, id), and the slice they were ranked in, of about ``max_rows`` rows."""
+    order = Window.partitionBy("username", "slice").orderBy("_at", "id")
+    return (KeySplit(logins, "username", max_rows, hot=hot).apply(logins)
+            .withColumn("rank", F.col("slice_base") + F.row_number().over(order))
+            .select("id", "username", "event_time", "src_ip", "_at", "slice", "rank"))
+
+
+def _counts_at(history: DataFrame, hot: list, max_rows: int) -> DataFrame:
+    """(username, _at, failed_attempts_1h, logins_until) of every instant with a login; ``logins_until`` counts those up to a day before.
 
-    Each login also sends probes to one day and one hour before it. Logins, failures
-    and probes are cut into slices along time; running counts inside a slice plus the
-    counts of earlier slices give every running count, and a login's features are its
-    own counts minus those its probes saw.
+    Rows of one instant are one row with their counts, summed map-side. An instant with logins also sends probes to one day and
+    one hour before it. Instants and probes, at most three to an instant, are cut along time; the counts of earlier slices and
+    the running counts inside a slice give what each of them has behind it, an instant itself included.
     """
-    probe = lambda what, shift: F.struct(
-        F.lit(_PROBE).alias("_kind"), F.lit(what).alias("_what"), (F.col("_at") - shift).alias("_at"))
-    itself = F.struct(F.col("_kind"), F.lit("self").alias("_what"), F.col("_at"))
-    stream = (history.withColumn("_login_time", F.col("event_time"))
-              .withColumn("_sent", F.when(F.col("_kind") == _LOGIN, F.array(itself, probe("logins", DAY_US), probe("failures", HOUR_US)))
-                          .otherwise(F.array(itself)))
-              .select("id", "username", "_login_time", "src_ip", F.inline("_sent"))
-              .withColumn("event_time", F.timestamp_micros(F.col("_at"))))
-    rows = KeySplit(stream, "username", settings.max_rows_per_task, hot=hot, ties_together=True).apply(stream)
-
-    is_kind = lambda kind: (F.col("_kind") == kind).cast("bigint")
+    is_kind = lambda kind: F.count_if(F.col("_kind") == kind)
+    instants = history.groupBy("username", "_at").agg(is_kind(_LOGIN).alias("l"), is_kind(_FAILURE).alias("f"))
+    sent = lambda order, shift, l, f: F.struct(
+        F.lit(order).cast("bigint").alias("id"), (F.col("_at") - shift).alias("_at"), l.alias("l"), f.alias("f"))
+    nothing = F.lit(0).cast("bigint")
+    itself = sent(0, 0, F.col("l"), F.col("f"))
+    probes = F.array(itself, sent(1, DAY_US, nothing, nothing), sent(2, HOUR_US, nothing, nothing))
+    line = (instants.select("username", F.col("_at").alias("login_at"), (F.col("l") > 0).alias("asks"),
+                            F.inline(F.when(F.col("l") > 0, probes).otherwise(F.array(itself))))
+            .withColumn("event_time", F.timestamp_micros("_at")))
+    line = materialize(line, "instants")
+    rows = KeySplit(line, "username", max_rows, hot=hot).apply(line)
     earlier = Window.partitionBy("username").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    before = (rows.groupBy("username", "slice").agg(F.sum(is_kind(_LOGIN)).alias("l"), F.sum(is_kind(_FAILURE)).alias("f"))
+    before = (rows.groupBy("username", "slice").agg(F.sum("l").alias("l"), F.sum("f").alias("f"))
               .select("username", "slice", F.coalesce(F.sum("l").over(earlier), F.lit(0)).alias("_l0"),
                       F.coalesce(F.sum("f").over(earlier), F.lit(0)).alias("_f0")))
-    running = (Window.partitionBy("username", "slice").orderBy("_at", "_kind", "id")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = (rows.withColumn("_l", F.sum(is_kind(_LOGIN)).over(running))
-            .withColumn("_f", F.sum(is_kind(_FAILURE)).over(running))
-            .filter(F.col("_kind") != _FAILURE)
+    running = Window.partitionBy("username", "slice").orderBy("_at", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = (rows.withColumn("l", F.sum("l").over(running)).withColumn("f", F.sum("f").over(running)).filter("asks")
             .join(before, ["username", "slice"]))
-    logins, failures = F.col("_l0") + F.col("_l"), F.col("_f0") + F.col("_f")
-    what = F.col("_what")
-    parts = rows.select(
-        "id", "username", "_login_time", "src_ip",
-        F.when(what == "self", logins - 1).when(what == "logins", -logins).otherwise(0).alias("dl"),
-        F.when(what == "self", failures).when(what == "failures", -failures).otherwise(0).alias("df"),
-        F.lit(0).alias("new"))
+    logins, failures, kind = F.col("_l0") + F.col("l"), F.col("_f0") + F.col("f"), F.col("id")
+    return seen.groupBy("username", F.col("login_at").alias("_at")).agg(
+        F.sum(F.when(kind == 0, failures).when(kind == 2, -failures).otherwise(0)).alias("failed_attempts_1h"),
+        F.sum(F.when(kind == 1, logins).otherwise(0)).alias("logins_until"))
+
+
+def _cut_users(history: DataFrame, hot: list, settings: Settings) -> DataFrame:
+    """The same numbers for users with too many rows for one task, however many of them share an instant."""
+    history = materialize(history, "hot-history")
+    logins = history.filter(F.col("_kind") == _LOGIN)
+    ranked = materialize(ranked_logins(logins, hot, settings.max_rows_per_task), "ranked-logins")
+    # what holds at an instant goes to every slice that has rows of it, so an instant's logins stay spread
+    counts = ranked.select("username", "slice", "_at").distinct().join(
+        _counts_at(history, hot, settings.max_rows_per_task), ["username", "_at"])
     # First login of each (user, address): a partial aggregate, so a hot pair is reduced map-side.
-    first = (history.filter(F.col("_kind") == _LOGIN).groupBy("username", "src_ip")
-             .agg(F.min(F.struct("event_time", "id")).alias("m"))
-             .select(F.col("m.id").alias("id"), "username", F.col("m.event_time").alias("_login_time"), "src_ip",
-                     F.lit(0).cast("bigint").alias("dl"), F.lit(0).cast("bigint").alias("df"), F.lit(1).alias("new")))
-    return (parts.unionByName(first).groupBy("id", "username", F.col("_login_time").alias("event_time"), "src_ip")
-            .agg(F.sum("new").alias("is_new_source_ip"), F.sum("df").alias("failed_attempts_1h"),
-                 F.sum("dl").alias("logins_last_24h")))
+    first = (logins.groupBy("username", "src_ip").agg(F.min(F.struct("event_time", "id")).alias("m"))
+             .select(F.col("username").alias("_user"), F.col("src_ip").alias("_ip"), F.col("m.id").alias("_id"),
+                     F.col("m.event_time").alias("_time")))
+    same = (F.col("id").eqNullSafe(F.col("_id")) & (F.col("username") == F.col("_user")) & (F.col("event_time") == F.col("_time"))
+            & F.col("src_ip").eqNullSafe(F.col("_ip")))
+    return (ranked.join(counts, ["username", "slice", "_at"]).join(first, same, "left")
+            .select("id", "username", "event_time", "src_ip", F.col("_user").isNotNull().cast("int").alias("is_new_source_ip"),
+                    "failed_attempts_1h", (F.col("rank") - 1 - F.col("logins_until")).alias("logins_last_24h")))

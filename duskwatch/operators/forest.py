@@ -138,6 +138,43 @@ def score_vectors(vectors: DataFrame, nodes: DataFrame, sample: int) -> DataFram
     return vectors.withColumn("score", score(*FEATURE_COLUMNS))
 
 
+_BINS = 4096
+
+
+def weighted_percentile(rows: DataFrame, p: float) -> float | None:
+    """The exact ``p``-quantile of ``rows`` (value, weight), between neighbours by linear interpolation; null if there are none.
+
+    A value's place is looked for in a histogram of ``_BINS`` bins over the range that holds it, and that bin is the next range, until
+    at most ``_BINS`` different values are in it. So each pass is a partial aggregate, and no task or driver holds more than a histogram.
+    """
+    rows = materialize(rows.groupBy("value").agg(F.sum("weight").alias("weight")), "weighted-values")
+    total = rows.agg(F.sum("weight")).first()[0]
+    if not total:
+        return None
+    place = p * (total - 1)
+    rank = math.floor(place)
+    inside, behind = rows, 0  # behind: weight of all values before this range
+    while True:
+        low, high, n = inside.agg(F.min("value"), F.max("value"), F.count("*")).first()
+        if n <= _BINS:
+            break
+        width = (high - low) / _BINS
+        spot = F.least(F.floor((F.col("value") - low) / width), F.lit(_BINS - 1)) if width > 0 else (F.col("value") > low).cast("bigint")
+        for found in sorted(inside.groupBy(spot.cast("bigint").alias("bin")).agg(F.sum("weight").alias("weight")).collect()):
+            if behind + found["weight"] > rank:
+                break
+            behind += found["weight"]
+        inside = inside.filter(spot == found["bin"])
+    for value, weight in sorted(map(tuple, inside.select("value", "weight").collect())):
+        behind += weight
+        if behind > rank:
+            break
+    if place == rank or behind > rank + 1:
+        return value
+    after = rows.filter(F.col("value") > value).agg(F.min("value")).first()[0]
+    return (rank + 1 - place) * value + (place - rank) * after
+
+
 def train_and_score(features: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Features plus ``anomaly_score`` in [0, 1] and ``is_anomaly``.
 
@@ -152,9 +189,8 @@ def train_and_score(features: DataFrame, settings: Settings = Settings()) -> Dat
     scored = materialize(score_vectors(vectors, nodes, min(settings.forest_sample, n)), "scored-vectors")
     # Weighted by row count these are the statistics over all rows. Normality is -score: the cut
     # is its 100 c-th percentile, and only what lies strictly below is anomalous.
-    cut, low, high = (
-        scored.groupBy("score").agg(F.sum("weight").alias("weight"))
-        .agg(F.expr(f"percentile(-score, {settings.contamination}D, weight)"), F.min("score"), F.max("score")).first())
+    low, high = scored.agg(F.min("score"), F.max("score")).first()
+    cut = weighted_percentile(scored.select((-F.col("score")).alias("value"), "weight"), settings.contamination)
     scored = scored.select(*FEATURE_COLUMNS,
                            ((F.col("score") - low) / (high - low + 1e-9)).alias("anomaly_score"),
                            (-F.col("score") < cut).alias("is_anomaly"))

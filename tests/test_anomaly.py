@@ -5,8 +5,9 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from duskwatch.operators.features import build_features
+from duskwatch.operators.features import build_features, ranked_logins
 from duskwatch.operators.forest import train_and_score
+from duskwatch.operators.hot_keys import micros
 from duskwatch.schemas import EVENTS, FEATURE_COLUMNS
 from duskwatch.settings import Settings
 
@@ -51,6 +52,37 @@ def test_features_match_a_plain_count(spark, seed, max_rows):
     assert got == brute(rows) and len(got) > 200
 
 
+def test_logins_of_one_instant_are_cut(spark):
+    """Ten times what a task may hold at one microsecond, ids in two clumps, beside others before and after."""
+    rng = random.Random(6)
+    rows = random_rows(7, 150)
+    for i in range(500):
+        rows.append(login((1 << 33) * (i % 2) + 10_000 + i, BASE + DAY, "hot", rng.choice(["1.1.1.1", "9.9.9.9", None]),
+                          "login_failure" if i % 5 == 0 else "login_success"))
+    features = build_features(frame(spark, rows), Settings(max_rows_per_task=50))
+    assert {r.id: tuple(r[c] for c in FEATURE_COLUMNS) for r in features.collect()} == brute(rows)
+    logins = frame(spark, rows).filter("event_type = 'login_success' AND username = 'hot'").withColumn("_at", micros())
+    ranked = ranked_logins(logins, ["hot"], 50)
+    per_task = [r["count"] for r in ranked.groupBy("username", "slice").count().collect()]
+    assert len(per_task) >= 8 and max(per_task) <= 100
+    assert sorted(r["rank"] for r in ranked.collect()) == list(range(1, logins.count() + 1))
+
+
+@pytest.mark.parametrize("p", [0.0, 0.05, 0.5, 0.999, 1.0])
+def test_weighted_percentile_is_exact(spark, p):
+    from duskwatch.operators import forest
+    rng = random.Random(9)
+    values = [round(rng.gauss(0, 1), 4) * 10 ** rng.choice([0, 0, 0, -12, 6]) for _ in range(3000)] + [-0.25] * 500
+    rows = spark.createDataFrame([(v, rng.randint(1, 5)) for v in values], "value double, weight long")
+    want = rows.selectExpr(f"percentile(value, {p}D, weight) AS p").first().p
+    bins, forest._BINS = forest._BINS, 16  # several passes
+    try:
+        assert forest.weighted_percentile(rows, p) == want
+    finally:
+        forest._BINS = bins
+    assert forest.weighted_percentile(rows, p) == want and forest.weighted_percentile(rows.limit(0), p) is None
+
+
 def test_no_logins(spark):
     out = build_features(frame(spark, []))
     assert out.columns == ["id", "username", "event_time", "src_ip", *FEATURE_COLUMNS] and out.count() == 0

@@ -4,7 +4,8 @@ Rules name a host (and all its subdomains) and a beginning of the path; the long
 decision of their redirect equivalence class: pages are linked to what their canonical link or refresh points to (and by any redirect table given), components are formed over these links, and a component in which
 a rule allows any address is allowed, else one in which a rule blocks any is blocked. What is left is allowed.
 
-An address is its host and path and query; scheme and fragment make no other page. Defined cases: a null url, or one without "://", has empty
+An address is its host, path without dot segments, and query; scheme and fragment make no other page. Links are read as a browser would:
+comments, scripts and styles are no markup, entities are decoded, ``<base>`` counts. Defined cases: a null url, or one without "://", has empty
 host and path, fits no rule and is no node; null html has no links; repeated pages are separate rows with one node; extra columns are
 left out; empty tables give no rows.
 """
@@ -54,10 +55,20 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(_rest(url), "^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def _without_dots(path: Column) -> Column:
+    """A path with its "." and ".." segments taken out; ".." at the top stays at the top."""
+    given = F.split(F.substring(path, 2, F.length(path)), "/", -1)
+    last = F.element_at(given, -1)
+    steps = F.when(last.isin(".", ".."), F.concat(given, F.array(F.lit("")))).otherwise(given)
+    kept = F.aggregate(steps, F.array().cast("array<string>"), lambda acc, step: F.when(step == ".", acc).when(
+        step == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.concat(acc, F.array(step))))
+    return F.when(F.contains(path, F.lit("/.")), F.concat(F.lit("/"), F.array_join(kept, "/"))).otherwise(path)
+
+
 def node_of(url: Column) -> Column:
-    """Host, path and query: the address without scheme and fragment; null where there is no host."""
-    tail = F.regexp_extract(_rest(url), "^[^/?#]*([^#]*)", 1)
-    return F.when(host_of(url) != "", F.concat(host_of(url), F.when(tail == "", F.lit("/")).otherwise(tail)))
+    """Host, path without dot segments, and query: the address without scheme and fragment; null where there is no host."""
+    path, query = path_of(url), F.regexp_extract(_rest(url), r"^[^?#]*(\?[^#]*)", 1)
+    return F.when(host_of(url) != "", F.concat(host_of(url), F.when(path == "", F.lit("/")).otherwise(_without_dots(path)), query))
 
 
 def rule_of(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -76,20 +87,69 @@ def verdict_of(rule: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     return out
 
 
+# What is no markup of the page, though tags may be written in it; an unclosed one runs to the end.
+_NO_MARKUP = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)"
+# Entities with a name, besides &amp;.
+_NAMED = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'"}
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often it is mentioned."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """Value of a tag's attribute, entities decoded; empty if there is none."""
+    pattern = rf"""(?i)(?<![\w-]){name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    return _let(F.btrim(F.concat(*[F.regexp_extract(tag, pattern, k) for k in (1, 2, 3)]), F.lit(" \t\r\n\f")), _decoded)
+
+
+def _decoded(value: Column) -> Column:
+    """Entities as their characters. An ampersand comes last, so that what it makes is not decoded once more."""
+    def character(entity: Column) -> Column:
+        digits = F.regexp_extract(entity, "([0-9A-Fa-f]+);", 1)
+        code = F.conv(digits, 10, 10).cast("bigint")
+        code = F.when(F.lower(entity).startswith("&#x"), F.conv(digits, 16, 10).cast("bigint")).otherwise(code)
+        sound = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        bits = F.unhex(F.lpad(F.hex(F.when(sound, code).otherwise(0xFFFD)), 8, "0"))
+        return F.when(code == 38, F.lit("&amp;")).otherwise(F.decode(bits, "UTF-32"))
+
+    numbers = F.array_distinct(F.regexp_extract_all(value, F.lit(r"&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"), F.lit(0)))
+    out = F.aggregate(numbers, value, lambda acc, entity: F.replace(acc, entity, character(entity)))
+    for entity, plain in _NAMED.items():
+        out = F.replace(out, F.lit(entity), F.lit(plain))
+    return F.when(F.contains(value, F.lit("&")), F.replace(out, F.lit("&amp;"), F.lit("&"))).otherwise(value)
+
+
+def _resolved(to: Column, page: Column) -> Column:
+    """The address ``to`` names on ``page``; dot segments are left to ``node_of``."""
+    site = F.regexp_extract(page, "^[^/?#]*//[^/?#]*", 0)
+    path = F.when(path_of(page) == "", F.lit("/")).otherwise(path_of(page))
+    return (F.when(to.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), to)
+            .when(F.startswith(to, F.lit("//")), F.concat(F.regexp_extract(page, "^[^/?#]*:", 0), to))
+            .when(F.startswith(to, F.lit("/")), F.concat(site, to))
+            .when(F.startswith(to, F.lit("?")), F.concat(site, path, to))
+            .when((to == "") | F.startswith(to, F.lit("#")), page)
+            .otherwise(F.concat(site, F.regexp_extract(path, "^.*/", 0), to)))
+
+
 def page_links(pages: DataFrame) -> DataFrame:
-    """(src, dst) urls: canonical links and immediate refreshes of ``pages`` (url, html), resolved against the page."""
-    tags = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(r"(?i)<(?:link|meta)\b[^>]*>"), F.lit(0))
-    pointing = F.filter(tags, lambda t: t.rlike(r"""(?i)\brel\s*=\s*["']?canonical\b|\bhttp-equiv\s*=\s*["']?refresh\b"""))
-    # the tag's target: href of a link, what follows url= in a refresh
-    target = F.regexp_extract(F.col("tag"), r"""(?i)(?:\bhref\s*=\s*|\burl\s*=\s*)["']?\s*([^"'>\s]+)""", 1)
-    rows = pages.where("url is not null").select("url", F.explode(pointing).alias("tag")).select("url", target.alias("to")).where("to != ''")
-    scheme, host = F.regexp_extract("url", "^[^:/?#]*", 0), F.regexp_extract(_rest(F.col("url")), "^[^/?#]*", 0)
-    folder = F.regexp_extract(path_of(F.col("url")), "^.*/", 0)
-    to = F.col("to")
-    full = (F.when(F.instr(to, "://") > 0, to).when(F.startswith(to, F.lit("//")), F.concat(scheme, F.lit(":"), to))
-            .when(F.startswith(to, F.lit("/")), F.concat(scheme, F.lit("://"), host, to))
-            .otherwise(F.concat(scheme, F.lit("://"), host, F.when(folder == "", F.lit("/")).otherwise(folder), to)))
-    return rows.select(F.col("url").alias("src"), full.alias("dst"))
+    """(src, dst) urls: canonical links and refreshes of ``pages`` (url, html), resolved against the page or its first ``<base>``.
+
+    Comments, scripts and styles are no markup.
+    """
+    tags = F.regexp_extract_all(F.regexp_replace("html", _NO_MARKUP, " "), F.lit(r"(?i)<(?:link|meta|base)\b[^>]*>"), F.lit(0))
+    found = pages.where("url is not null").where(F.col("html").rlike(r"(?i)\b(?:canonical|refresh)\b")).select("url", tags.alias("tags"))
+    base = F.coalesce(F.get(F.filter("tags", lambda t: t.rlike(r"(?i)^<base\b") & (_attribute(t, "href") != "")), F.lit(0)), F.lit(""))
+    rows = settle(found.select("url", base.alias("base"), F.explode("tags").alias("tag")), "tags")  # of few pages; each step below reads them
+    tag = F.col("tag")
+    canonical = tag.rlike("(?i)^<link") & F.array_contains(F.split(F.lower(_attribute(tag, "rel")), r"\s+"), "canonical")
+    refresh = tag.rlike("(?i)^<meta") & (F.lower(_attribute(tag, "http-equiv")) == "refresh")
+    to = (F.when(canonical, _attribute(tag, "href"))
+          .when(refresh, F.regexp_extract(_attribute(tag, "content"), r"""(?i)\burl\s*=\s*["']?\s*([^"'\s]+)""", 1)))
+    rows = settle(rows.select("url", _attribute(F.col("base"), "href").alias("base"), to.alias("to")), "targets").where("to != ''")
+    dst = _let(_resolved(F.col("base"), F.col("url")), lambda page: _resolved(F.col("to"), page))
+    return rows.select(F.col("url").alias("src"), dst.alias("dst"))
 
 
 def class_verdicts(links: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:

@@ -3,9 +3,12 @@
 import hashlib
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
 from duskwatch.llm.decontaminate import contamination, mark_documents, remove_contaminated
-from duskwatch.llm.licences import BASE_PHRASES, evaluate, parse_expression, scan_licences
-from duskwatch.llm.redirects import Rule, judge_pages
+from duskwatch.llm.licences import BASE_PHRASES, evaluate, licence_table, parse_expression, scan_licences
+from duskwatch.llm.redirects import Rule, judge_pages, node_of, page_links
 from tests.llm.brute import letter_words
 
 SCHEMA = "doc_id bigint, text string"
@@ -41,6 +44,20 @@ def test_scan_agrees_with_every_place(spark):
         assert (row["first_word"], row["last_word"]) == (min(starts, default=None), max(starts, default=None))
         assert row["base_labels"] == ",".join(sorted(labels)) and labels <= set(row["labels"].split(","))
         assert 0 <= row["score"] <= 1
+    more = [(1, "x = 1  # SPDX_License_Identifier = 'BSD-3-Clause'"), (2, "spdx license identifier is what files carry"), (3, "SPDX License Identifier MIT and so on"),
+            (4, "SPDX-License-Identifier: (ISC OR Foo-1)\n * SPDX-License-Identifier: Zlib\n under the MIT license"), (5, "spdx license identifier ISC rest"),
+            (6, "Permission is hereby granted, free of charge: under the MIT license, gnu lesser general public license gnu general public license")]
+    found = {r["doc_id"]: (r["labels"], r["score"], r["n_base"]) for r in scan_licences(spark.createDataFrame(more, SCHEMA)).collect()}
+    assert found == {1: ("bsd-3-clause", 1.0, 0), 2: ("", 0.0, 0), 3: ("", 0.0, 0), 4: ("foo-1,isc,mit,zlib", 1.0, 1), 5: ("isc", 1.0, 0),
+                     6: ("gpl,lgpl,mit", 0.9, 1)}
+    table = spark.createDataFrame([("Foo-1", "own"), ("Bar", None), (None, "x"), ("  ", "y"), ("Foo-1", "own")], "name string, label string")
+    own = licence_table(table, "name", "label")
+    assert own == {"bar": "bar", "foo-1": "own"} and licence_table(table.limit(0), "name") == {}
+    with pytest.raises(ValueError):
+        licence_table(table, "name", limit=1)
+    notices = licence_table(spark.createDataFrame([("You may, freely, copy", "free")], "phrase string, label string"), "phrase", "label")
+    few = spark.createDataFrame([(4, more[3][1]), (7, "x: you may freely copy / under the mit license")], SCHEMA)
+    assert {r["doc_id"]: r["labels"] for r in scan_licences(few, notices=notices, identifiers=own).collect()} == {4: "isc,mit,own,zlib", 7: "free,mit"}
     tag = next(r for k, r in got.items() if k[0] == 903)
     assert tag["labels"] == "apache-2,gpl-2.0-only with foo" and tag["n_base"] == 0
     assert scan_licences(docs.limit(0)).count() == 0
@@ -74,6 +91,33 @@ def test_rules_and_aliases(spark):
     assert judge_pages(pages.limit(0)).count() == 0
 
 
+def test_links_are_read_as_a_browser_does(spark):
+    link = '<link rel="{}" href="{}">'
+    cases = [  # page, html, where its link leads
+        ("http://f.io/a/b", link.format("canonical", "../c"), "f.io/c"), ("http://f.io/a/b/", link.format("canonical", "./../../../x/."), "f.io/x/"),
+        ("http://f.io/a", link.format("x canonical", "/d?a=1&amp;b=2#z"), "f.io/d?a=1&b=2"), ("http://f.io/q?x", link.format("CANONICAL", "?y"), "f.io/q?y"),
+        ("http://f.io/e", link.format("canonical", "&#47;g&#x2F;&eacute;&amp;lt;&#38;gt;&#xD800;"), "f.io/g/&eacute;&lt;&gt;\ufffd"),
+        ("http://f.io/a/b", '<base target=_top><BASE href="//h.io/k/l"><base href="/no">' + link.format("canonical", "m"), "h.io/k/m"),
+        ("http://f.io/a/b", '<base href="../up/">' + link.format("canonical", "m"), "f.io/up/m"),
+        ("http://f.io/r", """<meta content="5; URL='http://u.io/?v=http://w.io/'" http-equiv='Refresh'>""", "u.io/?v=http://w.io/"),
+        ("http://f.io/s", link.format("canonical", "/go?u=http://w.io/x"), "f.io/go?u=http://w.io/x"),
+        ("http://f.io", "<link rel=canonical href=n>", "f.io/n"), ("http://f.io/t", "é" * 200_000 + link.format("canonical", "/far"), "f.io/far")]
+    none = ["<!-- " + link.format("canonical", "/c") + " -->", "<!-- " + link.format("canonical", "/c"), "<script>'" + link.format("canonical", "/c") + "'</script>",
+            "<STYLE x>" + link.format("canonical", "/c"), link.format("canonical", ""), link.format("alternate", "/canonical"), '<link rel=canonical data-href="/c">',
+            '<meta name="refresh" content="0; url=/c">', '<meta http-equiv="refresh" content="30">', link.format("canonical", "mailto:a@b"), link.format("canonical", "#top")]
+    rows = [(url, html) for url, html, _ in cases] + [("http://n.io/1", html) for html in none] + [(None, cases[0][1]), ("http://n.io/1", None), ("x", cases[0][1])]
+    links = page_links(spark.createDataFrame(rows, "url string, html string")).collect()
+    found = spark.createDataFrame(links, "src string, dst string").select(
+        node_of(F.col("src")).alias("a"), node_of(F.col("dst")).alias("b")).where("a != b").collect()
+    assert sorted(r["b"] for r in found) == sorted(to for _, _, to in cases)
+    # a page that repeats with links that clash is one node of both; a long chain of dots stays at the top
+    pages = spark.createDataFrame([(1, "http://p.io/1", link.format("canonical", "http://a.net/x")), (1, "http://p.io/1", link.format("canonical", "http://q.org/fr/")),
+                                   (2, "http://p.io/2", link.format("canonical", "../" * 300 + "1")), (3, "http://p.io/3", "<!--" + link.format("canonical", "http://a.net/x"))],
+                                  "page_id bigint, url string, html string")
+    assert [tuple(r) for r in judge_pages(pages).select("page_id", "verdict").orderBy("page_id").collect()] == [(1, "allow"), (1, "allow"), (2, "allow"), (3, "allow")]
+    assert {r["page_id"]: r["verdict"] for r in judge_pages(pages, (Rule("block", "a.net/"),)).collect()} == {1: "block", 2: "block", 3: "allow"}
+
+
 def test_decontamination_agrees_with_every_window(spark):
     pick = random.Random(8)
     known = [f"w{k}" for k in range(30)] + ["é"]

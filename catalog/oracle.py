@@ -448,3 +448,9 @@ ORACLES = {
             SELECT rule_name, len(string_split(ids, ',')) FROM old WHERE ids NOT IN (SELECT event_ids FROM al WHERE al.rule_name = old.rule_name))
         GROUP BY rule_name""",
 }
+
+# what a mart gives is what its panel gives on all events and alerts
+ORACLES |= {mart: ORACLES[panel] for mart, panel in {
+    "a1_mart_kpis": "a1_kpis", "a3_mart_hourly_trend": "a3_hourly_trend", "a4_mart_by_severity": "a4_by_severity", "a5_mart_top_ips": "a5_top_ips",
+    "a6_mart_by_rule": "a6_by_rule", "a7_mart_risk_by_user": "a7_risk_by_user", "a8_mart_login_heatmap": "a8_login_heatmap",
+    "q2_mart_top_attackers": "q2_top_attackers"}.items()}

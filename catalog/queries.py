@@ -20,8 +20,8 @@ from duskwatch.operators.features import build_features
 from duskwatch.operators.forest import train_and_score
 from duskwatch.operators.greedy import threshold_windows
 from duskwatch.operators.normalize import normalize, normalize_source, to_event_json
-from duskwatch.plans import dashboard, jobs, searches
-from duskwatch.schemas import EVENTS, FEATURE_COLUMNS
+from duskwatch.plans import dashboard, jobs, marts, searches
+from duskwatch.schemas import EVENTS, FEATURE_COLUMNS, SCORES
 from duskwatch.session import materialize, new_scratch, prepare
 from duskwatch.settings import Settings
 from duskwatch.sources import export
@@ -461,6 +461,59 @@ def a10_alert_table(spark, sf_dir):
     return _time(_double(dashboard.alert_table(_alerts(spark, sf_dir)), "risk_score"), "detected_at")
 
 
+def _marts(spark, sf_dir) -> Store:
+    """Marts after two ingests and four changes of the alerts: older ones, the rest, some withdrawn, those raised again."""
+    def make():
+        store = Store(prepare(spark), new_scratch(spark, "store"))
+        events, alerts = _events(spark, sf_dir).withColumn("event_date", F.to_date("event_time")), _alerts(spark, sf_dir).drop("detected_date")
+        columns = [F.col(f.name) if f.name in events.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in EVENTS]
+        early, seen = F.col("event_time") < F.lit(CUT), F.col("detected_at") < F.lit(CUT)
+        for batch, (part, found) in enumerate(((early, seen), (~early, ~seen))):
+            store.write_batch("normalized_events", events.filter(part).select(*columns, "event_date"), batch, by="event_date", rebalance=True)
+            store.persist_alerts(alerts.filter(found))
+            marts.refresh(store)
+        store.change_alerts(alerts.filter(F.col("rule_name") == detect.OFF_HOURS).select("alert_id"), withdrawn=True)
+        marts.refresh(store)
+        store.persist_alerts(alerts)
+        store.scores.replace(_score_table(spark, sf_dir).withColumns({
+            "features": F.lit(None).cast(SCORES["features"].dataType), "scored_at": F.lit(CUT)}))
+        marts.refresh(store)
+        return store
+    return _once(spark, sf_dir, "marts", make)
+
+
+def a1_mart_kpis(spark, sf_dir):
+    return _double(marts.kpis(_marts(spark, sf_dir)), "avg_risk")
+
+
+def a3_mart_hourly_trend(spark, sf_dir):
+    return _time(marts.hourly_trend(_marts(spark, sf_dir)), "hour")
+
+
+def a4_mart_by_severity(spark, sf_dir):
+    return marts.count_by(_marts(spark, sf_dir), "severity")
+
+
+def a5_mart_top_ips(spark, sf_dir):
+    return _double(marts.top_ips(_marts(spark, sf_dir)), "max_risk")
+
+
+def a6_mart_by_rule(spark, sf_dir):
+    return marts.count_by(_marts(spark, sf_dir), "rule_name")
+
+
+def a7_mart_risk_by_user(spark, sf_dir):
+    return _double(marts.risk_by_user(_marts(spark, sf_dir)), "risk_score")
+
+
+def a8_mart_login_heatmap(spark, sf_dir):
+    return marts.login_heatmap(_marts(spark, sf_dir))
+
+
+def q2_mart_top_attackers(spark, sf_dir):
+    return marts.top_attackers(_marts(spark, sf_dir))
+
+
 # ---------------------------------------------------------------- saved searches
 
 def q1_failure_buckets(spark, sf_dir):

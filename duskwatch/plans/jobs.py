@@ -14,6 +14,7 @@ from duskwatch.operators.forest import train_and_score
 from duskwatch.operators.intel import known_bad_ips
 from duskwatch.operators.normalize import events_of, normalize, rejects_of
 from duskwatch.operators.normalize.base import reject_reason
+from duskwatch.plans import marts
 from duskwatch.schemas import EVENTS, FEATURE_COLUMNS, RAW_LOGS
 from duskwatch.session import materialize, prepare, release
 from duskwatch.settings import Settings
@@ -38,24 +39,40 @@ def event_rows(normalized: DataFrame) -> DataFrame:
     return good.select(*[values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in EVENTS])
 
 
+def numbered_lines(store: Store, staged: DataFrame, batch: int) -> DataFrame:
+    """``staged`` lines with ``raw_id`` for their ``_place`` (part of the input and row in it)."""
+    part = F.shiftright("_place", 33)
+    # a row per task that read the input
+    counts = staged.groupBy(part.alias("_part")).agg(F.count("*").alias("n")).orderBy("_part").collect()
+    base, offsets = store.reserve_ids(batch, sum(r["n"] for r in counts)), []
+    for r in counts:
+        offsets.append((r["_part"], base))
+        base += r["n"]
+    first = store.spark.createDataFrame(offsets, "_part bigint, _first bigint")
+    placed = staged.withColumn("_part", part).join(F.broadcast(first), "_part")
+    return placed.withColumn("raw_id", F.col("_first") + F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))).drop("_part", "_first", "_place")
+
+
 def ingest(store: Store, lines: DataFrame, batch: int, year: int | None = None) -> IngestResult:
     """Store a batch of lines as raw rows, events and rejects.
 
-    Ids are given once, when the numbered lines are staged (position in the input, past the ids of other
-    batches), and lines are parsed once, from there; raw rows, events and rejects are columns of that parse, so a
-    lost executor or a second attempt sees the same ids. Running a batch again replaces that batch.
+    Ids are dense and given once, when the lines are staged with their place in the input: the batch's reserved range begins them, a line's part
+    and place in it tell which is whose. Lines are parsed once, from there; raw rows, events and rejects are columns of that parse, so a
+    lost executor or a second attempt sees the same ids. Running a batch again replaces that batch; the same files split alike get the same ids.
     """
-    base = store.next_id(batch)
     # by_source filters below an id would run the input once per source; staged by source each branch reads its own files
-    numbered = materialize(lines.withColumn("raw_id", F.monotonically_increasing_id() + F.lit(base)), "numbered", by="source_type")
+    staged = materialize(lines.withColumn("_place", F.monotonically_increasing_id()), "numbered", by="source_type")
+    numbered = numbered_lines(store, staged, batch)
     parsed = materialize(normalize(numbered, year, by_source=True), "parsed")
     raw = parsed.withColumn("processed", F.col("event_type").isNotNull()).withColumn("ingested_at", F.current_timestamp())
     store.write_batch("raw_logs", raw.select(*[F.col(f.name).cast(f.dataType) for f in RAW_LOGS]), batch, by="source_type")
+    marts.drop_event_mart(store, batch)
     events = event_rows(parsed).withColumn("event_date", F.to_date("event_time"))
     store.write_batch("normalized_events", events, batch, by="event_date", rebalance=True)
+    marts.write_event_mart(store, batch)
     store.write_batch("rejects", rejects_of(parsed).select("raw_id", "source_type", "raw_message", "path", "reason"), batch)
     counts = parsed.agg(F.count("*"), F.count_if(reject_reason().isNull())).first()
-    for table in (numbered, parsed):
+    for table in (staged, parsed):
         release(table)
     return IngestResult(batch, *counts)
 

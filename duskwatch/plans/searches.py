@@ -12,6 +12,9 @@ from duskwatch.plans.dashboard import hours_between
 from duskwatch.schemas import SEVERITIES
 from duskwatch.settings import Settings
 
+# Event types that count as an attempt.
+ATTACK_TYPES = ("login_failure", "conn_denied", "http_suspicious_request")
+
 
 def newest_first() -> list:
     """Total order of an alert list: newest first, ties by content."""
@@ -35,7 +38,7 @@ def brute_force_buckets(events: DataFrame, at_least: int = 5, bucket: str = "5 m
 
 
 def top_attackers(events: DataFrame, k: int = 10) -> DataFrame:
-    return (events.filter(F.col("event_type").isin("login_failure", "conn_denied", "http_suspicious_request")
+    return (events.filter(F.col("event_type").isin(*ATTACK_TYPES)
                           & F.col("src_ip").isNotNull())
             .groupBy("src_ip").agg(F.count("*").alias("attempts"), F.count_distinct("event_type").alias("distinct_event_types"))
             .orderBy(F.desc("attempts"), "src_ip").limit(k))

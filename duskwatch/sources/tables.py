@@ -69,6 +69,8 @@ class Store:
         self.spark, self.root = spark, root.rstrip("/")
         self.intel = VersionedTable(spark, f"{self.root}/threat_intel_ips", schemas.INTEL_TABLE)
         self.scores = VersionedTable(spark, f"{self.root}/ml_anomaly_scores", schemas.SCORES)
+        self.id_ranges = VersionedTable(spark, f"{self.root}/id_ranges", T.StructType(
+            [T.StructField(name, T.LongType()) for name in ("ingest_batch", "first", "n")]))
         # what a run of detection on changes has seen: ingest batches and addresses of the feed
         self.seen_batches = VersionedTable(spark, f"{self.root}/seen_batches", T.StructType([T.StructField("ingest_batch", T.LongType())]))
         self.seen_ips = VersionedTable(spark, f"{self.root}/seen_ips", T.StructType([T.StructField("src_ip", T.StringType())]))
@@ -104,14 +106,23 @@ class Store:
         path = f"{self.root}/rejects"
         return self.spark.read.schema(full).parquet(path) if self._exists(path) else self.spark.createDataFrame([], full)
 
-    def next_id(self, batch: int) -> int:
-        """First free id for a batch: one past the largest id of all other batches.
+    def reserve_ids(self, batch: int, n: int) -> int:
+        """First of ``n`` ids kept for a batch, past those of all others. A batch that is run again keeps its ids unless it has grown.
 
-        A replay of the newest batch gets its old ids; an older batch that is run again gets new ones, past
-        those in use, so its alerts count as new.
+        The ranges are a table of one row per batch; of raw lines nothing is read, but for a store that has lines and no ranges yet.
         """
-        top = self.raw_logs().filter(F.col("ingest_batch") != batch).agg(F.max("raw_id")).first()[0]
-        return 0 if top is None else top + 1
+        ranges = self.id_ranges.read()
+        own = ranges.where(F.col("ingest_batch") == batch).first()
+        if own and own["n"] >= n:
+            return own["first"]
+        top = ranges.agg(F.max(F.col("first") + F.col("n"))).first()[0]
+        if top is None:
+            last = self.raw_logs().agg(F.max("raw_id")).first()[0]
+            top = 0 if last is None else last + 1
+        row = self.spark.createDataFrame([(batch, top, n)], self.id_ranges.schema)
+        self.id_ranges.replace(ranges.where(F.col("ingest_batch") != batch).unionByName(row))
+        self.id_ranges.prune(3)
+        return top
 
     def write_batch(self, table: str, df: DataFrame, batch: int, by: str | None = None, rebalance: bool = False) -> None:
         if rebalance:
@@ -137,6 +148,19 @@ class Store:
         self.intel.replace(upsert(self.intel.read(), incoming))
         return incoming.count()
 
+    # ---- days whose alerts change, noted before they do
+
+    def day_marks(self) -> list[int]:
+        return VersionedTable(self.spark, f"{self.root}/alert_days", None).versions("mark")
+
+    def marked_days(self) -> DataFrame:
+        return self._log("alert_days", "detected_date date, mark bigint")
+
+    def _mark_days(self, alerts: DataFrame) -> None:
+        marks = self.day_marks()
+        path = f"{self.root}/alert_days/mark={(marks[-1] + 1 if marks else 0):012d}"
+        alerts.select(F.to_date("detected_at").alias("detected_date")).distinct().coalesce(1).write.mode("overwrite").parquet(path)
+
     # ---- alerts: append if new
 
     def _stored_alerts(self) -> DataFrame:
@@ -159,6 +183,7 @@ class Store:
         n = staged.count()
         if n:
             known = VersionedTable(self.spark, f"{self.root}/alert_changes", None).versions("change")
+            self._mark_days(self._stored_alerts().join(staged, "alert_id", "left_semi"))
             path = f"{self.root}/alert_changes/change={(known[-1] + 1 if known else 0):012d}"
             staged.withColumn("withdrawn", F.lit(withdrawn)).write.mode("overwrite").parquet(path)
         return n
@@ -176,6 +201,7 @@ class Store:
         new = materialize(not_stored(staged, stored), "alerts-new")
         written = new.count()
         if written:
+            self._mark_days(new)
             (new.withColumn("detected_date", F.to_date("detected_at")).hint("rebalance", "detected_date")
              .write.mode("append").partitionBy("detected_date").parquet(f"{self.root}/alerts"))
         return written

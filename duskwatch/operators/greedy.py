@@ -8,8 +8,8 @@ this a distributed job rather than a loop:
   events: row r is a *candidate* iff ``time[r] - time[r-k+1] <= span``, which is
   one ``lag``. Ordinary traffic ends here, inside the shuffle's own task;
 * alerts are the candidates picked greedily with ranks at least k apart. A candidate
-  k or more ranks behind the one before it is free of all earlier picks, so candidates fall
-  into sessions that are folded by themselves, in native expressions. Of a key that is cut, all that
+  k or more ranks behind the one before it is free of all earlier picks. Those of a whole key are
+  folded in blocks of bounded size, in native expressions. Of a key that is cut, all that
   a slice of rows must know about the past is how many events came since the last
   pick, capped at k-1: k states. So the slices of a hot key are worked on
   independently for every state, the slices' state maps are chained (one small
@@ -73,33 +73,51 @@ def _pick(k: int):
     return pick
 
 
-_OPEN = 256
+_OPEN = 64  # candidates of a block, and blocks of a group
+
+
+def blocks_of(found: DataFrame, key: str) -> DataFrame:
+    """(key, slice, _block, rows): the candidates of whole keys in order, at most ``_OPEN`` to a block."""
+    order = Window.partitionBy(key, "slice").orderBy("event_time", "id")
+    block = F.floor((F.row_number().over(order) - 1) / _OPEN)
+    return found.withColumn("_block", block).groupBy(key, "slice", "_block").agg(
+        F.array_sort(F.collect_list(F.struct("rank", "event_time", "id", "members"))).alias("rows"))
 
 
 def fold_sessions(found: DataFrame, key: str, k: int) -> DataFrame:
-    """The candidates of whole keys that are picked, one session after another: (key, event_time, id, members).
+    """The candidates of whole keys that are picked: (key, event_time, id, members).
 
-    ``found`` is clustered by (key, slice) and the window's order, which this keeps, so nothing is shuffled.
+    A fold copies what it carries at every step, so nothing is folded that grows with a session. A key's candidates are cut into blocks;
+    all that a block must know of those before it is the first rank that is free, which lies less than k behind its own first one: k states.
+    Blocks are folded for every state, their maps are chained within groups of blocks, the groups' over the key, and each block is
+    folded once more from the state that really arrived. ``found`` is clustered by (key, slice), which this keeps, so nothing is shuffled.
     """
-    order = Window.partitionBy(key, "slice").orderBy("event_time", "id")
-    free = F.coalesce(F.col("rank") - F.lag("rank").over(order) >= k, F.lit(True))
-    rows = found.withColumn("_free", free.cast("bigint")).withColumn(
-        "_session", F.sum("_free").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    sessions = rows.groupBy(key, "slice", "_session").agg(
-        F.array_sort(F.collect_list(F.struct("rank", "event_time", "id", "members"))).alias("rows"))
-    kind = sessions.schema["rows"].dataType.simpleString()
-    nothing = F.struct(F.lit(-1).cast("bigint").alias("next"), F.array().cast(f"array<{kind}>").alias("full"), F.array().cast(kind).alias("open"))
-
-    def pick(acc, row):
-        # picks are gathered in parts, as an array grows by being copied
-        brim = F.size(acc["open"]) >= _OPEN
-        return F.when(row["rank"] < acc["next"], acc).otherwise(F.struct(
-            (row["rank"] + k).alias("next"),
-            F.when(brim, F.concat(acc["full"], F.array(acc["open"]))).otherwise(acc["full"]).alias("full"),
-            F.when(brim, F.array(row)).otherwise(F.concat(acc["open"], F.array(row))).alias("open")))
-
-    picked = F.aggregate("rows", nothing, pick, lambda acc: F.concat(F.flatten(acc["full"]), acc["open"]))
-    return sessions.select(key, F.inline(picked)).select(key, "event_time", "id", "members")
+    blocks = blocks_of(found, key)
+    kind = blocks.schema["rows"].dataType.simpleString()
+    in_group = Window.partitionBy(key, "slice", "_group").orderBy("_block")
+    line = Window.partitionBy(key, "slice").orderBy("_group", "_block")
+    earlier = (Window.unboundedPreceding, -1)
+    from_each_state = lambda base, run: F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda state: run(base + state))
+    # the rank that is free once a block or group is behind, given the one that was free before it
+    passed = lambda free, block: block["exits"][F.greatest(free - block["base"], F.lit(0))]
+    after = lambda free, row: F.when(row["rank"] < free, free).otherwise(row["rank"] + k)
+    exits = F.aggregate("rows", from_each_state(F.col("_base"), lambda free: free),
+                        lambda states, row: F.transform(states, lambda free: after(free, row)))
+    whole = from_each_state(F.col("_first"), lambda free: F.aggregate(F.concat("_earlier", F.array("_exits")), free, passed))
+    chained = (blocks.withColumn("_group", F.floor(F.col("_block") / _OPEN)).withColumn("_base", F.col("rows")[0]["rank"])
+               .withColumn("_more", F.lead("_block").over(line).isNotNull())
+               .withColumn("_exits", F.when(F.col("_more"), F.struct(F.col("_base").alias("base"), exits.alias("exits"))))
+               .withColumn("_earlier", F.collect_list("_exits").over(in_group.rowsBetween(*earlier)))
+               .withColumn("_first", F.first("_base").over(in_group))
+               .withColumn("_whole", F.when(F.col("_more") & (F.col("_block") % _OPEN == _OPEN - 1), F.struct(
+                   F.col("_first").alias("base"), whole.alias("exits"))))
+               .withColumn("_groups", F.collect_list("_whole").over(line.rowsBetween(*earlier))))
+    entered = F.aggregate("_earlier", F.aggregate("_groups", F.lit(0).cast("bigint"), passed), passed)
+    nothing = F.struct(entered.alias("free"), F.array().cast(kind).alias("taken"))
+    pick = lambda acc, row: F.when(row["rank"] < acc["free"], acc).otherwise(
+        F.struct((row["rank"] + k).alias("free"), F.concat(acc["taken"], F.array(row)).alias("taken")))
+    picked = F.aggregate("rows", nothing, pick, lambda acc: acc["taken"])
+    return chained.select(key, F.inline(picked)).select(key, "event_time", "id", "members")
 
 
 def _exits(k: int):

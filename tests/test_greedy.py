@@ -124,3 +124,23 @@ def test_long_sessions_are_folded_in_parts(spark, monkeypatch):
     df = spark.createDataFrame(rows, "id long, src_ip string, event_time timestamp")
     got = threshold_windows(df, "src_ip", 4, 10_000_000).orderBy("event_time").collect()
     assert [[m.id for m in r.members] for r in got] == [list(range(i, i + 4)) for i in range(0, 500, 4)]
+
+
+@pytest.mark.parametrize("seed,k,span_s", [(11, 1, 60), (12, 2, 900), (13, 5, 3600), (14, 40, 86400)])
+def test_what_is_folded_is_bounded_however_long_a_session(spark, monkeypatch, seed, k, span_s):
+    """Blocks of three candidates, groups of three blocks: a fold holds no more, and picks what a loop over the session picks."""
+    from duskwatch.operators import greedy
+    from duskwatch.operators.hot_keys import KeySplit, micros
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(greedy, "_OPEN", 3)
+    rows = make(seed, 700, 3, 24, 0.3)
+    df = spark.createDataFrame(rows, "id long, src_ip string, event_time timestamp").repartition(3)
+    whole = KeySplit(df, "src_ip", 10_000).whole(df.withColumn("_at", micros()))
+    blocks = greedy.blocks_of(greedy.candidates(whole, "src_ip", k, span_s * 1_000_000, []), "src_ip")
+    sizes = blocks.groupBy("src_ip").agg(F.count("*").alias("n"), F.max(F.size("rows")).alias("most")).collect()
+    assert max(r.most for r in sizes) <= 3 and max(r.n for r in sizes) > 27  # more blocks than three groups of groups
+    got = {}
+    for r in threshold_windows(df, "src_ip", k, span_s * 1_000_000).collect():
+        got.setdefault(r.src_ip, []).append((r.event_time, r.id, [m.id for m in r.members]))
+    for key in {r[1] for r in rows}:
+        assert [ids for *_, ids in sorted(got.get(key, []))] == loop([(t, i) for i, kk, t in rows if kk == key], k, timedelta(seconds=span_s)), key

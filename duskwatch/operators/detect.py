@@ -44,7 +44,7 @@ KEYED_RULES = {
 }
 
 
-def detect_brute_force(events: DataFrame, settings: Settings = Settings(), hot: list | None = None) -> DataFrame:
+def detect_brute_force(events: DataFrame, settings: Settings = Settings(), hot: list | DataFrame | None = None) -> DataFrame:
     """Repeated login failures from one address within a short span."""
     k, minutes = settings.brute_force_threshold, settings.brute_force_minutes
     failures = events.filter(KEYED_RULES[BRUTE_FORCE][1])
@@ -64,7 +64,7 @@ def brute_force_alerts(found: DataFrame, settings: Settings = Settings()) -> Dat
         event_ids=F.col("members.id"), detected_at=F.col("event_time"))
 
 
-def detect_multiple_failed_auth(events: DataFrame, settings: Settings = Settings(), hot: list | None = None) -> DataFrame:
+def detect_multiple_failed_auth(events: DataFrame, settings: Settings = Settings(), hot: list | DataFrame | None = None) -> DataFrame:
     """Repeated authentication failures of one account over all sources."""
     k, minutes = settings.multi_fail_threshold, settings.multi_fail_minutes
     failures = events.filter(KEYED_RULES[MULTI_FAIL][1])
@@ -85,7 +85,7 @@ def multiple_failed_auth_alerts(found: DataFrame, settings: Settings = Settings(
 
 
 def login_pairs(events: DataFrame, settings: Settings = Settings(), ranges: DataFrame | None = None,
-                hot: list | None = None) -> DataFrame:
+                hot: list | DataFrame | None = None) -> DataFrame:
     """Every login with its immediate predecessor of the same user, both located.
 
     Adds ``geo``, ``previous`` (struct), ``seconds``, ``distance_km``, ``speed_kmh``.
@@ -114,7 +114,7 @@ def measured(pairs: DataFrame) -> DataFrame:
 
 
 def detect_impossible_travel(events: DataFrame, settings: Settings = Settings(),
-                             ranges: DataFrame | None = None, hot: list | None = None) -> DataFrame:
+                             ranges: DataFrame | None = None, hot: list | DataFrame | None = None) -> DataFrame:
     """Consecutive logins of a user in two cities that no flight connects in time."""
     return travel_alerts(login_pairs(events, settings, ranges, hot), settings)
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duskwatch.operators.detect import off_hours
-from duskwatch.operators.hot_keys import KeySplit, hot_keys, micros
+from duskwatch.operators.hot_keys import KeySplit, hot_keys, micros, only_hot, without_hot
 from duskwatch.schemas import FEATURE_COLUMNS
 from duskwatch.session import materialize
 from duskwatch.settings import Settings
@@ -30,8 +30,7 @@ def build_features(events: DataFrame, settings: Settings = Settings()) -> DataFr
                        F.when(F.col("event_type") == "login_failure", _FAILURE).otherwise(_LOGIN).alias("_kind")))
     hot = hot_keys(history, "username", settings.max_rows_per_task)
     if hot:
-        is_hot = F.col("username").isin(hot)
-        counted = _whole_users(history.filter(~is_hot)).unionByName(_cut_users(history.filter(is_hot), hot, settings))
+        counted = _whole_users(without_hot(history, "username", hot)).unionByName(_cut_users(only_hot(history, "username", hot), hot, settings))
     else:
         counted = _whole_users(history)
     return counted.select(
@@ -62,7 +61,7 @@ def _whole_users(history: DataFrame) -> DataFrame:
             .select("id", "username", "event_time", "src_ip", "is_new_source_ip", "failed_attempts_1h", "logins_last_24h"))
 
 
-def ranked_logins(logins: DataFrame, hot: list, max_rows: int) -> DataFrame:
+def ranked_logins(logins: DataFrame, hot: list | DataFrame, max_rows: int) -> DataFrame:
     """Logins with ``rank``, their place (from 1) among the user's by (time, id), and the slice they were ranked in, of about ``max_rows`` rows."""
     order = Window.partitionBy("username", "slice").orderBy("_at", "id")
     return (KeySplit(logins, "username", max_rows, hot=hot).apply(logins)
@@ -70,7 +69,7 @@ def ranked_logins(logins: DataFrame, hot: list, max_rows: int) -> DataFrame:
             .select("id", "username", "event_time", "src_ip", "_at", "slice", "rank"))
 
 
-def _counts_at(history: DataFrame, hot: list, max_rows: int) -> DataFrame:
+def _counts_at(history: DataFrame, hot: list | DataFrame, max_rows: int) -> DataFrame:
     """(username, _at, failed_attempts_1h, logins_until) of every instant with a login; ``logins_until`` counts those up to a day before.
 
     Rows of one instant are one row with their counts, summed map-side. An instant with logins also sends probes to one day and
@@ -102,7 +101,7 @@ def _counts_at(history: DataFrame, hot: list, max_rows: int) -> DataFrame:
         F.sum(F.when(kind == 1, logins).otherwise(0)).alias("logins_until"))
 
 
-def _cut_users(history: DataFrame, hot: list, settings: Settings) -> DataFrame:
+def _cut_users(history: DataFrame, hot: list | DataFrame, settings: Settings) -> DataFrame:
     """The same numbers for users with too many rows for one task, however many of them share an instant."""
     history = materialize(history, "hot-history")
     logins = history.filter(F.col("_kind") == _LOGIN)

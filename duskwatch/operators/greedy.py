@@ -151,7 +151,7 @@ def _chain(k: int):
 
 
 def threshold_windows(events: DataFrame, key: str, threshold: int, span_us: int,
-                      carry: tuple[str, ...] = (), max_rows: int = 5_000_000, hot: list | None = None) -> DataFrame:
+                      carry: tuple[str, ...] = (), max_rows: int = 5_000_000, hot: list | DataFrame | None = None) -> DataFrame:
     """One row per alert: ``key``, ``event_time`` and ``id`` of its last event, ``members``.
 
     ``members`` holds the k events in order, each with ``id``, ``event_time`` and the

@@ -30,6 +30,7 @@ _MAX_TICKS = 1_000_000  # time buckets per hot key
 _PIECES = 4  # of a burst, per max_rows
 _MAX_PIECES = 4096
 _INSTANT = 1 << 20  # places of a tick inside one instant
+_LISTED = 1000  # hot keys that are named in a plan; more are a table
 
 _MEMBER = "struct<slice:bigint,slice_base:bigint,slice_rows:bigint,own:boolean>"
 
@@ -38,23 +39,46 @@ def micros(column: str = "event_time") -> Column:
     return F.unix_micros(F.col(column))
 
 
-def hot_keys(df: DataFrame, key: str, max_rows: int) -> list:
-    """Values of ``key`` with more than ``max_rows`` rows."""
+def hot_keys(df: DataFrame, key: str, max_rows: int) -> list | DataFrame:
+    """Values of ``key`` with more than ``max_rows`` rows: a list, or a written table (``_hot``) where they are more than ``_LISTED``."""
     return hot_keys_of(df, {"only": (key, "true")}, max_rows)["only"]
 
 
-def hot_keys_of(df: DataFrame, wanted: dict[str, tuple[str, str]], max_rows: int) -> dict[str, list]:
-    """``hot_keys`` for several (key, row condition) pairs, in one pass over ``df``.
+def hot_keys_of(df: DataFrame, wanted: dict[str, tuple[str, str]], max_rows: int) -> dict[str, list | DataFrame]:
+    """``hot_keys`` for several (key, row condition) pairs, in one pass over ``df``; in a second one if some are to be written.
 
-    Counts are exact and summed map-side; only a key and a number are shuffled. What is gathered is at most
-    rows / ``max_rows`` keys per pair.
+    Counts are exact and summed map-side; only a key and a number are shuffled. What is gathered is at most ``_LISTED``
+    keys per pair: a list is part of every plan that names it, so longer ones are tables that are joined.
     """
     entry = lambda name, key, holds: F.when(F.expr(holds), F.struct(
         F.lit(name).alias("name"), F.col(key).cast("string").alias("key")))
     entries = F.array(*[entry(name, *pair) for name, pair in wanted.items()])
     found = (df.select(F.explode(entries).alias("_e")).filter("_e.key IS NOT NULL").groupBy("_e.name", "_e.key")
-             .agg(F.count("*").alias("n")).filter(F.col("n") > max_rows).collect())
-    return {name: sorted(r["key"] for r in found if r["name"] == name) for name in wanted}
+             .agg(F.count("*").alias("n")).filter(F.col("n") > max_rows))
+    few = found.limit(_LISTED + 1).collect()
+    if len(few) <= _LISTED:
+        return {name: sorted(r["key"] for r in few if r["name"] == name) for name in wanted}
+    written = materialize(found.select("name", F.col("key").alias("_hot")), "hot-keys")
+    out = {}
+    for name in wanted:
+        own = written.filter(F.col("name") == name).select("_hot")
+        first = [r["_hot"] for r in own.limit(_LISTED + 1).collect()]
+        out[name] = sorted(first) if len(first) <= _LISTED else own
+    return out
+
+
+def only_hot(df: DataFrame, key: str, hot: list | DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is among ``hot``."""
+    if isinstance(hot, list):
+        return df.filter(F.col(key).isin(hot))
+    return df.join(hot, F.col(key).cast("string") == F.col("_hot"), "left_semi")
+
+
+def without_hot(df: DataFrame, key: str, hot: list | DataFrame) -> DataFrame:
+    """All other rows, those without a key as well."""
+    if isinstance(hot, list):
+        return df.filter(~F.coalesce(F.col(key).isin(hot), F.lit(False))) if hot else df
+    return df.join(hot, F.col(key).cast("string") == F.col("_hot"), "left_anti")
 
 
 class KeySplit:
@@ -65,12 +89,12 @@ class KeySplit:
     cut inside one timestamp.
     """
 
-    def __init__(self, df: DataFrame, key: str, max_rows: int, hot: list | None = None,
+    def __init__(self, df: DataFrame, key: str, max_rows: int, hot: list | DataFrame | None = None,
                  ties_together: bool = False):
         self.key, self.max_rows, self._ties_together = key, max_rows, ties_together
         self.hot = hot_keys(df, key, max_rows) if hot is None else hot
         if self.hot:
-            slim = df.filter(F.col(key).isin(self.hot)).select(key, micros().alias("_at"), "id")
+            slim = only_hot(df, key, self.hot).select(key, micros().alias("_at"), "id")
             self._rows = materialize(slim, "hot-rows")
             first, last = self._rows.agg(F.min("_at"), F.max("_at")).first()
             self._grain = max(1, math.ceil((last - first) / _MAX_TICKS / SECOND)) * SECOND
@@ -150,18 +174,15 @@ class KeySplit:
                 .filter("_t IS NOT NULL")
                 .select(*out, F.concat(F.array("own_slice"), "context_of").alias("_members")))
 
-    def is_hot(self) -> Column:
-        return F.coalesce(F.col(self.key).isin(self.hot), F.lit(False)) if self.hot else F.lit(False)
-
     def whole(self, df: DataFrame) -> DataFrame:
         """Rows of the keys that are not cut, as slice 0, with ``slice_base`` 0, ``slice_rows`` NULL and ``own`` true."""
         zero = F.lit(0).cast("bigint")
-        return df.filter(~self.is_hot()).select("*", zero.alias("slice"), zero.alias("slice_base"),
+        return without_hot(df, self.key, self.hot).select("*", zero.alias("slice"), zero.alias("slice_base"),
                                                 F.lit(None).cast("bigint").alias("slice_rows"), F.lit(True).alias("own"))
 
     def cut(self, df: DataFrame, context_rows: int = 0) -> DataFrame:
         """Rows of the keys that are cut, with their slice; every slice also gets its context, with ``own`` false."""
-        rows, plan = self._ticked(df.filter(self.is_hot())), self.plan(context_rows)
+        rows, plan = self._ticked(only_hot(df, self.key, self.hot)), self.plan(context_rows)
         # No broadcast hint: the plan has a row per (hot key, tick). AQE broadcasts it when it
         # is small and otherwise hashes on (key, tick), which no hot key can dominate.
         cut = rows.join(plan, (rows[self.key] == plan["_pkey"]) & (rows["_t"] == plan["_pt"])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duskwatch.functions.net import strip_mask
-from duskwatch.operators.hot_keys import hot_keys
+from duskwatch.operators.hot_keys import hot_keys, only_hot, without_hot
 from duskwatch.settings import Settings
 
 
@@ -37,9 +37,8 @@ def semi_join(events: DataFrame, ips: DataFrame, settings: Settings = Settings()
     hot = [] if events.isStreaming else hot_keys(events, "src_ip", settings.max_rows_per_task)
     if not hot:
         return events.join(ips, "src_ip", "left_semi")
-    is_hot = F.col("src_ip").isin(hot)
-    return (events.filter(is_hot).join(F.broadcast(ips.filter(is_hot)), "src_ip", "left_semi")
-            .unionByName(events.filter(~is_hot).join(ips, "src_ip", "left_semi")))
+    return (only_hot(events, "src_ip", hot).join(F.broadcast(only_hot(ips, "src_ip", hot)), "src_ip", "left_semi")
+            .unionByName(without_hot(events, "src_ip", hot).join(ips, "src_ip", "left_semi")))
 
 
 def enrich(events: DataFrame, intel: DataFrame, settings: Settings = Settings()) -> DataFrame:

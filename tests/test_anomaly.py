@@ -68,6 +68,24 @@ def test_logins_of_one_instant_are_cut(spark):
     assert sorted(r["rank"] for r in ranked.collect()) == list(range(1, logins.count() + 1))
 
 
+def test_many_hot_users_are_a_table(spark, monkeypatch):
+    """More hot users than a plan may name: they are joined, also where few or none are hot; no plan names them."""
+    from duskwatch.operators import hot_keys as hk
+    monkeypatch.setattr(hk, "_LISTED", 3)
+    rng = random.Random(8)
+    rows = [login(i, BASE + timedelta(minutes=rng.randrange(6000)), f"user-{i % 12}" if i < 240 else rng.choice([f"rare-{i}", None]),
+                  rng.choice(["1.1.1.1", "2.2.2.2", None]), rng.choice(["login_success", "login_success", "login_failure"])) for i in range(500)]
+    events = frame(spark, rows)
+    hot = hk.hot_keys(events, "username", 9)
+    assert sorted(r["_hot"] for r in hot.collect()) == sorted(f"user-{i}" for i in range(12))
+    features = build_features(events, Settings(max_rows_per_task=9))
+    assert "user-" not in features._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.id: tuple(r[c] for c in FEATURE_COLUMNS) for r in features.collect()} == brute(rows)
+    some = hk.hot_keys_of(events, {"any": ("username", "true"), "none": ("username", "src_ip = 'x'")}, 9)
+    assert some["none"] == [] and some["any"].count() == 12
+    assert hk.without_hot(events, "username", hot).count() + hk.only_hot(events, "username", hot).count() == len(rows)
+
+
 @pytest.mark.parametrize("p", [0.0, 0.05, 0.5, 0.999, 1.0])
 def test_weighted_percentile_is_exact(spark, p):
     from duskwatch.operators import forest

@@ -138,8 +138,15 @@ def impossible_travel(settings: Settings = Settings(), ranges: DataFrame | None
 
 # ---------------------------------------------------------------- the state
 
+_HELD = 64  # waiting rows a key's head holds itself
+
+
 class KeyedState(StatefulProcessor):
-    """Rows of one key: ``waiting`` by (bucket, part), and ``open``, the fold's own rows."""
+    """Rows of one key: ``head`` holds the fold's open rows, the waiting rows while they are few, and the timer that is set.
+
+    Many waiting rows go to ``waiting`` by (bucket, part). A call of the state costs far more than a row, so a key
+    that has few rows costs three a micro-batch, and one timer is set for a key, not one for a bucket.
+    """
 
     def __init__(self, fold, lateness_ms: int, bucket_ms: int):
         self.fold, self.lateness_ms, self.bucket_ms = fold, lateness_ms, bucket_ms
@@ -147,57 +154,91 @@ class KeyedState(StatefulProcessor):
     def init(self, handle) -> None:
         self.handle = handle
         self.waiting = handle.getMapState("waiting", "bucket bigint, part bigint", "rows string")
-        self.parts = handle.getValueState("parts", "n bigint")
-        self.open = handle.getValueState("open", "rows string")
+        self.head = handle.getValueState("head", "head string")
 
     def _closes(self, bucket: int) -> int:
         """The clock (ms) at which a bucket closes."""
         return (bucket + 1) * self.bucket_ms + self.lateness_ms
 
+    def _buckets(self, rows: list[Row]) -> dict[int, list[Row]]:
+        out: dict[int, list[Row]] = {}
+        for row in rows:
+            out.setdefault(row["at"] // (self.bucket_ms * 1000), []).append(row)
+        return out
+
+    def _read(self) -> dict:
+        """``open`` and ``rows``; how many entries of ``waiting`` were ever ``put`` and how many are ``left``; the ``timer`` (ms)."""
+        held = self.head.get()
+        return json.loads(held[0]) if held else {"open": [], "rows": [], "put": 0, "left": 0, "timer": None}
+
+    def _set_timer(self, head: dict, at: int) -> None:
+        if head["timer"] is None or at < head["timer"]:
+            self.handle.registerTimer(at)
+            head["timer"] = at
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         clock = timerValues.getCurrentWatermarkInMs()
-        part = self.parts.get()[0] if self.parts.exists() else 0
+        head = self._read()
+        came = False
         for frame in rows:
-            buckets: dict[int, list[Row]] = {}
-            for values in frame[list(FIELDS)].itertuples(index=False, name=None):
-                row = {n: None if v is None or v != v else v for n, v in zip(FIELDS, values)}
-                if row["event_type"] != HEARTBEAT:
-                    buckets.setdefault(int(row["at"]) // (self.bucket_ms * 1000), []).append(row)
-            late = [row for b, own in buckets.items() if self._closes(b) <= clock for row in own]
+            own = [{n: None if v is None or v != v else v for n, v in zip(FIELDS, values)} for values in zip(*(frame[n].tolist() for n in FIELDS))]
+            late = []
+            for bucket, some in self._buckets([row for row in own if row["event_type"] != HEARTBEAT]).items():
+                if self._closes(bucket) <= clock:
+                    late += some
+                    continue
+                came = True
+                head["rows"] += some
+                self._set_timer(head, self._closes(bucket))
             if late:
                 yield pd.DataFrame({"kind": "late", "key": key[0], "rows": [json.dumps([row]) for row in late]})
-            for bucket, own in buckets.items():
-                if self._closes(bucket) > clock:
-                    self.waiting.updateValue((bucket, part), (json.dumps(own),))
-                    self.handle.registerTimer(self._closes(bucket))
-                    part += 1
-        self.parts.update((part,))
+            if len(head["rows"]) > _HELD:
+                for bucket, some in self._buckets(head["rows"]).items():
+                    self.waiting.updateValue((bucket, head["put"]), (json.dumps(some),))
+                    head["put"] += 1
+                    head["left"] += 1
+                head["rows"] = []
+        if came:
+            self.head.update((json.dumps(head),))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         clock = timerValues.getCurrentWatermarkInMs()
-        closed: dict[int, list] = {}
-        for place in list(self.waiting.keys()):
-            if self._closes(int(place[0])) <= clock:
-                closed.setdefault(int(place[0]), []).append(place)
-        open_rows = json.loads(self.open.get()[0]) if self.open.exists() else []
-        for bucket in sorted(closed):
-            rows = [row for place in closed[bucket] for row in json.loads(self.waiting.getValue(place)[0])]
-            found, open_rows = self.fold(open_rows, sorted(rows, key=lambda r: (r["at"], r["id"])))
-            for place in closed[bucket]:
-                self.waiting.removeKey(place)
-            if found:
-                yield pd.DataFrame({"kind": "found", "key": key[0], "rows": [json.dumps(window) for window in found]})
-        if not open_rows:
-            self.open.clear()
+        head = self._read()
+        if head["timer"] is None or head["timer"] > clock:  # an earlier one did what was due
             return
-        # no row that is yet to come can reach the open ones once this is past
-        forget = (open_rows[-1]["at"] + self.fold.reach_us) // 1000 + self.lateness_ms + self.bucket_ms + 1
-        if forget <= clock and not self.waiting.exists():
-            self.open.clear()
+        places = [(int(p[0]), int(p[1])) for p in self.waiting.keys()] if head["left"] else []
+        closed, held = {}, []
+        for place in places:
+            if self._closes(place[0]) <= clock:
+                closed.setdefault(place[0], []).extend(json.loads(self.waiting.getValue(place)[0]))
+                self.waiting.removeKey(place)
+                head["left"] -= 1
+        for bucket, some in self._buckets(head["rows"]).items():
+            if self._closes(bucket) <= clock:
+                closed.setdefault(bucket, []).extend(some)
+            else:
+                held += some
+        head["rows"], head["timer"] = held, None
+        windows = []
+        for bucket in sorted(closed):
+            found, head["open"] = self.fold(head["open"], sorted(closed[bucket], key=lambda r: (r["at"], r["id"])))
+            windows += found
+        if windows:
+            yield pd.DataFrame({"kind": "found", "key": key[0], "rows": [json.dumps(window) for window in windows]})
+        ahead = [*self._buckets(held), *[bucket for bucket, _ in places if self._closes(bucket) > clock]]
+        if ahead:
+            self._set_timer(head, self._closes(min(ahead)))
+        elif head["open"]:
+            # no row that is yet to come can reach the open ones once this is past
+            forget = (head["open"][-1]["at"] + self.fold.reach_us) // 1000 + self.lateness_ms + self.bucket_ms + 1
+            if forget <= clock:
+                head["open"] = []
+            else:
+                self._set_timer(head, forget)
+        if ahead or head["open"]:
+            self.head.update((json.dumps(head),))
         else:
-            if forget > clock:
-                self.handle.registerTimer(int(forget))
-            self.open.update((json.dumps(open_rows),))
+            self.head.clear()
 
     def close(self) -> None:
         pass

@@ -171,3 +171,71 @@ def test_lines_stream_and_refresh(spark, tmp_path):
          .option("checkpointLocation", str(tmp_path / "ck2")).trigger(availableNow=True).start())
     q.awaitTermination()
     assert spark.table("parsed").count() == 5
+
+
+class _Counted:
+    """A handle whose state is in memory and counts its calls."""
+
+    def __init__(self):
+        self.calls, self.timers = 0, set()
+
+    def _state(self, kept):
+        outer = self
+
+        class State:
+            def __getattr__(self, name):
+                outer.calls += 1
+                return getattr(kept, name)
+        return State()
+
+    def getMapState(self, *_):
+        class Map(dict):
+            def updateValue(self, key, value):
+                self[key] = value
+
+            def getValue(self, key):
+                return self.get(key)
+
+            removeKey, keys, exists = dict.pop, lambda self: list(dict.keys(self)), lambda self: bool(self)
+        return self._state(Map())
+
+    def getValueState(self, *_):
+        class Value:
+            held = None
+            get, exists = lambda self: self.held, lambda self: self.held is not None
+
+            def update(self, value):
+                self.held = value
+
+            def clear(self):
+                self.held = None
+        return self._state(Value())
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+
+@pytest.mark.parametrize("n", [12, 700])
+def test_a_key_with_few_rows_costs_few_calls_of_its_state(n):
+    """Rows of a month, each in an hour of its own; the fold sees all of them, and the state is empty in the end."""
+    import pandas as pd
+    from types import SimpleNamespace
+    hour = 3_600_000
+    rng = random.Random(n)
+    rows = [{"at": at * hour * 1000, "id": i, "username": "ann", "src_ip": rng.choice(["10.0.0.1", "8.8.8.8"]), "source_type": "linux_ssh",
+             "event_type": "login_success"} for i, at in enumerate(rng.sample(range(1000, 1720), n))]
+    fold = keyed.Previous(40 * hour * 1000)
+    handle, state = _Counted(), keyed.KeyedState(fold, 24 * hour, hour)
+    state.init(handle)
+    at = lambda clock: SimpleNamespace(getCurrentWatermarkInMs=lambda: clock)
+    assert not list(state.handleInputRows(("ann",), iter([pd.DataFrame(rows)]), at(0)))
+    got = []
+    for clock in (1300 * hour, 1500 * hour, 9000 * hour):
+        for due in sorted(t for t in handle.timers if t <= clock):
+            handle.timers.discard(due)
+            got += [w for out in state.handleExpiredTimer(("ann",), at(clock), None) for w in out["rows"]]
+    want = fold([], sorted(rows, key=lambda r: r["at"]))[0]
+    assert [[r["id"] for r in keyed.json.loads(w)] for w in got] == [[r["id"] for r in w] for w in want] and want
+    assert not handle.timers and state.head.get() is None and not state.waiting.keys()
+    assert handle.calls <= 30 if n == 12 else handle.calls <= 4 * n

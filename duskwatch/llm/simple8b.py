@@ -18,6 +18,34 @@ BITS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60, 0, 60], np.uint
 ESCAPE = 15
 _LIMITS = np.array([1 << int(b) for b in BITS[:14]], np.uint64)
 _PAYLOAD = np.uint64((1 << 60) - 1)
+_SMALL = np.searchsorted(_LIMITS, np.arange(1 << 16, dtype=np.uint64), side="right").astype(np.int8)
+
+
+def _widths(values: np.ndarray) -> np.ndarray:
+    """The narrowest selector of every value, one byte each; 14 for an escape."""
+    if values.max() < len(_SMALL):
+        return _SMALL[values]
+    return np.searchsorted(_LIMITS, values, side="right").astype(np.int8)
+
+
+def _selectors(width: np.ndarray, block: int) -> np.ndarray:
+    """For every place, by block, the selector that packs most of what follows in its block.
+
+    It needs the widest value among the next COUNTS[k]: the greater one of two overlapping windows, whose length is a power of two.
+    """
+    blocks = -(-len(width) // block)
+    rows = np.zeros((blocks, block), np.int8)
+    rows.ravel()[:len(width)] = width
+    best = np.where(rows == 14, np.int8(ESCAPE), np.int8(13))
+    widest, length = np.zeros((blocks, block + int(COUNTS[0])), np.int8), 1  # nothing lies behind a block
+    widest[:, :block] = rows
+    for k in range(12, -1, -1):
+        count = int(COUNTS[k])
+        while 2 * length <= count:
+            widest[:, :-length] = np.maximum(widest[:, :-length], widest[:, length:])
+            length *= 2
+        best[np.maximum(widest[:, :block], widest[:, count - length:count - length + block]) <= k] = k
+    return best
 
 
 def encode(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -26,34 +54,23 @@ def encode(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarr
     n = len(values)
     if n == 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint64)
-    width = np.searchsorted(_LIMITS, values, side="right").astype(np.int8)  # 14: escape
-    where = np.arange(n)
-    block_end = np.minimum((where // block + 1) * block, n)
-    # the selector to use if a word began here: the one that packs most of what follows
-    best = np.where(width == 14, ESCAPE, 13).astype(np.int8)
-    for k in range(12, -1, -1):
-        end = np.minimum(where + COUNTS[k], block_end)
-        wide = np.concatenate([[0], np.cumsum(width > k)])
-        fits = wide[end] == wide[where]
-        if not fits.any():
-            break
-        best[fits] = k
+    width = _widths(values)
+    # the selector to use if a word began here: the one that packs most of what follows in the block
+    best = _selectors(width, block).ravel()[:n]
     # walk all blocks at once, word by word
+    starts = np.zeros(n, bool)
     at = np.arange(0, n, block)
     ends = np.minimum(at + block, n)
-    owner = np.arange(len(at))
-    begun, owners = [], []
     while len(at):
-        begun.append(at)
-        owners.append(owner)
+        starts[at] = True
         at = at + COUNTS[best[at]]
         on = at < ends
-        at, ends, owner = at[on], ends[on], owner[on]
-    begun, owners = np.concatenate(begun), np.concatenate(owners)
-    order = np.argsort(begun)
-    begun, owners = begun[order], owners[order]
+        at, ends = at[on], ends[on]
+    begun = np.flatnonzero(starts)
+    owners = begun // block
+    block_end = np.minimum((owners + 1) * block, n)
     selector = best[begun]
-    count = np.minimum(COUNTS[selector], block_end[begun] - begun)
+    count = np.minimum(COUNTS[selector], block_end - begun)
     words = selector.astype(np.uint64) << np.uint64(60)
     escaped = selector == ESCAPE
     words[escaped] |= np.arange(escaped.sum(), dtype=np.uint64)

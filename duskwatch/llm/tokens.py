@@ -88,7 +88,7 @@ class WordTokens:
         """Give every new piece a code."""
         cut, bare = [], set()
         for piece in pieces:
-            found = TAIL.fullmatch(piece)
+            found = None if piece.isalpha() else TAIL.fullmatch(piece)  # letters have no tail
             if found:
                 cut.append((piece, found[1], found[2]))
                 bare.update(found.groups())
@@ -146,9 +146,10 @@ class WordTokens:
         ends = np.cumsum(counts)
         totals = np.concatenate([[0], np.cumsum(sizes)])
         n_ids = totals[ends] - totals[ends - counts] + 1
-        text_of = np.repeat(np.arange(len(texts)), counts)
-        places = totals[:-1] + text_of
-        out = np.full(int(totals[-1]) + len(texts), end_id, np.uint32)
-        step = np.arange(int(totals[-1])) - np.repeat(totals[:-1], sizes)
-        out[np.repeat(places, sizes) + step] = flat[np.repeat(starts[codes], sizes) + step]
+        from_flat = np.repeat(starts[codes] - totals[:-1], sizes)
+        from_flat += np.arange(len(from_flat))
+        out = np.full(len(from_flat) + len(texts), end_id, np.uint32)
+        is_word = np.ones(len(out), bool)
+        is_word[np.cumsum(n_ids) - 1] = False
+        out[is_word] = flat[from_flat]
         return out, n_ids

@@ -1,6 +1,7 @@
 """Operators 1 and 7: encoding, the file format, packing."""
 
 import os
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -66,6 +67,36 @@ def test_simple8b_packs_and_blocks_stand_alone():
     assert (block == values[384:512]).all()
 
 
+def test_simple8b_chooses_selectors_in_little_memory():
+    """Selectors are told from one byte a value; places of eight bytes for each of them cost time and memory several times over."""
+    values = np.arange(200_000, dtype=np.uint32) * 7919 % 49_000
+    tracemalloc.start()
+    try:
+        words, offsets, escapes = simple8b.encode(values)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert (simple8b.decode(words, offsets, escapes, len(values)) == values).all()
+    assert peak < 50 * len(values)
+
+
+def test_simple8b_words_are_the_greedy_ones():
+    """The first selector, in the order of its counts, whose values all fit; to the end of a block."""
+    rng = np.random.default_rng(5)
+    for n, block in ((1, 128), (129, 128), (300, 7), (500, 60), (640, 64)):
+        values = rng.integers(0, 1 << 63, n, dtype=np.uint64) >> rng.integers(0, 64, n).astype(np.uint64)
+        values[rng.random(n) < 0.6] &= np.uint64(3)
+        want, at = [], 0
+        while at < n:
+            end = min(at // block * block + block, n)
+            k = next((k for k in range(14) if (values[at:min(at + simple8b.COUNTS[k], end)] >> simple8b.BITS[k] == 0).all()), simple8b.ESCAPE)
+            want.append(k)
+            at = min(at + int(simple8b.COUNTS[k]), end)
+        words, offsets, escapes = simple8b.encode(values, block)
+        assert (words >> np.uint64(60)).tolist() == want
+        assert (simple8b.decode(words, offsets, escapes, n, block) == values).all()
+
+
 def test_files_round_trip(spark, tokens):
     rows = [(k * 3, t) for k, t in enumerate(HARD)] + [(1, None), (None, "no id"), (4, "tie b"), (4, "tie a"), (9000, "word " * 40_000)]
     docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as shard", "'x' as ids").repartition(3)

@@ -1,10 +1,10 @@
-"""Stateful rules as keyed state: one state per address or account, moved on by event-time timers.
+"""Stateful rules as keyed state: the addresses or accounts of a cell share one state, moved on by event-time timers.
 
-A row waits in its key's state, in the part of the event-time bucket it belongs to, until the bucket closes: when an event of the rule came that
-is ``lateness`` newer than the bucket's end. A timer then puts the bucket's rows, in order of (time, id), through the rule's fold, whose own state
-is small: the at most k-1 failures since the last alert, or the last login. So a micro-batch writes what it brought and what
-its timers touched, whatever else is waiting. A row of a bucket that has closed is late: it comes out beside the alerts and
-is kept for ``late.repair``. Alerts are exactly the batch rule's on the rows that were not late.
+A key's cell is a hash of it. A row waits in the cell's state, in the part of the event-time bucket it belongs to, until the bucket
+closes: when an event of the rule came that is ``lateness`` newer than the bucket's end. A timer then puts the bucket's rows, in order of
+(time, id), through the rule's fold key by key, whose own state of a key is small: the at most k-1 failures since the last alert, or the
+last login. So a micro-batch writes what it brought and what its timers touched, whatever else is waiting. A row of a bucket that has
+closed is late: it comes out beside the alerts and is kept for ``late.repair``. Alerts are exactly the batch rule's on the rows that were not late.
 
 The clock is the newest event of earlier micro-batches (Spark's watermark). So that Spark hands late rows to the state instead of
 dropping them, it runs on a column that lies ``_FAR`` ahead of the event time and is allowed to lag as much; only rows older than that are dropped.
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import math
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import timedelta
@@ -138,14 +139,55 @@ def impossible_travel(settings: Settings = Settings(), ranges: DataFrame | None
 
 # ---------------------------------------------------------------- the state
 
-_HELD = 64  # waiting rows a key's head holds itself
+_CELLS = 4096  # of keys; a checkpoint's state lies in these cells, so another number needs a new checkpoint
+_HELD = 64  # waiting rows a head holds itself, rows of an entry of ``waiting`` with sparse buckets, keys of a slot of ``open``
+_GIVEN = 1000  # windows given out at a time
+
+
+class _Open:
+    """The fold's open rows of a cell's keys during one call: a slot that is needed is read once and written once."""
+
+    def __init__(self, state, head: dict):
+        self.state, self.head, self.slots, self.before = state, head, {}, {}
+
+    def _slot(self, at: int) -> dict[str, list[Row]]:
+        if at not in self.slots:
+            held = self.state.getValue((at,)) if self.head["keys"] else None
+            self.slots[at] = json.loads(held[0]) if held else {}
+            self.before[at] = len(self.slots[at])
+        return self.slots[at]
+
+    def _at(self, key: str) -> int:
+        return zlib.crc32(key.encode()) % self.head["slots"]
+
+    def slot_of(self, key: str) -> dict[str, list[Row]]:
+        return self._slot(self._at(key))
+
+    def write(self, forgets: Callable[[list[Row]], int], clock: int) -> None:
+        """Keep what may not be forgotten yet, in more slots once there are many keys."""
+        head = self.head
+        kept = {at: {key: rows for key, rows in slot.items() if rows and forgets(rows) > clock} for at, slot in self.slots.items()}
+        head["keys"] += sum(len(slot) - self.before[at] for at, slot in kept.items())
+        head["until"] = max([head["until"], *(forgets(rows) for slot in kept.values() for rows in slot.values())])
+        if head["keys"] > _HELD * head["slots"]:
+            every = {at: kept[at] if at in kept else self._slot(at) for at in range(head["slots"])}
+            head["slots"] = 1 << (head["keys"] // _HELD).bit_length()
+            kept = {at: {} for at in every}
+            for key, rows in (item for slot in every.values() for item in slot.items()):
+                kept.setdefault(self._at(key), {})[key] = rows
+        for at, slot in kept.items():
+            if slot:
+                self.state.updateValue((at,), (json.dumps(slot),))
+            elif self.before.get(at):
+                self.state.removeKey((at,))
 
 
 class KeyedState(StatefulProcessor):
-    """Rows of one key: ``head`` holds the fold's open rows, the waiting rows while they are few, and the timer that is set.
+    """Rows of the keys of one cell. A call of the state, and of this class, costs far more than a row, so a cell costs few, whatever its keys.
 
-    Many waiting rows go to ``waiting`` by (bucket, part). A call of the state costs far more than a row, so a key
-    that has few rows costs three a micro-batch, and one timer is set for a key, not one for a bucket.
+    ``head`` holds the waiting rows while they are few, and the one timer that is set. Many waiting rows go to ``waiting`` by (bucket, part):
+    whole buckets, sparse ones together under the first of them. ``open`` holds the fold's open rows by key, in as many slots as
+    its keys need, so what a closing bucket writes does not grow with the cell. Rows without a ``key`` are of one key, the cell's.
     """
 
     def __init__(self, fold, lateness_ms: int, bucket_ms: int):
@@ -154,12 +196,17 @@ class KeyedState(StatefulProcessor):
     def init(self, handle) -> None:
         self.handle = handle
         self.waiting = handle.getMapState("waiting", "bucket bigint, part bigint", "rows string")
+        self.open = handle.getMapState("open", "slot bigint", "rows string")
         self.head = handle.getValueState("head", "head string")
 
     def _closes(self, bucket: int) -> int:
         """The clock (ms) at which a bucket closes."""
         return (bucket + 1) * self.bucket_ms + self.lateness_ms
 
+    def _forgets(self, open_rows: list[Row]) -> int:
+        """The clock (ms) from which no row that is yet to come can reach the open ones."""
+        return (open_rows[-1]["at"] + self.fold.reach_us) // 1000 + self.lateness_ms + self.bucket_ms + 1
+
     def _buckets(self, rows: list[Row]) -> dict[int, list[Row]]:
         out: dict[int, list[Row]] = {}
         for row in rows:
@@ -167,21 +214,40 @@ class KeyedState(StatefulProcessor):
         return out
 
     def _read(self) -> dict:
-        """``open`` and ``rows``; how many entries of ``waiting`` were ever ``put`` and how many are ``left``; the ``timer`` (ms)."""
+        """Waiting ``rows``; how many entries of ``waiting`` were ever ``put`` and how many are ``left``; how many ``keys`` lie in the ``slots`` of
+        ``open``, and when all may be forgotten (``until``, ms); the ``timer`` (ms)."""
         held = self.head.get()
-        return json.loads(held[0]) if held else {"open": [], "rows": [], "put": 0, "left": 0, "timer": None}
+        return json.loads(held[0]) if held else {"rows": [], "put": 0, "left": 0, "keys": 0, "slots": 1, "until": 0, "timer": None}
 
     def _set_timer(self, head: dict, at: int) -> None:
         if head["timer"] is None or at < head["timer"]:
             self.handle.registerTimer(at)
             head["timer"] = at
 
+    def _put_away(self, head: dict) -> None:
+        """Waiting rows of the head to ``waiting`` once they are many. An entry of several buckets has at most ``_HELD`` rows."""
+        if len(head["rows"]) <= _HELD:
+            return
+        entries: list[tuple[int, list[Row]]] = []
+        for bucket, some in sorted(self._buckets(head["rows"]).items()):
+            if entries and len(entries[-1][1]) + len(some) <= _HELD:
+                entries[-1][1].extend(some)
+            else:
+                entries.append((bucket, some))
+        for first, some in entries:
+            self.waiting.updateValue((first, head["put"]), (json.dumps(some),))
+            head["put"] += 1
+            head["left"] += 1
+        head["rows"] = []
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         clock = timerValues.getCurrentWatermarkInMs()
         head = self._read()
         came = False
         for frame in rows:
-            own = [{n: None if v is None or v != v else v for n, v in zip(FIELDS, values)} for values in zip(*(frame[n].tolist() for n in FIELDS))]
+            names = ("key", *FIELDS)
+            frame = frame if "key" in frame else frame.assign(key=key[0])
+            own = [{n: None if v is None or v != v else v for n, v in zip(names, values)} for values in zip(*(frame[n].tolist() for n in names))]
             late = []
             for bucket, some in self._buckets([row for row in own if row["event_type"] != HEARTBEAT]).items():
                 if self._closes(bucket) <= clock:
@@ -191,54 +257,75 @@ class KeyedState(StatefulProcessor):
                 head["rows"] += some
                 self._set_timer(head, self._closes(bucket))
             if late:
-                yield pd.DataFrame({"kind": "late", "key": key[0], "rows": [json.dumps([row]) for row in late]})
-            if len(head["rows"]) > _HELD:
-                for bucket, some in self._buckets(head["rows"]).items():
-                    self.waiting.updateValue((bucket, head["put"]), (json.dumps(some),))
-                    head["put"] += 1
-                    head["left"] += 1
-                head["rows"] = []
+                yield pd.DataFrame({"kind": "late", "key": [row["key"] for row in late], "rows": [json.dumps([row]) for row in late]})
+            self._put_away(head)
         if came:
             self.head.update((json.dumps(head),))
 
+    def _folded(self, opened: _Open, rows: list[Row]) -> list[tuple[str, str]]:
+        """(key, window) of what is found in closed rows that all lie behind those folded before."""
+        by_key: dict[str, list[Row]] = {}
+        for row in sorted(rows, key=lambda r: (r["at"], r["id"])):
+            by_key.setdefault(row["key"], []).append(row)
+        out = []
+        for key, some in by_key.items():
+            slot = opened.slot_of(key)
+            found, slot[key] = self.fold(slot.get(key, []), some)
+            out += [(key, json.dumps(window)) for window in found]
+        return out
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         clock = timerValues.getCurrentWatermarkInMs()
         head = self._read()
         if head["timer"] is None or head["timer"] > clock:  # an earlier one did what was due
             return
-        places = [(int(p[0]), int(p[1])) for p in self.waiting.keys()] if head["left"] else []
-        closed, held = {}, []
+        places = sorted((int(p[0]), int(p[1])) for p in self.waiting.keys()) if head["left"] else []
+        opened, windows = _Open(self.open, head), []
+        ready, held = {}, []  # closed rows by bucket, rows that go on waiting
+
+        def sort_in(rows: list[Row]) -> None:
+            for bucket, some in self._buckets(rows).items():
+                if self._closes(bucket) <= clock:
+                    ready.setdefault(bucket, []).extend(some)
+                else:
+                    held.extend(some)
+
+        def fold_before(bucket: float) -> None:
+            done = [b for b in ready if b < bucket]
+            windows.extend(self._folded(opened, [row for b in done for row in ready.pop(b)]))
+
+        def given() -> pd.DataFrame:
+            out = pd.DataFrame({"kind": "found", "key": [name for name, _ in windows], "rows": [window for _, window in windows]})
+            windows.clear()
+            return out
+
+        sort_in(head["rows"])
         for place in places:
-            if self._closes(place[0]) <= clock:
-                closed.setdefault(place[0], []).extend(json.loads(self.waiting.getValue(place)[0]))
-                self.waiting.removeKey(place)
-                head["left"] -= 1
-        for bucket, some in self._buckets(head["rows"]).items():
-            if self._closes(bucket) <= clock:
-                closed.setdefault(bucket, []).extend(some)
-            else:
-                held += some
-        head["rows"], head["timer"] = held, None
-        windows = []
-        for bucket in sorted(closed):
-            found, head["open"] = self.fold(head["open"], sorted(closed[bucket], key=lambda r: (r["at"], r["id"])))
-            windows += found
+            if self._closes(place[0]) > clock:
+                break
+            fold_before(place[0])  # entries that follow have no row before this bucket
+            if len(windows) >= _GIVEN:
+                yield given()
+            sort_in(json.loads(self.waiting.getValue(place)[0]))
+            self.waiting.removeKey(place)
+            head["left"] -= 1
+        fold_before(math.inf)
         if windows:
-            yield pd.DataFrame({"kind": "found", "key": key[0], "rows": [json.dumps(window) for window in windows]})
+            yield given()
+        opened.write(self._forgets, clock)
         ahead = [*self._buckets(held), *[bucket for bucket, _ in places if self._closes(bucket) > clock]]
+        head["rows"], head["timer"] = held, None
+        self._put_away(head)
         if ahead:
             self._set_timer(head, self._closes(min(ahead)))
-        elif head["open"]:
-            # no row that is yet to come can reach the open ones once this is past
-            forget = (head["open"][-1]["at"] + self.fold.reach_us) // 1000 + self.lateness_ms + self.bucket_ms + 1
-            if forget <= clock:
-                head["open"] = []
-            else:
-                self._set_timer(head, forget)
-        if ahead or head["open"]:
-            self.head.update((json.dumps(head),))
+        elif head["keys"] and head["until"] > clock:
+            self._set_timer(head, head["until"])
         else:
+            if head["keys"]:
+                self.open.clear()
             self.head.clear()
+            return
+        self.head.update((json.dumps(head),))
 
     def close(self) -> None:
         pass
@@ -255,7 +342,8 @@ def found_and_late(events: DataFrame, rule: Rule, lateness: timedelta, bucket: t
                     F.coalesce("id", F.lit(-1)).alias("id"), *FIELDS[2:],
                     (F.col("event_time") + F.expr(f"interval {_FAR} days")).alias("clock"))
             .withWatermark("clock", f"{_FAR} days"))
-    return rows.groupBy("key").transformWithStateInPandas(KeyedState(rule.fold, ms(lateness), ms(bucket)), _OUT, "Append", "EventTime")
+    cells = rows.withColumn("cell", F.pmod(F.xxhash64("key"), F.lit(_CELLS)))
+    return cells.groupBy("cell").transformWithStateInPandas(KeyedState(rule.fold, ms(lateness), ms(bucket)), _OUT, "Append", "EventTime")
 
 
 LATE = T.StructType([T.StructField(n, t) for n, t in [

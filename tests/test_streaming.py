@@ -239,3 +239,52 @@ def test_a_key_with_few_rows_costs_few_calls_of_its_state(n):
     assert [[r["id"] for r in keyed.json.loads(w)] for w in got] == [[r["id"] for r in w] for w in want] and want
     assert not handle.timers and state.head.get() is None and not state.waiting.keys()
     assert handle.calls <= 30 if n == 12 else handle.calls <= 4 * n
+
+
+@pytest.mark.parametrize("fold", [keyed.Previous(40 * 3600 * 10**6), keyed.Threshold(3, 60 * 3600 * 10**6)])
+def test_a_cell_of_many_keys_gives_what_its_keys_give(fold):
+    """Rows of 500 keys come in any order, some late; the clock moves by hours or days. Calls do not grow with the keys, and nothing stays behind."""
+    import pandas as pd
+    from types import SimpleNamespace
+    hour = 3_600_000
+    rng = random.Random(5)
+    rows = [{"cell": 1, "key": f"user{rng.randrange(500)}", "at": rng.randrange(200 * hour) * 1000, "id": i, "username": None,
+             "src_ip": rng.choice(["10.0.0.1", "8.8.8.8"]), "source_type": "linux_ssh", "event_type": "login_success"} for i in range(6000)]
+    rows.sort(key=lambda r: r["at"] + (rng.randrange(20 * hour) if rng.random() < .95 else 90 * hour) * 1000)
+    handle, state = _Counted(), keyed.KeyedState(fold, 24 * hour, hour)
+    state.init(handle)
+    clock, late, got = 0, set(), []
+    cuts = [0, 40, 1500, 1600, 1610, 2400, 3000, 5200, 5900, 6000, 6000]
+    for first, last in zip(cuts, cuts[1:]):
+        at = SimpleNamespace(getCurrentWatermarkInMs=lambda: clock)
+        if first < last:
+            for out in state.handleInputRows((1,), iter([pd.DataFrame(rows[first:(first + last) // 2]), pd.DataFrame(rows[(first + last) // 2:last])]), at):
+                assert set(out["kind"]) == {"late"}
+                late |= {r["id"] for some in out["rows"] for r in keyed.json.loads(some)}
+        clock = max([clock, *(r["at"] // 1000 for r in rows[first:last])]) if first < last else 9000 * hour
+        for due in sorted(t for t in handle.timers if t <= clock):
+            handle.timers.discard(due)
+            for out in state.handleExpiredTimer((1,), at, None):
+                got += [(k, tuple(r["id"] for r in keyed.json.loads(w))) for k, w in zip(out["key"], out["rows"])]
+    want = []
+    for key in {r["key"] for r in rows}:
+        own = sorted((r for r in rows if r["key"] == key and r["id"] not in late), key=lambda r: (r["at"], r["id"]))
+        want += [(key, tuple(r["id"] for r in window)) for window in fold([], own)[0]]
+    assert sorted(got) == sorted(want) and want and 50 < len(late) < 600
+    assert not handle.timers and state.head.get() is None and not state.waiting.keys() and not state.open.keys()
+    assert handle.calls < 1000  # three a key and micro-batch were 7,000
+
+
+def test_the_state_has_no_row_for_each_key(spark, tmp_path, monkeypatch):
+    """600 accounts in four cells: a micro-batch calls the state for four."""
+    monkeypatch.setattr(keyed, "_CELLS", 4)
+    events = spark.range(600).selectExpr(
+        "id", "timestamp'2026-07-01' + make_dt_interval(0, 0, 0, id) AS event_time", "'linux_ssh' AS source_type", "concat('user', id) AS username",
+        "'10.0.0.1' AS src_ip", "'login_success' AS event_type")
+    folder, store = str(tmp_path / "in"), Store(spark, str(tmp_path / "store"))
+    events.write.parquet(folder)
+    run = keyed.KeyedRun(spark, keyed.impossible_travel(), store.persist_alerts, str(tmp_path / "state"))
+    query = run.start(spark.readStream.schema(events.schema).parquet(folder), str(tmp_path / "ck"))
+    query.awaitTermination()
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    assert 0 < held[0] <= 4 * 8

@@ -2,7 +2,8 @@
 
 A word tokenizer that drops white space never lets a token cross it, so the ids of a text are
 the ids of its blank-separated pieces, one after another. Whether a file is of that kind is read from its normaliser and pre-tokenizer; with
-any other, texts are encoded whole. Each worker encodes a piece once with
+any other, texts are encoded whole. Punctuation at the end of a piece is a piece of its own where that changes no id.
+Pieces are cut and counted off over all bytes of a slice at once; each worker encodes a distinct piece once with
 the tokenizers library and then looks it up; most words of a corpus repeat. The table is emptied
 when it holds ``CACHE_WORDS`` pieces, which bounds its memory and changes no result. Pieces of more than
 ``LONG_PIECE`` bytes are encoded each time.
@@ -14,25 +15,31 @@ import json
 import os
 import re
 from array import array
-from itertools import accumulate, chain, repeat
+from codecs import charmap_decode
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 
 from duskwatch.llm.batches import worker_cache
 
 CACHE_WORDS = 800_000
 LONG_PIECE = 200
 TEXT_BYTES = 2 << 20  # text encoded at a time
+WHITE = b"\t\n\x0b\x0c\r "  # what bytes.split() splits at
 # Punctuation after an ASCII letter or digit is a token run of its own. An apostrophe may begin a
 # contraction, and <, |, > occur in special tokens, so those are left in place.
-TAIL = re.compile(rb"(.*[A-Za-z0-9])([!-&(-;=?@\[-`{}~]+)", re.S)
+PUNCTUATION = b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+_BLANK, _ALNUM, _MARK = 1, 2, 3
+KINDS = bytes(_BLANK if b in WHITE else _MARK if b in PUNCTUATION else _ALNUM if b < 128 and chr(b).isalnum() else 0 for b in range(256))
 
 # Letters that are one character before and after the tokenizer's normal form, and no part of another: words of
 # these alone are one word of the tokenizer, which its model takes as it is, in its characters for bytes.
-LETTERS = re.compile("[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u017F]+")
+# So is punctuation after them.
+LETTERS = re.compile("([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u017F]+)([%s]*)" % re.escape(PUNCTUATION.decode()))
 _SELF = [*range(33, 127), *range(161, 173), *range(174, 256)]
-BYTE_CHARS = dict(zip(_SELF, map(chr, _SELF))) | {
-    b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _SELF)}
+_OTHERS = [b for b in range(256) if b not in _SELF]
+BYTE_CHARS = "".join(chr(b) if b in _SELF else chr(256 + _OTHERS.index(b)) for b in range(256))
 
 
 # Fixed value: how a tokenizer of this kind takes words out of a lower-cased text; white space is in none of them.
@@ -49,6 +56,28 @@ def takes_words(tokenizer) -> bool:
             and not before[1]["add_prefix_space"] and not before[1]["use_regex"])
 
 
+def cut_pieces(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """(all texts' pieces, some empty; how many there are up to the end of each text).
+
+    Texts are cut at white space, which is left out, and before punctuation that ends a piece after an ASCII letter or digit.
+    """
+    data = b"".join(chain.from_iterable((t, b" ") for t in texts))
+    kinds = np.frombuffer(data.translate(KINDS), np.uint8)
+    cut = kinds == _BLANK
+    mark = kinds == _MARK
+    turns = np.flatnonzero(mark[1:] != mark[:-1]) + 1
+    turns = turns[int(mark[:1].any()):]  # a run at the very start follows nothing
+    begins, ends = turns[::2], turns[1::2]  # the last byte is a blank, so every run has an end
+    cut[begins[(kinds[begins - 1] == _ALNUM) & (kinds[ends] == _BLANK)]] = True
+    at = np.flatnonzero(cut)
+    blank = kinds[at] == _BLANK
+    offsets = np.zeros(len(at) + 1, np.int64)
+    np.subtract(at, np.cumsum(blank) - blank, out=offsets[1:])
+    pieces = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data.translate(None, WHITE))])
+    text_ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1) - 1
+    return pieces, np.searchsorted(at, text_ends, side="right")
+
+
 class WordTokens:
     """Encodes texts to ids; keeps the ids of pieces it has seen."""
 
@@ -61,8 +90,7 @@ class WordTokens:
         self.clear()
 
     def clear(self) -> None:
-        self.codes: dict[bytes, int] = {}
-        self.flat, self.starts, self.lengths = array("I"), array("q"), array("q")
+        self.known: dict[bytes, bytes] = {b"": b""}  # ids of a piece as u32
 
     @classmethod
     def shared(cls, path: str) -> "WordTokens":
@@ -71,40 +99,27 @@ class WordTokens:
             cache[path] = cls(path)
         return cache[path]
 
-    def _add(self, pieces: list[bytes], ids: list) -> None:
-        """Give the pieces the next codes."""
-        if not pieces:
-            return
-        sizes = array("q", map(len, ids))
-        self.codes.update(zip(pieces, range(len(self.starts), len(self.starts) + len(pieces))))
-        self.starts.extend(accumulate(sizes[:-1], initial=len(self.flat)))
-        self.lengths.extend(sizes)
-        self.flat.extend(chain.from_iterable(ids))
-
-    def _ids(self, code: int) -> array:
-        return self.flat[self.starts[code]:self.starts[code] + self.lengths[code]]
-
-    def _learn(self, pieces: set[bytes]) -> None:
-        """Give every new piece a code."""
-        cut, bare = [], set()
+    def _learn(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of new pieces; those of all but long ones are kept."""
+        tokenize, flat, ends = self.tokenizer.model.tokenize, array("I"), [0]
         for piece in pieces:
-            found = None if piece.isalpha() else TAIL.fullmatch(piece)  # letters have no tail
-            if found:
-                cut.append((piece, found[1], found[2]))
-                bare.update(found.groups())
-            else:
-                bare.add(piece)
-        bare = [p for p in bare if p not in self.codes]
-        tokenize, found = self.tokenizer.model.tokenize, []
-        for piece in bare:
-            if piece.isalpha():  # ASCII letters
-                word = piece.lower().decode()
+            if piece.isalpha() and len(piece) <= LONG_PIECE:  # ASCII letters
+                flat.extend([t.id for t in tokenize(piece.lower().decode())])
+            elif len(piece) <= LONG_PIECE and (letters := LETTERS.fullmatch(piece.decode("utf-8", "replace"))):
+                word, tail = letters.groups()
+                flat.extend([t.id for t in tokenize(charmap_decode(word.lower().encode(), "strict", BYTE_CHARS)[0])])
+                if tail:
+                    flat.extend([t.id for t in tokenize(tail)])
             else:
-                text = piece.decode("utf-8", "replace")
-                word = "".join(map(BYTE_CHARS.__getitem__, text.lower().encode())) if LETTERS.fullmatch(text) else None
-            found.append(self.encode_plain(piece) if word is None else [t.id for t in tokenize(word)])
-        self._add(bare, found)
-        self._add([piece for piece, _, _ in cut], [self._ids(self.codes[head]) + self._ids(self.codes[tail]) for _, head, tail in cut])
+                flat.extend(self.encode_plain(piece))
+            ends.append(4 * len(flat))
+        ids = flat.tobytes()
+        found = [ids[a:b] for a, b in zip(ends, ends[1:])]
+        self.known.update(zip(pieces, found))
+        for piece in pieces:  # long ones hardly ever repeat
+            if len(piece) > LONG_PIECE:
+                del self.known[piece]
+        return found
 
     def encode_plain(self, text: bytes) -> list[int]:
         return self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
@@ -114,42 +129,24 @@ class WordTokens:
         if not self.by_word:
             found = [e.ids + [end_id] for e in self.tokenizer.encode_batch([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)]
             return np.fromiter(chain.from_iterable(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
-        if len(self.codes) > CACHE_WORDS:
+        if len(self.known) > CACHE_WORDS:
             self.clear()
-        words: list[bytes] = []
-        counts = []
-        for text in texts:
-            # Lower case is the tokenizer's own normal form. Before a combining mark (lead bytes CC, CD)
-            # or in a special token, case still matters; those texts go in as they are.
-            plain = text if b"<|" in text or b"\xcc" in text or b"\xcd" in text else text.lower()
-            own = plain.split()
-            words += own
-            counts.append(len(own))
-        codes = np.fromiter(map(self.codes.get, words, repeat(-1)), np.int64, len(words))
-        unknown = np.flatnonzero(codes < 0)
-        new = {words[k] for k in unknown.tolist()}
-        long = {w: self.encode_plain(w) for w in new if len(w) > LONG_PIECE}
-        self._learn(new - long.keys())
-        known = len(self.starts)
-        self._add(list(long), list(long.values()))
-        codes[unknown] = [self.codes[words[k]] for k in unknown.tolist()]
-        starts, lengths = np.array(self.starts, np.int64), np.array(self.lengths, np.int64)
-        flat = np.array(self.flat, np.uint32)
-        if long:  # not kept: they hardly ever repeat
-            for w in long:
-                del self.codes[w]
-            keep = self.starts[known]
-            del self.starts[known:], self.lengths[known:], self.flat[keep:]
-        counts = np.asarray(counts, np.int64)
-        # room for an end id after each text
+        # Lower case is the tokenizer's own normal form. Before a combining mark (lead bytes CC, CD)
+        # or in a special token, case still matters; those texts go in as they are.
+        pieces, text_ends = cut_pieces([t if b"<|" in t or b"\xcc" in t or b"\xcd" in t else t.lower() for t in texts])
+        coded = pieces.dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist() takes ten times as long
+        ids = list(map(self.known.get, words))
+        unknown = [k for k, found in enumerate(ids) if found is None]
+        for k, found in zip(unknown, self._learn([words[k] for k in unknown])):
+            ids[k] = found
+        ids.append(np.array([end_id], np.uint32).tobytes())  # one more word, after each text
+        codes = np.insert(coded.indices.to_numpy(), text_ends, len(words))
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts = np.cumsum(lengths) - lengths
         sizes = lengths[codes]
-        ends = np.cumsum(counts)
-        totals = np.concatenate([[0], np.cumsum(sizes)])
-        n_ids = totals[ends] - totals[ends - counts] + 1
-        from_flat = np.repeat(starts[codes] - totals[:-1], sizes)
-        from_flat += np.arange(len(from_flat))
-        out = np.full(len(from_flat) + len(texts), end_id, np.uint32)
-        is_word = np.ones(len(out), bool)
-        is_word[np.cumsum(n_ids) - 1] = False
-        out[is_word] = flat[from_flat]
-        return out, n_ids
+        totals = np.cumsum(sizes)
+        places = np.repeat(starts[codes] - (totals - sizes), sizes)
+        places += np.arange(len(places))
+        n_ids = np.diff(totals[text_ends + np.arange(len(texts))], prepend=0)
+        return np.frombuffer(b"".join(ids), np.uint32)[places], n_ids

@@ -51,6 +51,42 @@ def test_any_other_tokenizer_encodes_whole_texts(tokens):
     assert whole(other, "Hello World", 7) == [15496, 2159, 7]
 
 
+def test_a_repeated_word_is_looked_up_once_a_slice(tokens):
+    """Words are counted off over bytes; one object and one look-up for each of them was most of the time of known words."""
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *key):
+            self.asked += 1
+            return super().get(*key)
+
+    own = WordTokens(tokenizer_path())
+    own.known = Counted(own.known)
+    text = " ".join(f"{'abcde'[k % 5]}word{',.!'[k % 4:][:1]}" for k in range(20_000))
+    for _ in range(2):
+        ids, counts = own.encode([text.encode()], 7)
+        assert ids.tolist() == whole(tokens, text, 7) and counts.tolist() == [len(ids)]
+    assert own.known.asked == 2 * (5 + 3)  # words and marks
+
+
+def test_punctuation_after_accented_words_is_looked_up(tokens, monkeypatch):
+    """Such words went whole through the library's normaliser and splitter, which costs several times more than its model."""
+    own, plain = WordTokens(tokenizer_path()), []
+    monkeypatch.setattr(own, "encode_plain", lambda piece: plain.append(piece) or tokens.encode_plain(piece))
+    texts = ["Coñadó, naïveté! (été)... café; ", "déjà?\nœuvre_ É. Straße, Straß."]
+    ids, counts = own.encode([t.encode() for t in texts], 7)
+    assert ids.tolist() == [i for t in texts for i in whole(tokens, t, 7)] and len(counts) == 2
+    assert [p.decode() for p in plain if not p.isascii()] == ["(été)..."]
+
+
+def test_texts_of_blanks_and_leading_punctuation(tokens):
+    texts = ["...", "", " ", "\n\na. ", ".a", "a.", "x\ty\x0b\x0cz!\r\n", "!" * 300 + " " + "b" * 300 + "!" * 300, "", "?"]
+    ids, counts = tokens.encode([t.encode() for t in texts], 7)
+    ends = np.cumsum(counts)
+    assert [ids[e - n:e].tolist() for e, n in zip(ends, counts)] == [whole(tokens, t, 7) for t in texts]
+    assert [len(part) for part in tokens.encode([], 7)] == [0, 0]
+
+
 @given(st.lists(st.one_of(st.integers(0, 3), st.integers(0, 50_000), st.integers(0, 2**64 - 1)), max_size=400))
 @settings(max_examples=150, deadline=None)
 def test_simple8b_round_trip(values):

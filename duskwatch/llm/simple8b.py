@@ -9,6 +9,8 @@ kept, so all blocks are decoded side by side and any block can be decoded alone.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 BLOCK = 128
@@ -48,6 +50,17 @@ def _selectors(width: np.ndarray, block: int) -> np.ndarray:
     return best
 
 
+def _alike(selector: np.ndarray, count: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Words of one selector and number of values together: their places, and the values' number in the word and lowest bit, as columns."""
+    kind = selector.astype(np.uint16) << np.uint16(6) | count.astype(np.uint16)
+    order = np.argsort(kind, kind="stable")
+    kind = kind[order]
+    begins = np.flatnonzero(np.diff(kind)) + 1
+    for words, k in zip(np.split(order, begins), kind[np.append(0, begins)].tolist()):
+        number = np.arange(k & 63)[:, None]
+        yield words, number, number.astype(np.uint64) * BITS[k >> 6]
+
+
 def encode(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words, offset of each block's first word, escaped values)."""
     values = np.ascontiguousarray(values, np.uint64)
@@ -73,20 +86,20 @@ def encode(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarr
     count = np.minimum(COUNTS[selector], block_end - begun)
     words = selector.astype(np.uint64) << np.uint64(60)
     escaped = selector == ESCAPE
-    words[escaped] |= np.arange(escaped.sum(), dtype=np.uint64)
-    plain = np.flatnonzero(~escaped)
-    for j in range(int(count.max())):
-        plain = plain[count[plain] > j]
-        words[plain] |= values[begun[plain] + j] << (BITS[selector[plain]] * np.uint64(j))
+    packed = values
+    if escaped.any():
+        packed = values.copy()
+        packed[begun[escaped]] = np.arange(escaped.sum(), dtype=np.uint64)
+    for at, number, shift in _alike(selector, count):
+        words[at] |= np.bitwise_or.reduce(packed[begun[at] + number] << shift, axis=0)
     offsets = np.searchsorted(owners, np.arange(owners[-1] + 1)).astype(np.uint32)
     return words, offsets, values[begun[escaped]]
 
 
 def decode(words: np.ndarray, offsets: np.ndarray, escapes: np.ndarray, n: int, block: int = BLOCK) -> np.ndarray:
     """The values, as uint64."""
-    out = np.zeros(n, np.uint64)
     if n == 0:
-        return out
+        return np.zeros(0, np.uint64)
     selector = (words >> np.uint64(60)).astype(np.int64)
     payload = words & _PAYLOAD
     full = COUNTS[selector]
@@ -95,11 +108,9 @@ def decode(words: np.ndarray, offsets: np.ndarray, escapes: np.ndarray, n: int,
     inside = before - np.repeat(before[offsets], per_block)
     begin = inside + np.repeat(np.arange(len(offsets)) * block, per_block)
     count = np.minimum(full, np.minimum((begin // block + 1) * block, n) - begin)
+    out, mask = np.empty(n, np.uint64), (np.uint64(1) << BITS[selector]) - np.uint64(1)
+    for at, number, shift in _alike(selector, count):
+        out[begin[at] + number] = payload[at] >> shift & mask[at]
     escaped = selector == ESCAPE
     out[begin[escaped]] = escapes[payload[escaped].astype(np.int64)]
-    live = np.flatnonzero(~escaped)
-    mask = (np.uint64(1) << BITS[selector]) - np.uint64(1)
-    for j in range(int(count.max())):
-        live = live[count[live] > j]
-        out[begin[live] + j] = (payload[live] >> (BITS[selector[live]] * np.uint64(j))) & mask[live]
     return out

@@ -35,7 +35,7 @@ class PairTokens:
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        of_char = {c: b for b, c in BYTE_CHARS.items()}
+        of_char = {c: b for b, c in enumerate(BYTE_CHARS)}
         self.bytes_a = [b""] * self.a.get_vocab_size()
         for token, i in self.a.get_vocab().items():
             # special tokens are written as they are, all others in the characters for bytes
@@ -70,7 +70,8 @@ class PairTokens:
         ids_a: list = [None] * len(new)
         tokenize, spell, others = self.a.model.tokenize, BYTE_CHARS.__getitem__, []
         for k, word in enumerate(new):
-            if word[0] == " " and LETTERS.fullmatch(word, 1):  # one word of the tokenizer, which its model takes as it is
+            # letters alone are one word of the tokenizer, which its model takes as it is
+            if word[0] == " " and (letters := LETTERS.fullmatch(word, 1)) and not letters[2]:
                 ids_a[k] = [t.id for t in tokenize("".join(map(spell, word.encode())))]
             else:
                 others.append(k)

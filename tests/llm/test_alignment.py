@@ -48,6 +48,29 @@ def test_lookup_agrees_with_the_libraries(tokens):
         assert got == [whole(tokens, t) for t in part]
 
 
+def test_every_byte_is_spelled_and_punctuation_is_no_part_of_a_word(tokens):
+    spelled = {x for x in tokens.bytes_a if len(x) == 1}
+    assert spelled >= {bytes([b]) for b in range(256)}
+    asked = []
+    library = tokens.a
+
+    class Model:
+        def tokenize(self, word):
+            asked.append(word)
+            return library.model.tokenize(word)
+
+    class Recorded:
+        model = Model()
+        encode_batch_fast = library.encode_batch_fast
+
+    fresh = PairTokens(*PATHS)
+    fresh.a = Recorded()
+    texts = ["one", "two,", "three...", "n\u00e9e", "(four)", "it's"]
+    ids_a, n_a, _, _, good = fresh.encode([" " + t for t in texts])
+    assert [x.tolist() for x in np.split(ids_a, np.cumsum(n_a)[:-1])] == [whole(tokens, t)[0] for t in texts] and good.all()
+    assert asked == ["\u0120one", "\u0120n\u00c3\u00a9e"]
+
+
 def aligned(tokens, texts):
     """Rows of the query by loops."""
     found = []

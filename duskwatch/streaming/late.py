@@ -5,8 +5,8 @@ only within its *session*: the events around it up to the next such pause on eit
 sessions that hold one are found, the batch rule runs on their events, and the result is held against the
 stored alerts of those sessions: what no longer holds is withdrawn, what is new is stored. Both are idempotent, so a repair that died is run again.
 
-Events are read from ``first_span`` around the late rows on. If a session touches the edge of what was read it may be longer, and
-twice as much is read, until no session does.
+Sessions are found from each key's first and last row per stretch of time, read from ``first_span`` around the late rows on. If a session touches
+the edge of what was read it may be longer, and what lies up to twice as far is read as well, until no session does. Then their events are read, once.
 """
 
 from __future__ import annotations
@@ -18,10 +18,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from duskwatch.operators.alerts import ALERT_COLUMNS, not_stored
-from duskwatch.operators.hot_keys import KeySplit, micros
+from duskwatch.operators.hot_keys import micros
 from duskwatch.session import materialize
 from duskwatch.sources.tables import Store
-from duskwatch.streaming.keyed import Rule
+from duskwatch.streaming.keyed import FIELDS, Rule
+
+_FEW = 200_000  # late stretches whose keys are broadcast
 
 
 @dataclass(frozen=True)
@@ -30,24 +32,34 @@ class Repaired:
     added: int
 
 
-def touched_sessions(rows: DataFrame, late: DataFrame, key: str, reach_us: int, max_rows: int = 5_000_000) -> DataFrame:
-    """(key, start, end) in microseconds of the sessions of ``rows`` that hold a row of ``late`` (key, at); ``end`` belongs to the next one, if any.
+def stretches(rows: DataFrame, key: str, reach_us: int) -> DataFrame:
+    """(key, bucket, low, high) in microseconds: a key's first and last row in each bucket of time that has one.
 
-    A session starts at a row more than ``reach_us`` behind its predecessor. Hot keys are cut for that; what is ordered
-    whole per key after it are session starts and late rows only.
+    A bucket is no wider than ``reach_us``, so no session ends inside one and these tell all sessions. Summed map-side, however many rows a key has.
     """
-    slim = rows.select(key, "event_time", "id").withColumn("_at", micros())
-    order = Window.partitionBy(key, "slice").orderBy("_at", "id")
-    before = KeySplit(slim, key, max_rows).apply(slim, context_rows=1).withColumn("_before", F.lag("_at").over(order)).where("own")
-    starts = before.where(F.col("_before").isNull() | (F.col("_at") - F.col("_before") > reach_us)).select(
-        key, F.col("_at").alias("at"), F.lit(True).alias("starts"))
-    both = starts.unionByName(late.select(key, "at", F.lit(False).alias("starts")).distinct())
+    at = micros()
+    return (rows.groupBy(key, (at - F.pmod(at, F.lit(max(int(reach_us), 1)))).alias("bucket"))
+            .agg(F.min(at).alias("low"), F.max(at).alias("high")))
+
+
+def touched_sessions(parts: DataFrame, late: DataFrame, key: str, reach_us: int) -> DataFrame:
+    """(key, start, end, last) in microseconds of the sessions that hold a row of ``late`` (key, at); ``end`` belongs to the next one, if any.
+
+    A session starts at a row more than ``reach_us`` behind its predecessor; ``last`` is its last row. What is ordered whole per key
+    are its ``stretches`` (``parts``) and late rows.
+    """
+    order, of_key = Window.partitionBy(key).orderBy("low"), Window.partitionBy(key)
+    before = parts.withColumn("_before", F.lag("high").over(order)).withColumn("_top", F.max("high").over(of_key))
+    starts = before.where(F.col("_before").isNull() | (F.col("low") - F.col("_before") > reach_us)).select(
+        key, F.col("low").alias("at"), F.lit(True).alias("starts"), "_before", "_top")
+    both = starts.unionByName(late.select(key, "at", F.lit(False).alias("starts")).distinct(), allowMissingColumns=True)
     # at one instant a start comes before the late row that is it
     line = Window.partitionBy(key).orderBy("at", F.col("starts").desc())
-    start = F.when(F.col("starts"), F.col("at"))
-    placed = both.withColumn("start", F.last(start, ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, 0))).withColumn(
-        "end", F.first(start, ignorenulls=True).over(line.rowsBetween(1, Window.unboundedFollowing)))
-    return placed.where("NOT starts").select(key, "start", "end").distinct()
+    so_far, after = line.rowsBetween(Window.unboundedPreceding, 0), line.rowsBetween(1, Window.unboundedFollowing)
+    start, newest = F.when(F.col("starts"), F.col("at")), lambda c: F.last(c, ignorenulls=True).over(so_far)
+    placed = (both.withColumn("start", newest(start)).withColumn("end", F.first(start, ignorenulls=True).over(after))
+              .withColumn("last", F.coalesce(F.first("_before", ignorenulls=True).over(after), newest("_top"))))
+    return placed.where("NOT starts AND start IS NOT NULL").select(key, "start", "end", "last").distinct()
 
 
 def inside(df: DataFrame, sessions: DataFrame, key: str, time: str) -> DataFrame:
@@ -56,40 +68,54 @@ def inside(df: DataFrame, sessions: DataFrame, key: str, time: str) -> DataFrame
     return df.join(s, (df[key] == F.col("_key")) & (at >= F.col("_start")) & (F.col("_end").isNull() | (at < F.col("_end"))), "left_semi")
 
 
-def touched_rows(events: DataFrame, late: DataFrame, rule: Rule, max_rows: int, first_span: timedelta) -> tuple[DataFrame, DataFrame] | None:
-    """(sessions with late rows, all their events), read no further than they reach."""
+def touched_rows(events: DataFrame, late: DataFrame, rule: Rule, first_span: timedelta) -> tuple[DataFrame, DataFrame] | None:
+    """(sessions with late rows, all their events in the columns a keyed rule reads), read no further than they reach."""
     key, reach = rule.key, rule.fold.reach_us
-    late = materialize(late.select(F.col("key").alias(key), F.unix_micros("event_time").alias("at")).distinct(), "late")
-    bounds = late.agg(F.min("at"), F.max("at")).first()
+    # what all late rows of a stretch touch, its first and its last one touch
+    late = materialize(stretches(late.select(F.col("key").alias(key), "event_time"), key, reach).select(
+        key, F.explode(F.array_distinct(F.array("low", "high"))).alias("at")), "late")
+    bounds = late.agg(F.min("at"), F.max("at"), F.count("*")).first()
     if bounds[0] is None:
         return None
-    relevant = events.filter(rule.relevant)
-    table = None
+    keys, few = late.select(key).distinct(), bounds[2] <= _FEW
+    relevant, time = events.filter(rule.relevant), F.col("event_time")
+    at = lambda us: F.timestamp_micros(F.lit(us))
+    parts = table = None
     span = max(int(first_span.total_seconds() * 1e6), reach)
     while True:
         low, high = bounds[0] - span, bounds[1] + span
-        at = lambda us: F.timestamp_micros(F.lit(us))
-        read = relevant.filter(F.col("event_time").between(at(low), at(high))).join(late.select(key), key, "left_semi")
-        rows = materialize(read.select(*events.columns), "touched")
+        more = relevant.filter(time.between(at(low), at(high)))
+        if parts is not None:  # only what was not read before
+            more = more.filter((time < at(known[0])) | (time > at(known[1])))
+        if few:
+            read = stretches(more.join(F.broadcast(keys), key, "left_semi"), key, reach)
+        else:  # rows are summed before they meet the keys, so no key's rows meet in one task
+            read = stretches(more, key, reach).join(keys, key, "left_semi")
+        if parts is not None:
+            read = parts.unionByName(read).groupBy(key, "bucket").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        parts, known = materialize(read, "stretches"), (low, high)
         # what lies beyond the rows that were read belongs to no session of theirs, also where no next one was read
-        sessions = materialize(touched_sessions(rows, late, key, reach, max_rows).withColumn(
+        sessions = materialize(touched_sessions(parts, late, key, reach).withColumn(
             "end", F.coalesce("end", F.lit(high + 1))), "sessions")
-        own = materialize(inside(rows, sessions, key, "event_time"), "touched-rows")
-        edge = own.agg(F.min(micros()), F.max(micros())).first()
-        if edge[0] is None:
-            return sessions, own
-        if edge[0] - reach < low or edge[1] + reach > high:
+        edge = sessions.agg(F.min("start"), F.max("last")).first()
+        if edge[0] is not None and (edge[0] - reach < low or edge[1] + reach > high):
             table = table or relevant.agg(F.min(micros()), F.max(micros())).first()
             if (edge[0] - reach < low and low > table[0]) or (edge[1] + reach > high and high < table[1]):
                 span *= 2
                 continue
-        return sessions, own
+        # the rule gives the same on the columns that a stream keeps of a row
+        own = relevant.filter(time.between(*map(at, edge[:2] if edge[0] is not None else known))).select(
+            *[c for c in events.columns if c in (*FIELDS, "event_time")])
+        return sessions, materialize(inside(own, sessions, key, "event_time"), "touched-rows")
 
 
 def repair(store: Store, rule: Rule, late: DataFrame, events: DataFrame | None = None, max_rows: int = 5_000_000,
            first_span: timedelta = timedelta(days=3)) -> Repaired:
-    """Bring the stored alerts of ``rule`` to what the batch rule gives, given its ``late`` rows (key, event_time), which ``events`` holds by now."""
-    touched = touched_rows(store.events() if events is None else events, late, rule, max_rows, first_span)
+    """Bring the stored alerts of ``rule`` to what the batch rule gives, given its ``late`` rows (key, event_time), which ``events`` holds by now.
+
+    ``max_rows`` has no effect any more: rows are summed before anything is ordered by key; the rule itself cuts its hot keys.
+    """
+    touched = touched_rows(store.events() if events is None else events, late, rule, first_span)
     if touched is None:
         return Repaired(0, 0)
     sessions, rows = touched

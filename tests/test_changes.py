@@ -11,6 +11,7 @@ from duskwatch.plans import jobs
 from duskwatch.schemas import EVENTS, INTEL
 from duskwatch.settings import Settings
 from duskwatch.sources.tables import Store
+from duskwatch.streaming import keyed, late
 
 S = Settings(brute_force_threshold=3, brute_force_minutes=45, multi_fail_threshold=4, multi_fail_minutes=90)
 BASE = datetime(2026, 3, 2)
@@ -127,3 +128,50 @@ def test_own_rules_run_with_the_others(spark, tmp_path):
     finally:
         detect.RULES.clear()
         detect.RULES.update(before)
+
+
+def test_sessions_are_those_of_a_loop_over_all_rows(spark):
+    pick, reach = random.Random(5), 1000
+    rows, low = [], -3_000_000
+    for key in ("a", "b", "c"):
+        at = low
+        for _ in range(150):
+            at += pick.choice([0, 1, 7, 400, 999, 1000, 1001, 5000])
+            rows.append((key, at))
+    touched = [(key, at) for key, at in rows if pick.random() < 0.05] + [("a", low - 1), ("d", 0), (None, 5)]
+    want = set()
+    for key in ("a", "b", "c"):
+        sessions = []
+        for at in sorted(a for k, a in rows if k == key):
+            if not sessions or at - sessions[-1][-1] > reach:
+                sessions.append([])
+            sessions[-1].append(at)
+        for own, behind in zip(sessions, [*sessions[1:], [None]]):
+            if any(k == key and a in own for k, a in touched):
+                want.add((key, own[0], behind[0], own[-1]))
+    timed = lambda rows: spark.createDataFrame(rows, "key string, at long").selectExpr("*", "timestamp_micros(at) AS event_time")
+    parts = late.stretches(timed(rows).repartition(4), "key", reach)
+    got = late.touched_sessions(parts, timed(touched), "key", reach)
+    assert {tuple(r) for r in got.collect()} == want and len(want) > 10
+    assert got.count() == len(want) and parts.count() < len(rows)
+
+
+@pytest.mark.parametrize("few", [200_000, 0])
+def test_a_repair_that_reads_further_reads_each_row_once_and_writes_it_once(spark, tmp_path, monkeypatch, few):
+    """A session many times as long as what is read at first, and a day long before the late row."""
+    rows = [(k, BASE + timedelta(minutes=10 * k), "lu", "10.0.0.7", "linux_ssh", "login_failure") for k in range(400)]
+    rows += [(1000 + k, BASE - timedelta(days=9, minutes=k), "lu", "10.0.0.7", "linux_ssh", "login_failure") for k in range(5)]
+    rows += [(2000 + k, BASE + timedelta(hours=k), "omar", "10.0.0.8", "linux_ssh", "login_failure") for k in range(60)]
+    events = spark.createDataFrame(rows, "id long, event_time timestamp, username string, src_ip string, source_type string, event_type string")
+    written, whole = [], late.materialize
+    monkeypatch.setattr(late, "_FEW", few, raising=False)
+    monkeypatch.setattr(late, "materialize", lambda df, label, by=None: written.append((label, whole(df, label, by))) or written[-1][1])
+    rule, store = keyed.brute_force(S), Store(spark, str(tmp_path / "store"))
+    new = events.where("id = 200").select(F.col("src_ip").alias("key"), "event_time")
+    done = late.repair(store, rule, new, events, first_span=timedelta(hours=1))
+    want = detect.detect_brute_force(events.where("id < 1000"), S)
+    assert shown(store.alerts()) == shown(want) and done == late.Repaired(0, want.count()) and done.added > 100
+    by_row = [df for _, df in written if "id" in df.columns]
+    assert sum(df.count() for df in by_row) == 400  # no row is written twice, nor one of another session or key
+    steps = [df for label, df in written if label == "stretches"]
+    assert len(steps) > 3 and max(df.count() for df in steps) < 100
